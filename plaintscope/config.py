@@ -54,8 +54,9 @@ INCOMPLETE = "Incomplete"
 # Urgency domain of a structured theme answer.
 URGENCY_LEVELS = ("Low", "Medium", "High", "Critical")
 
-# Tokens a raw extract uses for a missing field.
-NULL_TOKENS = ("", "NA", "N/A", "NULL", "null", "NaN", "nan", "None", "n/a", "#N/A")
+# Field texts a raw extract reader treats as missing (the pandas CSV defaults).
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+               "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 # Allowed timely-response answers after trim + lower-case.
 TIMELY_DOMAIN = ("yes", "no")

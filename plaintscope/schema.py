@@ -53,7 +53,7 @@ _TYPES = {
 COMPLAINT_SCHEMA = T.StructType(
     [T.StructField(c, _TYPES.get(c, T.StringType()), c not in REQUIRED_COLUMNS)
      for c in LOAD_COLUMNS]
-    + [T.StructField("ingested_at", T.TimestampType(), True)]
+    + [T.StructField("ingested_at", T.TimestampNTZType(), True)]
 )
 
 # A raw extract is read as text: every column a string, header as published.

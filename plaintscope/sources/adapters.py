@@ -65,3 +65,55 @@ def labelled_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("doc_id").alias("complaint_id"),
                     F.col("text").alias("consumer_complaint_narrative"),
                     F.concat(F.lit("q"), F.col("quality").cast("string")).alias("issue")))
+
+
+def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as a raw text extract with the published header.
+
+    Every field is text, as a CSV reader without inference yields it. Rules keyed
+    on event_id inject the defects a real extract has: repeated ids (every tenth
+    event repeats the id of the event five before it), missing ids, unparsable
+    and mixed-layout dates, padded and blank text, null tokens and odd answers.
+    ``_chunk`` (week of the event) and ``_row`` (event id) give input order.
+    """
+    ev = table(spark, sf_dir, "events")
+    e, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    s = lambda c: c.cast("string")
+    id_num = F.when(e % 10 == 9, e - 5).otherwise(e)
+    received = (F.when(e % 53 == 7, F.lit("not a date"))
+                .when(e % 11 == 3, F.date_format("ts", "MM/dd/yyyy"))
+                .when(e % 7 == 2, F.date_format("ts", "yyyy-MM-dd"))
+                .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    company = (F.when(e % 67 == 13, F.lit("NULL"))
+               .when(e % 13 == 4, F.concat(F.lit(" co-"), s(u % 40), F.lit(" ")))
+               .otherwise(F.concat(F.lit("co-"), s(u % 40))))
+    timely = (F.when(e % 6 == 0, F.lit("Yes")).when(e % 6 == 1, F.lit(" no "))
+              .when(e % 6 == 2, F.lit("YES")).when(e % 6 == 3, F.lit(None).cast("string"))
+              .when(e % 6 == 4, F.lit("No")).when(e % 43 == 5, F.lit("Y"))
+              .otherwise(F.lit("yes")))
+    cols = {
+        "Date received": received,
+        "Product": (F.when(e % 41 == 5, F.lit("   "))
+                    .when(e % 5 == 1, F.concat(F.lit("  "), t, F.lit(" "))).otherwise(t)),
+        "Sub-product": F.when(e % 2 == 0, F.concat(F.lit("sub-"), t)).otherwise(F.lit("N/A")),
+        "Issue": F.when(e % 59 == 11, F.lit(None).cast("string"))
+                  .otherwise(F.concat(F.lit("issue-"), s(u % 12))),
+        "Sub-issue": F.when(e % 3 == 0, F.concat(F.lit("detail-"), s(u % 5))).otherwise(F.lit("NA")),
+        "Consumer complaint narrative": F.when(e % 3 == 0, F.col("props")).otherwise(F.lit("")),
+        "Company public response": F.lit(None).cast("string"),
+        "Company": company,
+        "State": (F.when(u % 4 == 0, F.lit("NY")).when(u % 4 == 1, F.lit("CA"))
+                  .when(u % 4 == 2, F.lit("TX")).otherwise(F.lit(None).cast("string"))),
+        "ZIP code": F.lpad(s((u * 37) % 100000), 5, "0"),
+        "Tags": F.lit(None).cast("string"),
+        "Consumer consent provided?": F.lit("N/A"),
+        "Submitted via": F.lit("Web"),
+        "Date sent to company": F.date_format(F.date_add(F.to_date("ts"), 1), "yyyy-MM-dd"),
+        "Company response to consumer": F.lit("Closed with explanation"),
+        "Timely response?": timely,
+        "Consumer disputed?": F.lit(None).cast("string"),
+        "Complaint ID": F.when(e % 97 == 96, F.lit(None).cast("string")).otherwise(s(id_num)),
+    }
+    chunk = F.floor(F.datediff(F.to_date("ts"), F.lit(TEXT_ORIGIN).cast("date")) / 7).cast("int")
+    return ev.select(*[c.alias(n) for n, c in cols.items()],
+                     chunk.alias("_chunk"), e.alias("_row"))
