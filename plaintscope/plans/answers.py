@@ -1,3 +1,141 @@
-"""Placeholder."""
+"""Answer validation, evaluation and review rollup over synthetic theme answers."""
 
-from .registry import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import answers as A
+from ..operators import themes as TH
+from ..sources.adapters import synthetic_theme_answers
+from .registry import register
+from .themes import EVIDENCE_CTE, THEMES_WITH, TOP3_CTE, docs
+
+ANSWERS_CTE = """
+per AS (SELECT product, term, count(*) AS supporting_records,
+               list(complaint_id ORDER BY evidence_rank) AS ids
+        FROM evidence GROUP BY 1, 2),
+ans AS (
+  SELECT t.product, t.term, t.recent_mentions, t.baseline_mentions, t.growth_rate_percent,
+         t.emergence_score, p.supporting_records, p.ids,
+         t.recent_mentions % 7 = 0 AS malformed,
+         ['Low', 'Medium', 'High', 'Critical', 'Severe'][t.recent_mentions % 5 + 1] AS urgency,
+         CAST(t.recent_mentions AS DOUBLE) / 10.0 AS confidence,
+         CASE WHEN t.recent_mentions % 3 = 0 THEN [CAST(-7 AS BIGINT)]
+              WHEN t.recent_mentions % 2 = 0 THEN list_concat([CAST(-1 AS BIGINT)], p.ids, p.ids[1:1])
+              ELSE p.ids END AS answer_ids
+  FROM top3 t JOIN per p USING (product, term)),
+valid AS (SELECT *, list_filter(answer_ids, lambda x: list_contains(ids, x)) AS grounded
+          FROM ans
+          WHERE NOT malformed AND urgency IN ('Low', 'Medium', 'High', 'Critical')
+            AND confidence BETWEEN 0 AND 1),
+summaries AS (
+  SELECT product, term, recent_mentions, baseline_mentions, growth_rate_percent, emergence_score,
+         supporting_records, 'Customers report ' || term AS cluster_summary,
+         'Resolve ' || term AS customer_need, 'Service and conduct risk' AS risk_implication,
+         urgency, 'Review cases mentioning ' || term AS recommended_action, confidence,
+         (supporting_records < 3) OR len(grounded) = 0 AS requires_human_review,
+         array_to_string(grounded, ';') AS evidence_complaint_ids, 'synthetic' AS model_name
+  FROM valid),
+evaluation AS (
+  SELECT product, term, supporting_records, cluster_summary, risk_implication, urgency,
+         recommended_action, confidence, requires_human_review, evidence_complaint_ids, model_name,
+         CAST(len(list_filter(string_split(coalesce(evidence_complaint_ids, ''), ';'),
+                              lambda x: trim(x) <> '')) AS INTEGER) AS evidence_id_count,
+         len(list_filter(string_split(coalesce(evidence_complaint_ids, ''), ';'), lambda x: trim(x) <> '')) > 0
+           AND len(list_filter(string_split(coalesce(evidence_complaint_ids, ''), ';'), lambda x: trim(x) <> ''))
+               <= supporting_records AS evidence_ids_valid,
+         supporting_records >= 3 AS minimum_evidence_met,
+         coalesce(confidence BETWEEN 0 AND 1, false) AS confidence_valid,
+         '' AS manual_grounded, '' AS manual_cluster_coherent, '' AS manual_actionable,
+         '' AS unsupported_claims, '' AS urgency_appropriate, '' AS reviewer_notes
+  FROM summaries)"""
+
+BASE = f"{THEMES_WITH},{TOP3_CTE},{EVIDENCE_CTE},{ANSWERS_CTE}"
+
+
+def _pipeline(spark, sf):
+    d = docs(spark, sf)
+    selected = TH.top_themes(TH.emerging_themes(d))
+    ev = TH.theme_evidence(d, selected)
+    return A.validate_theme_answers(synthetic_theme_answers(selected, ev))
+
+
+@register("answer_validation", f"{BASE}\nSELECT * FROM summaries")
+def q_answer_validation(spark, sf):
+    return _pipeline(spark, sf)[0]
+
+
+@register("answer_quarantine", f"""{BASE}
+SELECT product, term, array_to_string(list_filter([
+         CASE WHEN malformed THEN 'missing cluster_summary' END,
+         CASE WHEN malformed THEN 'missing customer_need' END,
+         CASE WHEN malformed THEN 'missing risk_implication' END,
+         CASE WHEN malformed THEN 'missing urgency' END,
+         CASE WHEN malformed THEN 'missing recommended_action' END,
+         CASE WHEN malformed THEN 'missing confidence' END,
+         CASE WHEN malformed THEN 'missing requires_human_review' END,
+         CASE WHEN malformed THEN 'missing evidence_complaint_ids' END,
+         CASE WHEN NOT malformed AND urgency NOT IN ('Low', 'Medium', 'High', 'Critical') THEN 'bad urgency' END,
+         CASE WHEN NOT malformed AND NOT (confidence BETWEEN 0 AND 1) THEN 'bad confidence' END],
+       lambda x: x IS NOT NULL), '; ') AS problems
+FROM ans
+WHERE malformed OR urgency NOT IN ('Low', 'Medium', 'High', 'Critical') OR NOT (confidence BETWEEN 0 AND 1)""")
+def q_answer_quarantine(spark, sf):
+    return _pipeline(spark, sf)[1]
+
+
+@register("answer_evaluation", f"{BASE}\nSELECT * FROM evaluation")
+def q_answer_evaluation(spark, sf):
+    return A.answer_evaluation(_pipeline(spark, sf)[0])
+
+
+@register("answer_evaluation_summary", f"""{BASE}
+SELECT count(*) AS outputs_evaluated, count(*) FILTER (WHERE evidence_ids_valid) AS valid_evidence_ids,
+       count(*) FILTER (WHERE minimum_evidence_met) AS minimum_evidence_met,
+       count(*) FILTER (WHERE confidence_valid) AS valid_confidence
+FROM evaluation""")
+def q_answer_eval_summary(spark, sf):
+    return A.answer_evaluation_summary(A.answer_evaluation(_pipeline(spark, sf)[0]))
+
+
+def _yes(cond):
+    return F.when(cond, F.lit("yes")).otherwise(F.lit("no"))
+
+
+def reviewed(evaluation):
+    """Review marks by a fixed rule standing in for a human reviewer."""
+    return evaluation.withColumns({
+        "manual_grounded": _yes(F.col("evidence_ids_valid")),
+        "manual_cluster_coherent": _yes(F.col("minimum_evidence_met")),
+        "manual_actionable": _yes(F.col("urgency").isin("High", "Critical")),
+        "unsupported_claims": _yes(~F.col("evidence_ids_valid")),
+        "urgency_appropriate": _yes(~F.col("requires_human_review") | (F.col("urgency") != "Low")),
+    })
+
+
+def _rollup_sql() -> str:
+    marks = {
+        "evidence_ids_valid": "CAST(evidence_ids_valid AS VARCHAR)",
+        "minimum_evidence_met": "CAST(minimum_evidence_met AS VARCHAR)",
+        "confidence_valid": "CAST(confidence_valid AS VARCHAR)",
+        "manual_grounded": "CASE WHEN evidence_ids_valid THEN 'yes' ELSE 'no' END",
+        "manual_cluster_coherent": "CASE WHEN minimum_evidence_met THEN 'yes' ELSE 'no' END",
+        "manual_actionable": "CASE WHEN urgency IN ('High', 'Critical') THEN 'yes' ELSE 'no' END",
+        "unsupported_claims": "CASE WHEN NOT evidence_ids_valid THEN 'yes' ELSE 'no' END",
+        "urgency_appropriate":
+            "CASE WHEN NOT requires_human_review OR urgency <> 'Low' THEN 'yes' ELSE 'no' END",
+    }
+    parts = [f"SELECT {i} AS measure_order, '{m}' AS measure, lower(trim({e})) AS mark FROM evaluation"
+             for i, (m, e) in enumerate(marks.items(), start=1)]
+    return f"""{BASE},
+m AS ({' UNION ALL '.join(parts)})
+SELECT measure_order, measure, count(*) FILTER (WHERE mark IN ('true', 'yes', 'y', '1')) AS passed,
+       count(*) AS reviewed,
+       CAST(count(*) FILTER (WHERE mark IN ('true', 'yes', 'y', '1')) AS VARCHAR) || '/'
+         || CAST(count(*) AS VARCHAR) AS result
+FROM m WHERE mark IS NOT NULL AND mark <> '' GROUP BY 1, 2"""
+
+
+@register("review_rollup", _rollup_sql())
+def q_review_rollup(spark, sf):
+    return A.review_rollup(reviewed(A.answer_evaluation(_pipeline(spark, sf)[0])))

@@ -117,3 +117,34 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunk = F.floor(F.datediff(F.to_date("ts"), F.lit(TEXT_ORIGIN).cast("date")) / 7).cast("int")
     return ev.select(*[c.alias(n) for n, c in cols.items()],
                      chunk.alias("_chunk"), e.alias("_row"))
+
+
+def synthetic_theme_answers(selected: DataFrame, evidence: DataFrame) -> DataFrame:
+    """Stand-in for model answers: one JSON answer per theme with evidence, built
+    from the theme's own numbers so every validation path is exercised: ids that
+    were not supplied (-1, -7), a repeated id, an urgency outside the enum
+    ('Severe'), confidence above 1 and truncated (malformed) JSON."""
+    per = (evidence.groupBy("product", "term")
+           .agg(F.count(F.lit(1)).alias("supporting_records"),
+                F.sort_array(F.collect_list(F.struct("evidence_rank", "complaint_id"))).alias("_ids")))
+    ids = F.transform("_ids", lambda x: x["complaint_id"])
+    rm = F.col("recent_mentions")
+    answer_ids = (F.when(rm % 3 == 0, F.array(F.lit(-7).cast("bigint")))
+                  .when(rm % 2 == 0, F.concat(F.array(F.lit(-1).cast("bigint")), ids, F.slice(ids, 1, 1)))
+                  .otherwise(ids))
+    urgency = F.element_at(F.array(*[F.lit(x) for x in ("Low", "Medium", "High", "Critical", "Severe")]),
+                           (rm % 5 + 1).cast("int"))
+    body = F.to_json(F.struct(
+        F.concat(F.lit("Customers report "), F.col("term")).alias("cluster_summary"),
+        F.concat(F.lit("Resolve "), F.col("term")).alias("customer_need"),
+        F.lit("Service and conduct risk").alias("risk_implication"),
+        urgency.alias("urgency"),
+        F.concat(F.lit("Review cases mentioning "), F.col("term")).alias("recommended_action"),
+        (rm.cast("double") / 10.0).alias("confidence"),
+        (F.col("supporting_records") < 3).alias("requires_human_review"),
+        answer_ids.alias("evidence_complaint_ids")))
+    return (selected.join(per, ["product", "term"])
+            .select("product", "term", "recent_mentions", "baseline_mentions", "growth_rate_percent",
+                    "emergence_score", "supporting_records",
+                    F.array_join(F.transform(ids, lambda x: x.cast("string")), ";").alias("supplied_ids"),
+                    F.when(rm % 7 == 0, F.substring(body, 1, 25)).otherwise(body).alias("answer_json")))
