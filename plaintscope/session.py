@@ -24,10 +24,14 @@ _SESSION_DEFAULTS = {
 
 
 def get_spark(app: str = "plaintscope", master: str | None = None,
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None,
+              driver_memory: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        # Only effective when this call starts the JVM (local runs, tests, bench).
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in _SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
