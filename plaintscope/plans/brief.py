@@ -1,3 +1,70 @@
-"""Placeholder."""
+"""Executive brief query: alerts and product status (lineitem) + themes (documents)."""
 
-from .registry import register  # noqa: F401
+from __future__ import annotations
+
+from ..operators import brief as B
+from ..operators import signals as S
+from ..operators import themes as TH
+from ..sources.adapters import narrative_complaints, volume_complaints
+from .registry import register
+from .themes import THEMES_WITH, sql_dec2
+from .volume import PRODUCT_SIGNALS_SQL, _latest_sql, alerts_sql
+
+
+def _sql_fixed(section: int, texts, start: int = 0, item: str = "''") -> str:
+    return " UNION ALL ".join(
+        f"SELECT {section} AS section, 0 AS severity, 0.0 AS z_order, {item} AS item, {start + i} AS sub, "
+        f"'{t.replace(chr(39), chr(39) * 2)}' AS line" for i, t in enumerate(texts))
+
+
+def _brief_sql() -> str:
+    return f"""
+WITH al AS ({alerts_sql(20)}),
+ps AS ({_latest_sql(PRODUCT_SIGNALS_SQL)}),
+th AS ({THEMES_WITH}
+SELECT * FROM themes),
+cnt AS (SELECT count(*) AS n, count(*) FILTER (WHERE alert_level = 'Critical') AS c,
+               count(*) FILTER (WHERE alert_level = 'Warning') AS w,
+               count(*) FILTER (WHERE alert_level = 'Watch') AS v FROM al),
+top AS (SELECT *, row_number() OVER (PARTITION BY product ORDER BY theme_rank) AS k FROM th
+        QUALIFY k <= 5)
+{_sql_fixed(1, [B.TITLE, ""])}
+UNION ALL SELECT 1, 0, 0.0, '', 2, '**Latest complete data:** '
+   || CAST(coalesce((SELECT max(complaint_date) FROM ps), current_date) AS VARCHAR)
+UNION ALL {_sql_fixed(1, [""], start=3)}
+UNION ALL {_sql_fixed(2, ["## Executive summary", ""])}
+UNION ALL SELECT 2, 0, 0.0, '', 2, 'The monitor found **' || CAST(n AS VARCHAR)
+   || ' company-level signals in the complete monitoring period**: **' || CAST(c AS VARCHAR)
+   || ' critical**, **' || CAST(w AS VARCHAR) || ' warning** and **' || CAST(v AS VARCHAR) || ' watch**.' FROM cnt
+UNION ALL {_sql_fixed(2, ["", B.EXCLUSION_NOTE, ""], start=3)}
+UNION ALL {_sql_fixed(3, ["## Product overview", ""])}
+UNION ALL SELECT 3, 0, 0.0, product, 10, '- **' || product || '**: ' || CAST(complaint_count AS VARCHAR)
+   || ' complaints against a 28-day baseline of ' || {sql_dec2('rolling_28_day_average')}
+   || '; weekly change ' || coalesce({sql_dec2('week_over_week_growth')}, 'n/a') || '%; status: '
+   || alert_level || '.' FROM ps
+UNION ALL {_sql_fixed(4, ["", "## Company risk alerts", ""])}
+UNION ALL SELECT 4, CASE alert_level WHEN 'Critical' THEN 1 WHEN 'Warning' THEN 2 WHEN 'Watch' THEN 3 ELSE 0 END,
+   -coalesce(anomaly_z_score, 0.0), concat_ws('|', CAST(alert_date AS VARCHAR), product, company), 10,
+   '- **' || alert_level || ' - ' || company || '** (' || CAST(alert_date AS VARCHAR) || '): '
+   || coalesce(alert_explanation, '') || ' Z-score: ' || coalesce(CAST(anomaly_z_score AS VARCHAR), 'n/a') || '.'
+   FROM al
+UNION ALL {_sql_fixed(5, ["", "## Emerging complaint themes", ""])}
+UNION ALL SELECT 6, 0, 0.0, product, s, t FROM (SELECT DISTINCT product FROM top) p,
+   (VALUES (0, NULL), (1, ''), (99, '')) v(s, t0), LATERAL (SELECT coalesce(t0, '### ' || product) AS t)
+UNION ALL SELECT 6, 0, 0.0, product, CAST(k + 1 AS INTEGER), '- **' || term || '**: '
+   || CAST(recent_mentions AS VARCHAR) || ' recent mentions; growth '
+   || coalesce({sql_dec2('growth_rate_percent')}, 'n/a') || '%.' FROM top
+UNION ALL {_sql_fixed(7, ["## Methodology note", "", B.METHOD_NOTES[0], "", B.METHOD_NOTES[1]])}"""
+
+
+def lines(spark, sf, text_sf=None):
+    vol = volume_complaints(spark, sf)
+    alerts = S.risk_alerts(vol)
+    status = S.latest_product_status(S.product_risk_signals(vol))
+    themes = TH.emerging_themes(narrative_complaints(spark, text_sf or sf))
+    return B.brief_lines(alerts, status, themes)
+
+
+@register("executive_brief", _brief_sql())
+def q_brief(spark, sf):
+    return lines(spark, sf)
