@@ -7,7 +7,7 @@ whole texts are processed (no prefixes).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Spark ML's default English stop-word list (StopWordsRemover,
@@ -78,15 +78,20 @@ def ngrams2(toks) -> Column:
     return F.when(n >= 2, pairs).otherwise(F.array().cast("array<string>"))
 
 
-def bigrams(text) -> Column:
-    """T1-T3 on a text column."""
-    return ngrams2(content_tokens(text))
-
-
-def unigrams_and_bigrams(text) -> Column:
-    """T4: unigrams followed by bigrams of the stop-word-free tokens."""
-    t = content_tokens(text)
-    return F.concat(t, ngrams2(t))
+def with_terms(df: DataFrame, text: str, out: str, unigrams: bool = False) -> DataFrame:
+    """Add ``out``: distinct-free list of bigrams (T1-T3), or unigrams + bigrams (T4).
+
+    The stop-word-free tokens are materialised as their own column first: the
+    n-gram expression refers to them several times, and higher-order functions
+    are interpreted (no common-subexpression elimination), so inlining would
+    re-tokenise the whole text once per reference. Catalyst keeps the two
+    projections apart because the token expression is not cheap to duplicate.
+    """
+    tok = f"__tok_{out}"
+    staged = df.withColumn(tok, content_tokens(text))
+    grams = ngrams2(F.col(tok))
+    terms = F.concat(F.col(tok), grams) if unigrams else grams
+    return staged.withColumn(out, terms).drop(tok)
 
 
 def is_noise_term(term) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULTS, Thresholds
 from ..session import cut_lineage
 from ..functions.scalar import utrim
-from ..functions.text import unigrams_and_bigrams
+from ..functions.text import with_terms
 
 
 def usable_narratives(df: DataFrame) -> DataFrame:
@@ -114,8 +114,9 @@ def class_weights(train: DataFrame) -> DataFrame:
 
 def doc_terms(df: DataFrame) -> DataFrame:
     """T4: one row per (document, unigram-or-bigram occurrence)."""
-    return df.select("complaint_id", F.explode(unigrams_and_bigrams("consumer_complaint_narrative"))
-                     .alias("term"))
+    staged = with_terms(df.select("complaint_id", "consumer_complaint_narrative"),
+                        "consumer_complaint_narrative", "_terms", unigrams=True)
+    return staged.select("complaint_id", F.explode("_terms").alias("term"))
 
 
 def tfidf_vocab(train: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Thresholds
 from ..functions.scalar import dec2_text
-from ..functions.text import bigrams, is_noise_term, redact
+from ..functions.text import is_noise_term, redact, with_terms
+from ..session import cut_lineage
 
 
 def theme_windows(complaints: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
@@ -33,8 +34,13 @@ def theme_windows(complaints: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame
 
 
 def _window_scalars(complaints: DataFrame, th: Thresholds) -> dict[str, Column]:
-    w = theme_windows(complaints, th)
-    return {c: w.select(c).scalar() for c in w.columns}
+    """Window dates as expressions over ONE scalar subquery (the anchor day). Every
+    use is the same subquery plan, so Spark evaluates it once and reuses it."""
+    end = (complaints.where(F.col("consumer_complaint_narrative").isNotNull())
+           .agg(F.date_trunc("day", F.max("date_received")).cast("date")).scalar())
+    return {"recent_start": F.date_sub(end, th.recent_days - 1), "recent_end": end,
+            "baseline_start": F.date_sub(end, th.recent_days + th.baseline_days - 1),
+            "baseline_end": F.date_sub(end, th.recent_days)}
 
 
 def labelled_narratives(complaints: DataFrame, th: Thresholds = DEFAULTS,
@@ -63,9 +69,9 @@ def theme_totals(labelled: DataFrame) -> DataFrame:
 
 def term_document_counts(labelled: DataFrame) -> DataFrame:
     """E12 + T5: documents containing each bigram, split by period (binary presence)."""
-    terms = labelled.select("product", "period",
-                            F.explode(F.array_distinct(bigrams("consumer_complaint_narrative")))
-                            .alias("term"))
+    terms = (with_terms(labelled.select("product", "period", "consumer_complaint_narrative"),
+                        "consumer_complaint_narrative", "_bg")
+             .select("product", "period", F.explode(F.array_distinct("_bg")).alias("term")))
     return (terms.groupBy("product", "term")
             .agg(F.count(F.lit(1)).alias("doc_freq"),
                  F.count_if(F.col("period") == "recent").alias("recent_mentions"),
@@ -120,19 +126,21 @@ def theme_evidence(complaints: DataFrame, selected: DataFrame,
     replaces a pass over all narratives per theme; the first rows in
     (date_received, complaint_id) order are kept.
     """
-    sel = selected.select("product", F.lower(F.col("term")).alias("term_key"), "term",
-                          "recent_start", "recent_end")
+    # The selection is a few rows per product and is read three times below:
+    # checkpoint it once instead of recomputing the theme pipeline each time.
+    sel = cut_lineage(selected.select("product", F.lower(F.col("term")).alias("term_key"), "term",
+                                      "recent_start", "recent_end"))
     bounds = sel.agg(F.min("recent_start").alias("lo"), F.max("recent_end").alias("hi"))
     lo = bounds.select("lo").scalar().cast("timestamp_ntz")
     hi = F.date_add(bounds.select("hi").scalar(), 1).cast("timestamp_ntz")
     cand = (complaints
             .where(F.col("consumer_complaint_narrative").isNotNull()
                    & (F.col("date_received") >= lo) & (F.col("date_received") < hi))
-            .join(sel.select("product").distinct(), "product", "left_semi")
+            .join(sel.select("product").distinct(), "product", "left_semi"))
+    cand = (with_terms(cand, "consumer_complaint_narrative", "_bg")
             .select("complaint_id", "product", "issue", "date_received",
                     "consumer_complaint_narrative",
-                    F.explode(F.array_distinct(bigrams("consumer_complaint_narrative")))
-                    .alias("term_key")))
+                    F.explode(F.array_distinct("_bg")).alias("term_key")))
     joined = cand.join(sel, ["product", "term_key"]).where(
         (F.col("date_received") >= F.col("recent_start").cast("timestamp_ntz"))
         & (F.col("date_received") < F.date_add("recent_end", 1).cast("timestamp_ntz")))

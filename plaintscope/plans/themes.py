@@ -132,8 +132,9 @@ SELECT complaint_id, len({sql_tokens('consumer_complaint_narrative')}) AS n_toke
 FROM d WHERE consumer_complaint_narrative IS NOT NULL""")
 def q_tokens(spark, sf):
     d = docs(spark, sf).where(F.col("consumer_complaint_narrative").isNotNull())
-    t = X.tokens("consumer_complaint_narrative")
-    ct = X.drop_stop_words(t)
+    d = (d.withColumn("_t", X.tokens("consumer_complaint_narrative"))
+         .withColumn("_ct", X.drop_stop_words(F.col("_t"))))
+    t, ct = F.col("_t"), F.col("_ct")
     return d.select("complaint_id", F.size(t).cast("bigint").alias("n_tokens"),
                     F.size(ct).cast("bigint").alias("n_content_tokens"),
                     F.sha2(F.array_join(ct, " "), 256).alias("content_hash"))
@@ -145,7 +146,8 @@ SELECT complaint_id, len(bigrams) AS n_bigrams, len(list_distinct(bigrams)) AS n
        sha256(array_to_string(bigrams, '|')) AS bigram_hash FROM bg""")
 def q_bigrams(spark, sf):
     d = docs(spark, sf).where(F.col("consumer_complaint_narrative").isNotNull())
-    b = X.bigrams("consumer_complaint_narrative")
+    d = X.with_terms(d, "consumer_complaint_narrative", "_bg")
+    b = F.col("_bg")
     return d.select("complaint_id", F.size(b).cast("bigint").alias("n_bigrams"),
                     F.size(F.array_distinct(b)).cast("bigint").alias("n_distinct_bigrams"),
                     F.sha2(F.array_join(b, "|"), 256).alias("bigram_hash"))
