@@ -78,6 +78,18 @@ def term_document_counts(labelled: DataFrame) -> DataFrame:
                  F.count_if(F.col("period") == "baseline").alias("baseline_mentions")))
 
 
+def score_terms(counts: DataFrame) -> DataFrame:
+    """S7 + S8: rates in %, growth % (NULL when the baseline rate is 0) and emergence
+    score (difference of rates in points), from mentions and per-period totals."""
+    rec = F.col("recent_mentions").cast("double") / F.col("recent_total").cast("double")
+    base = F.col("baseline_mentions").cast("double") / F.col("baseline_total").cast("double")
+    return counts.select("product", "term", "recent_mentions", "baseline_mentions",
+                         (rec * 100.0).alias("recent_rate_percent"),
+                         (base * 100.0).alias("baseline_rate_percent"),
+                         F.when(base > 0, (rec - base) * 100.0 / base).alias("growth_rate_percent"),
+                         ((rec - base) * 100.0).alias("emergence_score"))
+
+
 def emerging_themes(complaints: DataFrame, th: Thresholds = DEFAULTS,
                     products: list[str] | None = None) -> DataFrame:
     """Recent-vs-baseline bigram themes per product, top `themes_kept` by emergence score."""
@@ -87,14 +99,7 @@ def emerging_themes(complaints: DataFrame, th: Thresholds = DEFAULTS,
     vocab_w = Window.partitionBy("product").orderBy(F.col("doc_freq").desc(), "term")      # G8
     vocab = (counts.withColumn("_v", F.row_number().over(vocab_w))
              .where(F.col("_v") <= th.max_theme_terms).drop("_v", "doc_freq"))
-    rec = F.col("recent_mentions").cast("double") / F.col("recent_total").cast("double")
-    base = F.col("baseline_mentions").cast("double") / F.col("baseline_total").cast("double")
-    scored = (vocab.join(totals, "product")                                                 # D7
-              .select("product", "term", "recent_mentions", "baseline_mentions",
-                      (rec * 100.0).alias("recent_rate_percent"),
-                      (base * 100.0).alias("baseline_rate_percent"),
-                      F.when(base > 0, (rec - base) * 100.0 / base).alias("growth_rate_percent"),
-                      ((rec - base) * 100.0).alias("emergence_score")))                      # S8
+    scored = score_terms(vocab.join(totals, "product"))                                   # D7
     kept = scored.where((F.col("recent_mentions") >= th.min_recent_mentions)               # T7
                         & ~is_noise_term(F.col("term")))                                   # S10
     rank_w = Window.partitionBy("product").orderBy(F.col("emergence_score").desc(), "term")  # G4
