@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Thresholds
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 from ..functions.scalar import utrim
 from ..functions.text import with_terms
 
@@ -102,6 +102,21 @@ def stratified_split(eligible: DataFrame, th: Thresholds = DEFAULTS) -> DataFram
     return rest.select(*cols).unionByName(edge_ranked.select(*cols))
 
 
+def prepare_split(labelled: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
+    """B6/B7 + T10 + T11 as one materialised table.
+
+    The trimmed narratives are read by the class counts, the eligibility
+    semi-join and the split's histogram and row passes, so they are written once
+    (reliable checkpoint); the split is written once more because the vocabulary,
+    the weights, the fit and the reports all read it. After the checkpoint the
+    rows are spread over at least ``defaultParallelism`` partitions: AQE sizes
+    partitions by bytes, while tokenising is CPU-bound.
+    """
+    usable = cut_lineage(usable_narratives(labelled))
+    split = cut_lineage(stratified_split(eligible_rows(usable, th), th))
+    return spread(split, "complaint_id")
+
+
 def class_weights(train: DataFrame) -> DataFrame:
     """Balanced weights n / (k * n_c) over the training rows (windows run over
     the per-class aggregate)."""
@@ -165,9 +180,8 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS):
     """Fit TF-IDF + multinomial L2 logistic regression on the training rows,
     predict the held-out rows. Returns (predictions, model, class list).
 
-    The split feeds the vocabulary, the weights, the fit and the report, so it is
-    checkpointed once; so are the training rows the optimizer iterates over."""
-    split = cut_lineage(split)
+    ``split`` should come from ``prepare_split`` (materialised). The training rows
+    the optimizer iterates over are checkpointed as well."""
     train = split.where(~F.col("is_test"))
     vocab = tfidf_vocab(train, th).cache()
     size = max(1, vocab.count())

@@ -94,14 +94,21 @@ def clean_complaints(raw: DataFrame, order: list[str], sort: bool = True) -> Dat
     """B1-B5 + F1 + G1 over a raw extract carrying explicit input-order columns.
 
     ``order`` names columns (already in ``raw``) that give input order; they are
-    dropped from the result.
+    dropped from the result. Rejection (B5) happens before dedup, so an older
+    valid row survives a newer invalid duplicate: an invalid row gets a NULL
+    ordering value, which ``max_by`` skips. Folding the test into the aggregate
+    (instead of a Filter) keeps Catalyst from pushing a copy of every cleaning
+    expression below the shuffle and evaluating it twice.
     """
     std = _standardize_keep(raw, order)
-    kept = reject_missing(std)
     ord_cols = [f"__ord{i}" for i in range(len(order))]
-    deduped = dedup_keep_last(kept, "complaint_id", ord_cols).drop(*ord_cols)
-    present = [c for c in LOAD_COLUMNS if c in deduped.columns]
-    out = deduped.select(*present)
+    payload = [c for c in LOAD_COLUMNS if c in std.columns and c != "complaint_id"]
+    valid_order = F.when(~missing_required(), F.struct(*[F.col(o) for o in ord_cols]))
+    row = F.col("_row")
+    out = (std.groupBy("complaint_id")
+           .agg(F.max_by(F.struct(*payload), valid_order).alias("_row"))
+           .where(row.isNotNull())
+           .select("complaint_id", *[row.getField(c).alias(c) for c in payload]))
     return out.orderBy("date_received", "complaint_id") if sort else out
 
 

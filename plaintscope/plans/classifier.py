@@ -45,7 +45,7 @@ voc AS (SELECT term, doc_freq, term_freq,
 
 
 def _split(spark, sf):
-    return K.stratified_split(K.eligible_rows(K.usable_narratives(labelled_narratives(spark, sf))))
+    return K.prepare_split(labelled_narratives(spark, sf))
 
 
 @register("class_counts", f"WITH {SPLIT_CTE}\nSELECT * FROM cc")

@@ -62,3 +62,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss); never a local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give CPU-heavy row-local work (tokenising, regex cleaning) at least
+    ``defaultParallelism`` tasks.
+
+    With a normal input of many file splits this is a no-op. When the input is a
+    few large row groups (or an unsplittable file), the rows are hash-partitioned
+    on ``key`` (deterministic on retry, no local sort needed) so the expensive
+    expressions do not all run in one task. Deciding needs only the planned
+    partition count, not a job.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)

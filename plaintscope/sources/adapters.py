@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # Fixed value: calendar origin of the document adapter.
 TEXT_ORIGIN = "2024-01-01"
 TEXT_SPREAD_DAYS = 35
@@ -44,7 +46,7 @@ def event_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def narrative_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents: id = doc_id, product = lang, company = source, narrative = text,
     received = origin + (doc_id mod 35) days, issue = source."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     received = F.date_add(F.lit(TEXT_ORIGIN).cast("date"),
                           F.pmod(F.col("doc_id"), F.lit(TEXT_SPREAD_DAYS)).cast("int"))
     return docs.select(
@@ -60,7 +62,7 @@ def narrative_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """labels joined to documents: issue = 'q' + quality, narrative = text."""
     labels = table(spark, sf_dir, "labels")
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     return (labels.join(docs, "doc_id")
             .select(F.col("doc_id").alias("complaint_id"),
                     F.col("text").alias("consumer_complaint_narrative"),
@@ -76,7 +78,7 @@ def raw_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     and mixed-layout dates, padded and blank text, null tokens and odd answers.
     ``_chunk`` (week of the event) and ``_row`` (event id) give input order.
     """
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"), "event_id")
     e, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")
     s = lambda c: c.cast("string")
     id_num = F.when(e % 10 == 9, e - 5).otherwise(e)
