@@ -143,7 +143,9 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
     The result is a new DataFrame; write it to a new location and switch readers
     over on success (all-or-nothing, the input is never overwritten in place).
     """
-    cols = [c for c in LOAD_COLUMNS if c in incoming.columns]
+    # The table's columns (load order first); extra batch columns are not stored.
+    shared = [c for c in incoming.columns if c in existing.columns and c not in (seq, "ingested_at")]
+    cols = [c for c in LOAD_COLUMNS if c in shared] + [c for c in shared if c not in LOAD_COLUMNS]
     ts = (F.current_timestamp() if batch_ts is None else F.lit(batch_ts)).cast("timestamp_ntz")
     old = existing.select(*cols, F.col("ingested_at").cast("timestamp_ntz"),
                           F.lit(0).alias("_src"), F.lit(0).cast("bigint").alias("_seq"))

@@ -8,7 +8,7 @@ from ..operators import answers as A
 from ..operators import themes as TH
 from ..sources.adapters import synthetic_theme_answers
 from .registry import register
-from .themes import EVIDENCE_CTE, THEMES_WITH, TOP3_CTE, docs
+from .themes import DOCS_CTE, EVIDENCE_CTE, THEMES_WITH, TOP3_CTE, docs
 
 ANSWERS_CTE = """
 per AS (SELECT product, term, count(*) AS supporting_records,
@@ -139,3 +139,31 @@ FROM m WHERE mark IS NOT NULL AND mark <> '' GROUP BY 1, 2"""
 @register("review_rollup", _rollup_sql())
 def q_review_rollup(spark, sf):
     return A.review_rollup(reviewed(A.answer_evaluation(_pipeline(spark, sf)[0])))
+
+
+def synthetic_complaint_answer(first):
+    """Stand-in model answer for the single-complaint prompt, built from its row."""
+    body = F.to_json(F.struct(
+        F.concat(F.lit("Complaint about "), F.col("recorded_issue")).alias("summary"),
+        F.col("product").alias("primary_theme"),
+        F.lit("Medium").alias("urgency"),
+        F.lit("Review the account history").alias("recommended_action"),
+        F.substring(F.col("prompt"), 1, 30).alias("supporting_evidence"),
+        F.lit(0.5).alias("confidence"),
+        F.lit(True).alias("requires_human_review")))
+    return first.select("complaint_id", "product", "recorded_issue", body.alias("answer_json"))
+
+
+@register("complaint_answer_validation", f"""
+WITH {DOCS_CTE},
+f AS (SELECT * FROM d WHERE consumer_complaint_narrative IS NOT NULL
+      ORDER BY date_received, complaint_id LIMIT 1)
+SELECT complaint_id, product, issue AS recorded_issue, '' AS problems,
+       'Complaint about ' || issue AS summary, product AS primary_theme, 'Medium' AS urgency,
+       'Review the account history' AS recommended_action,
+       substring('Summarise this single complaint for a customer-risk analyst.', 1, 30) AS supporting_evidence,
+       0.5 AS confidence, true AS requires_human_review
+FROM f""")
+def q_complaint_answer(spark, sf):
+    first = TH.first_narrative_prompt(docs(spark, sf))
+    return A.validate_complaint_answer(synthetic_complaint_answer(first)).drop("answer_json")

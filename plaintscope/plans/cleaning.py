@@ -267,3 +267,18 @@ WITH cl AS ({CLEAN_SQL})
                               'timely_response'))}""")
 def q_schema_check(spark, sf):
     return Q.schema_check(clean_table(spark, sf))
+
+
+@register("src_scan", f"SELECT * FROM ({STD_SQL}) s")
+def q_src_scan(spark, sf):
+    """A1 + A2 + A7: the raw extract written as CSV (shared checkpoint folder), scanned
+    back with the fixed text schema, null tokens applied, typed."""
+    import uuid
+    from ..session import checkpoint_path
+    from ..sources.complaints import read_complaints
+    from ..sources.sinks import write_table
+    path = checkpoint_path(spark, f"raw-extract-{uuid.uuid4().hex}")
+    write_table(raw_extract(spark, sf), path, fmt="csv")
+    back = normalize_nulls(read_complaints(spark, path, header=RAW_HEADER + tuple(ORDER)))
+    typed = C.standardize(C.normalize_columns(back))
+    return typed.withColumns({"_chunk": F.col("_chunk").cast("int"), "_row": F.col("_row").cast("bigint")})

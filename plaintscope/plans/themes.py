@@ -251,3 +251,14 @@ SELECT complaint_id, product, issue AS recorded_issue,
 FROM f""")
 def q_first_prompt(spark, sf):
     return TH.first_narrative_prompt(docs(spark, sf))
+
+
+SELECTED_PRODUCTS = ["en", "de"]
+
+
+@register("emerging_themes_selected", THEMES_WITH.replace(
+    "WHERE date_received BETWEEN",
+    "WHERE product IN ('en', 'de') AND date_received BETWEEN") + "\nSELECT * FROM themes")
+def q_themes_selected(spark, sf):
+    """The fixed product list of a run (the anchor day still uses every narrative)."""
+    return TH.emerging_themes(docs(spark, sf), products=SELECTED_PRODUCTS)

@@ -164,3 +164,27 @@ def flagship(spark, sf, min_count: int = 20):
     """Entry-point query: gated company alerts, most severe first."""
     return S.alerts_ordered(S.risk_alerts(volume_complaints(spark, sf), min_count=min_count))
 
+
+
+# A10 + D1 through the SQL API: DataFrames passed as query parameters (no global views).
+ALERTS_VIEW_SQL = """
+SELECT sha2(concat(CAST(week_start AS STRING), product, company), 256) AS alert_id,
+       week_start AS alert_date, product, company, complaint_count AS current_value,
+       round(rolling_4_week_average, 2) AS baseline_value, week_over_week_growth,
+       anomaly_z_score, alert_level,
+       concat(company, ' recorded ', CAST(complaint_count AS STRING), ' ', product,
+              ' complaints versus a baseline of ',
+              CAST(CAST(round(rolling_4_week_average, 2) AS DECIMAL(38,2)) AS STRING),
+              '. Weekly growth was ', CAST(CAST(week_over_week_growth AS DECIMAL(38,2)) AS STRING),
+              '%.') AS alert_explanation
+FROM {signals}
+WHERE data_status = 'Complete' AND baseline_weeks >= 3 AND complaint_count >= 20
+  AND date_add(week_start, 6) <= date_sub((SELECT max(complaint_date) FROM {daily}), 21)
+  AND alert_level IN ('Watch', 'Warning', 'Critical')"""
+
+
+@register("risk_alerts_sql", alerts_sql(20))
+def q_alerts_sql(spark, sf):
+    vol = volume_complaints(spark, sf)
+    return spark.sql(ALERTS_VIEW_SQL, signals=S.company_risk_signals(vol),
+                     daily=S.daily_product_metrics(vol))
