@@ -7,8 +7,8 @@ Scale notes:
   map-side) locates the prefix bucket where each class's test quota ends, and
   only rows of that one bucket per class are ranked. A class holding a third of
   all rows therefore never lands in a single task.
-* The vocabulary is a global top-k (TakeOrderedAndProject: per-partition top-k,
-  then a merge of at most k x partitions rows), so its size is bounded by
+* The vocabulary is an exact top-k found from a term-frequency histogram
+  (``topk.top_k_by_count``), so no task sorts all terms; its size is bounded by
   ``max_vocab`` - the one side joined by broadcast, behind that bound.
 * TF-IDF is computed in long (document, term) form with SQL expressions; only
   the final per-document (indices, values) -> SparseVector wrap is Python.
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Thresholds
 from ..session import cut_lineage, spread
+from .topk import top_k_by_count
 from ..functions.scalar import utrim
 from ..functions.text import with_terms
 
@@ -138,9 +139,12 @@ def tfidf_vocab(train: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
     """T6 + G8: terms in >= min_doc_freq training documents; the `max_vocab` most frequent
     (total count, ties by term) get indices 0..k-1 in that order."""
     tf = doc_terms(train).groupBy("complaint_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    stats = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("tf").alias("term_freq"))
-             .where(F.col("doc_freq") >= th.min_doc_freq))
-    top = stats.orderBy(F.col("term_freq").desc(), "term").limit(th.max_vocab)
+    # Per-term statistics are read several times by the exact top-k: written once.
+    stats = cut_lineage(tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"),
+                                               F.sum("tf").alias("term_freq"))
+                        .where(F.col("doc_freq") >= th.min_doc_freq))
+    top = top_k_by_count(stats.withColumn("_all", F.lit(0)), ["_all"], "term_freq", "term",
+                         th.max_vocab).drop("_all")
     # At most max_vocab rows: a single-partition window is bounded by that cap.
     w = Window.orderBy(F.col("term_freq").desc(), "term")
     return top.withColumn("term_index", (F.row_number().over(w) - 1).cast("int"))

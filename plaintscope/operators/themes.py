@@ -20,6 +20,7 @@ from ..config import DEFAULTS, Thresholds
 from ..functions.scalar import dec2_text
 from ..functions.text import is_noise_term, redact, with_terms
 from ..session import cut_lineage
+from .topk import top_k_by_count
 
 
 def theme_windows(complaints: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
@@ -67,11 +68,19 @@ def theme_totals(labelled: DataFrame) -> DataFrame:
             .where((F.col("recent_total") > 0) & (F.col("baseline_total") > 0)))
 
 
-def term_document_counts(labelled: DataFrame) -> DataFrame:
+# Marker term counted once per document: no bigram is empty, so the aggregate row
+# for "" is the document count per product and period (totals without a 2nd scan).
+DOC_MARKER = ""
+
+
+def term_document_counts(labelled: DataFrame, with_doc_marker: bool = False) -> DataFrame:
     """E12 + T5: documents containing each bigram, split by period (binary presence)."""
-    terms = (with_terms(labelled.select("product", "period", "consumer_complaint_narrative"),
+    staged = with_terms(labelled.select("product", "period", "consumer_complaint_narrative"),
                         "consumer_complaint_narrative", "_bg")
-             .select("product", "period", F.explode(F.array_distinct("_bg")).alias("term")))
+    arr = F.array_distinct("_bg")
+    if with_doc_marker:
+        arr = F.concat(F.array(F.lit(DOC_MARKER)), arr)
+    terms = staged.select("product", "period", F.explode(arr).alias("term"))
     return (terms.groupBy("product", "term")
             .agg(F.count(F.lit(1)).alias("doc_freq"),
                  F.count_if(F.col("period") == "recent").alias("recent_mentions"),
@@ -94,11 +103,18 @@ def emerging_themes(complaints: DataFrame, th: Thresholds = DEFAULTS,
                     products: list[str] | None = None) -> DataFrame:
     """Recent-vs-baseline bigram themes per product, top `themes_kept` by emergence score."""
     labelled = labelled_narratives(complaints, th, products)
-    totals = theme_totals(labelled)
-    counts = term_document_counts(labelled).where(F.col("doc_freq") >= th.min_doc_freq)  # T6
-    vocab_w = Window.partitionBy("product").orderBy(F.col("doc_freq").desc(), "term")      # G8
-    vocab = (counts.withColumn("_v", F.row_number().over(vocab_w))
-             .where(F.col("_v") <= th.max_theme_terms).drop("_v", "doc_freq"))
+    # One text scan and one aggregate: the marker rows carry the per-period totals
+    # (E11). The aggregate is read by the totals and by the exact top-k several
+    # times, so it is written once (it is small next to the narratives it reduces).
+    all_counts = cut_lineage(term_document_counts(labelled, with_doc_marker=True))
+    totals = (all_counts.where(F.col("term") == DOC_MARKER)
+              .select("product", F.col("recent_mentions").alias("recent_total"),
+                      F.col("baseline_mentions").alias("baseline_total"))
+              .where((F.col("recent_total") > 0) & (F.col("baseline_total") > 0)))
+    counts = all_counts.where((F.col("term") != DOC_MARKER)
+                              & (F.col("doc_freq") >= th.min_doc_freq))                    # T6
+    vocab = top_k_by_count(counts, ["product"], "doc_freq", "term",
+                           th.max_theme_terms).drop("doc_freq")                            # G8
     scored = score_terms(vocab.join(totals, "product"))                                   # D7
     kept = scored.where((F.col("recent_mentions") >= th.min_recent_mentions)               # T7
                         & ~is_noise_term(F.col("term")))                                   # S10

@@ -67,3 +67,19 @@ def test_classification_report(spark):
     assert rep["z"].precision == 0.0 and rep["z"].f1_score == 0.0
     assert rep["accuracy"].precision == 0.5 and rep["accuracy"].support == 0.5
     assert rep["macro avg"].support == 4.0
+
+
+def test_top_k_by_count_matches_sort(spark):
+    import random
+    from plaintscope.operators.topk import top_k_by_count
+    rnd = random.Random(7)
+    rows = [(g, f"t{rnd.randint(0, 10**6):07d}{i}", rnd.choice([1, 1, 1, 2, 2, 3, 5, 8]))
+            for g in ("a", "b") for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, term string, c long")
+    for k in (1, 10, 1000, 2500, 5000):
+        got = sorted((r.g, r.term) for r in top_k_by_count(df, ["g"], "c", "term", k).collect())
+        want = []
+        for g in ("a", "b"):
+            grp = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1]))[:k]
+            want += [(r[0], r[1]) for r in grp]
+        assert got == sorted(want), k
