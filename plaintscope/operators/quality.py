@@ -69,8 +69,8 @@ def quality_report(complaints: DataFrame) -> DataFrame:
                                                F.sum(F.col("n") - 1).alias("same_rows"))
     dups = per_id.agg(F.coalesce(F.sum(F.col("m") - 1), F.lit(0)).cast("bigint").alias("i"),
                       F.coalesce(F.sum("same_rows"), F.lit(0)).cast("bigint").alias("r"))
-    dup_id = dups.select("i").scalar()
-    dup_row = dups.select("r").scalar()
+    both = dups.select(F.struct("i", "r")).scalar()      # one subquery, used twice
+    dup_id, dup_row = both.getField("i"), both.getField("r")
     failed = [F.lit(0).cast("bigint"), F.col("miss_id"), dup_id, F.col("miss_date"),
               F.col("miss_product"), F.col("miss_issue"), F.col("miss_company"), dup_row,
               F.col("miss_narr")]
