@@ -135,10 +135,16 @@ def doc_terms(df: DataFrame) -> DataFrame:
     return staged.select("complaint_id", F.explode("_terms").alias("term"))
 
 
-def tfidf_vocab(train: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
+def term_frequencies(docs: DataFrame) -> DataFrame:
+    """Raw counts per (document, term) for unigrams and bigrams (T4 before weighting)."""
+    return doc_terms(docs).groupBy("complaint_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def tfidf_vocab(train: DataFrame, th: Thresholds = DEFAULTS, tf: DataFrame | None = None) -> DataFrame:
     """T6 + G8: terms in >= min_doc_freq training documents; the `max_vocab` most frequent
-    (total count, ties by term) get indices 0..k-1 in that order."""
-    tf = doc_terms(train).groupBy("complaint_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    (total count, ties by term) get indices 0..k-1 in that order. ``tf`` may carry
+    precomputed training term frequencies."""
+    tf = term_frequencies(train) if tf is None else tf
     # Per-term statistics are read several times by the exact top-k: written once.
     stats = cut_lineage(tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"),
                                                F.sum("tf").alias("term_freq"))
@@ -150,11 +156,12 @@ def tfidf_vocab(train: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
     return top.withColumn("term_index", (F.row_number().over(w) - 1).cast("int"))
 
 
-def tfidf_weights(docs: DataFrame, vocab: DataFrame, n_train) -> DataFrame:
+def tfidf_weights(docs: DataFrame, vocab: DataFrame, n_train, tf: DataFrame | None = None) -> DataFrame:
     """(1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), L2-normalised per document.
 
-    ``vocab`` is bounded by max_vocab rows, so it is broadcast."""
-    tf = doc_terms(docs).groupBy("complaint_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    ``vocab`` is bounded by max_vocab rows, so it is broadcast. ``tf`` may carry
+    precomputed term frequencies of ``docs``."""
+    tf = term_frequencies(docs) if tf is None else tf
     idf = F.log((F.lit(1.0) + n_train) / (F.lit(1.0) + F.col("doc_freq"))) + 1.0
     w = (1.0 + F.log(F.col("tf").cast("double"))) * idf
     raw = tf.join(F.broadcast(vocab.select("term", "term_index", "doc_freq")), "term") \
@@ -180,6 +187,9 @@ def feature_vectors(weights: DataFrame, size: int) -> DataFrame:
                                     F.transform("p", lambda x: x["weight"])).alias("features"))
 
 
+ROWS_PER_FIT_PARTITION = 20000
+
+
 def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS):
     """Fit TF-IDF + multinomial L2 logistic regression on the training rows,
     predict the held-out rows. Returns (predictions, model, class list).
@@ -187,10 +197,14 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS):
     ``split`` should come from ``prepare_split`` (materialised). The training rows
     the optimizer iterates over are checkpointed as well."""
     train = split.where(~F.col("is_test"))
-    vocab = tfidf_vocab(train, th).cache()
+    # Tokenise once: the vocabulary (training rows) and the weights (all rows) both
+    # read these term frequencies.
+    tf = cut_lineage(term_frequencies(split.select("complaint_id", "consumer_complaint_narrative"))
+                     .join(split.select("complaint_id", "is_test"), "complaint_id"))
+    vocab = tfidf_vocab(train, th, tf=tf.where(~F.col("is_test"))).cache()
     size = max(1, vocab.count())
     n_train = train.count()
-    weights = tfidf_weights(split, vocab, F.lit(float(n_train)))
+    weights = tfidf_weights(split, vocab, F.lit(float(n_train)), tf=tf.drop("is_test"))
     vecs = feature_vectors(weights, size)
     classes = [r[0] for r in class_counts(train).orderBy("issue").collect()]  # k labels, small
     label_of = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("issue")) - 1
@@ -207,7 +221,14 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS):
                             elasticNetParam=0.0, standardization=False, weightCol="weight",
                             featuresCol="features", labelCol="label")
     rows = cut_lineage(rows)
-    model = lr.fit(rows.where(~F.col("is_test")))
+    fit_rows = rows.where(~F.col("is_test"))
+    # Every L-BFGS step is one pass over the training rows; size their partitions
+    # by row count (about ROWS_PER_FIT_PARTITION sparse rows each) so per-task
+    # overhead does not dominate small inputs while large inputs keep parallelism.
+    want = max(1, -(-n_train // ROWS_PER_FIT_PARTITION))
+    if want < fit_rows.rdd.getNumPartitions():
+        fit_rows = fit_rows.coalesce(want)
+    model = lr.fit(fit_rows)
     pred = model.transform(rows.where(F.col("is_test")))
     predicted = F.element_at(F.array(*[F.lit(c) for c in classes]),
                              (F.col("prediction") + 1).cast("int"))
