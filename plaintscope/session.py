@@ -20,6 +20,8 @@ _SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files of DataFrames that went out of scope are removed by Spark.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
