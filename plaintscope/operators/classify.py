@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Thresholds
-from ..session import cut_lineage, spread
+from ..session import bounded_broadcast, cut_lineage, spread
 from .topk import top_k_by_count
 from ..functions.scalar import utrim
 from ..functions.text import with_terms
@@ -214,7 +214,7 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS):
             .withColumn("features", F.coalesce("features", _sparse(size)(F.array().cast("array<int>"),
                                                                          F.array().cast("array<double>"))))
             .withColumn("label", label_of.cast("double"))
-            .join(F.broadcast(cw), "issue", "left"))
+            .join(bounded_broadcast(cw), "issue", "left"))
     # tol 1e-4 and at most max_iter L-BFGS steps, as the reference's solver settings.
     lr = LogisticRegression(family="multinomial", maxIter=th.max_iter, tol=1e-4,
                             regParam=1.0 / max(n_train, 1),

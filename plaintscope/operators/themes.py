@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULTS, Thresholds
 from ..functions.scalar import dec2_text
 from ..functions.text import is_noise_term, redact, with_terms
-from ..session import cut_lineage
+from ..session import bounded_broadcast, cut_lineage
 from .topk import top_k_by_count
 
 
@@ -149,8 +149,9 @@ def theme_evidence(complaints: DataFrame, selected: DataFrame,
     """
     # The selection is a few rows per product and is read three times below:
     # checkpoint it once instead of recomputing the theme pipeline each time.
-    sel = cut_lineage(selected.select("product", F.lower(F.col("term")).alias("term_key"), "term",
-                                      "recent_start", "recent_end"))
+    sel = bounded_broadcast(cut_lineage(
+        selected.select("product", F.lower(F.col("term")).alias("term_key"), "term",
+                        "recent_start", "recent_end")))
     bounds = sel.agg(F.min("recent_start").alias("lo"), F.max("recent_end").alias("hi"))
     lo = bounds.select("lo").scalar().cast("timestamp_ntz")
     hi = F.date_add(bounds.select("hi").scalar(), 1).cast("timestamp_ntz")

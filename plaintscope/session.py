@@ -80,3 +80,15 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key)
+
+
+# Largest row count we broadcast after checking it (a few MB of narrow rows).
+BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only behind a measured size: ``df`` should be materialised or
+    cheap (a checkpoint, a small aggregate). Above the bound the join is left to the
+    planner (shuffle join, AQE may still convert it)."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
