@@ -162,7 +162,7 @@ SELECT complaint_id, product, issue AS recorded_issue, '' AS problems,
        'Complaint about ' || issue AS summary, product AS primary_theme, 'Medium' AS urgency,
        'Review the account history' AS recommended_action,
        substring('Summarise this single complaint for a customer-risk analyst.', 1, 30) AS supporting_evidence,
-       0.5 AS confidence, true AS requires_human_review
+       CAST(0.5 AS DOUBLE) AS confidence, true AS requires_human_review
 FROM f""")
 def q_complaint_answer(spark, sf):
     first = TH.first_narrative_prompt(docs(spark, sf))
