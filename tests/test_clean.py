@@ -119,3 +119,29 @@ def test_quality_report_and_data_checks(spark):
     assert [(r.value, r.records) for r in top] == [("Card", 2)]
     nulls = {r.value: r.records for r in Q.value_counts_with_null(df, "timely_response").collect()}
     assert nulls == {"Yes": 2, " maybe ": 1}
+
+
+def test_write_brief_orders_lines(spark, tmp_path):
+    import datetime as dt
+    from plaintscope.operators import brief as B
+    alerts = spark.createDataFrame(
+        [(dt.date(2026, 7, 6), "Card", "Co A", "Watch", 0.5, "Co A recorded 28."),
+         (dt.date(2026, 7, 6), "Card", "Co B", "Critical", 8.66, "Co B recorded 32.")],
+        "alert_date date, product string, company string, alert_level string, "
+        "anomaly_z_score double, alert_explanation string")
+    status = spark.createDataFrame([(dt.date(2026, 8, 8), "Card", 174, 253.54, 21.68, "Normal")],
+                                   "complaint_date date, product string, complaint_count long, "
+                                   "rolling_28_day_average double, week_over_week_growth double, "
+                                   "alert_level string")
+    themes = spark.createDataFrame([("Card", "best buy", 9, 174.09, 1), ("Card", "proof received", 3, None, 2)],
+                                   "product string, term string, recent_mentions long, "
+                                   "growth_rate_percent double, theme_rank int")
+    lines = B.brief_lines(alerts, status, themes)
+    B.write_brief(lines, str(tmp_path / "brief"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "brief").glob("part-*")))
+    assert text.startswith(B.TITLE + "\n\n**Latest complete data:** 2026-08-08\n")
+    assert "**1 critical**, **0 warning** and **1 watch**" in text
+    assert text.index("Co B") < text.index("Co A")                        # severity order
+    assert "- **Card**: 174 complaints against a 28-day baseline of 253.54; weekly change 21.68%" in text
+    assert "- **proof received**: 3 recent mentions; growth n/a%." in text
+    assert text.index("best buy") < text.index("proof received")
