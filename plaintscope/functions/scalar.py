@@ -10,11 +10,6 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_ratio(num, den) -> Column:
-    """num / den as double, NULL when den is 0 or NULL (ANSI-safe)."""
-    return F.try_divide(col_(num).cast("double"), col_(den).cast("double"))
-
-
 def pct_growth(cur, prev) -> Column:
     """(cur - prev) * 100 / prev, NULL when prev is 0 or NULL."""
     prev = col_(prev)

@@ -109,7 +109,7 @@ def brief_lines(alerts: DataFrame, product_status: DataFrame, themes: DataFrame,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.select(*LINE_COLUMNS)
 
 
 def brief_text(lines: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import DATE_COLUMNS, LOAD_COLUMNS, REQUIRED_COLUMNS, TRIMMED_COLUMNS
+from ..schema import COMPLAINT_SCHEMA, DATE_COLUMNS, LOAD_COLUMNS, REQUIRED_COLUMNS, TRIMMED_COLUMNS
 from ..functions.scalar import blank_to_null
 
 # Timestamp layouts accepted for date text (tried in order).
@@ -134,6 +134,13 @@ def clean_summary(raw: DataFrame, order: list[str]) -> DataFrame:
                          dups.select("clean_records").scalar().alias("clean_records"))
 
 
+def conform(df: DataFrame, schema=COMPLAINT_SCHEMA) -> DataFrame:
+    """Columns of the typed complaint table in load order, cast to their types
+    (absent columns are NULL; extra columns are dropped)."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
+                       .cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
            seq: str | None = None, batch_ts=None) -> DataFrame:
     """Keyed upsert. An incoming row replaces every column (NULLs included) but

@@ -115,6 +115,8 @@ def test_quality_report_and_data_checks(spark):
     sc = {r.column_name: (r.present, r.missing) for r in Q.schema_check(df).collect()}
     assert sc["complaint_id"] == (True, 1)
     assert Q.duplicate_key_count(df.select("complaint_id"), "complaint_id").first()[0] == 1
+    assert Q.duplicate_row_count(df, "complaint_id").first()[0] == 1
+    assert Q.duplicate_row_count(df).first()[0] == 1
     top = Q.top_values(df, ["product"], 10).collect()
     assert [(r.value, r.records) for r in top] == [("Card", 2)]
     nulls = {r.value: r.records for r in Q.value_counts_with_null(df, "timely_response").collect()}
