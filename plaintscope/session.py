@@ -73,8 +73,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     With a normal input of many file splits this is a no-op. When the input is a
     few large row groups (or an unsplittable file), the rows are hash-partitioned
     on ``key`` (deterministic on retry, no local sort needed) so the expensive
-    expressions do not all run in one task. Deciding needs only the planned
-    partition count, not a job.
+    expressions do not all run in one task. ``key`` must be a (near-)unique row id
+    - every caller passes the source table's own id - so no value can concentrate
+    rows in one partition. Deciding needs only the planned partition count, not a job.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

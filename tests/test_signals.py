@@ -23,7 +23,7 @@ def _frame(spark, rows):
                                        "product string, company string")
 
 
-# Goldens: prior weeks, current, baseline, growth %, z, level (brief lines 18-22).
+# Goldens (FIXTURES F5): prior weeks + current, baseline, growth %, z, level.
 GOLDEN = [
     ("A", [15, 18, 18, 32], 17.00, 77.78, 8.66, "Critical"),
     ("B", [16, 19, 20, 35], 18.33, 75.00, 8.01, "Critical"),
