@@ -171,11 +171,9 @@ def tfidf_weights(docs: DataFrame, vocab: DataFrame, n_train, tf: DataFrame | No
 
 
 def _sparse(size: int):
-    @F.udf(VectorUDT())
-    def to_vec(indices, values):
-        # Thin per-document wrapper; all weighting happened in SQL above.
-        return SparseVector(size, indices or [], values or [])
-    return to_vec
+    # Thin per-document wrapper (Arrow-batched); all weighting happened in SQL above.
+    return F.udf(lambda indices, values: SparseVector(size, indices or [], values or []),
+                 VectorUDT(), useArrow=True)
 
 
 def feature_vectors(weights: DataFrame, size: int) -> DataFrame:
