@@ -96,6 +96,18 @@ def with_terms(df: DataFrame, text: str, out: str, unigrams: bool = False) -> Da
     return staged.withColumn(out, terms).drop(tok)
 
 
+def explode_terms(df: DataFrame, array_col: str, out: str, keep: list[str]) -> DataFrame:
+    """One row per array element, for arrays computed from text.
+
+    ``explode`` makes Catalyst infer ``size(array) > 0`` and push that filter below
+    the projection that builds the array, which re-runs the whole tokeniser per
+    row. ``explode_outer`` infers nothing; its NULL rows (empty arrays) are dropped
+    by a filter on the generated column, which cannot move below the generator.
+    """
+    return (df.select(*keep, F.explode_outer(array_col).alias(out))
+            .where(F.col(out).isNotNull()))
+
+
 def is_noise_term(term) -> Column:
     """Masked-text words (xx, XXXX) or any digit."""
     return _c(term).rlike(NOISE_PATTERN)

@@ -25,7 +25,7 @@ from ..config import DEFAULTS, Thresholds
 from ..session import bounded_broadcast, cut_lineage, spread
 from .topk import top_k_by_count
 from ..functions.scalar import utrim
-from ..functions.text import with_terms
+from ..functions.text import explode_terms, with_terms
 
 
 def usable_narratives(df: DataFrame) -> DataFrame:
@@ -104,18 +104,22 @@ def stratified_split(eligible: DataFrame, th: Thresholds = DEFAULTS) -> DataFram
 
 
 def prepare_split(labelled: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
-    """B6/B7 + T10 + T11 as one materialised table.
+    """B6/B7 + T10 + T11 as one materialised table, hash-partitioned by document.
 
     The trimmed narratives are read by the class counts, the eligibility
     semi-join and the split's histogram and row passes, so they are written once
-    (reliable checkpoint); the split is written once more because the vocabulary,
-    the weights, the fit and the reports all read it. After the checkpoint the
-    rows are spread over at least ``defaultParallelism`` partitions: AQE sizes
-    partitions by bytes, while tokenising is CPU-bound.
+    (reliable checkpoint). The split is hash-partitioned by ``complaint_id`` into
+    at least ``defaultParallelism`` partitions and written once more (the
+    vocabulary, weights, fit and reports all read it): AQE sizes partitions by
+    bytes, while tokenising is CPU-bound, so a small-but-expensive split is not
+    collapsed into one task.
     """
+    spark = labelled.sparkSession
     usable = cut_lineage(usable_narratives(labelled))
-    split = cut_lineage(stratified_split(eligible_rows(usable, th), th))
-    return spread(split, "complaint_id")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+            spark.sparkContext.defaultParallelism)
+    return cut_lineage(stratified_split(eligible_rows(usable, th), th)
+                       .repartition(n, "complaint_id"))
 
 
 def class_weights(train: DataFrame) -> DataFrame:
@@ -132,7 +136,7 @@ def doc_terms(df: DataFrame) -> DataFrame:
     """T4: one row per (document, unigram-or-bigram occurrence)."""
     staged = with_terms(df.select("complaint_id", "consumer_complaint_narrative"),
                         "consumer_complaint_narrative", "_terms", unigrams=True)
-    return staged.select("complaint_id", F.explode("_terms").alias("term"))
+    return explode_terms(staged, "_terms", "term", ["complaint_id"])
 
 
 def term_frequencies(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Thresholds
 from ..functions.scalar import dec2_text
-from ..functions.text import is_noise_term, redact, with_terms
+from ..functions.text import explode_terms, is_noise_term, redact, with_terms
 from ..session import bounded_broadcast, cut_lineage
 from .topk import top_k_by_count
 
@@ -80,7 +80,7 @@ def term_document_counts(labelled: DataFrame, with_doc_marker: bool = False) ->
     arr = F.array_distinct("_bg")
     if with_doc_marker:
         arr = F.concat(F.array(F.lit(DOC_MARKER)), arr)
-    terms = staged.select("product", "period", F.explode(arr).alias("term"))
+    terms = explode_terms(staged.withColumn("_arr", arr), "_arr", "term", ["product", "period"])
     return (terms.groupBy("product", "term")
             .agg(F.count(F.lit(1)).alias("doc_freq"),
                  F.count_if(F.col("period") == "recent").alias("recent_mentions"),
@@ -159,10 +159,10 @@ def theme_evidence(complaints: DataFrame, selected: DataFrame,
             .where(F.col("consumer_complaint_narrative").isNotNull()
                    & (F.col("date_received") >= lo) & (F.col("date_received") < hi))
             .join(sel.select("product").distinct(), "product", "left_semi"))
-    cand = (with_terms(cand, "consumer_complaint_narrative", "_bg")
-            .select("complaint_id", "product", "issue", "date_received",
-                    "consumer_complaint_narrative",
-                    F.explode(F.array_distinct("_bg")).alias("term_key")))
+    cand = explode_terms(with_terms(cand, "consumer_complaint_narrative", "_bg")
+                         .withColumn("_arr", F.array_distinct("_bg")), "_arr", "term_key",
+                         ["complaint_id", "product", "issue", "date_received",
+                          "consumer_complaint_narrative"])
     joined = cand.join(sel, ["product", "term_key"]).where(
         (F.col("date_received") >= F.col("recent_start").cast("timestamp_ntz"))
         & (F.col("date_received") < F.date_add("recent_end", 1).cast("timestamp_ntz")))
