@@ -30,11 +30,15 @@ from ..functions.text import explode_terms, with_terms
 
 def usable_narratives(df: DataFrame) -> DataFrame:
     """B6 + B7 + B4: narrative and issue present; both trimmed; empty narrative dropped."""
-    return (df.where(F.col("consumer_complaint_narrative").isNotNull() & F.col("issue").isNotNull())
+    # "not empty after trim" is tested on the raw text with a regex find that stops at
+    # the first visible character; a filter on the trimmed column would be pushed
+    # below the projection and trim every narrative twice.
+    visible = F.col("consumer_complaint_narrative").rlike(r"[^\s\p{Z}]")
+    return (df.where(F.col("consumer_complaint_narrative").isNotNull() & F.col("issue").isNotNull()
+                     & visible)
             .select("complaint_id",
                     utrim("consumer_complaint_narrative").alias("consumer_complaint_narrative"),
-                    utrim("issue").alias("issue"))
-            .where(F.col("consumer_complaint_narrative") != ""))
+                    utrim("issue").alias("issue")))
 
 
 def class_counts(usable: DataFrame) -> DataFrame:

@@ -121,17 +121,20 @@ def _standardize_keep(raw: DataFrame, order: list[str]) -> DataFrame:
 
 
 def clean_summary(raw: DataFrame, order: list[str]) -> DataFrame:
-    """Counts of the clean step: raw rows, rejected rows, duplicate ids removed, clean rows."""
+    """Counts of the clean step: raw rows, rejected rows, duplicate ids removed, clean rows.
+
+    Validity is counted inside the aggregates (no Filter on the cleaned columns,
+    which Catalyst would push below the projection and evaluate twice)."""
     std = _standardize_keep(raw, order)
-    miss = missing_required()
-    per_key = (std.where(~miss).groupBy("complaint_id").agg(F.count(F.lit(1)).alias("n")))
-    totals = std.agg(F.count(F.lit(1)).alias("raw_records"),
-                     F.count_if(miss).alias("rejected_missing_required"))
-    dups = per_key.agg(F.sum(F.col("n") - 1).cast("bigint").alias("duplicate_ids_removed"),
-                       F.count(F.lit(1)).alias("clean_records"))
-    return totals.select("raw_records", "rejected_missing_required",
-                         dups.select("duplicate_ids_removed").scalar().alias("duplicate_ids_removed"),
-                         dups.select("clean_records").scalar().alias("clean_records"))
+    valid = ~missing_required()
+    per_key = std.groupBy("complaint_id").agg(F.count_if(valid).alias("n"),
+                                              F.count(F.lit(1)).alias("rows"))
+    totals = per_key.agg(F.sum("rows").cast("bigint").alias("raw_records"),
+                         F.sum(F.col("rows") - F.col("n")).cast("bigint").alias("rejected_missing_required"),
+                         F.sum(F.greatest(F.col("n") - 1, F.lit(0))).cast("bigint")
+                         .alias("duplicate_ids_removed"),
+                         F.count_if(F.col("n") > 0).alias("clean_records"))
+    return totals
 
 
 def conform(df: DataFrame, schema=COMPLAINT_SCHEMA) -> DataFrame:
@@ -142,10 +145,12 @@ def conform(df: DataFrame, schema=COMPLAINT_SCHEMA) -> DataFrame:
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
-           seq: str | None = None, batch_ts=None) -> DataFrame:
+           seq: str | None = None, batch_ts=None, valid=None) -> DataFrame:
     """Keyed upsert. An incoming row replaces every column (NULLs included) but
     ``ingested_at``; within the batch the last row (greatest ``seq``) wins. New keys
-    get ``batch_ts`` (default: current timestamp) as ``ingested_at``.
+    get ``batch_ts`` (default: current timestamp) as ``ingested_at``. ``valid`` (a
+    boolean Column over ``incoming``) excludes rejected batch rows inside the
+    aggregate rather than by a Filter.
 
     The result is a new DataFrame; write it to a new location and switch readers
     over on success (all-or-nothing, the input is never overwritten in place).
@@ -157,13 +162,17 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
     old = existing.select(*cols, F.col("ingested_at").cast("timestamp_ntz"),
                           F.lit(0).alias("_src"), F.lit(0).cast("bigint").alias("_seq"))
     new_seq = F.col(seq).cast("bigint") if seq else F.monotonically_increasing_id()
+    ok = F.lit(True) if valid is None else valid
+    old = old.withColumn("_ok", F.lit(True))
     new = incoming.select(*cols, F.lit(None).cast("timestamp_ntz").alias("ingested_at"),
-                          F.lit(1).alias("_src"), new_seq.alias("_seq"))
+                          F.lit(1).alias("_src"), new_seq.alias("_seq"), ok.alias("_ok"))
     payload = [c for c in cols if c != key]
     both = old.unionByName(new)
+    order = F.when(F.col("_ok"), F.struct("_src", "_seq"))
     return (both.groupBy(key)
-            .agg(F.max_by(F.struct(*payload), F.struct("_src", "_seq")).alias("_row"),
+            .agg(F.max_by(F.struct(*payload), order).alias("_row"),
                  F.min("ingested_at").alias("_first"))
+            .where(F.col("_row").isNotNull())
             .select(key, *[F.col("_row").getField(c).alias(c) for c in payload],
                     F.coalesce("_first", ts).alias("ingested_at")))
 

@@ -144,11 +144,11 @@ QUALIFY row_number() OVER (PARTITION BY complaint_id ORDER BY _src DESC, _row DE
 def q_upsert(spark, sf):
     """A8 + A9: the table as of week 2 (existing) merged with the batch of weeks 2+."""
     raw = normalize_nulls(raw_extract(spark, sf))
-    std = C.reject_missing(C._standardize_keep(raw, ORDER))
-    existing = (C.dedup_keep_last(std.where(F.col("__ord0") <= 2), "complaint_id", ["__ord0", "__ord1"])
+    existing = (C.clean_complaints(raw.where(F.col("_chunk") <= 2), ORDER, sort=False)
                 .select(*LOAD_COLUMNS, F.lit(EXISTING_TS).cast("timestamp_ntz").alias("ingested_at")))
-    incoming = std.where(F.col("__ord0") >= 2)
-    return C.upsert(existing, incoming, "complaint_id", seq="__ord1", batch_ts=BATCH_TS)
+    incoming = C._standardize_keep(raw.where(F.col("_chunk") >= 2), ORDER)
+    return C.upsert(existing, incoming, "complaint_id", seq="__ord1", batch_ts=BATCH_TS,
+                    valid=~C.missing_required())
 
 
 @register("chunk_coverage", f"""
