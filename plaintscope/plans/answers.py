@@ -8,7 +8,7 @@ from ..operators import answers as A
 from ..operators import themes as TH
 from ..sources.adapters import synthetic_theme_answers
 from .registry import register
-from .themes import DOCS_CTE, EVIDENCE_CTE, THEMES_WITH, TOP3_CTE, docs
+from .themes import DOCS_CTE, EVIDENCE_CTE, THEMES_WITH, TOP3_CTE, _evidence, docs
 
 ANSWERS_CTE = """
 per AS (SELECT product, term, count(*) AS supporting_records,
@@ -54,9 +54,7 @@ BASE = f"{THEMES_WITH},{TOP3_CTE},{EVIDENCE_CTE},{ANSWERS_CTE}"
 
 
 def _pipeline(spark, sf):
-    d = docs(spark, sf)
-    selected = TH.top_themes(TH.emerging_themes(d))
-    ev = TH.theme_evidence(d, selected)
+    _, selected, ev = _evidence(spark, sf)
     return A.validate_theme_answers(synthetic_theme_answers(selected, ev))
 
 

@@ -6,6 +6,7 @@ from ..operators import brief as B
 from ..operators import signals as S
 from ..operators import themes as TH
 from ..sources.adapters import narrative_complaints, volume_complaints
+from ..session import cut_lineage
 from .registry import register
 from .themes import THEMES_WITH, sql_dec2
 from .volume import PRODUCT_SIGNALS_SQL, _latest_sql, alerts_sql
@@ -61,7 +62,7 @@ def lines(spark, sf, text_sf=None):
     vol = volume_complaints(spark, sf)
     alerts = S.risk_alerts(vol)
     status = S.latest_product_status(S.product_risk_signals(vol))
-    themes = TH.emerging_themes(narrative_complaints(spark, text_sf or sf))
+    themes = cut_lineage(TH.emerging_themes(narrative_complaints(spark, text_sf or sf)))
     return B.brief_lines(alerts, status, themes)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULTS
 from ..functions import text as X
 from ..operators import themes as TH
+from ..session import cut_lineage
 from ..sources.adapters import narrative_complaints
 from .registry import register
 
@@ -185,7 +186,8 @@ def q_top_themes(spark, sf):
 
 def _evidence(spark, sf):
     d = docs(spark, sf)
-    selected = TH.top_themes(TH.emerging_themes(d))
+    # A few rows per product, read by the evidence lookup and again downstream.
+    selected = cut_lineage(TH.top_themes(TH.emerging_themes(d)))
     return d, selected, TH.theme_evidence(d, selected)
 
 
