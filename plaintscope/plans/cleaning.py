@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import NULL_TOKENS
 from ..operators import clean as C
+from ..session import cut_lineage
 from ..operators import quality as Q
 from ..schema import LOAD_COLUMNS, RAW_HEADER, TRIMMED_COLUMNS
 from ..sources.adapters import raw_extract
@@ -89,8 +90,12 @@ CLEAN_SQL = (f"SELECT {', '.join(LOAD_COLUMNS)} FROM ({KEPT_SQL}) k "
 
 
 # ---------------------------------------------------------------- Spark side
-def clean_table(spark, sf, sort=False):
-    return C.clean_complaints(normalize_nulls(raw_extract(spark, sf)), ORDER, sort=sort)
+def clean_table(spark, sf, sort=False, materialize=False):
+    """The cleaned complaint table. ``materialize`` writes it once (reliable
+    checkpoint) for queries that read it several times, as the stored clean table
+    would be read in a pipeline."""
+    out = C.clean_complaints(normalize_nulls(raw_extract(spark, sf)), ORDER, sort=sort)
+    return cut_lineage(out) if materialize else out
 
 
 @register("null_tokens", NULLS_SQL)
@@ -164,11 +169,11 @@ SELECT g.product, g.chunk_no, (SELECT s FROM b) + 7 * g.chunk_no AS chunk_start,
        COALESCE(n.records, 0) AS records
 FROM g LEFT JOIN n USING (product, chunk_no)""")
 def q_coverage(spark, sf):
-    cl = clean_table(spark, sf)
+    cl = clean_table(spark, sf, materialize=True)
     day = F.to_date("date_received")
-    start = cl.agg(F.min(day)).scalar()
-    end = cl.agg(F.max(day)).scalar()
-    return chunk_coverage(cl, cl.select("product").distinct(), start, end, 7)
+    bounds = cl.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
+    return chunk_coverage(cl, cl.select("product").distinct(), bounds.getField("lo"),
+                          bounds.getField("hi"), 7)
 
 
 def _quality_sql() -> str:
@@ -199,7 +204,7 @@ FROM r"""
 
 @register("quality_report", _quality_sql())
 def q_quality(spark, sf):
-    return Q.quality_report(clean_table(spark, sf))
+    return Q.quality_report(clean_table(spark, sf, materialize=True))
 
 
 @register("narrative_coverage", f"""
