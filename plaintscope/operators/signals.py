@@ -3,8 +3,9 @@
 Scale notes: the raw table is reduced first by a partial + final hash aggregate
 (daily per product, weekly per product/company). Every window below runs on
 those aggregates, whose size is (days or weeks) x groups, independent of how
-many complaints a hot company holds. The last-date cut-off is one uncorrelated
-scalar subquery, evaluated once.
+many complaints a hot company holds. The aggregates are materialised once
+(small), and the last complaint date is read from them, so each query scans the
+raw table once.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import ALERT_LEVELS, COMPLETE, DEFAULTS, INCOMPLETE, NORMAL_LEVEL, Thresholds
 from ..functions.scalar import dec2_text, pct_growth
+from ..session import cut_lineage
 
 
 def daily_product_metrics(complaints: DataFrame) -> DataFrame:
@@ -63,25 +65,45 @@ def _rolling_signals(metrics: DataFrame, keys: list[str], order: str, frame_rows
                         _alert_level(F.col("anomaly_z_score"), F.col("week_over_week_growth"), th)))
 
 
-def company_risk_signals(complaints: DataFrame, th: Thresholds = DEFAULTS,
-                         lag_days: int | None = None) -> DataFrame:
-    """Weekly signals per (product, company); 4-week baseline, current week excluded."""
-    lag_days = th.publication_lag_days if lag_days is None else lag_days
-    last = last_complaint_date(complaints)
-    weekly = weekly_company_metrics(complaints)
+def _weekly_with_last_day(complaints: DataFrame) -> tuple[DataFrame, Column]:
+    """Weekly metrics materialised once, plus the last complaint date taken from
+    them (each group also keeps its last day), so the raw table is scanned once."""
+    weekly = cut_lineage(
+        complaints.groupBy(F.date_trunc("week", "date_received").cast("date").alias("week_start"),
+                           "product", "company")
+        .agg(F.count(F.lit(1)).alias("complaint_count"),
+             F.max(F.to_date("date_received")).alias("_last_day")))
+    return weekly.drop("_last_day"), weekly.agg(F.max("_last_day")).scalar()
+
+
+def _company_signals(complaints: DataFrame, th: Thresholds, lag_days: int) -> tuple[DataFrame, Column]:
+    weekly, last = _weekly_with_last_day(complaints)
     sig = _rolling_signals(weekly, ["product", "company"], "week_start", th.company_baseline_weeks,
                            1, "rolling_4_week_average", "baseline_weeks", th)
     complete = F.date_add("week_start", 6) <= F.date_sub(last, lag_days)
-    return sig.withColumn("data_status",
-                          F.when(complete, F.lit(COMPLETE)).otherwise(F.lit(INCOMPLETE)))
+    sig = sig.withColumn("data_status", F.when(complete, F.lit(COMPLETE)).otherwise(F.lit(INCOMPLETE)))
+    return sig, last
+
+
+def company_risk_signals(complaints: DataFrame, th: Thresholds = DEFAULTS,
+                         lag_days: int | None = None) -> DataFrame:
+    """Weekly signals per (product, company); 4-week baseline, current week excluded.
+
+    The weekly aggregate (weeks x groups, small) is materialised once; the windows
+    and the last-date cut-off both read it."""
+    lag_days = th.publication_lag_days if lag_days is None else lag_days
+    return _company_signals(complaints, th, lag_days)[0]
 
 
 def product_risk_signals(complaints: DataFrame, th: Thresholds = DEFAULTS,
                          lag_days: int | None = None) -> DataFrame:
-    """Daily signals per product; 28-day baseline, growth against 7 rows back."""
+    """Daily signals per product; 28-day baseline, growth against 7 rows back.
+
+    The daily aggregate (days x products, small) is materialised once; its max day
+    is the last complaint date, so the raw table is scanned once."""
     lag_days = th.publication_lag_days if lag_days is None else lag_days
-    last = last_complaint_date(complaints)
-    daily = daily_product_metrics(complaints)
+    daily = cut_lineage(daily_product_metrics(complaints))
+    last = daily.agg(F.max("complaint_date")).scalar()
     sig = _rolling_signals(daily, ["product"], "complaint_date", th.product_baseline_days,
                            th.product_growth_lag, "rolling_28_day_average", "baseline_days", th)
     complete = F.col("complaint_date") <= F.date_sub(last, lag_days)
@@ -93,8 +115,7 @@ def risk_alerts(complaints: DataFrame, th: Thresholds = DEFAULTS,
                 min_count: int | None = None) -> DataFrame:
     """gated company alerts with id, rounded baseline and explanation sentence."""
     min_count = th.min_alert_count if min_count is None else min_count
-    last = last_complaint_date(complaints)
-    sig = company_risk_signals(complaints, th)
+    sig, last = _company_signals(complaints, th, th.publication_lag_days)
     baseline = F.round(F.col("rolling_4_week_average"), 2)
     gated = sig.where(
         (F.col("data_status") == COMPLETE)
