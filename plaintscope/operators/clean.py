@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schema import COMPLAINT_SCHEMA, DATE_COLUMNS, LOAD_COLUMNS, REQUIRED_COLUMNS, TRIMMED_COLUMNS
 from ..functions.scalar import blank_to_null
+from ..session import BROADCAST_MAX_ROWS
 
 # Timestamp layouts accepted for date text (tried in order).
 TIMESTAMP_PATTERNS = (
@@ -145,25 +146,46 @@ def conform(df: DataFrame, schema=COMPLAINT_SCHEMA) -> DataFrame:
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
-           seq: str | None = None, batch_ts=None, valid=None) -> DataFrame:
+           seq: str | None = None, batch_ts=None, valid=None,
+           max_broadcast_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Keyed upsert. An incoming row replaces every column (NULLs included) but
     ``ingested_at``; within the batch the last row (greatest ``seq``) wins. New keys
     get ``batch_ts`` (default: current timestamp) as ``ingested_at``. ``valid`` (a
     boolean Column over ``incoming``) excludes rejected batch rows inside the
     aggregate rather than by a Filter.
 
+    Only existing rows whose key occurs in the batch can change. When the batch's
+    distinct keys are measured to fit ``max_broadcast_keys``, they are broadcast:
+    every other existing row passes through a map-side anti-join untouched (no
+    shuffle of the table), and only the touched rows meet the batch in the keyed
+    aggregate. Above the bound the whole table goes through that one aggregate.
+
     The result is a new DataFrame; write it to a new location and switch readers
     over on success (all-or-nothing, the input is never overwritten in place).
     """
     # The table's columns (load order first); extra batch columns are not stored.
     shared = [c for c in incoming.columns if c in existing.columns and c not in (seq, "ingested_at")]
     cols = [c for c in LOAD_COLUMNS if c in shared] + [c for c in shared if c not in LOAD_COLUMNS]
+    old = existing.select(*cols, F.col("ingested_at").cast("timestamp_ntz"))
+    keys = incoming.select(F.col(key).alias("_key")).distinct()
+    if keys.limit(max_broadcast_keys + 1).count() > max_broadcast_keys:
+        return _merge(old, incoming, key, cols, seq, batch_ts, valid)
+    bk = F.broadcast(keys)
+    hit = old[key].eqNullSafe(bk["_key"])  # NULL keys group together, as in the aggregate
+    untouched = old.join(bk, hit, "left_anti")
+    touched = old.join(bk, hit, "left_semi")
+    merged = _merge(touched, incoming, key, cols, seq, batch_ts, valid)
+    return untouched.unionByName(merged.select(*old.columns))
+
+
+def _merge(old: DataFrame, incoming: DataFrame, key: str, cols: list[str], seq: str | None,
+           batch_ts, valid) -> DataFrame:
+    """Keyed last-wins merge of existing rows (order 0) and batch rows (order 1, seq)."""
     ts = (F.current_timestamp() if batch_ts is None else F.lit(batch_ts)).cast("timestamp_ntz")
-    old = existing.select(*cols, F.col("ingested_at").cast("timestamp_ntz"),
-                          F.lit(0).alias("_src"), F.lit(0).cast("bigint").alias("_seq"))
     new_seq = F.col(seq).cast("bigint") if seq else F.monotonically_increasing_id()
     ok = F.lit(True) if valid is None else valid
-    old = old.withColumn("_ok", F.lit(True))
+    old = old.select(*cols, "ingested_at", F.lit(0).alias("_src"),
+                     F.lit(0).cast("bigint").alias("_seq"), F.lit(True).alias("_ok"))
     new = incoming.select(*cols, F.lit(None).cast("timestamp_ntz").alias("ingested_at"),
                           F.lit(1).alias("_src"), new_seq.alias("_seq"), ok.alias("_ok"))
     payload = [c for c in cols if c != key]
@@ -175,4 +197,3 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
             .where(F.col("_row").isNotNull())
             .select(key, *[F.col("_row").getField(c).alias(c) for c in payload],
                     F.coalesce("_first", ts).alias("ingested_at")))
-

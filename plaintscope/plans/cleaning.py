@@ -149,8 +149,11 @@ QUALIFY row_number() OVER (PARTITION BY complaint_id ORDER BY _src DESC, _row DE
 def q_upsert(spark, sf):
     """A8 + A9: the table as of week 2 (existing) merged with the batch of weeks 2+."""
     raw = normalize_nulls(raw_extract(spark, sf))
-    existing = (C.clean_complaints(raw.where(F.col("_chunk") <= 2), ORDER, sort=False)
-                .select(*LOAD_COLUMNS, F.lit(EXISTING_TS).cast("timestamp_ntz").alias("ingested_at")))
+    # The stored table as of week 2: written once, as a published version would be
+    # (the upsert reads it twice, once per side of the broadcast key split).
+    existing = cut_lineage(
+        C.clean_complaints(raw.where(F.col("_chunk") <= 2), ORDER, sort=False)
+        .select(*LOAD_COLUMNS, F.lit(EXISTING_TS).cast("timestamp_ntz").alias("ingested_at")))
     incoming = C._standardize_keep(raw.where(F.col("_chunk") >= 2), ORDER)
     return C.upsert(existing, incoming, "complaint_id", seq="__ord1", batch_ts=BATCH_TS,
                     valid=~C.missing_required())

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from plaintscope.operators import clean as C
@@ -66,16 +68,21 @@ def test_clean_rules(spark):
     assert summary.clean_records == 5
 
 
-def test_upsert(spark):
-    t0 = dt.datetime(2026, 1, 1)
-    existing = spark.createDataFrame([(1, "NY", t0)], "complaint_id bigint, state string, "
-                                                      "ingested_at timestamp_ntz")
-    incoming = spark.createDataFrame([(1, None, 1), (2, "A", 2), (2, "B", 3)],
+@pytest.mark.parametrize("max_keys", [200_000, 0])  # broadcast keys / whole-table aggregate
+def test_upsert(spark, max_keys):
+    t0, t1 = dt.datetime(2026, 1, 1), dt.datetime(2025, 6, 1)
+    existing = spark.createDataFrame([(1, "NY", t0), (3, "TX", t1), (None, "CA", t1)],
+                                     "complaint_id bigint, state string, ingested_at timestamp_ntz")
+    incoming = spark.createDataFrame([(1, None, 1), (2, "A", 2), (2, "B", 3), (None, "WA", 4)],
                                      "complaint_id bigint, state string, seq int")
-    out = {r.complaint_id: r for r in
-           C.upsert(existing, incoming, seq="seq", batch_ts="2026-02-01 00:00:00").collect()}
+    merged = C.upsert(existing, incoming, seq="seq", batch_ts="2026-02-01 00:00:00",
+                      max_broadcast_keys=max_keys)
+    out = {r.complaint_id: r for r in merged.collect()}
+    assert merged.count() == 4
     assert out[1].state is None and out[1].ingested_at == t0
     assert out[2].state == "B" and out[2].ingested_at == dt.datetime(2026, 2, 1)
+    assert out[3].state == "TX" and out[3].ingested_at == t1       # untouched row kept as is
+    assert out[None].state == "WA" and out[None].ingested_at == t1  # NULL keys match each other
 
 
 def test_union_chunks_and_dedup(spark):
