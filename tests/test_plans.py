@@ -38,3 +38,29 @@ def test_evidence_join_is_broadcast(spark):
 def test_alert_cutoff_is_a_scalar_subquery(spark):
     plan = _plan(S.risk_alerts(volume_complaints(spark, SF001)))
     assert "Subquery" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_theme_windows_reach_the_scan_once(spark):
+    """The window bounds are literals from one anchor job: the labelled narratives
+    plan scans the text once and plans no scalar subquery."""
+    d = narrative_complaints(spark, SF001)
+    plan = _plan(TH.theme_totals(TH.labelled_narratives(d)))
+    assert plan.count("FileScan parquet") == 1
+    assert "Subquery" not in plan
+
+
+def test_upsert_touches_only_batch_keys(spark):
+    """Within the key bound the stored rows are split by broadcast anti/semi joins;
+    no shuffle join reads the stored table."""
+    import datetime as dt
+    from plaintscope.operators import clean as C
+    existing = spark.range(1000).selectExpr("id AS complaint_id", "'NY' AS state",
+                                            "TIMESTAMP_NTZ'2026-01-01 00:00:00' AS ingested_at")
+    incoming = spark.createDataFrame([(1, "CA", 1), (5000, "TX", 2)],
+                                     "complaint_id bigint, state string, seq int")
+    merged = C.upsert(existing, incoming, seq="seq", batch_ts=dt.datetime(2026, 2, 1))
+    plan = _plan(merged)
+    assert plan.count("BroadcastHashJoin") == 2 and "LeftAnti" in plan and "LeftSemi" in plan
+    assert "SortMergeJoin" not in plan
+    rows = {r.complaint_id: r.state for r in merged.collect()}
+    assert len(rows) == 1001 and rows[1] == "CA" and rows[5000] == "TX" and rows[2] == "NY"
