@@ -12,8 +12,14 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SESSION_DEFAULTS = {
+# Results depend on these: set on every session.
+_REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
+}
+
+# Defaults for a session we start (tests, bench, laptops); on a session that a
+# cluster launcher already configured, only the keys it left unset are filled in.
+_SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,17 +34,28 @@ _SESSION_DEFAULTS = {
 def get_spark(app: str = "plaintscope", master: str | None = None,
               shuffle_partitions: int | None = None,
               driver_memory: str | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    if driver_memory:
-        # Only effective when this call starts the JVM (local runs, tests, bench).
-        builder = builder.config("spark.driver.memory", driver_memory)
-    for key, value in _SESSION_DEFAULTS.items():
-        builder = builder.config(key, value)
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        spark = active
+        for key, value in _SESSION_DEFAULTS.items():
+            if spark.conf.get(key, None) is None:
+                try:
+                    spark.conf.set(key, value)
+                except Exception:  # static settings cannot change on a running session
+                    pass
+    else:
+        builder = SparkSession.builder.appName(app)
+        if master:
+            builder = builder.master(master)
+        if driver_memory:
+            builder = builder.config("spark.driver.memory", driver_memory)
+        for key, value in _SESSION_DEFAULTS.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    for key, value in _REQUIRED.items():
+        spark.conf.set(key, value)
     if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    spark = builder.getOrCreate()
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
