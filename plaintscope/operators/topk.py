@@ -12,6 +12,9 @@ distinct values, so:
    two-character prefix of the tie column does the same again, so only one prefix
    bucket is ranked by the tie column (ascending). Binary string order of the
    prefixes agrees with the order of the full values.
+
+When no group exceeds k (a small input), a single scalar job shows it and the
+rows are returned as they are.
 """
 
 from __future__ import annotations
@@ -22,7 +25,15 @@ from pyspark.sql import functions as F
 
 def top_k_by_count(df: DataFrame, groups: list[str], count_col: str, tie_col: str,
                    k: int) -> DataFrame:
-    """Rows of ``df`` ranked in the first ``k`` of their group by (count desc, tie asc)."""
+    """Rows of ``df`` ranked in the first ``k`` of their group by (count desc, tie asc).
+
+    ``df`` should be materialised (callers pass a checkpointed aggregate): one
+    scalar job first measures the largest group, and when no group holds more
+    than ``k`` rows every row is in its top k, so the ranking stages are skipped."""
+    largest = (df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_g"))
+               .agg(F.max("_g")).first()[0])
+    if largest is None or largest <= k:
+        return df
     hist = df.groupBy(*groups, count_col).agg(F.count(F.lit(1)).alias("_n"))
     order = Window.partitionBy(*groups).orderBy(F.col(count_col).desc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
