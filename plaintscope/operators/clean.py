@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schema import COMPLAINT_SCHEMA, DATE_COLUMNS, LOAD_COLUMNS, REQUIRED_COLUMNS, TRIMMED_COLUMNS
 from ..functions.scalar import blank_to_null
-from ..session import BROADCAST_MAX_ROWS
+from ..session import BROADCAST_MAX_ROWS, cut_lineage
 
 # Timestamp layouts accepted for date text (tried in order).
 TIMESTAMP_PATTERNS = (
@@ -167,7 +167,9 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
     shared = [c for c in incoming.columns if c in existing.columns and c not in (seq, "ingested_at")]
     cols = [c for c in LOAD_COLUMNS if c in shared] + [c for c in shared if c not in LOAD_COLUMNS]
     old = existing.select(*cols, F.col("ingested_at").cast("timestamp_ntz"))
-    keys = incoming.select(F.col(key).alias("_key")).distinct()
+    # The batch's distinct keys are written once (keys only): the size check and the
+    # broadcast read them instead of re-evaluating the batch.
+    keys = cut_lineage(incoming.select(F.col(key).alias("_key")).distinct())
     if keys.limit(max_broadcast_keys + 1).count() > max_broadcast_keys:
         return _merge(old, incoming, key, cols, seq, batch_ts, valid)
     bk = F.broadcast(keys)
