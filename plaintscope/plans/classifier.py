@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import classify as K
+from ..session import cut_lineage
 from ..sources.adapters import labelled_narratives
 from .registry import register
 from .themes import sql_content, sql_pairs
@@ -53,14 +54,21 @@ def q_class_counts(spark, sf):
     return K.class_counts(K.usable_narratives(labelled_narratives(spark, sf)))
 
 
+def _usable_ids(spark, sf):
+    """(id, class) of the usable narratives, written once: the class counts and the
+    eligibility semi-join both read it, and neither needs the text again."""
+    return cut_lineage(K.usable_narratives(labelled_narratives(spark, sf))
+                       .select("complaint_id", "issue"))
+
+
 @register("class_eligible", f"WITH {SPLIT_CTE}\nSELECT complaint_id, issue FROM el")
 def q_class_eligible(spark, sf):
-    return K.eligible_rows(K.usable_narratives(labelled_narratives(spark, sf))).select("complaint_id", "issue")
+    return K.eligible_rows(_usable_ids(spark, sf)).select("complaint_id", "issue")
 
 
 @register("split_quotas", f"WITH {SPLIT_CTE}\nSELECT issue, records, test_quota FROM q")
 def q_split_quotas(spark, sf):
-    return K.split_quotas(K.eligible_rows(K.usable_narratives(labelled_narratives(spark, sf))))
+    return K.split_quotas(K.eligible_rows(_usable_ids(spark, sf)))
 
 
 @register("stratified_split", f"WITH {SPLIT_CTE}\nSELECT complaint_id, issue, is_test FROM sp")

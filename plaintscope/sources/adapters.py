@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import bounded_broadcast, spread
 
 # Fixed value: calendar origin of the document adapter.
 TEXT_ORIGIN = "2024-01-01"
@@ -61,9 +61,12 @@ def narrative_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """labels joined to documents: issue = 'q' + quality, narrative = text."""
-    labels = table(spark, sf_dir, "labels")
+    # The label table is joined by broadcast when its row count is within the bound
+    # (the documents and their text then join map-side, unshuffled); above it, the
+    # planner's shuffle join is used.
+    labels = bounded_broadcast(table(spark, sf_dir, "labels").select("doc_id", "quality"))
     docs = spread(table(spark, sf_dir, "documents"), "doc_id")
-    return (labels.join(docs, "doc_id")
+    return (docs.join(labels, "doc_id")
             .select(F.col("doc_id").alias("complaint_id"),
                     F.col("text").alias("consumer_complaint_narrative"),
                     F.concat(F.lit("q"), F.col("quality").cast("string")).alias("issue")))
