@@ -177,7 +177,8 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
     untouched = old.join(bk, hit, "left_anti")
     touched = old.join(bk, hit, "left_semi")
     merged = _merge(touched, incoming, key, cols, seq, batch_ts, valid)
-    return untouched.unionByName(merged.select(*old.columns))
+    # Same column order as the merge alone: key, payload, ingested_at.
+    return untouched.select(*merged.columns).unionByName(merged)
 
 
 def _merge(old: DataFrame, incoming: DataFrame, key: str, cols: list[str], seq: str | None,

@@ -37,7 +37,7 @@ def theme_windows(complaints: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame
 def anchor_day(complaints: DataFrame):
     """Day of the latest narrative, or None when there is none.
 
-    One scalar aggregate (partial max per task, one row per task to the driver).
+    One scalar aggregate (partial max per task, a single row to the driver).
     It is run once per query and its value is used as a literal: every window
     bound below then reaches the scan as a plain comparison (row-group and
     partition pruning on a date-laid-out table), and the narratives are not
