@@ -64,3 +64,12 @@ def test_upsert_touches_only_batch_keys(spark):
     assert "SortMergeJoin" not in plan
     rows = {r.complaint_id: r.state for r in merged.collect()}
     assert len(rows) == 1001 and rows[1] == "CA" and rows[5000] == "TX" and rows[2] == "NY"
+
+
+def test_labels_join_documents_by_broadcast(spark):
+    """The (size-checked) label table is broadcast: the documents' text is not shuffled
+    for the join."""
+    from plaintscope.operators import classify as K
+    from plaintscope.sources.adapters import labelled_narratives
+    plan = _plan(K.class_counts(K.usable_narratives(labelled_narratives(spark, SF001))))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
