@@ -7,10 +7,13 @@ views by name). Keys without an oracle are checked on rows only.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import apply_required
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
@@ -21,7 +24,13 @@ def register(key: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if key in _QUERIES:
             raise ValueError(f"duplicate query key {key}")
-        _QUERIES[key] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_required(spark)  # the caller's session may not be in UTC
+            return fn(spark, sf_dir)
+
+        _QUERIES[key] = run
         if oracle is not None:
             _ORACLES[key] = oracle.strip()
         return fn

@@ -52,8 +52,7 @@ def get_spark(app: str = "plaintscope", master: str | None = None,
         for key, value in _SESSION_DEFAULTS.items():
             builder = builder.config(key, value)
         spark = builder.getOrCreate()
-    for key, value in _REQUIRED.items():
-        spark.conf.set(key, value)
+    apply_required(spark)
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark.sparkContext.setLogLevel("ERROR")
@@ -61,6 +60,14 @@ def get_spark(app: str = "plaintscope", master: str | None = None,
     return spark
 
 
+def apply_required(spark: SparkSession) -> None:
+    """Settings results depend on (UTC for zone conversions), on any session we are
+    handed - also one we did not create."""
+    for key, value in _REQUIRED.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, naming a scratch one only if unset."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
