@@ -6,6 +6,7 @@ import functools
 
 from ..session import apply_required, ensure_checkpoint_dir
 from .common import table
+from .line_rules import QUALITY_SQL, quality_rules
 
 _QUERIES: dict = {}
 _ORACLES: dict = {}
@@ -43,3 +44,8 @@ def op2(spark, sf_dir):
 def op5(spark, sf_dir):
     from .token_files import read_documents, write_token_files
     return read_documents(write_token_files(table(spark, sf_dir, "documents"))).drop("part")
+
+
+@register("op7_line_rules", oracle=QUALITY_SQL)
+def op7(spark, sf_dir):
+    return quality_rules(table(spark, sf_dir, "documents")).drop("row")
