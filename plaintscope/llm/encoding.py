@@ -3,7 +3,8 @@
 The tokenizer library encodes; texts are cut only where its own pre-tokenizer always
 cuts (before a single space between two non-blank characters), so the ids are those of
 the whole text. Pieces repeat a lot, so each worker process keeps a bounded table of
-piece -> ids and hands the library only pieces it has not met.
+the first words it met (mostly the frequent ones) and hands the library only the others,
+each once per group of texts.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-MAX_CACHED_PIECES = 800_000
-MAX_PIECE_CHARS = 64
+MAX_CACHED_WORDS = 400_000
+MAX_WORD_CHARS = 64
 
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 _BLANK_BESIDE_SPACE = re.compile(r" (?:\s|$)|\s |^ ")
@@ -40,36 +41,45 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.words: dict[str, bytes] = {}  # ids of a space and the key
+        self.tails: dict[str, bytes] = {}
+        self.missed = 0
 
     def _direct(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of words not met before, each with the space before it. A space and
-        letters are one pre-token, so many such words go to the library as one text and
-        are told apart by its word index; stop and comma signs after them start the next."""
-        known = self.words
-        names = [h for h in {w.rstrip(_TAIL) for w in new} if h not in known and h.isalpha()]
+    def _letters(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of a space and the letters of each word: one pre-token each, so they go to
+        the library as one text and are told apart by its word index."""
         out: dict[str, bytes] = {}
-        for i in range(0, len(names), 8192):
-            part = names[i:i + 8192]
+        for i in range(0, len(words), 8192):
+            part = words[i:i + 8192]
             got = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
             raw = np.array(got.ids, dtype="<u4").tobytes()
             ends = (4 * np.searchsorted(np.array(got.word_ids, dtype=np.int64),
                                         np.arange(len(part) + 1))).tolist()
             out.update(zip(part, [raw[a:b] for a, b in zip(ends, ends[1:])]))
-        left = new.difference(out)
-        tails = {w[len(w.rstrip(_TAIL)):] for w in left}
-        tail_ids = dict(zip(tails, self._direct(list(tails))))
-        odd = []
-        for w in left:
+        return out
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of words not held, each with the space before it. Stop and comma signs
+        after letters start the next pre-token, so such a word is encoded in two parts."""
+        letters = [w for w in new if w.isalpha()]
+        closed, odd = [], []
+        for w in new.difference(letters):
             head = w.rstrip(_TAIL)
-            ids = out.get(head) or known.get(head) if head.isalpha() else None
-            if ids:
-                out[w] = ids + tail_ids[w[len(head):]]
+            if head.isalpha():
+                closed.append((w, head, w[len(head):]))
             else:
                 odd.append(w)
+        out = self._letters(letters)
+        held = self.words
+        heads = self._letters(list({h for _, h, _ in closed if h not in held and h not in out}))
+        tails = {t for _, _, t in closed}.difference(self.tails)
+        self.tails.update(zip(tails, self._direct(list(tails))))
+        tail = self.tails
+        for w, h, t in closed:
+            out[w] = (held.get(h) or out.get(h) or heads[h]) + tail[t]
         out.update(zip(odd, self._direct([" " + w for w in odd])))
         return out
 
@@ -92,18 +102,18 @@ class PieceEncoder:
                 words = words[:1] + [w[1:] for w in words[1:]]
             first.append(words[0])
             later.append(words[1:])
+        if self.missed > 8 * MAX_CACHED_WORDS:  # the texts have changed: start anew
+            self.words, self.tails, self.missed = {}, {}, 0
         new = set().union(*later).difference(self.words)
-        if len(self.words) + len(new) > MAX_CACHED_PIECES:
-            self.words.clear()
-            new = set().union(*later)
         learnt = self._learn(new)
-        long = {w: ids for w, ids in learnt.items() if len(w) > MAX_PIECE_CHARS}
-        self.words.update(learnt)
-        get = self.words.__getitem__
-        out = [a + b"".join(map(get, ws)) for a, ws in zip(self._direct(first), later)]
-        for w in long:  # only short words stay
-            del self.words[w]
-        return out
+        table = self.words
+        if len(table) < MAX_CACHED_WORDS:
+            table.update((w, ids) for w, ids in learnt.items() if len(w) <= MAX_WORD_CHARS)
+        else:
+            self.missed += len(new)
+        get, other = table.get, learnt.get
+        return [a + b"".join([get(w) or other(w) for w in ws])
+                for a, ws in zip(self._direct(first), later)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -112,7 +122,7 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def text_groups(rows: Iterable[tuple], size: int = 1_000_000) -> Iterator[list[tuple]]:
+def text_groups(rows: Iterable[tuple], size: int = 2_000_000) -> Iterator[list[tuple]]:
     """Rows ``(..., text)`` in runs of about ``size`` characters (one row at least)."""
     group, chars = [], 0
     for row in rows:
