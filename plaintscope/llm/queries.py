@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 
 from ..session import apply_required, ensure_checkpoint_dir
 from .common import table
@@ -12,12 +13,25 @@ _QUERIES: dict = {}
 _ORACLES: dict = {}
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def workers_can_import(spark) -> None:
+    """Local workers started elsewhere than in the repository find the package by the
+    path the driver runs it from. A cluster ships it (--py-files or an installed wheel)."""
+    env = spark.sparkContext.environment
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep) + env.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in known:
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH")) if x)
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         @functools.wraps(fn)
         def run(spark, sf_dir):
             apply_required(spark)
             ensure_checkpoint_dir(spark)
+            workers_can_import(spark)
             return fn(spark, sf_dir)
         _QUERIES[name] = run
         if oracle:
@@ -49,3 +63,15 @@ def op5(spark, sf_dir):
 @register("op7_line_rules", oracle=QUALITY_SQL)
 def op7(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents")).drop("row")
+
+
+@register("op1_host_paths")
+def op1(spark, sf_dir):
+    from .host_paths import extract_pages
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@register("op8_toxicity")
+def op8(spark, sf_dir):
+    from .toxicity import score_toxicity
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
