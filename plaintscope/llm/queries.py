@@ -75,3 +75,9 @@ def op1(spark, sf_dir):
 def op8(spark, sf_dir):
     from .toxicity import score_toxicity
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op10_suffix_family")
+def op10(spark, sf_dir):
+    from .suffix_family import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))

@@ -32,7 +32,7 @@ from ..session import bounded_broadcast, cut_lineage
 MAX_LABELLED = 16_000
 MAX_LEXICON = 4_000
 MIN_EVIDENCE = 9.0  # bits of surprise a lexicon entry needs under the base rate
-STEMS = (5, 6)
+STEMS = (4, 5, 6)
 NEAR = 40  # characters on either side of a lexicon hit
 THRESHOLD = 0.3
 
