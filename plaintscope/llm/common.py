@@ -66,3 +66,10 @@ def connected_components(links: DataFrame, u: str = "u", v: str = "v") -> DataFr
         if new.where("old <> l").limit(1).count() == 0:
             return new.select("id", F.col("l").alias("component_id"))
         lab = new.select("id", "l")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table written in the shared folder: cuts lineage, and is compact."""
+    out = shared_folder(df.sparkSession, name)
+    df.write.parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)

@@ -81,3 +81,9 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     from .suffix_family import remove_repeats
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op9_ngram_join")
+def op9(spark, sf_dir):
+    from .ngram_join import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))

@@ -112,11 +112,11 @@ def _text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def _groups(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``GROUP_BYTES`` bytes."""
+def _groups(offsets: np.ndarray, size: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``size`` bytes."""
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = int(np.searchsorted(offsets, offsets[i] + GROUP_BYTES, side="right")) - 1
+        j = int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1
         j = min(n, max(j, i + 1))
         yield i, j
         i = j
