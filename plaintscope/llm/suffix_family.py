@@ -41,7 +41,7 @@ from .common import ODD, mix64, powers, shared_folder
 LENGTH = 100
 GRAM = 32
 N_BATCHES = 4
-GROUP_BYTES = 2_000_000  # bytes hashed at a time; below 2 ** 24
+GROUP_BYTES = 500_000  # bytes hashed at a time; four times this stays below 2 ** 24
 MAX_BROADCAST_VALUES = 4_000_000  # 32 MB of packed spans
 _STARTS = LENGTH - GRAM + 1
 _INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
