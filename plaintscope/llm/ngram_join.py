@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,7 +113,7 @@ def _count_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if d.num_rows:
             yield pa.RecordBatch.from_pydict({"fp": d.column("fp"), "doc": d.column("doc"), "n": d.column("n"),
                                               "hits": pa.nulls(d.num_rows, pa.int32())})
-        p = b.filter(pa.compute.invert(doc))
+        p = b.filter(pc.invert(doc))
         tokens.append(p.column("token").to_numpy())
         fps.append(p.column("fp").to_numpy())
     if tokens:

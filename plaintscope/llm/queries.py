@@ -7,6 +7,7 @@ import os
 
 from ..session import apply_required, ensure_checkpoint_dir
 from .common import table
+from .url_intervals import URL_SQL, active_entries, captures_of, entries_of
 from .line_rules import QUALITY_SQL, quality_rules
 
 _QUERIES: dict = {}
@@ -87,3 +88,15 @@ def op10(spark, sf_dir):
 def op9(spark, sf_dir):
     from .ngram_join import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op3_url_intervals", oracle=URL_SQL)
+def op3(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return active_entries(captures_of(pages), entries_of(pages))
+
+
+@register("op4_product_quantiser")
+def op4(spark, sf_dir):
+    from .product_quantiser import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings"))
