@@ -140,7 +140,17 @@ def quality_rules(docs: DataFrame) -> DataFrame:
             .withColumn("kept", F.expr(
                 f"not base_failed and 100 * lost_words <= {MAX_LOST_PERCENT} * n_words"))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "lost_words", "base_failed", "kept", "row"))
+                    "lost_words", "base_failed", "kept", "row", "text_hash"))
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns. Rejected rows are matched by
+    id and content, so repeated ids are told apart by their texts."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    bad = cut_lineage(quality_rules(docs).where("not kept").select(
+        F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64(text, F.length(text)) == F.col("bad_hash"))
+    return docs.join(bounded_broadcast(bad), same, "left_anti")
 
 
 QUALITY_SQL = r"""

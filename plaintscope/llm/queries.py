@@ -63,7 +63,7 @@ def op5(spark, sf_dir):
 
 @register("op7_line_rules", oracle=QUALITY_SQL)
 def op7(spark, sf_dir):
-    return quality_rules(table(spark, sf_dir, "documents")).drop("row")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("row", "text_hash")
 
 
 @register("op1_host_paths")
@@ -100,3 +100,9 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     from .product_quantiser import near_vectors
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op6_viterbi_pieces")
+def op6(spark, sf_dir):
+    from .viterbi_pieces import piece_digest
+    return piece_digest(table(spark, sf_dir, "documents"))

@@ -160,18 +160,20 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` per row of ``docs(doc_id, text)``.
+def score_toxicity(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` per row of ``docs(doc_id, text)``, after the
+    columns of ``docs`` named in ``keep``.
 
     ``labels(doc_id, toxic)``: rows with null id, null label or held-out id teach nothing;
     a repeated id counts as toxic if any row says so. Without both classes among the
     training rows every score is the base rate (0 without labels). Null text is empty."""
-    rows = docs.select("doc_id", "text")
+    own = ["doc_id", "held_out", *[f"kept_{i}" for i in range(len(keep))]]
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)])
     lab = (labels.where("doc_id is not null and toxic is not null").where(~held_out())
            .groupBy("doc_id").agg(F.max(F.col("toxic").cast("double")).alias("label"))
            .withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(MAX_LABELLED))
     # At most MAX_LABELLED rows, so the texts are found by a map-side join.
-    train = rows.join(bounded_broadcast(cut_lineage(lab)), "doc_id").withColumn("fold", F.col("h").bitwiseAND(3))
+    train = rows.select("doc_id", "text").join(bounded_broadcast(cut_lineage(lab)), "doc_id").withColumn("fold", F.col("h").bitwiseAND(3))
     train = cut_lineage(train.select("text", "label", "fold").coalesce(16))
     learn = train.where("fold < 3")
     n = {(r["label"], r["f"]): r["count"]
@@ -191,10 +193,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         margin = vector_to_array("rawPrediction")[1].alias("margin")
         fit = model.transform(data.where("fold = 3")).select(margin, "label")
         iso = IsotonicRegression(featuresCol="margin", labelCol="label").fit(fit)
-        feats = with_features(scored, lexicon, ["doc_id", "held_out"])
-        out = model.transform(assemble.transform(feats)).select("doc_id", "held_out", margin)
+        feats = with_features(scored, lexicon, own)
+        out = model.transform(assemble.transform(feats)).select(*own, margin)
         # A little of the uncalibrated margin keeps the order within a level of the fit.
         out = iso.transform(out).withColumn(
             "score", 0.98 * F.col("prediction") + 0.02 / (1 + F.exp(-2 * F.col("margin"))))
-    return out.select("doc_id", "held_out", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "score")).alias("score")
+    named = [F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep) if c != "doc_id"]
+    return out.select(*named, "doc_id", "held_out", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "score")).alias("score")
                       ).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
