@@ -5,7 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from plaintscope.llm.common import shared_folder, table
+from plaintscope.llm.line_rules import keep_good
+from plaintscope.llm.ngram_join import near_duplicates
 from plaintscope.llm.packing import pack_pieces
+from plaintscope.llm.queries import workers_can_import
+from plaintscope.llm.suffix_family import remove_repeats
+from plaintscope.llm.toxicity import score_toxicity
+from plaintscope.session import apply_required, bounded_broadcast, cut_lineage
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the word rules and keep enough lines."""
+    return keep_good(docs)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted toxic."""
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
+    return scored.where("predicted = 0").select(docs.columns)
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near duplicates."""
+    groups = near_duplicates(docs)
+    gone = cut_lineage(groups.where("doc_id <> component_id").select("doc_id").distinct())
+    return docs.join(bounded_broadcast(gone), "doc_id", "left_anti").select(docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of 100-byte strings that start earlier too."""
+    return remove_repeats(docs, with_text=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +43,10 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality rules", quality_rules),
+    ("toxicity", toxicity),
+    ("n-gram Jaccard join", near_duplicate),
+    ("suffix-array dedup", repeated_passages),
     ("packing", packing),
 ]
 
@@ -23,9 +56,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
+    apply_required(spark)
+    workers_can_import(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        folder = shared_folder(spark, f"pipeline-{name}")
+        folder = shared_folder(spark, "pipeline-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
     return docs
