@@ -23,6 +23,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in slices, so that few texts at a time become Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of unsigned 64-bit values (the splitmix finaliser)."""
     x = x.astype(np.uint64, copy=True)

@@ -13,11 +13,12 @@ import functools
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 500_000
 MAX_WORD_CHARS = 64
 
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -102,18 +103,23 @@ class PieceEncoder:
                 words = words[:1] + [w[1:] for w in words[1:]]
             first.append(words[0])
             later.append(words[1:])
-        if self.missed > 8 * MAX_CACHED_WORDS:  # the texts have changed: start anew
+        if self.missed > 16 * MAX_CACHED_WORDS:  # the texts have changed: start anew
             self.words, self.tails, self.missed = {}, {}, 0
-        new = set().union(*later).difference(self.words)
-        learnt = self._learn(new)
         table = self.words
-        if len(table) < MAX_CACHED_WORDS:
-            table.update((w, ids) for w, ids in learnt.items() if len(w) <= MAX_WORD_CHARS)
-        else:
+        new: set[str] = set()
+        for ws in later:
+            new.update(filterfalse(table.__contains__, ws))
+        full = len(table) >= MAX_CACHED_WORDS
+        learnt = self._learn(new)
+        table.update(learnt)
+        get = table.__getitem__
+        out = [a + b"".join(map(get, ws)) for a, ws in zip(self._direct(first), later)]
+        if full:
             self.missed += len(new)
-        get, other = table.get, learnt.get
-        return [a + b"".join([get(w) or other(w) for w in ws])
-                for a, ws in zip(self._direct(first), later)]
+        for w in learnt:  # only so many, and only short ones, stay
+            if full or len(w) > MAX_WORD_CHARS:
+                del table[w]
+        return out
 
 
 @functools.lru_cache(maxsize=2)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import bounded_broadcast, cut_lineage
+from .common import slices
 
 # HTML element names by their role.
 RAW = "script style noscript template textarea svg iframe object select option math canvas title head"
@@ -219,7 +220,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total.clear()
         return out
 
-    for b in batches:
+    for b in slices(batches):
         for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if page:
                 best, score = best_container(blocks(page))
@@ -260,7 +261,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
               .join(paths, "host", "left").select("page_id", "url", "html", "path"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = [extract(h, p) for h, p in zip(b.column("html").to_pylist(), b.column("path").to_pylist())]
             yield pa.RecordBatch.from_pydict({
                 "page_id": b.column("page_id"), "url": b.column("url").cast(pa.string()),

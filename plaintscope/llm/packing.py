@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import slices
 from .encoding import default_path, encoder, text_groups
 
 CAPACITY = 1024
@@ -80,7 +81,7 @@ def pack_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0,
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                               names=names)
 
-        rows = ((d, t or "") for b in batches
+        rows = ((d, t or "") for b in slices(batches)
                 for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         for group in text_groups(rows):
             for (doc, _), raw in zip(group, enc.encode_many([t for _, t in group])):

@@ -18,7 +18,7 @@ that opens the suffix, hash of the run's whole span, document, place).
   window among the entries of their gram: the first of equal windows stays.
 
 Hashes are 64 bits wide; span and window hashes only meet hashes under the same gram hash.
-Equal spans of one Arrow batch of documents are reduced to the first before the shuffle.
+Equal spans of ``ENTRY_ROWS`` documents are reduced to the first before the shuffle.
 """
 
 from __future__ import annotations
@@ -36,12 +36,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ODD, mix64, powers, shared_folder
+from .common import ODD, mix64, powers, shared_folder, slices
 
 LENGTH = 100
 GRAM = 32
 N_BATCHES = 4
 GROUP_BYTES = 500_000  # bytes hashed at a time; four times this stays below 2 ** 24
+ENTRY_ROWS = 3_000  # documents whose equal spans are reduced before the shuffle
 MAX_BROADCAST_VALUES = 4_000_000  # 32 MB of packed spans
 _STARTS = LENGTH - GRAM + 1
 _INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
@@ -187,7 +188,7 @@ def _intervals(doc: np.ndarray, p: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries of the documents, one per distinct span of an Arrow batch; rows whose span
     occurs earlier in the batch come as joined covered ranges (run null)."""
-    for b in batches:
+    for b in slices(batches, ENTRY_ROWS):
         data, bounds = _text_bytes(b.column("text"))
         ids = b.column("doc").to_numpy(zero_copy_only=False).astype(np.int64)
         parts = []
@@ -357,7 +358,7 @@ def _with_lists(docs: DataFrame, lists: DataFrame) -> DataFrame:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The spans of contested entries with their gram's hash."""
-    for b in batches:
+    for b in slices(batches):
         data, bounds = _text_bytes(b.column("text"))
         docs = b.column("doc").to_pylist()
         out: dict[str, list] = {"key": [], "doc": [], "p": [], "n": [], "span": []}
@@ -495,7 +496,7 @@ def remove_repeats(docs: DataFrame, n_batches: int = N_BATCHES, with_text: bool
                                          F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text__")), ranges)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             data, bounds = _text_bytes(b.column("text__"))
             out = {name: [] for name, _ in types}
             for i, items in enumerate(b.column("items").to_pylist()):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import shared_folder
+from .common import shared_folder, slices
 from .encoding import default_path, encoder, text_groups
 
 BATCH_ROWS = 512
@@ -97,7 +97,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, sequence_lengt
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         kind, dtype = _id_type(enc.vocab_size)
-        rows = ((d, t or "") for b in batches
+        rows = ((d, t or "") for b in slices(batches)
                 for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         first = next(rows, None)
         if first is None:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import bounded_broadcast, cut_lineage
+from .common import slices
 
 MAX_LABELLED = 16_000
 MAX_LEXICON = 4_000
@@ -70,7 +71,7 @@ def tokens(text: str) -> set[str]:
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for b in batches:
+    for b in slices(batches):
         for t, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
             seen[int(y)].update(tokens(t or ""))
     names = list(seen[1])  # only tokens of toxic rows can enter the lexicon
@@ -147,7 +148,7 @@ def with_features(docs: DataFrame, lexicon: list[tuple[str, float]], keep: list[
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = _Features(lexicon)
-        for b in batches:
+        for b in slices(batches):
             rows = np.array([make(t or "") for t in b.column("text").to_pylist()], dtype=float)
             rows = rows.reshape(-1, len(NAMES))
             cols = [b.column(k) for k in keep] + [pa.array(rows[:, i]) for i in range(len(NAMES))]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import written
+from .common import slices, written
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
 CHUNK = 16_384
@@ -182,7 +182,7 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _short(path: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattice(path)
-        for b in batches:
+        for b in slices(batches):
             found = [lat.encode(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "row": b.column("row"), "part": pa.array([0] * len(found), pa.int32()),
@@ -195,8 +195,7 @@ def _rows(path: str, name: str, kind, make):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattice(path)
         for b in batches:
-            for lo in range(0, b.num_rows, 64):
-                x = b.slice(lo, 64)
+            for x in slices([b], 64):
                 made = [make(lat, r) for r in x.to_pylist()]
                 yield x.append_column(name, pa.array(made, kind))
     return work
@@ -367,7 +366,7 @@ def piece_digest(docs: DataFrame, model: str | None = None) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattice(path)
-        for b in batches:
+        for b in slices(batches):
             ids = b.column("ids").to_pylist()
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"), "n_pieces": b.column("n_pieces"),
