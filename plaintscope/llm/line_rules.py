@@ -148,8 +148,8 @@ def keep_good(docs: DataFrame) -> DataFrame:
     id and content, so repeated ids are told apart by their texts."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     bad = cut_lineage(quality_rules(docs).where("not kept").select(
-        F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64(text, F.length(text)) == F.col("bad_hash"))
+        F.col("doc_id").alias("rejected__id"), F.col("text_hash").alias("rejected__hash")).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col("rejected__id")) & (F.xxhash64(text, F.length(text)) == F.col("rejected__hash"))
     return docs.join(bounded_broadcast(bad), same, "left_anti")
 
 

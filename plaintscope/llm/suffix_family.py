@@ -265,16 +265,17 @@ class SuffixIndexFamily:
                 size *= 2
             else:
                 kept.append(files)
-        folder, shards = self.folder, self.shards
+        folder = self.folder
 
         def merge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard = TaskContext.get().partitionId()
-            table = pa.Table.from_batches(list(rows)) if shard < shards else None
+            held = list(rows)  # a shard without new entries still carries its levels on
+            table = pa.Table.from_batches(held) if held else None
             return _merge_shard(table, shard, folder, merged, kept)
 
         # The shard is a function of the gram; repartitioning by it keeps it in one task.
         entries = (docs.mapInArrow(_entries, "key long, run long, doc long, p int, n int, d int")
-                   .repartition(shards, "key"))
+                   .repartition(self.shards, "key"))
 
         def run(rows):
             yield from merge(rows)
@@ -478,26 +479,23 @@ def remove_repeats(docs: DataFrame, n_batches: int = N_BATCHES, with_text: bool
     order of id (nulls first), then text, so equal rows count as one after the other. Empty
     tables give no rows; other columns pass through untouched."""
     odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
-    numbered = docs.withColumn("doc", F.col("doc_id").cast("long"))
-    if odd:
-        parts = cut_lineage(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-                            .withColumn("part", F.spark_partition_id())
-                            .withColumn("row", F.monotonically_increasing_id()))
-        numbered = parts.withColumn("doc", F.col("row")).drop("row", "part")
-    texts = numbered.select("doc", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ranges = repeated_ranges(texts, n_batches)
     rest = [c for c in docs.columns if with_text and c not in ("text", "n_chars")] or ["doc_id"]
+    numbered = docs.select(F.col("doc_id").cast("long").alias("doc"), F.struct(*rest).alias("rest"),
+                           F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    if odd:
+        numbered = cut_lineage(numbered.repartitionByRange("doc").sortWithinPartitions("doc", "text")
+                               .withColumn("doc", F.monotonically_increasing_id()))
+    ranges = repeated_ranges(numbered.select("doc", "text"), n_batches)
     schema = docs.select(*rest).schema
     types = ([("text", "string"), ("n_chars", "long")] if with_text else
              [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")])
     for name, kind in types:
         schema = schema.add(name, kind)
-    joined = _with_lists(numbered.select("doc", *[F.col(c) for c in rest if c != "doc"],
-                                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text__")), ranges)
+    joined = _with_lists(numbered, ranges)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            data, bounds = _text_bytes(b.column("text__"))
+            data, bounds = _text_bytes(b.column("text"))
             out = {name: [] for name, _ in types}
             for i, items in enumerate(b.column("items").to_pylist()):
                 raw = data[bounds[i]:bounds[i + 1]].tobytes()
@@ -509,9 +507,9 @@ def remove_repeats(docs: DataFrame, n_batches: int = N_BATCHES, with_text: bool
                     row = (len(raw), removed, spans, hashlib.sha256(kept).hexdigest())
                 for (name, _), value in zip(types, row):
                     out[name].append(value)
-            arrays = [b.column(c) for c in rest]
+            arrays = b.column("rest").flatten()
             arrays += [pa.array(out[name], pa.string() if kind == "string" else pa.int64()) for name, kind in types]
             yield pa.RecordBatch.from_arrays(arrays, names=[*rest, *out])
 
-    result = joined.select(*rest, "text__", "items").mapInArrow(finish, schema)
+    result = joined.select("rest", "text", "items").mapInArrow(finish, schema)
     return result.select(*docs.columns) if with_text and "n_chars" in docs.columns else result

@@ -24,6 +24,7 @@ import functools
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -35,11 +36,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .common import slices, written
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
-CHUNK = 16_384
+CHUNK = 32_768
 CHUNKS_PER_BLOCK = 64
 SPACE = "▁"
-MAX_CACHED_WORDS = 300_000
+MAX_CACHED_WORDS = 500_000
 NEVER = -(1 << 60)
+_NONE = object()
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -74,38 +76,41 @@ class Lattice:
         self.score = {p: int(s) if s > -1e8 else least - 1 for p, s in scores.items()}
         self.unknown = least - 10
         self.longest = max(map(len, self.ids))
-        self.heads = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        # Score of each piece, None for what only begins one.
+        self.prefix: dict[str, int | None] = {p[:k]: None for p in self.ids for k in range(1, len(p))}
+        self.prefix.update(self.score)
         # No piece joins a character to a following space mark: words are separate.
         self.by_words = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
-        self.words: dict[str, tuple[bytes, int]] = {}
+        self.words: dict[str, bytes] = {}
+        self.word_scores: dict[str, int] = {}
 
     def normalise(self, text: str) -> str:
         return SPACE + text.replace(" ", SPACE) if text else ""
 
-    def edges(self, s: str, i: int) -> Iterator[tuple[int, int]]:
-        """``(end, score)`` of what may start at place i of s."""
-        score, heads, n = self.score, self.heads, len(s)
-        if s[i] not in score:
-            yield i + 1, self.unknown
-        j = i + 1
-        while j <= n and s[i:j] in heads:
-            if s[i:j] in score:
-                yield j, score[s[i:j]]
-            j += 1
-
     def forward(self, s: str, start: list[int], stop: int) -> tuple[list[int], list[int]]:
         """Best scores of places and the piece starts they come from (-1: entered), for
         pieces that start before ``stop``; ``start`` gives the scores of the first places."""
-        best = [NEVER] * (len(s) + 1)
-        back = [-1] * (len(s) + 1)
+        n = len(s)
+        best = [NEVER] * (n + 1)
+        back = [-1] * (n + 1)
         best[:len(start)] = start
+        get, none, reach, unknown = self.prefix.get, _NONE, self.longest, self.unknown
         for i in range(stop):
             b = best[i]
-            if b > NEVER:
-                for j, w in self.edges(s, i):
-                    if b + w > best[j]:  # an earlier start wins ties
-                        best[j] = b + w
-                        back[j] = i
+            if b == NEVER:
+                continue
+            w = get(s[i], none)
+            w = b + (unknown if w is none or w is None else w)
+            if w > best[i + 1]:  # an earlier start wins ties
+                best[i + 1] = w
+                back[i + 1] = i
+            for j in range(i + 2, min(n, i + reach) + 1):
+                w = get(s[i:j], none)
+                if w is none:  # no piece begins like this
+                    break
+                if w is not None and b + w > best[j]:
+                    best[j] = b + w
+                    back[j] = i
         return best, back
 
     def piece_ids(self, s: str, i: int, j: int) -> list[int]:
@@ -121,26 +126,41 @@ class Lattice:
         return [x for p in reversed(out) for x in p], at
 
     def word(self, s: str) -> tuple[bytes, int]:
-        found = self.words.get(s)
-        if found is None:
-            best, back = self.forward(s, [0], len(s))
-            found = np.array(self.trace(s, back, len(s))[0], dtype="<u4").tobytes(), best[-1]
-            if len(self.words) < MAX_CACHED_WORDS and len(s) <= 64:
-                self.words[s] = found
-        return found
-
-    def encode(self, text: str) -> tuple[bytes, int]:
-        """Ids (little-endian 32-bit) and total score of a whole text."""
-        s = self.normalise(text)
-        if not s:
-            return b"", 0
-        parts = _WORDS.findall(s) if self.by_words else [s]
-        found = list(map(self.word, parts))
-        return b"".join([x for x, _ in found]), sum([w for _, w in found])
+        best, back = self.forward(s, [0], len(s))
+        return np.array(self.trace(s, back, len(s))[0], dtype="<u4").tobytes(), best[-1]
+
+    def encode_many(self, texts: list[str]) -> list[tuple[bytes, int]]:
+        """Ids (little-endian 32-bit) and total score of whole texts. Each word that is not
+        held is searched once per call."""
+        split = []
+        for t in texts:
+            if not t:
+                split.append([])
+            elif not self.by_words:
+                split.append([self.normalise(t)])
+            else:
+                ws = t.split(" ")
+                if "" in ws or SPACE in t:
+                    ws = _WORDS.findall(self.normalise(t))
+                else:
+                    ws = [SPACE + w for w in ws]
+                split.append(ws)
+        ids, scores = self.words, self.word_scores
+        new: set[str] = set()
+        for ws in split:
+            new.update(filterfalse(ids.__contains__, ws))
+        full = len(ids) >= MAX_CACHED_WORDS
+        for w in new:
+            ids[w], scores[w] = self.word(w)
+        out = [(b"".join(map(ids.__getitem__, ws)), sum(map(scores.__getitem__, ws))) for ws in split]
+        for w in new:
+            if full or len(w) > 64:
+                del ids[w], scores[w]
+        return out
 
     def decode(self, ids: bytes) -> str:
         table = self.decoded
-        raw = b"".join([table[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+        raw = b"".join(map(table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
         return raw.decode("utf-8", "replace")[1:]
 
     def transfer(self, s: str, stop: int) -> np.ndarray:
@@ -158,7 +178,7 @@ class Lattice:
                 out[i, :n] = best[stop:stop + n]
             return out
         first, last = cuts[0], cuts[-1]
-        middle = sum(self.word(w)[1] for w in _WORDS.findall(s[first:last]))
+        middle = self.encode_many([s[first + 1:last].replace(SPACE, " ")])[0][1]
         tail, _ = self.forward(s[last:], [0], stop - last)
         for i in range(m):
             head, _ = self.forward(s[:first], [NEVER] * i + [0], first)
@@ -183,7 +203,7 @@ def _short(path: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattice(path)
         for b in slices(batches):
-            found = [lat.encode(t) for t in b.column("text").to_pylist()]
+            found = lat.encode_many(b.column("text").to_pylist())
             yield pa.RecordBatch.from_pydict({
                 "row": b.column("row"), "part": pa.array([0] * len(found), pa.int32()),
                 "ids": pa.array([x for x, _ in found], pa.binary()), "score": pa.array([w for _, w in found], pa.int64())})
