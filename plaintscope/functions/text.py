@@ -39,13 +39,13 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 # A term is noise if one of its words is all x's (masked text) or it has a digit.
 NOISE_PATTERN = r"(?i)(^| )x{2,}( |$)|\p{Nd}"
 
-# Redaction patterns with ASCII word boundaries. ASCII_B is the ASCII
-# word boundary spelled with look-arounds (Java's own \b is Unicode-aware on JDK 17).
-ASCII_B = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
-EMAIL_BODY = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+\.[A-Za-z0-9_.-]+"
-NUMBER_BODY = r"(?:\+?[0-9][0-9 \t\n\f\r().-]{7,}[0-9])"
-EMAIL_PATTERN = ASCII_B + EMAIL_BODY + ASCII_B
-NUMBER_PATTERN = ASCII_B + NUMBER_BODY + ASCII_B
+# Redaction in any script: a word character is a letter, mark, number or underscore. An
+# address starts and ends at a word character; a number is nine or more digits, blanks and
+# number signs between two digits, not joined to a word.
+WORD = r"\p{L}\p{M}\p{N}_"
+EMAIL_PATTERN = rf"[{WORD}][{WORD}.+-]*@[{WORD}-]+\.[{WORD}.-]*[{WORD}]"
+NUMBER_BODY = r"\p{Nd}[\p{Nd}\p{Z}\t\n\x0B\f\r().-]{7,}\p{Nd}"
+NUMBER_PATTERN = rf"(?<![{WORD}]){NUMBER_BODY}(?![{WORD}])"
 EMAIL_MASK = "[EMAIL REMOVED]"
 NUMBER_MASK = "[NUMBER REMOVED]"
 

@@ -22,9 +22,11 @@ def parse_answer(json_text, schema=THEME_ANSWER_SCHEMA) -> Column:
 
 
 def answer_problems(answer: Column, schema=THEME_ANSWER_SCHEMA) -> Column:
-    """List of problems: missing fields, urgency outside the enum, confidence outside 0..1."""
+    """List of problems: missing fields, nulls in lists, urgency outside the enum, confidence outside 0..1."""
     checks = [F.when(answer.isNull() | answer.getField(f.name).isNull(), F.lit(f"missing {f.name}"))
               for f in schema.fields]
+    checks += [F.when(F.exists(answer.getField(f.name), lambda x: x.isNull()), F.lit(f"null in {f.name}"))
+               for f in schema.fields if f.dataType.typeName() == "array"]
     checks.append(F.when(~answer.getField("urgency").isin(*URGENCY_LEVELS), F.lit("bad urgency")))
     checks.append(F.when(~answer.getField("confidence").between(0.0, 1.0), F.lit("bad confidence")))
     return F.filter(F.array(*checks), lambda x: x.isNotNull())

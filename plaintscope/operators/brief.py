@@ -17,14 +17,18 @@ from .signals import severity_rank
 
 LINE_COLUMNS = ("section", "severity", "z_order", "item", "sub", "line")
 
-# Our own fixed report text.
-TITLE = "# Complaint Early-Warning Brief"
-EXCLUSION_NOTE = "Dates still inside the publication lag are left out of anomaly decisions."
-METHOD_NOTES = (
-    "Alerts compare each week with a rolling baseline of the preceding weeks, using "
-    "week-over-week growth and a z-score. Volumes are not adjusted for company size.",
-    "Themes compare the latest seven days with narratives against the 28 days before them.",
-)
+# Report text.
+TITLE = "# Complaint watch report"
+SUMMARY = ("## Alert counts", "", "| level | alerts |", "| --- | ---: |")
+PRODUCTS = ("", "## Products on their last settled day", "",
+            "| product | complaints | 28-day mean | change on last week, % | level |", "| --- | ---: | ---: | ---: | --- |")
+ALERTS = ("", "## Alerts, gravest first", "", "| week | company | product | level | z | why |", "| --- | --- | --- | --- | ---: | --- |")
+THEMES = ("", "## Phrases on the rise", "")
+READING = ("## Reading guide", "",
+           "* z: distance of a week from the mean of the four weeks before it, in their standard deviations.",
+           "* Counts are raw: a large company has more complaints of any kind.",
+           "* Days that publishers may still fill up are not judged.",
+           "* A phrase rises when its share of last week's narratives exceeds its share in the four weeks before.")
 
 
 def _line(section: int, item, sub, text, severity=None, z=None) -> list[Column]:
@@ -42,6 +46,14 @@ def _st(sub, text) -> Column:
     return F.struct(sub.cast("int").alias("sub"), text.alias("t"))
 
 
+def _row(*cells: Column) -> Column:
+    """A table row; a missing cell shows a dash."""
+    out = [F.lit("|")]
+    for c in cells:
+        out += [F.lit(" "), F.coalesce(c, F.lit("-")), F.lit(" |")]
+    return F.concat(*out)
+
+
 def _fixed(anchor: DataFrame, section: int, texts, item: str = "", start: int = 0) -> DataFrame:
     rows = F.array(*[_st(start + i, t) for i, t in enumerate(texts)])
     return anchor.select(F.inline(rows)).select(*_line(section, item, F.col("sub"), F.col("t")))
@@ -60,51 +72,39 @@ def brief_lines(alerts: DataFrame, product_status: DataFrame, themes: DataFrame,
     header = one.select(F.inline(F.array(
         _st(0, TITLE),
         _st(1, F.lit("")),
-        _st(2, F.concat(F.lit("**Latest complete data:** "), report_day.cast("string"))),
+        _st(2, F.concat(F.lit("Settled up to "), report_day.cast("string"))),
         _st(3, F.lit(""))))).select(*_line(1, "", F.col("sub"), F.col("t")))
-    summary_text = F.concat(
-        F.lit("The monitor found **"), F.col("n").cast("string"),
-        F.lit(" company-level signals in the complete monitoring period**: **"),
-        F.col("c").cast("string"), F.lit(" critical**, **"), F.col("w").cast("string"),
-        F.lit(" warning** and **"), F.col("v").cast("string"), F.lit(" watch**."))
-    summary = counts.select(F.inline(F.array(
-        _st(0, "## Executive summary"),
-        _st(1, F.lit("")),
-        _st(2, summary_text),
-        _st(3, F.lit("")),
-        _st(4, F.lit(EXCLUSION_NOTE)),
-        _st(5, F.lit(""))))).select(*_line(2, "", F.col("sub"), F.col("t")))
-    prod_head = _fixed(one, 3, ["## Product overview", ""])
-    prod_lines = product_status.select(*_line(
-        3, F.col("product"), 10,
-        F.concat(F.lit("- **"), F.col("product"), F.lit("**: "), F.col("complaint_count").cast("string"),
-                 F.lit(" complaints against a 28-day baseline of "), dec2_text("rolling_28_day_average"),
-                 F.lit("; weekly change "), F.coalesce(dec2_text("week_over_week_growth"), F.lit("n/a")),
-                 F.lit("%; status: "), F.col("alert_level"), F.lit("."))))
-    alert_head = _fixed(one, 4, ["", "## Company risk alerts", ""], item="")
+    summary_head = _fixed(one, 2, SUMMARY)
+    summary = counts.select(F.inline(F.array(*[
+        _st(10 + i, F.concat(F.lit(f"| {name} | "), F.col(c).cast("string"), F.lit(" |")))
+        for i, (name, c) in enumerate([*zip(ALERT_LEVELS, ("c", "w", "v")), ("all", "n")])]))).select(
+        *_line(2, "", F.col("sub"), F.col("t")))
+    prod_head = _fixed(one, 3, PRODUCTS)
+    prod_lines = product_status.select(*_line(3, F.col("product"), 10, _row(
+        F.col("product"), F.col("complaint_count").cast("string"), dec2_text("rolling_28_day_average"),
+        dec2_text("week_over_week_growth"), F.col("alert_level"))))
+    alert_head = _fixed(one, 4, ALERTS)
     alert_lines = alerts.select(*_line(
         4, F.concat_ws("|", F.col("alert_date").cast("string"), "product", "company"), 10,
-        F.concat(F.lit("- **"), F.col("alert_level"), F.lit(" - "), F.col("company"), F.lit("** ("),
-                 F.col("alert_date").cast("string"), F.lit("): "),
-                 F.coalesce(F.col("alert_explanation"), F.lit("")), F.lit(" Z-score: "),
-                 F.coalesce(F.col("anomaly_z_score").cast("string"), F.lit("n/a")), F.lit(".")),
+        _row(F.col("alert_date").cast("string"), F.col("company"), F.col("product"), F.col("alert_level"),
+             F.col("anomaly_z_score").cast("string"), F.col("alert_explanation")),
         severity=severity_rank(F.col("alert_level")),
         z=-F.coalesce(F.col("anomaly_z_score"), F.lit(0.0))))
-    theme_head = _fixed(one, 5, ["", "## Emerging complaint themes", ""])
+    theme_head = _fixed(one, 5, THEMES)
     w = Window.partitionBy("product").orderBy("theme_rank")
     top = (themes.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= per_product_themes))
     products = top.select("product").distinct()
     prod_titles = products.select(F.col("product"), F.inline(F.array(
-        _st(0, F.concat(F.lit("### "), F.col("product"))),
+        _st(0, F.concat(F.lit("**"), F.col("product"), F.lit("**"))),
         _st(1, F.lit("")),
         _st(99, F.lit(""))))).select(*_line(6, F.col("product"), F.col("sub"), F.col("t")))
     theme_lines = top.select(*_line(
         6, F.col("product"), F.col("_k") + 1,
-        F.concat(F.lit("- **"), F.col("term"), F.lit("**: "), F.col("recent_mentions").cast("string"),
-                 F.lit(" recent mentions; growth "),
-                 F.coalesce(dec2_text("growth_rate_percent"), F.lit("n/a")), F.lit("%."))))
-    method = _fixed(one, 7, ["## Methodology note", "", METHOD_NOTES[0], "", METHOD_NOTES[1]])
-    parts = [header, summary, prod_head, prod_lines, alert_head, alert_lines, theme_head,
+        F.concat(F.col("_k").cast("string"), F.lit(". "), F.col("term"), F.lit(" (in "),
+                 F.col("recent_mentions").cast("string"), F.lit(" narratives, share up "),
+                 F.coalesce(dec2_text("growth_rate_percent"), F.lit("-")), F.lit(" %)"))))
+    method = _fixed(one, 7, READING)
+    parts = [header, summary_head, summary, prod_head, prod_lines, alert_head, alert_lines, theme_head,
              prod_titles, theme_lines, method]
     out = parts[0]
     for p in parts[1:]:
@@ -118,5 +118,6 @@ def brief_text(lines: DataFrame) -> DataFrame:
 
 
 def write_brief(lines: DataFrame, path: str) -> None:
-    """One Markdown file: the sorted lines through a single writer task (a few KB)."""
-    (brief_text(lines).coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path))
+    """Markdown part files whose names follow the report order: the sort range-partitions
+    the lines, so a long alert history is sorted and written by many tasks."""
+    brief_text(lines).write.mode("overwrite").option("lineSep", "\n").text(path)

@@ -48,8 +48,10 @@ def class_counts(usable: DataFrame) -> DataFrame:
 
 def eligible_rows(usable: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
     """T10 + D4: rows of classes with at least `min_class_size` usable narratives."""
-    big = class_counts(usable).where(F.col("records") >= th.min_class_size).select("issue")
-    return usable.join(big, "issue", "left_semi")
+    # One row per class: broadcast behind its measured size, so no narrative is shuffled
+    # on a label with few values.
+    big = cut_lineage(class_counts(usable).where(F.col("records") >= th.min_class_size).select("issue"))
+    return usable.join(bounded_broadcast(big), "issue", "left_semi")
 
 
 def _bp(th: Thresholds) -> int:
@@ -96,7 +98,7 @@ def stratified_split(eligible: DataFrame, th: Thresholds = DEFAULTS) -> DataFram
                   & (F.col("_cum") >= F.col("test_quota")))
            .select("issue", F.col("_b").alias("_edge"),
                    (F.col("test_quota") - (F.col("_cum") - F.col("_n"))).alias("_need")))
-    marked = keyed.join(cum, "issue", "left")
+    marked = keyed.join(bounded_broadcast(cut_lineage(cum)), "issue", "left")
     below = F.col("_edge").isNotNull() & (F.col("_b") < F.col("_edge"))
     at_edge = F.col("_edge").isNotNull() & (F.col("_b") == F.col("_edge"))
     edge_rows = marked.where(at_edge)

@@ -1,9 +1,10 @@
 """Cleaning, keep-last dedup and keyed upsert.
 
-Scale notes: dedup and upsert are one hash aggregate on the key with
+Scale notes: dedup and upsert are one aggregate on the key with
 ``max_by(struct(row), order)``; ``max_by`` aggregates partially on the map side,
-so a key repeated millions of times is collapsed before the shuffle instead of
-being sorted inside one task. The whole-row struct travels once per key.
+so a key repeated millions of times is collapsed before the shuffle. Spark plans it as
+a sort aggregate (a struct with strings is no mutable buffer), so rows are sorted by key
+before and after the exchange; the whole-row struct travels once per key and task.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..schema import COMPLAINT_SCHEMA, DATE_COLUMNS, LOAD_COLUMNS, REQUIRED_COLUMNS, TRIMMED_COLUMNS
 from ..functions.scalar import blank_to_null
-from ..session import BROADCAST_MAX_ROWS, cut_lineage
+from ..session import BROADCAST_MAX_ROWS, bounded_broadcast, cut_lineage
 
 # Timestamp layouts accepted for date text (tried in order).
 TIMESTAMP_PATTERNS = (
@@ -24,6 +25,11 @@ TIMESTAMP_PATTERNS = (
     "yyyy-MM-dd'T'HH:mm:ss'Z'",
     "yyyy-MM-dd",
     "MM/dd/yyyy",
+    # Fractional seconds of up to nine digits, and text without seconds.
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS[XXX]",
+    "yyyy-MM-dd HH:mm:ss.SSSSSSSSS[XXX]",
+    "yyyy-MM-dd'T'HH:mm[XXX]",
+    "yyyy-MM-dd HH:mm[XXX]",
 )
 
 
@@ -49,6 +55,12 @@ def coerce_timestamp(c) -> Column:
     return parsed.cast("timestamp_ntz")
 
 
+def whole_number(text: Column) -> Column:
+    """Text of a whole number within 64 bits, exactly ('7', '7.0', '7e2'); else NULL."""
+    exact = text.try_cast("decimal(38,10)")
+    return F.when(exact == F.floor(exact), F.floor(exact).try_cast("bigint"))
+
+
 def standardize(df: DataFrame) -> DataFrame:
     """B2-B4 on a name-normalised raw frame: typed id and dates, trimmed text.
 
@@ -59,7 +71,7 @@ def standardize(df: DataFrame) -> DataFrame:
         c = F.col(name)
         if name == "complaint_id":
             c = F.regexp_replace(c.cast("string"), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-            c = F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+            c = whole_number(c)
         elif name in DATE_COLUMNS:
             c = coerce_timestamp(c)
         elif name in TRIMMED_COLUMNS:
@@ -154,11 +166,11 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
     boolean Column over ``incoming``) excludes rejected batch rows inside the
     aggregate rather than by a Filter.
 
-    Only existing rows whose key occurs in the batch can change. When the batch's
-    distinct keys are measured to fit ``max_broadcast_keys``, they are broadcast:
-    every other existing row passes through a map-side anti-join untouched (no
-    shuffle of the table), and only the touched rows meet the batch in the keyed
-    aggregate. Above the bound the whole table goes through that one aggregate.
+    Only existing rows whose key occurs in the batch can change: every other row,
+    repeated or not, passes through an anti-join untouched, and only the touched rows
+    meet the batch in the keyed aggregate. When the batch's distinct keys are measured
+    to fit ``max_broadcast_keys`` both joins are map-side (no shuffle of the table);
+    above the bound they are shuffle joins with the same result.
 
     The result is a new DataFrame; write it to a new location and switch readers
     over on success (all-or-nothing, the input is never overwritten in place).
@@ -170,9 +182,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
     # The batch's distinct keys are written once (keys only): the size check and the
     # broadcast read them instead of re-evaluating the batch.
     keys = cut_lineage(incoming.select(F.col(key).alias("_key")).distinct())
-    if keys.limit(max_broadcast_keys + 1).count() > max_broadcast_keys:
-        return _merge(old, incoming, key, cols, seq, batch_ts, valid)
-    bk = F.broadcast(keys)
+    bk = bounded_broadcast(keys, max_broadcast_keys)
     hit = old[key].eqNullSafe(bk["_key"])  # NULL keys group together, as in the aggregate
     untouched = old.join(bk, hit, "left_anti")
     touched = old.join(bk, hit, "left_semi")

@@ -24,7 +24,9 @@ def duplicate_key_count(df: DataFrame, key: str) -> DataFrame:
 def row_digest(df: DataFrame):
     """SHA-256 of the row in a canonical JSON form (NULL fields omitted, so NULL and
     '' differ, and column order is fixed)."""
-    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256)
+    # The default timestamp text stops at milliseconds.
+    whole = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), whole), 256)
 
 
 def duplicate_row_count(df: DataFrame, key: str | None = None) -> DataFrame:

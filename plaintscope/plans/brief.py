@@ -29,33 +29,30 @@ cnt AS (SELECT count(*) AS n, count(*) FILTER (WHERE alert_level = 'Critical') A
                count(*) FILTER (WHERE alert_level = 'Watch') AS v FROM al),
 top AS (SELECT *, row_number() OVER (PARTITION BY product ORDER BY theme_rank) AS k FROM th
         QUALIFY k <= 5)
-{_sql_fixed(1, [B.TITLE, ""])}
-UNION ALL SELECT 1, 0, 0.0, '', 2, '**Latest complete data:** '
+{_sql_fixed(1, ["# Complaint watch report", ""])}
+UNION ALL SELECT 1, 0, 0.0, '', 2, 'Settled up to '
    || CAST(coalesce((SELECT max(complaint_date) FROM ps), current_date) AS VARCHAR)
 UNION ALL {_sql_fixed(1, [""], start=3)}
-UNION ALL {_sql_fixed(2, ["## Executive summary", ""])}
-UNION ALL SELECT 2, 0, 0.0, '', 2, 'The monitor found **' || CAST(n AS VARCHAR)
-   || ' company-level signals in the complete monitoring period**: **' || CAST(c AS VARCHAR)
-   || ' critical**, **' || CAST(w AS VARCHAR) || ' warning** and **' || CAST(v AS VARCHAR) || ' watch**.' FROM cnt
-UNION ALL {_sql_fixed(2, ["", B.EXCLUSION_NOTE, ""], start=3)}
-UNION ALL {_sql_fixed(3, ["## Product overview", ""])}
-UNION ALL SELECT 3, 0, 0.0, product, 10, '- **' || product || '**: ' || CAST(complaint_count AS VARCHAR)
-   || ' complaints against a 28-day baseline of ' || {sql_dec2('rolling_28_day_average')}
-   || '; weekly change ' || coalesce({sql_dec2('week_over_week_growth')}, 'n/a') || '%; status: '
-   || alert_level || '.' FROM ps
-UNION ALL {_sql_fixed(4, ["", "## Company risk alerts", ""])}
+UNION ALL {_sql_fixed(2, B.SUMMARY)}
+UNION ALL SELECT 2, 0, 0.0, '', 10 + i, '| ' || name || ' | ' || CAST(k AS VARCHAR) || ' |' FROM (
+  SELECT 0 AS i, 'Critical' AS name, c AS k FROM cnt UNION ALL SELECT 1, 'Warning', w FROM cnt
+  UNION ALL SELECT 2, 'Watch', v FROM cnt UNION ALL SELECT 3, 'all', n FROM cnt) levels
+UNION ALL {_sql_fixed(3, B.PRODUCTS)}
+UNION ALL SELECT 3, 0, 0.0, product, 10, '| ' || product || ' | ' || CAST(complaint_count AS VARCHAR) || ' | '
+   || coalesce({sql_dec2('rolling_28_day_average')}, '-') || ' | ' || coalesce({sql_dec2('week_over_week_growth')}, '-')
+   || ' | ' || coalesce(alert_level, '-') || ' |' FROM ps
+UNION ALL {_sql_fixed(4, B.ALERTS)}
 UNION ALL SELECT 4, CASE alert_level WHEN 'Critical' THEN 1 WHEN 'Warning' THEN 2 WHEN 'Watch' THEN 3 ELSE 0 END,
    -coalesce(anomaly_z_score, 0.0), concat_ws('|', CAST(alert_date AS VARCHAR), product, company), 10,
-   '- **' || alert_level || ' - ' || company || '** (' || CAST(alert_date AS VARCHAR) || '): '
-   || coalesce(alert_explanation, '') || ' Z-score: ' || coalesce(CAST(anomaly_z_score AS VARCHAR), 'n/a') || '.'
-   FROM al
-UNION ALL {_sql_fixed(5, ["", "## Emerging complaint themes", ""])}
+   '| ' || CAST(alert_date AS VARCHAR) || ' | ' || company || ' | ' || product || ' | ' || alert_level || ' | '
+   || coalesce(CAST(anomaly_z_score AS VARCHAR), '-') || ' | ' || coalesce(alert_explanation, '-') || ' |' FROM al
+UNION ALL {_sql_fixed(5, B.THEMES)}
 UNION ALL SELECT 6, 0, 0.0, product, s, t FROM (SELECT DISTINCT product FROM top) p,
-   (VALUES (0, NULL), (1, ''), (99, '')) v(s, t0), LATERAL (SELECT coalesce(t0, '### ' || product) AS t)
-UNION ALL SELECT 6, 0, 0.0, product, CAST(k + 1 AS INTEGER), '- **' || term || '**: '
-   || CAST(recent_mentions AS VARCHAR) || ' recent mentions; growth '
-   || coalesce({sql_dec2('growth_rate_percent')}, 'n/a') || '%.' FROM top
-UNION ALL {_sql_fixed(7, ["## Methodology note", "", B.METHOD_NOTES[0], "", B.METHOD_NOTES[1]])}"""
+   (VALUES (0, NULL), (1, ''), (99, '')) v(s, t0), LATERAL (SELECT coalesce(t0, '**' || product || '**') AS t)
+UNION ALL SELECT 6, 0, 0.0, product, CAST(k + 1 AS INTEGER), CAST(k AS VARCHAR) || '. ' || term || ' (in '
+   || CAST(recent_mentions AS VARCHAR) || ' narratives, share up '
+   || coalesce({sql_dec2('growth_rate_percent')}, '-') || ' %)' FROM top
+UNION ALL {_sql_fixed(7, B.READING)}"""
 
 
 def lines(spark, sf, text_sf=None):

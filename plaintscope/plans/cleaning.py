@@ -73,8 +73,8 @@ def _std_col(raw_name: str) -> str:
     name = C.normalize_name(raw_name)
     if name == "complaint_id":
         t = f"regexp_replace(\"{raw_name}\", {_TRIM}, '', 'g')"
-        return (f"COALESCE(TRY_CAST({t} AS BIGINT), TRY_CAST(TRY_CAST({t} AS DOUBLE) AS BIGINT))"
-                f" AS complaint_id")
+        d = f"TRY_CAST({t} AS DECIMAL(38, 10))"
+        return f"CASE WHEN {d} = floor({d}) THEN TRY_CAST(floor({d}) AS BIGINT) END AS complaint_id"
     if name in ("date_received", "date_sent_to_company"):
         return f"{_ts(raw_name)} AS {name}"
     if name in TRIMMED_COLUMNS:

@@ -36,9 +36,13 @@ def sql_pairs(lst: str) -> str:
 
 
 def sql_redact(t: str, n: int | None) -> str:
-    b = r"\b"
-    e = f"regexp_replace({t}, '{b}{X.EMAIL_BODY}{b}', '{X.EMAIL_MASK}', 'g')"
-    r = f"regexp_replace({e}, '{b}{X.NUMBER_BODY}{b}', '{X.NUMBER_MASK}', 'g')"
+    # Written out here, not taken from the package. No look-around: the characters beside
+    # a number are captured, so a second pass finds numbers one character apart.
+    w = r"\p{L}\p{M}\p{N}_"
+    r = f"regexp_replace({t}, '[{w}][{w}.+-]*@[{w}-]+\\.[{w}.-]*[{w}]', '[EMAIL REMOVED]', 'g')"
+    number = rf"(^|[^{w}])\p{{Nd}}[\p{{Nd}}\p{{Z}}\t\n\x0B\f\r().-]{{7,}}\p{{Nd}}($|[^{w}])"
+    for _ in range(2):
+        r = f"regexp_replace({r}, '{number}', '\\1[NUMBER REMOVED]\\2', 'g')"
     return f"substring({r}, 1, {n})" if n else r
 
 
@@ -230,7 +234,8 @@ def q_prompts(spark, sf):
 @register("redact_pii", f"""
 WITH {DOCS_CTE}
 SELECT complaint_id, {sql_redact('consumer_complaint_narrative', DEFAULTS.theme_text_chars)} AS redacted_text,
-       length({sql_redact('consumer_complaint_narrative', None)}) AS redacted_chars
+       length({sql_redact('consumer_complaint_narrative', None)}) AS redacted_chars,
+       md5({sql_redact('consumer_complaint_narrative', None)}) AS redacted_md5
 FROM d WHERE consumer_complaint_narrative IS NOT NULL""")
 def q_redact(spark, sf):
     d = docs(spark, sf).where(F.col("consumer_complaint_narrative").isNotNull())
@@ -238,7 +243,8 @@ def q_redact(spark, sf):
                     X.redact("consumer_complaint_narrative", DEFAULTS.theme_text_chars)
                     .alias("redacted_text"),
                     F.length(X.redact("consumer_complaint_narrative")).cast("bigint")
-                    .alias("redacted_chars"))
+                    .alias("redacted_chars"),
+                    F.md5(X.redact("consumer_complaint_narrative")).alias("redacted_md5"))
 
 
 @register("first_narrative_prompt", f"""

@@ -1,7 +1,7 @@
 """Raw complaint extracts: delimited scan, null tokens, extraction grid, chunk union.
 
 A1/A2: the CSV reader takes an explicit all-string schema (no inference pass),
-handles quoted multi-line narratives, and is splittable per file. Typed parsing
+handles quoted multi-line narratives, and runs one task per file. Typed parsing
 happens in ``operators.clean`` so bad text becomes NULL instead of failing the scan.
 """
 
@@ -16,15 +16,43 @@ from ..config import NULL_TOKENS
 from ..schema import RAW_HEADER, raw_schema
 
 
-def read_complaints(spark: SparkSession, path, header=RAW_HEADER) -> DataFrame:
-    """A1: header CSV with quoted fields and embedded newlines, every column text."""
-    return (spark.read
-            .schema(raw_schema(header))
-            .option("header", True)
-            .option("multiLine", True)
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+CORRUPT = "_corrupt_record"
+
+
+def _csv(spark: SparkSession):
+    return (spark.read.option("header", True).option("multiLine", True)
+            .option("escape", '"').option("mode", "PERMISSIVE"))
+
+
+def read_complaints(spark: SparkSession, path, header=RAW_HEADER, keep_corrupt: bool = False) -> DataFrame:
+    """A1: header CSV with quoted fields and embedded newlines, every column text.
+
+    Columns are found by name: each file's own header is read, files of one header are
+    scanned together, and the wanted columns are projected in the order of ``header``
+    (compared without case and outer blanks). Other columns are dropped; a file that lacks
+    a wanted column is an error. ``keep_corrupt`` adds the text of records with too few or
+    too many fields as ``_corrupt_record`` (NULL for sound ones). A quoted newline may stand
+    anywhere, so one file is one task: convert large extracts to Parquet once.
+    """
+    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in sorted(files):
+        names = tuple(_csv(spark).csv(f).columns)
+        if names:
+            groups.setdefault(names, []).append(f)
+    if not groups:
+        return spark.createDataFrame([], raw_schema(tuple(header) + ((CORRUPT,) if keep_corrupt else ())))
+    parts = []
+    for names, paths in groups.items():
+        at = {n.strip().lower(): i for i, n in reversed(list(enumerate(names)))}
+        missing = [h for h in header if h.strip().lower() not in at]
+        if missing:
+            raise ValueError(f"{paths[0]}: no column {', '.join(missing)}")
+        own = [f"c{i}" for i in range(len(names))]
+        df = _csv(spark).schema(raw_schema((*own, CORRUPT))).option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
+        cols = [F.col(own[at[h.strip().lower()]]).alias(h) for h in header]
+        parts.append(df.select(*cols, *([CORRUPT] if keep_corrupt else [])))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def normalize_nulls(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:

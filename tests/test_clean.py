@@ -85,6 +85,53 @@ def test_upsert(spark, max_keys):
     assert out[None].state == "WA" and out[None].ingested_at == t1  # NULL keys match each other
 
 
+@pytest.mark.parametrize("max_keys", [200_000, 0])
+def test_upsert_leaves_repeated_stored_keys_alone(spark, max_keys):
+    t = dt.datetime(2026, 1, 1)
+    existing = spark.createDataFrame([(1, "a", t), (1, "b", t), (None, "c", t), (None, "d", t), (3, "e", t), (2, "f", t)],
+                                     "complaint_id bigint, state string, ingested_at timestamp_ntz")
+    incoming = spark.createDataFrame([(2, "new", 1)], "complaint_id bigint, state string, seq int")
+    out = C.upsert(existing, incoming, seq="seq", batch_ts="2026-02-01 00:00:00", max_broadcast_keys=max_keys)
+    assert sorted(r.state for r in out.collect()) == ["a", "b", "c", "d", "e", "new"]
+
+
+def test_ids_are_exact_or_null(spark):
+    texts = ["7", " 7.0 ", "12.7", "9007199254740993.0", "12345678901234567", "99999999999999999999", "x", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, complaint_id string")
+    got = [r.complaint_id for r in C.standardize(df).orderBy("i").collect()]
+    assert got == [7, 7, None, 9007199254740993, 12345678901234567, None, None, None]
+
+
+def test_fractional_and_minute_dates(spark):
+    texts = ["2026-08-08T00:00:00.000Z", "2026-08-08 10:11:12.5", "2026-08-08T10:11", "2026-08-08 10:11:12.123456+02:00"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.d for r in df.select("i", C.coerce_timestamp("t").alias("d")).orderBy("i").collect()]
+    assert got == [dt.datetime(2026, 8, 8), dt.datetime(2026, 8, 8, 10, 11, 12, 500000), dt.datetime(2026, 8, 8, 10, 11),
+                   dt.datetime(2026, 8, 8, 8, 11, 12, 123456)]
+
+
+def test_rows_a_microsecond_apart_are_no_duplicates(spark):
+    df = spark.createDataFrame([(1, dt.datetime(2026, 1, 1, 0, 0, 0, 1)), (1, dt.datetime(2026, 1, 1, 0, 0, 0, 2))],
+                               "complaint_id bigint, d timestamp_ntz")
+    assert Q.duplicate_row_count(df, "complaint_id").first()[0] == 0
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    from plaintscope.sources.complaints import read_complaints
+    names = list(RAW_HEADER)
+    back = names[::-1] + ["Extra"]
+    (tmp_path / "a.csv").write_text(",".join(names) + "\n" + ",".join(f"a{n}" for n in names).replace("\n", "") + "\n")
+    (tmp_path / "b.csv").write_text(",".join(back) + "\n" + ",".join(f"b{n}" for n in back) + "\nshort,row\n")
+    df = read_complaints(spark, str(tmp_path), keep_corrupt=True)
+    rows = {r[names[0]]: r for r in df.collect() if r["_corrupt_record"] is None}
+    assert [rows["a" + names[0]][n] for n in names] == [f"a{n}" for n in names]
+    assert [rows["b" + names[0]][n] for n in names] == [f"b{n}" for n in names]
+    assert [r["_corrupt_record"] for r in df.collect() if r["_corrupt_record"]] == ["short,row"]
+    (tmp_path / "c.csv").write_text("Issue\nx\n")
+    with pytest.raises(ValueError):
+        read_complaints(spark, str(tmp_path))
+
+
 def test_union_chunks_and_dedup(spark):
     a = spark.createDataFrame([("1", "x", 1)], "id string, v string, o int")
     b = spark.createDataFrame([(2, "y", "1")], "o int, v string, id string")
@@ -148,9 +195,9 @@ def test_write_brief_orders_lines(spark, tmp_path):
     lines = B.brief_lines(alerts, status, themes)
     B.write_brief(lines, str(tmp_path / "brief"))
     text = "".join(p.read_text() for p in sorted((tmp_path / "brief").glob("part-*")))
-    assert text.startswith(B.TITLE + "\n\n**Latest complete data:** 2026-08-08\n")
-    assert "**1 critical**, **0 warning** and **1 watch**" in text
+    assert text.startswith(B.TITLE + "\n\nSettled up to 2026-08-08\n")
+    assert "| Critical | 1 |\n| Warning | 0 |\n| Watch | 1 |\n| all | 2 |\n" in text
     assert text.index("Co B") < text.index("Co A")                        # severity order
-    assert "- **Card**: 174 complaints against a 28-day baseline of 253.54; weekly change 21.68%" in text
-    assert "- **proof received**: 3 recent mentions; growth n/a%." in text
+    assert "| Card | 174 | 253.54 | 21.68 | Normal |" in text
+    assert "2. proof received (in 3 narratives, share up - %)" in text
     assert text.index("best buy") < text.index("proof received")

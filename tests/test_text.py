@@ -34,4 +34,8 @@ def test_redaction(spark):
     assert _one(spark, X.redact, "a.b+c@ex.com") == "[EMAIL REMOVED]"
     assert _one(spark, X.redact, "call +1 (555) 123-4567 ok") == "call +[NUMBER REMOVED] ok"
     assert _one(spark, X.redact, "12345678") == "12345678"
+    assert _one(spark, X.redact, "jos\u00e9@ex.com, m\u00fcller.k@ex.de") == "[EMAIL REMOVED], [EMAIL REMOVED]"
+    assert _one(spark, X.redact, "06\u00a012\u00a034\u00a056\u00a078") == "[NUMBER REMOVED]"
+    assert _one(spark, X.redact, "\u0660\u0661\u0662\u0663\u0664\u0665\u0666\u0667\u0668") == "[NUMBER REMOVED]"
+    assert _one(spark, X.redact, "0612345678,0712345678;0812345678") == "[NUMBER REMOVED],[NUMBER REMOVED];[NUMBER REMOVED]"
     assert _one(spark, lambda c: X.redact(c, 5), "abcdefgh") == "abcde"
