@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plaintscope.llm.common import shared_folder, table
+from plaintscope.llm.common import prepare, shared_folder, table
 from plaintscope.llm.line_rules import keep_good
 from plaintscope.llm.ngram_join import near_duplicates
 from plaintscope.llm.packing import pack_pieces
@@ -14,19 +14,26 @@ from plaintscope.llm.toxicity import score_toxicity
 from plaintscope.session import apply_required, bounded_broadcast, cut_lineage
 
 
+# Worker processes go on from stage to stage, so packing keeps a small table of word ids.
+PACKING_WORDS = 100_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the word rules and keep enough lines."""
+    prepare(spark)
     return keep_good(docs)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic."""
+    prepare(spark)
     scored = score_toxicity(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
     return scored.where("predicted = 0").select(docs.columns)
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near duplicates."""
+    prepare(spark)
     groups = near_duplicates(docs)
     gone = cut_lineage(groups.where("doc_id <> component_id").select("doc_id").distinct())
     return docs.join(bounded_broadcast(gone), "doc_id", "left_anti").select(docs.columns)
@@ -34,12 +41,14 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of 100-byte strings that start earlier too."""
+    prepare(spark)
     return remove_repeats(docs, with_text=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 ids: one row per piece of a document."""
-    return pack_pieces(docs).drop("k")
+    prepare(spark)
+    return pack_pieces(docs, max_words=PACKING_WORDS).drop("k")
 
 
 STAGES = [

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,27 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+ARROW_ROWS = 2_000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Whole texts go to the workers a few megabytes at a time: smaller Arrow batches than
+    Spark's default of 10,000 rows, unless the session has its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
+def release_memory() -> None:
+    """Give freed memory back at a task's end: a worker process goes on to other operators."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches in slices, so that few texts at a time become Python objects."""
     for b in batches:

@@ -18,7 +18,7 @@ from itertools import filterfalse
 import numpy as np
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-MAX_CACHED_WORDS = 500_000
+MAX_CACHED_WORDS = 1_000_000
 MAX_WORD_CHARS = 64
 
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -35,7 +35,8 @@ def default_path(name: str = DEFAULT_TOKENIZER) -> str:
 class PieceEncoder:
     """``encode_many(texts)`` gives each text's ids as little-endian 32-bit bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_words: int = MAX_CACHED_WORDS):
+        self.max_words = max_words
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -103,13 +104,13 @@ class PieceEncoder:
                 words = words[:1] + [w[1:] for w in words[1:]]
             first.append(words[0])
             later.append(words[1:])
-        if self.missed > 16 * MAX_CACHED_WORDS:  # the texts have changed: start anew
+        if self.missed > max(16 * self.max_words, 4_000_000):  # the texts have changed: start anew
             self.words, self.tails, self.missed = {}, {}, 0
         table = self.words
         new: set[str] = set()
         for ws in later:
             new.update(filterfalse(table.__contains__, ws))
-        full = len(table) >= MAX_CACHED_WORDS
+        full = len(table) >= self.max_words
         learnt = self._learn(new)
         table.update(learnt)
         get = table.__getitem__
@@ -122,10 +123,10 @@ class PieceEncoder:
         return out
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
-    """One encoder per worker process and tokenizer file."""
-    return PieceEncoder(path)
+@functools.lru_cache(maxsize=1)
+def encoder(path: str, max_words: int = MAX_CACHED_WORDS) -> PieceEncoder:
+    """One encoder per worker process."""
+    return PieceEncoder(path, max_words)
 
 
 def text_groups(rows: Iterable[tuple], size: int = 2_000_000) -> Iterator[list[tuple]]:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from ..session import bounded_broadcast, cut_lineage
 from .common import connected_components, mix64, written
 from .shingles import column_sets
+from .suffix_family import _released
 
 LINK, OF = 75, 100  # OF * |x & y| >= LINK * |x | y|; the prefix lengths below fit 3 / 4
 SALT_MEMBERS = 256
@@ -61,6 +62,7 @@ def _fingerprint(s: np.ndarray) -> int:
 _PLACES = mix64(np.array([1, 2, 3], dtype=np.uint64))
 
 
+@_released
 def _post_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents (token spread by id, n set) and of first-order postings (n null)."""
     for b in batches:
@@ -104,6 +106,7 @@ def _shared(token: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return token, fp, np.empty(0, np.int64)
 
 
+@_released
 def _count_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents as they are; per class how many of its tokens here others post as well."""
     tokens, fps = [], []
@@ -124,6 +127,7 @@ def _count_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           "hits": hits.astype(np.int32)})
 
 
+@_released
 def _post_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fps = b.column("fp").to_numpy()
@@ -146,6 +150,7 @@ def _post_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out()
 
 
+@_released
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     t = pa.Table.from_batches(list(batches), schema=_POSTING)
     size = dict(zip(t.column("fp").to_pylist(), t.column("n").to_pylist())) if t.num_rows < 50_000 else None

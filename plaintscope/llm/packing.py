@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import slices
-from .encoding import default_path, encoder, text_groups
+from .common import release_memory, slices
+from .encoding import MAX_CACHED_WORDS, default_path, encoder, text_groups
 
 CAPACITY = 1024
 WASTE = 1 / 64
@@ -52,20 +52,22 @@ def tail_pieces(rest: int, capacity: int = CAPACITY) -> tuple[tuple[int, int], .
 
 
 def pack_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0,
-                tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
+                tokenizer: str | None = None, with_ids: bool = False,
+                max_words: int = MAX_CACHED_WORDS) -> DataFrame:
     """One row per piece of ``docs(doc_id, text)`` with its sequence and its place there.
 
     Null text is the empty text: its document is the end id alone. Repeated or null
     doc_ids are packed as separate documents. An empty table gives no rows. Documents stay
     in their input partitions; no text is shuffled. ``with_ids`` keeps the ids (binary,
-    little-endian unsigned 32-bit) as column ``ids``.
+    little-endian unsigned 32-bit) as column ``ids``; ``max_words`` bounds the words whose
+    ids a worker keeps.
     """
     path = tokenizer or default_path()
     names = _NAMES + ["ids"] * with_ids
     schema = _PIECE + ", ids binary" * with_ids
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, max_words)
         end = int(end_id).to_bytes(4, "little")
         worker = TaskContext.get().partitionId()
         next_id = worker * _WORKER
@@ -112,6 +114,7 @@ def pack_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0,
             done += bin_
         if done:
             yield flush()
+        release_memory()
 
     pieces = cut_lineage(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
                          .mapInArrow(work, schema))

@@ -6,7 +6,7 @@ import functools
 import os
 
 from ..session import apply_required, ensure_checkpoint_dir
-from .common import table
+from .common import prepare, table
 from .url_intervals import URL_SQL, active_entries, captures_of, entries_of
 from .line_rules import QUALITY_SQL, quality_rules
 
@@ -33,6 +33,7 @@ def register(name: str, oracle: str | None = None):
             apply_required(spark)
             ensure_checkpoint_dir(spark)
             workers_can_import(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
         _QUERIES[name] = run
         if oracle:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import ODD, mix64, powers, shared_folder, slices
+from .common import ODD, mix64, powers, release_memory, shared_folder, slices
 
 LENGTH = 100
 GRAM = 32
@@ -185,6 +185,15 @@ def _intervals(doc: np.ndarray, p: np.ndarray, n: np.ndarray) -> tuple[np.ndarra
     return doc[first], p[first], reach[last] - p[first]
 
 
+def _released(fn):
+    @functools.wraps(fn)
+    def run(batches):
+        yield from fn(batches)
+        release_memory()
+    return run
+
+
+@_released
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries of the documents, one per distinct span of an Arrow batch; rows whose span
     occurs earlier in the batch come as joined covered ranges (run null)."""
@@ -269,6 +278,7 @@ class SuffixIndexFamily:
 
         def merge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard = TaskContext.get().partitionId()
+            release_memory()
             held = list(rows)  # a shard without new entries still carries its levels on
             table = pa.Table.from_batches(held) if held else None
             return _merge_shard(table, shard, folder, merged, kept)
@@ -357,6 +367,7 @@ def _with_lists(docs: DataFrame, lists: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(lists) if n <= MAX_BROADCAST_VALUES else lists, "doc", "left")
 
 
+@_released
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The spans of contested entries with their gram's hash."""
     for b in slices(batches):
@@ -409,6 +420,7 @@ def _equal_windows(t: pa.Table) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"doc": d.astype(np.int64), "p": p.astype(np.int32), "n": n.astype(np.int32)})
 
 
+@_released
 def _windows(batches: Iterator[pa.RecordBatch], size: int = 40_000) -> Iterator[pa.RecordBatch]:
     """Whole grams at a time, of rows sorted by gram."""
     held: list[pa.RecordBatch] = []

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import bounded_broadcast, cut_lineage
-from .common import slices
+from .common import release_memory, slices
 
 MAX_LABELLED = 16_000
 MAX_LEXICON = 4_000
@@ -153,6 +153,7 @@ def with_features(docs: DataFrame, lexicon: list[tuple[str, float]], keep: list[
             rows = rows.reshape(-1, len(NAMES))
             cols = [b.column(k) for k in keep] + [pa.array(rows[:, i]) for i in range(len(NAMES))]
             yield pa.RecordBatch.from_arrays(cols, names=keep + list(NAMES))
+        release_memory()
 
     return docs.select(*keep, F.col("text").cast("string").alias("text")).mapInArrow(work, schema)
 
