@@ -13,7 +13,6 @@ import functools
 import os
 import re
 from collections.abc import Iterable, Iterator
-from itertools import filterfalse
 
 import numpy as np
 
@@ -23,7 +22,8 @@ MAX_WORD_CHARS = 64
 
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 _BLANK_BESIDE_SPACE = re.compile(r" (?:\s|$)|\s |^ ")
-_RARE_BLANKS = "\t\v\f\r\x1c\x1d\x1e\x1f"
+_RARE_BLANK = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SPACE_BYTE = "\u0120"  # fixed value: how byte-level vocabularies write byte 0x20
 _TAIL = ".,;:!?"
 
 
@@ -42,6 +42,9 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.opens = np.zeros(self.vocab_size, dtype=bool)  # ids that begin with a space
+        self.opens[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()
+                    if t.startswith(_SPACE_BYTE)]] = True
         self.words: dict[str, bytes] = {}  # ids of a space and the key
         self.tails: dict[str, bytes] = {}
         self.missed = 0
@@ -63,6 +66,29 @@ class PieceEncoder:
             out.update(zip(part, [raw[a:b] for a, b in zip(ends, ends[1:])]))
         return out
 
+    def _joined(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of a space and each word. Words without a blank at either end and without a
+        space inside go to the library as one text: each space in it opens a pre-token, so
+        the ids that begin with a space tell the words apart."""
+        out: dict[str, bytes] = {}
+        whole, apart = [], []
+        for w in words:
+            blank = not w or " " in w or w[0].isspace() or w[-1].isspace()
+            (apart if blank else whole).append(w)
+        for i in range(0, len(whole), 8192):
+            part = whole[i:i + 8192]
+            got = self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+            ids = np.array(got[0].ids, dtype="<u4")
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) != len(part):  # not a byte-level vocabulary
+                apart += part
+                continue
+            raw = ids.tobytes()
+            ends = (4 * starts).tolist() + [len(raw)]
+            out.update(zip(part, [raw[a:b] for a, b in zip(ends, ends[1:])]))
+        out.update(zip(apart, self._direct([" " + w for w in apart])))
+        return out
+
     def _learn(self, new: set[str]) -> dict[str, bytes]:
         """Ids of words not held, each with the space before it. Stop and comma signs
         after letters start the next pre-token, so such a word is encoded in two parts."""
@@ -82,7 +108,7 @@ class PieceEncoder:
         tail = self.tails
         for w, h, t in closed:
             out[w] = (held.get(h) or out.get(h) or heads[h]) + tail[t]
-        out.update(zip(odd, self._direct([" " + w for w in odd])))
+        out.update(self._joined(odd))
         return out
 
     @staticmethod
@@ -90,7 +116,7 @@ class PieceEncoder:
         """Is each space of the text between two non-blank characters?"""
         if "" in words:
             return False
-        if text.isascii() and not any(c in text for c in _RARE_BLANKS):
+        if _RARE_BLANK.search(text) is None:
             return "\n " not in text and " \n" not in text
         return _BLANK_BESIDE_SPACE.search(text) is None
 
@@ -108,18 +134,21 @@ class PieceEncoder:
             self.words, self.tails, self.missed = {}, {}, 0
         table = self.words
         new: set[str] = set()
+        found: list[list] = []  # each word is looked up once
+        open_texts: list[bool] = []
         for ws in later:
-            new.update(filterfalse(table.__contains__, ws))
-        full = len(table) >= self.max_words
+            got = list(map(table.get, ws))
+            found.append(got)
+            open_texts.append(None in got)
+            if open_texts[-1]:
+                new.update([w for w, x in zip(ws, got) if x is None])
         learnt = self._learn(new)
-        table.update(learnt)
-        get = table.__getitem__
-        out = [a + b"".join(map(get, ws)) for a, ws in zip(self._direct(first), later)]
-        if full:
+        out = [a + b"".join([learnt[w] if x is None else x for w, x in zip(ws, got)] if missing else got)
+               for a, ws, got, missing in zip(self._direct(first), later, found, open_texts)]
+        if len(table) >= self.max_words:  # only so many, and only short ones, stay
             self.missed += len(new)
-        for w in learnt:  # only so many, and only short ones, stay
-            if full or len(w) > MAX_WORD_CHARS:
-                del table[w]
+        else:
+            table.update((w, x) for w, x in learnt.items() if len(w) <= MAX_WORD_CHARS)
         return out
 
 
