@@ -157,9 +157,9 @@ def theme_evidence(complaints: DataFrame, selected: DataFrame,
 
     A narrative supports a theme when it has the same product, was received
     within the theme's recent window (whole last day included) and its bigram set
-    contains the term (lower-cased). One explode + equi-join on (product, term)
-    replaces a pass over all narratives per theme; the first rows in
-    (date_received, complaint_id) order are kept.
+    contains the term (lower-cased). The wanted terms of a product (a few) are broadcast and
+    intersected with a narrative's bigrams inside the row, so only hits become rows; the
+    first in (date_received, complaint_id) order are kept.
     """
     # The selection is a few rows per product and is read three times below:
     # checkpoint it once instead of recomputing the theme pipeline each time.
@@ -171,12 +171,13 @@ def theme_evidence(complaints: DataFrame, selected: DataFrame,
     bounds = sel.agg(F.min("recent_start").alias("lo"), F.max("recent_end").alias("hi")).first()
     lo = F.lit(bounds["lo"]).cast("date").cast("timestamp_ntz")
     hi = F.date_add(F.lit(bounds["hi"]).cast("date"), 1).cast("timestamp_ntz")
+    wanted = sel.groupBy("product").agg(F.collect_set("term_key").alias("_wanted"))
     cand = (complaints
             .where(F.col("consumer_complaint_narrative").isNotNull()
                    & (F.col("date_received") >= lo) & (F.col("date_received") < hi))
-            .join(sel.select("product").distinct(), "product", "left_semi"))
+            .join(bounded_broadcast(wanted), "product"))
     cand = explode_terms(with_terms(cand, "consumer_complaint_narrative", "_bg")
-                         .withColumn("_arr", F.array_distinct("_bg")), "_arr", "term_key",
+                         .withColumn("_arr", F.array_intersect("_bg", "_wanted")), "_arr", "term_key",
                          ["complaint_id", "product", "issue", "date_received",
                           "consumer_complaint_narrative"])
     joined = cand.join(sel, ["product", "term_key"]).where(

@@ -24,7 +24,7 @@ _SW = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in X.STOP_WORDS) +
 
 
 def sql_tokens(t: str) -> str:
-    return f"regexp_extract_all(lower({t}), '{X.TOKEN_PATTERN}')"
+    return f"regexp_extract_all(lower({t}), '[\\p{{L}}\\p{{N}}_]{{2,}}')"
 
 
 def sql_content(t: str) -> str:
@@ -89,7 +89,7 @@ sc2 AS (SELECT product, term, recent_mentions, baseline_mentions, rr * 100.0 AS
                CASE WHEN br > 0 THEN (rr - br) * 100.0 / br END AS growth_rate_percent,
                (rr - br) * 100.0 AS emergence_score
         FROM sc
-        WHERE recent_mentions >= 3 AND NOT regexp_matches(term, '{X.NOISE_PATTERN}')),
+        WHERE recent_mentions >= 3 AND NOT regexp_matches(term, '(?i)(^| )x{{2,}}( |$)|\\p{{Nd}}')),
 top AS (SELECT *, CAST(row_number() OVER (PARTITION BY product ORDER BY emergence_score DESC, term)
                        AS INTEGER) AS theme_rank
         FROM sc2 QUALIFY theme_rank <= 30),

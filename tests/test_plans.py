@@ -73,3 +73,11 @@ def test_labels_join_documents_by_broadcast(spark):
     from plaintscope.sources.adapters import labelled_narratives
     plan = _plan(K.class_counts(K.usable_narratives(labelled_narratives(spark, SF001))))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_vocabulary_cut_needs_no_shuffle_join(spark):
+    from plaintscope.operators.topk import top_k_by_count
+    df = spark.range(3000).selectExpr("concat('t', id) AS term", "id % 5 AS c", "id % 2 AS g")
+    assert "Join" not in _plan(top_k_by_count(df, [], "c", "term", 700))
+    plan = _plan(top_k_by_count(df, ["g"], "c", "term", 700))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
