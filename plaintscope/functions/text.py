@@ -67,8 +67,8 @@ def drop_stop_words(toks, stop_words=STOP_WORDS) -> Column:
     return F.filter(_c(toks), lambda x: ~x.isin(*stop_words))
 
 
-def content_tokens(text) -> Column:
-    return drop_stop_words(tokens(text))
+def content_tokens(text, stop_words=STOP_WORDS) -> Column:
+    return drop_stop_words(tokens(text), stop_words)
 
 
 def ngrams2(toks) -> Column:
@@ -80,7 +80,8 @@ def ngrams2(toks) -> Column:
     return F.when(n >= 2, pairs).otherwise(F.array().cast("array<string>"))
 
 
-def with_terms(df: DataFrame, text: str, out: str, unigrams: bool = False) -> DataFrame:
+def with_terms(df: DataFrame, text: str, out: str, unigrams: bool = False,
+               stop_words=STOP_WORDS) -> DataFrame:
     """Add ``out``: distinct-free list of bigrams (T1-T3), or unigrams + bigrams (T4).
 
     The stop-word-free tokens are materialised as their own column first: the
@@ -90,7 +91,7 @@ def with_terms(df: DataFrame, text: str, out: str, unigrams: bool = False) -> Da
     projections apart because the token expression is not cheap to duplicate.
     """
     tok = f"__tok_{out}"
-    staged = df.withColumn(tok, content_tokens(text))
+    staged = df.withColumn(tok, content_tokens(text, stop_words))
     grams = ngrams2(F.col(tok))
     terms = F.concat(F.col(tok), grams) if unigrams else grams
     return staged.withColumn(out, terms).drop(tok)

@@ -10,21 +10,26 @@ Scale notes:
 * The vocabulary is an exact top-k found from a term-frequency histogram
   (``topk.top_k_by_count``), so no task sorts all terms; its size is bounded by
   ``max_vocab`` - the one side joined by broadcast, behind that bound.
-* TF-IDF is computed in long (document, term) form with SQL expressions; only
-  the final per-document (indices, values) -> SparseVector wrap is Python.
+* Terms are counted inside the row (sorted array, run lengths), so no (document, term)
+  occurrence is shuffled; norm and vector share one partitioning by document. The vector
+  is built as a struct and typed by reading the written table: no Python on the way.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+import uuid
+from typing import NamedTuple
+
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..config import DEFAULTS, Thresholds
 from ..functions.scalar import utrim
 from ..functions.text import explode_terms, with_terms
-from ..session import bounded_broadcast, cut_lineage
+from ..session import bounded_broadcast, checkpoint_path, cut_lineage
 from .topk import top_k_by_count
 
 
@@ -138,16 +143,24 @@ def class_weights(train: DataFrame) -> DataFrame:
         "issue", "records", (n.cast("double") / (k * F.col("records")).cast("double")).alias("weight"))
 
 
-def doc_terms(df: DataFrame) -> DataFrame:
-    """T4: one row per (document, unigram-or-bigram occurrence)."""
-    staged = with_terms(df.select("complaint_id", "consumer_complaint_narrative"),
-                        "consumer_complaint_narrative", "_terms", unigrams=True)
-    return explode_terms(staged, "_terms", "term", ["complaint_id"])
-
+def term_frequencies(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """T4: raw counts per (document, unigram or bigram), with the columns ``keep`` beside.
 
-def term_frequencies(docs: DataFrame) -> DataFrame:
-    """Raw counts per (document, term) for unigrams and bigrams (T4 before weighting)."""
-    return doc_terms(docs).groupBy("complaint_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    Counted inside the row: equal terms are neighbours in the sorted array, and a term's
+    count is the distance between two run starts. ``docs`` holds one row per document."""
+    cols = ["complaint_id", *keep]
+    staged = with_terms(docs.select(*cols, "consumer_complaint_narrative"),
+                        "consumer_complaint_narrative", "_terms", unigrams=True)
+    staged = staged.select(*cols, F.sort_array("_terms").alias("_s"))
+    s, n = F.col("_s"), F.size("_s")
+    starts = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1),
+                                    lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))))
+    staged = staged.withColumn("_at", starts)
+    runs = F.transform("_at", lambda b, j: F.struct(
+        F.get(s, b).alias("term"),
+        (F.coalesce(F.get(F.col("_at"), j + 1), n) - b).cast("bigint").alias("tf")))
+    return (explode_terms(staged.withColumn("_runs", runs), "_runs", "_run", cols)
+            .select(*cols, "_run.term", "_run.tf"))
 
 
 def tfidf_vocab(train: DataFrame, th: Thresholds = DEFAULTS, tf: DataFrame | None = None) -> DataFrame:
@@ -159,76 +172,106 @@ def tfidf_vocab(train: DataFrame, th: Thresholds = DEFAULTS, tf: DataFrame | Non
     stats = cut_lineage(tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"),
                                                F.sum("tf").alias("term_freq"))
                         .where(F.col("doc_freq") >= th.min_doc_freq))
-    top = top_k_by_count(stats.withColumn("_all", F.lit(0)), ["_all"], "term_freq", "term",
-                         th.max_vocab).drop("_all")
+    top = top_k_by_count(stats, [], "term_freq", "term", th.max_vocab)
     # At most max_vocab rows: a single-partition window is bounded by that cap.
     w = Window.orderBy(F.col("term_freq").desc(), "term")
     return top.withColumn("term_index", (F.row_number().over(w) - 1).cast("int"))
 
 
-def tfidf_weights(docs: DataFrame, vocab: DataFrame, n_train, tf: DataFrame | None = None) -> DataFrame:
+def tfidf_weights(docs: DataFrame, vocab: DataFrame, n_train=None, tf: DataFrame | None = None) -> DataFrame:
     """(1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), L2-normalised per document.
 
-    ``vocab`` is bounded by max_vocab rows, so it is broadcast. ``tf`` may carry
+    ``vocab`` should be materialised: it is broadcast behind its measured size. ``n_train``
+    of None is read from the vocabulary's own column (a saved classifier). ``tf`` may carry
     precomputed term frequencies of ``docs``."""
     tf = term_frequencies(docs) if tf is None else tf
-    idf = F.log((F.lit(1.0) + n_train) / (F.lit(1.0) + F.col("doc_freq"))) + 1.0
+    if n_train is not None:
+        vocab = vocab.withColumn("n_train", n_train)
+    vocab = vocab.select("term", "term_index", "doc_freq", "n_train")
+    idf = F.log((F.lit(1.0) + F.col("n_train")) / (F.lit(1.0) + F.col("doc_freq"))) + 1.0
     w = (1.0 + F.log(F.col("tf").cast("double"))) * idf
-    raw = tf.join(F.broadcast(vocab.select("term", "term_index", "doc_freq")), "term") \
+    raw = tf.join(bounded_broadcast(vocab), "term") \
         .select("complaint_id", "term", "term_index", w.alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("complaint_id")))
     return raw.select("complaint_id", "term", "term_index", (F.col("w") / norm).alias("weight"))
 
 
-def _sparse(size: int):
-    # Thin per-document wrapper (Arrow-batched); all weighting happened in SQL above.
-    return F.udf(lambda indices, values: SparseVector(size, indices or [], values or []),
-                 VectorUDT(), useArrow=True)
+def _vector(size: int, indices, values):
+    """The fields of a sparse vector as Spark ML stores it (type 0 = sparse)."""
+    return F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
+                    indices.cast("array<int>").alias("indices"), values.cast("array<double>").alias("values"))
 
 
-def feature_vectors(weights: DataFrame, size: int) -> DataFrame:
-    """Per document: sorted (index, weight) pairs -> SparseVector."""
+def with_features(docs: DataFrame, weights: DataFrame, size: int) -> DataFrame:
+    """``docs`` with the vector of its weights (all zero without any) as ``features``, written
+    to the shared folder and read back with the vector type."""
+    spark = docs.sparkSession
     per = (weights.groupBy("complaint_id")
            .agg(F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("p")))
-    return per.select("complaint_id",
-                      _sparse(size)(F.transform("p", lambda x: x["term_index"]),
-                                    F.transform("p", lambda x: x["weight"])).alias("features"))
+    p = F.coalesce("p", F.array().cast("array<struct<term_index:int,weight:double>>"))
+    rows = docs.join(per, "complaint_id", "left").select(
+        *docs.columns, _vector(size, F.transform(p, lambda x: x["term_index"]),
+                               F.transform(p, lambda x: x["weight"])).alias("features"))
+    folder = checkpoint_path(spark, f"features-{uuid.uuid4().hex}")
+    rows.write.parquet(folder)
+    schema = StructType([*docs.schema.fields, StructField("features", VectorUDT())])
+    return spark.read.schema(schema).parquet(folder)
+
+
+class IssueModel(NamedTuple):
+    """A fitted classifier, as the sinks save and load it: ``vocab`` carries ``n_train``."""
+    model: LogisticRegressionModel
+    vocab: DataFrame
+    classes: list[str]
+
+
+def _predicted(rows: DataFrame, fitted: IssueModel) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in fitted.classes])
+    return fitted.model.transform(rows).withColumn(
+        "predicted_issue", F.element_at(names, (F.col("prediction") + 1).cast("int")))
+
+
+def score(fitted: IssueModel, docs: DataFrame) -> DataFrame:
+    """T14 for new ``docs(complaint_id, consumer_complaint_narrative)``, one row each with
+    ``predicted_issue``. ``IssueModel(*load_classifier(spark, path))`` scores as the model
+    that was saved; a null or empty narrative has the zero vector."""
+    docs = docs.select("complaint_id", "consumer_complaint_narrative")
+    weights = tfidf_weights(docs, fitted.vocab)
+    rows = with_features(docs.select("complaint_id"), weights, fitted.model.numFeatures)
+    return _predicted(rows, fitted).select("complaint_id", "predicted_issue")
 
 
 ROWS_PER_FIT_PARTITION = 20000
 
 
-def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS):
+def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS) -> tuple[DataFrame, IssueModel]:
     """Fit TF-IDF + multinomial L2 logistic regression on the training rows,
-    predict the held-out rows. Returns (predictions, model, class list).
+    predict the held-out rows. Raises ValueError when no class is large enough.
 
-    ``split`` should come from ``prepare_split`` (materialised). The training rows
-    the optimizer iterates over are checkpointed as well."""
+    ``split`` should come from ``prepare_split`` (materialised). The rows the optimizer
+    iterates over are written once."""
     train = split.where(~F.col("is_test"))
+    classes = [r[0] for r in class_counts(train).orderBy("issue").collect()]  # k labels, small
+    if not classes:
+        raise ValueError(f"no class has {th.min_class_size} usable narratives")
     # Tokenise once: the vocabulary (training rows) and the weights (all rows) both
     # read these term frequencies.
-    tf = cut_lineage(term_frequencies(split.select("complaint_id", "consumer_complaint_narrative"))
-                     .join(split.select("complaint_id", "is_test"), "complaint_id"))
-    vocab = tfidf_vocab(train, th, tf=tf.where(~F.col("is_test"))).cache()
-    size = max(1, vocab.count())
+    tf = cut_lineage(term_frequencies(split, keep=("is_test",)))
     n_train = train.count()
-    weights = tfidf_weights(split, vocab, F.lit(float(n_train)), tf=tf.drop("is_test"))
-    vecs = feature_vectors(weights, size)
-    classes = [r[0] for r in class_counts(train).orderBy("issue").collect()]  # k labels, small
+    vocab = cut_lineage(tfidf_vocab(train, th, tf=tf.where(~F.col("is_test")))
+                        .withColumn("n_train", F.lit(float(n_train))))
+    size = max(1, vocab.count())
     label_of = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("issue")) - 1
     cw = class_weights(train).select("issue", "weight")
-    rows = (split.select("complaint_id", "issue", "is_test")
-            .join(vecs, "complaint_id", "left")
-            .withColumn("features", F.coalesce("features", _sparse(size)(F.array().cast("array<int>"),
-                                                                         F.array().cast("array<double>"))))
-            .withColumn("label", label_of.cast("double"))
+    rows = with_features(split.select("complaint_id", "issue", "is_test"),
+                         tfidf_weights(split, vocab, tf=tf), size)
+    rows = (rows.withColumn("label", label_of.cast("double"))
             .join(bounded_broadcast(cw), "issue", "left"))
     # tol 1e-4 and at most max_iter L-BFGS steps, as the reference's solver settings.
     lr = LogisticRegression(family="multinomial", maxIter=th.max_iter, tol=1e-4,
                             regParam=1.0 / max(n_train, 1),
                             elasticNetParam=0.0, standardization=False, weightCol="weight",
                             featuresCol="features", labelCol="label")
-    rows = cut_lineage(rows)
     fit_rows = rows.where(~F.col("is_test"))
     # Every L-BFGS step is one pass over the training rows; size their partitions
     # by row count (about ROWS_PER_FIT_PARTITION sparse rows each) so per-task
@@ -237,15 +280,11 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS):
     if want < fit_rows.rdd.getNumPartitions():
         fit_rows = fit_rows.coalesce(want)
     model = lr.fit(fit_rows)
-    pred = model.transform(rows.where(F.col("is_test")))
-    predicted = F.element_at(F.array(*[F.lit(c) for c in classes]),
-                             (F.col("prediction") + 1).cast("int"))
-    out = pred.select("complaint_id", "issue", predicted.alias("predicted_issue"))
+    fitted = IssueModel(model, vocab, classes)
+    out = _predicted(rows.where("is_test"), fitted).select("complaint_id", "issue", "predicted_issue")
     # Reports read the predictions several times: checkpoint them once (reliable
     # checkpoint in the shared folder, so a lost executor does not refit anything).
-    out = cut_lineage(out)
-    vocab.unpersist()
-    return out, model, classes
+    return cut_lineage(out), fitted
 
 
 def classification_report(pred: DataFrame, label: str = "issue",

@@ -104,9 +104,9 @@ FROM raw""")
 def q_weights(spark, sf):
     sp = _split(spark, sf)
     train = sp.where(~F.col("is_test"))
-    vocab = K.tfidf_vocab(train)
-    n = train.agg(F.count(F.lit(1)).cast("double")).scalar()
-    return (K.tfidf_weights(sp, vocab, n)
+    tf = cut_lineage(K.term_frequencies(sp, keep=("is_test",)))  # tokenised once
+    vocab = cut_lineage(K.tfidf_vocab(train, tf=tf.where(~F.col("is_test"))))
+    return (K.tfidf_weights(sp, vocab, F.lit(float(train.count())), tf=tf)
             .withColumn("weight", F.round("weight", 10)))
 
 

@@ -83,3 +83,50 @@ def test_top_k_by_count_matches_sort(spark):
             grp = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1]))[:k]
             want += [(r[0], r[1]) for r in grp]
         assert got == sorted(want), k
+
+
+def test_top_k_without_groups_null_group_and_no_cap(spark):
+    from plaintscope.operators.topk import top_k_by_count
+    rows = [(None if i % 2 else "a", f"t{i:03d}", i % 7) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, term string, c long")
+    assert top_k_by_count(df, ["g"], "c", "term", None) is df
+    for groups in ([], ["g"]):
+        got = sorted(r.term for r in top_k_by_count(df, groups, "c", "term", 37).collect())
+        want = []
+        for g in ({None, "a"} if groups else {0}):
+            grp = [r for r in rows if not groups or r[0] == g]
+            want += [r[1] for r in sorted(grp, key=lambda r: (-r[2], r[1]))[:37]]
+        assert got == sorted(want)
+
+
+def test_terms_are_counted_inside_the_row(spark):
+    docs = spark.createDataFrame([(1, "loan fee loan fee loan", True), (2, "", False), (3, None, True), (4, "fee", False)],
+                                 "complaint_id long, consumer_complaint_narrative string, is_test boolean")
+    tf = K.term_frequencies(docs, keep=("is_test",))
+    assert "Exchange" not in tf._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, tf.collect())) == [
+        (1, True, "fee", 2), (1, True, "fee loan", 2), (1, True, "loan", 3), (1, True, "loan fee", 2),
+        (4, False, "fee", 1)]
+
+
+def test_saved_classifier_scores_as_the_fitted_one(spark, tmp_path):
+    from plaintscope.sources import sinks
+    words = {"a": "card charge dispute", "b": "loan payment late"}
+    rows = [(i, c, f"{words[c]} case number{i % 9}") for i, c in enumerate("ab" * 60)]
+    df = spark.createDataFrame(rows, "complaint_id long, issue string, consumer_complaint_narrative string")
+    split = K.prepare_split(df)
+    pred, fitted = K.train_and_predict(split)
+    sinks.save_classifier(*fitted, str(tmp_path / "m"))
+    loaded = K.IssueModel(*sinks.load_classifier(spark, str(tmp_path / "m")))
+    got = dict(map(tuple, K.score(loaded, split.where("is_test")).collect()))
+    assert got == {r.complaint_id: r.predicted_issue for r in pred.collect()}
+    assert got == {i: c for i, c, _ in rows if i in got}
+    new = spark.createDataFrame([(1, "a late loan payment"), (2, None), (3, "")],
+                                "complaint_id long, consumer_complaint_narrative string")
+    out = dict(map(tuple, K.score(loaded, new).collect()))
+    assert out[1] == "b" and set(out) == {1, 2, 3}
+
+
+def test_no_class_large_enough_is_an_error(spark):
+    with pytest.raises(ValueError, match="no class"):
+        K.train_and_predict(K.prepare_split(_labels(spark, {"a": 5})))
