@@ -31,7 +31,8 @@ def ids_of(rows):
 def test_piece_encoder_equals_the_library():
     e = encoding.PieceEncoder(encoding.default_path())
     cases = ["", "a", " a", "a  b", "don't say 'it's'", "x\n\n y\t z ", "½ a½ b² <|endoftext|> q", "日本語 テキスト",
-             "\x1c a\x1cb \x85 c", "a  b 　c", "a\0b c\0 d", "2abc 3.4,5 --x", "w" * 5000, "tail, tail. tail!?"]
+             "\x1c a\x1cb \x85 c", "a  b 　c", "a\0b c\0 d", "2abc 3.4,5 --x", "w" * 5000, "tail, tail. tail!?",
+             "1\n2 b-c\n", "q\u3000z \x85 v-1 2.5", "Ġ ĠĠ Ġa Ġ1", "x-1 y_2 z/3 $$$ a\n\nb", "x-1  y_2"]
     want = ids_of(enumerate(cases))
     assert [np.frombuffer(x, "<u4").tolist() for x in e.encode_many(cases)] == [want[i].tolist() for i in range(len(cases))]
 
