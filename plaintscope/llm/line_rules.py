@@ -11,6 +11,8 @@ more than ``MAX_LINE_PERCENT`` percent of the host's distinct documents hold it.
 are removed from every document but the first that holds them (smallest doc_id of the
 host's distinct texts), so a passage that floods a host survives once. A document that
 loses more than ``MAX_LOST_PERCENT`` percent of its words is depleted and rejected.
+``quality_rules`` gives the counts and verdicts, ``keep_good`` the passing rows with the
+lines taken out of their text.
 
 Counts travel as (host, line hash, document) rows: one per distinct line of a distinct
 text, counted by an aggregate that combines before its shuffle, so neither a hot host nor
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bounded_broadcast, cut_lineage
+from ..session import BROADCAST_MAX_ROWS, bounded_broadcast, cut_lineage
 
 MIN_WORDS = 10
 WINDOW = 5
@@ -107,32 +109,37 @@ def word_stats(docs: DataFrame) -> DataFrame:
     ).select("doc_id", "source", "text_hash", "by_words.*", "word_chars", "n_symbols", "by_lines.*")
 
 
-def quality_rules(docs: DataFrame) -> DataFrame:
-    """One row per input row: ``doc_id``, the counts, ``lost_words``, ``base_failed``,
-    ``kept``. Rows with null ``source`` form one host; null ids and repeated ids stay rows
-    of their own (texts are matched by content, so repeated rows share the verdict unless
-    one of them is the first holder of a line). Empty tables give no rows; columns beyond
-    ``doc_id, text, source`` are not read."""
+def _host() -> Column:
+    return F.coalesce(F.col("source"), F.lit("\0"))
+
+
+# Does this row lose the line? Its first holder does not; among rows without an id that is
+# the text of the smallest hash.
+LOSES = "not (doc_id <=> first_doc and (doc_id is not null or text_hash = first_text))"
+
+
+def _judged(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The verdicts of ``quality_rules`` and the over-limit lines
+    ``(host, line, first_doc, first_text)``."""
     s = cut_lineage(word_stats(docs.select("doc_id", "source", "text"))
                     .withColumn("row", F.monotonically_increasing_id()))
-    host = F.coalesce(F.col("source"), F.lit("\0"))
-    s = s.withColumn("host", host)
+    s = s.withColumn("host", _host())
     # Distinct texts of a host, each by its first row.
     first = (s.groupBy("host", "text_hash").agg(F.min(F.struct("doc_id", "row")).alias("f"))
              .select("host", "text_hash", F.col("f.row").alias("row"), F.col("f.doc_id").alias("doc_id")))
     hosts = first.groupBy("host").agg(F.count("*").alias("host_docs"))
     held = (s.join(first.select("row"), "row", "left_semi")
-            .select("host", "doc_id", F.explode(F.array_distinct("lines.line")).alias("line")))
-    over = (held.groupBy("host", "line").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+            .select("host", "doc_id", "text_hash", F.explode(F.array_distinct("lines.line")).alias("line")))
+    over = (held.groupBy("host", "line").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"),
+                                             F.min("text_hash").alias("first_text"))
             .where(F.col("n_docs") > MIN_LINE_DOCS)
             .join(F.broadcast(hosts) if hosts.limit(10_001).count() <= 10_000 else hosts, "host")
             .where(F.expr(f"100 * n_docs > {MAX_LINE_PERCENT} * host_docs"))
-            .select("host", "line", "first_doc"))
+            .select("host", "line", "first_doc", "first_text"))
     over = cut_lineage(over)
-    hit = (s.select("row", "host", "doc_id", F.explode("lines").alias("l"))
-           .select("row", "host", "doc_id", "l.line", "l.n")
-           .join(bounded_broadcast(over), ["host", "line"])
-           .where("doc_id is null or first_doc is null or doc_id <> first_doc"))
+    hit = (s.select("row", "host", "doc_id", "text_hash", F.explode("lines").alias("l"))
+           .select("row", "host", "doc_id", "text_hash", "l.line", "l.n")
+           .join(bounded_broadcast(over), ["host", "line"]).where(LOSES))
     lost = hit.groupBy("row").agg(F.sum("n").cast("long").alias("lost_words"))
     out = s.join(lost, "row", "left").withColumn("lost_words", F.coalesce("lost_words", F.lit(0)))
     base_failed = F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words")
@@ -140,17 +147,54 @@ def quality_rules(docs: DataFrame) -> DataFrame:
             .withColumn("kept", F.expr(
                 f"not base_failed and 100 * lost_words <= {MAX_LOST_PERCENT} * n_words"))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "lost_words", "base_failed", "kept", "row", "text_hash"))
+                    "lost_words", "base_failed", "kept", "row", "text_hash", "host")), over
+
+
+def quality_rules(docs: DataFrame) -> DataFrame:
+    """One row per input row: ``doc_id``, the counts, ``lost_words``, ``base_failed``,
+    ``kept``. Rows with null ``source`` form one host; null ids and repeated ids stay rows
+    of their own (texts are matched by content, so repeated rows share the verdict unless
+    one of them is the first holder of a line). Empty tables give no rows; columns beyond
+    ``doc_id, text, source`` are not read."""
+    return _judged(docs)[0].drop("host")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns. Rejected rows are matched by
-    id and content, so repeated ids are told apart by their texts."""
+    """The rows of ``docs`` that pass, with all their columns and the text without its
+    over-limit lines; ``n_chars``, if there, is that text's. Other lines, blank ones
+    included, stay as they are. Rejected rows are matched by id, host and content, so
+    repeated ids are told apart by their texts.
+
+    The over-limit lines go to the rows as one array per host: at most
+    100 / MAX_LINE_PERCENT x the lines per document of that host."""
+    judged, over = _judged(docs)
+    bad = cut_lineage(judged.where("not kept").select(
+        F.col("doc_id").alias("rejected__id"), F.col("text_hash").alias("rejected__hash"),
+        F.col("host").alias("rejected__host")).distinct())
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    bad = cut_lineage(quality_rules(docs).where("not kept").select(
-        F.col("doc_id").alias("rejected__id"), F.col("text_hash").alias("rejected__hash")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("rejected__id")) & (F.xxhash64(text, F.length(text)) == F.col("rejected__hash"))
-    return docs.join(bounded_broadcast(bad), same, "left_anti")
+    text_hash = F.xxhash64(text, F.length(text))
+    same = (F.col("doc_id").eqNullSafe(F.col("rejected__id")) & (text_hash == F.col("rejected__hash"))
+            & (_host() == F.col("rejected__host")))
+    good = docs.join(bounded_broadcast(bad), same, "left_anti")
+
+    by_host = F.collect_list(F.struct("line", "first_doc", "first_text"))
+    if over.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+        of_host = F.broadcast(over.groupBy("host").agg(by_host.alias("over__lines")))
+    else:
+        of_host = over.groupBy("host").agg(by_host.alias("over__lines"))
+    good = good.join(of_host.withColumnRenamed("host", "over__host"), _host() == F.col("over__host"), "left")
+    own = lambda x: F.col("doc_id").eqNullSafe(x["first_doc"]) & (
+        F.col("doc_id").isNotNull() | (text_hash == x["first_text"]))
+    hashes = F.transform(F.split(text, "\n"), lambda l: F.xxhash64(normalised(l)))
+    gone = F.array_intersect(hashes, F.col("over__lines.line"))
+    gone = _let(gone, lambda g: F.when(F.size(g) > 0, F.array_except(g, F.transform(
+        F.filter("over__lines", own), lambda x: x["line"]))).otherwise(g))
+    left = _let(gone, lambda g: F.when(F.size(g) > 0, F.array_join(F.filter(
+        F.split(text, "\n"), lambda l: ~F.array_contains(g, F.xxhash64(normalised(l)))), "\n")))
+    good = good.withColumn("text__left", F.when(F.col("over__lines").isNotNull(), left))
+    changed = {"text": F.col("text__left"), "n_chars": F.length("text__left")}
+    return good.select([F.when(F.col("text__left").isNotNull(), changed[c].cast(kind)).otherwise(F.col(c)).alias(c)
+                        if c in changed else F.col(c) for c, kind in docs.dtypes])
 
 
 QUALITY_SQL = r"""

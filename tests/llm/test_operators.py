@@ -253,6 +253,61 @@ def test_line_rules(spark, odd_docs):
     assert verdict[0] and not any(verdict[i] for i in range(1, 40)) and all(verdict[i] for i in range(40, 80))
 
 
+def brute_left(rows):
+    """Rows ``(doc_id, text, source)`` to the kept rows' texts without over-limit lines."""
+    norm = lambda x: " ".join(re.split(r"[\x20\x09-\x0D]+", x.lower())).strip(" ")
+    first = {}
+    for d, t, h in sorted(rows):
+        first.setdefault((h, t), d)
+    holders = collections.defaultdict(set)
+    for (h, t), d in first.items():
+        for x in t.split("\n"):
+            if norm(x):
+                holders[h, norm(x)].add(d)
+    docs = collections.Counter(h for h, _ in first)
+    over = {k: min(v) for k, v in holders.items() if len(v) > 20 and 100 * len(v) > 10 * docs[k[0]]}
+    out = {}
+    for d, t, h in rows:
+        gone = [x for x in t.split("\n") if over.get((h, norm(x)), d) != d]
+        if 100 * sum(len(x.split()) for x in gone) <= 70 * len(t.split()):
+            out[d] = "\n".join(x for x in t.split("\n") if x not in gone)
+    return out
+
+
+def test_line_rules_take_the_lines_out_of_the_text(spark):
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    line = lambda n: " ".join(word() for _ in range(n))
+    flood, note, rare = line(12), "Read  more\there " + line(4), line(9)
+    rows = []
+    for i in range(90):
+        parts = [line(rng.integers(11, 40)), "", line(8) + "\t"]
+        if i % 3:
+            parts.insert(int(rng.integers(0, 4)), flood)
+        if i % 2:
+            parts += [note if i % 4 == 1 else note.upper().replace("\t", "  "), "  "]
+        if i % 9 == 0:
+            parts.append(rare)
+        rows.append((200 - i, "\n".join(parts), "h" if i < 80 else "few"))
+    rows += [(300, rows[1][1], "h"), (301, rows[1][1], "other"), (302, "\n".join([flood, note, line(2)]), "h")]
+    schema = "doc_id long, text string, source string, n_chars int, lang string"
+    docs = spark.createDataFrame([(*r, len(r[1]), "en") for r in rows], schema).repartition(4)
+    want = brute_left(rows)
+    got = corpus_pipeline.quality_rules(spark, docs, SF)
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    got = got.collect()
+    assert {r["doc_id"]: r["text"] for r in got} == want and len(got) == len(want)
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+    assert 302 not in want and sum(flood in want[r[0]] for r in rows if r[0] in want and r[2] == "h") == 1
+    assert 30 < sum(want[r[0]] != r[1] for r in rows if r[0] in want) < 80
+
+
+def test_line_without_any_id_survives_once(spark):
+    rows = [(None, f"the same line in each of them\n{i} " + " ".join(f"w{i}x{j}" for j in range(20)), "h") for i in range(30)]
+    got = line_rules.keep_good(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == 30 and sum("the same line" in r["text"] for r in got) == 1
+
+
 def test_intervals(spark):
     entries = spark.createDataFrame(
         [("h", "ads", "2024-01-05", "add"), ("h", "ads", "2024-01-07", "add"), ("h", "ads", "2024-01-09", "remove"),
