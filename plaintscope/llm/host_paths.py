@@ -39,10 +39,16 @@ BOILER_WORDS = ("ad ads advert adverts advertisement banner promo sponsor sponso
                 "recommended recommendations comment comments commentlist disqus reply replies respond pagination pager "
                 "toolbar copyright legal disclaimer skip")
 GOOD_WORDS = "article content entry main post story text body"
+# A token with one of these says what a page has or lacks, not what the part is.
+SAYS_WORDS = "has have no not with without hide hidden"
+# Weight of a container named like a boilerplate part that holds the page's text, and how
+# many times the text left outside it must hold.
+PENALTY = 0.5
+MOST_ARTICLE, MOST_TEXT = 2, 10
 
 _RAW, _VOID, _BLOCKS = set(RAW.split()), set(VOID.split()), set(BLOCKS.split())
 _CONTAINERS, _BOILER = set(CONTAINERS.split()), set(BOILER_TAGS.split())
-_BAD, _GOOD = set(BOILER_WORDS.split()), set(GOOD_WORDS.split())
+_BAD, _GOOD, _SAYS = set(BOILER_WORDS.split()), set(GOOD_WORDS.split()), set(SAYS_WORDS.split())
 _CLOSES_P = _BLOCKS - {"br", "td", "th", "tr", "button"}
 _TAG = re.compile(r"<(?:!--(.*?)(?:-->|\Z)|([!?])[^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -53,21 +59,22 @@ DISCOUNT = 0.9
 
 
 class _Element:
-    __slots__ = ("tag", "path", "boiler", "weight", "up", "order")
+    __slots__ = ("tag", "path", "boiler", "only_named", "landmark", "weight", "up", "order")
 
-    def __init__(self, tag, path, boiler, weight, up, order):
-        self.tag, self.path, self.boiler, self.weight = tag, path, boiler, weight
-        self.up, self.order = up, order
+    def __init__(self, tag, path, boiler, only_named, landmark, weight, up, order):
+        self.tag, self.path, self.weight, self.up, self.order = tag, path, weight, up, order
+        self.boiler, self.only_named, self.landmark = boiler, only_named, landmark
 
 
 def _element(tag: str, attrs: str, up: _Element | None, order: int) -> _Element:
-    first, bad, weight = "", tag in _BOILER, 1.0
+    first, named, weight = "", False, 1.0
     if attrs:
         for name, a, b, c in _ATTR.findall(attrs):
             value = (a or b or c).lower()
             words = set(_NAME_WORDS.findall(value))
-            if tag not in ("html", "body", "article", "main"):
-                bad = bad or bool(words & _BAD)
+            if words & _BAD:
+                tokens = [set(_NAME_WORDS.findall(t)) for t in value.split()]
+                named = named or any(t & _BAD and not t & _SAYS for t in tokens)
             if words & _GOOD:
                 weight = 1.3
             if name.lower() == "class" and value.split():
@@ -75,12 +82,67 @@ def _element(tag: str, attrs: str, up: _Element | None, order: int) -> _Element:
     if tag in ("article", "main"):
         weight = 2.0
     path = f"{up.path}>{tag}{first}" if up else tag + first
-    return _Element(tag, path, bad or (up.boiler if up else False), weight, up, order)
+    landmark = tag == "main" or tag == "article" and not named
+    named = named and tag not in ("html", "body", "article", "main")
+    return _Element(tag, path, named or tag in _BOILER, tag == "form" or tag not in _BOILER,
+                    landmark, weight, up, order)
+
+
+def _parts(e: _Element) -> Iterator[_Element]:
+    """The boilerplate parts around a block, inside out; <main> stands in none."""
+    while e is not None and e.tag != "main":
+        if e.boiler:
+            yield e
+        e = e.up
+
+
+def _has_landmark(e: _Element | None, top: _Element | None = None) -> bool:
+    while e is not None and e is not top:
+        if e.landmark:
+            return True
+        e = e.up
+    return False
+
+
+def _without_parts(found: list[tuple[_Element, str, int]]) -> list[tuple[_Element, str, int]]:
+    """The blocks outside boilerplate parts. A part is a wrapper, its blocks stay and only
+    its weight falls, if no article or main has text outside the parts and it holds one with
+    twice the text left outside; or if it is one by its name or a form only and holds ten
+    times that text. The part that holds most is taken first."""
+    while True:
+        left, article = [], False
+        inside: dict[_Element, list[int]] = defaultdict(lambda: [0, 0])
+        clean = 0
+        for block in found:
+            e, text, in_links = block
+            gain = max(0, len(text) - 2 * in_links)
+            outer = None
+            for outer in _parts(e):
+                pass
+            if outer is None:
+                left.append(block)
+                clean += gain
+                article = article or _has_landmark(e)
+            else:
+                inside[outer][0] += gain
+                if _has_landmark(e, outer):
+                    inside[outer][1] += gain
+        if article:
+            return left
+        wrapper = max((e for e, (_, n) in inside.items() if n and n >= MOST_ARTICLE * clean),
+                      key=lambda e: inside[e][1], default=None)
+        if wrapper is None:
+            wrapper = max((e for e, (n, _) in inside.items() if e.only_named and n and n >= MOST_TEXT * clean),
+                          key=lambda e: inside[e][0], default=None)
+        if wrapper is None:
+            return left
+        wrapper.boiler = False
+        wrapper.weight *= PENALTY
 
 
 def blocks(page: str) -> list[tuple[_Element, str, int]]:
     """``(innermost block element, text, characters in links)`` in page order, without
-    comments, scripts, styles, forms and boilerplate parts. White space inside a block is
+    comments, scripts, styles and boilerplate parts (see ``_without_parts``). White space inside a block is
     one space. Unclosed and stray tags are tolerated."""
     out: list[tuple[_Element, str, int]] = []
     top = _element("html", "", None, 0)
@@ -91,7 +153,7 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
     def close() -> None:
         if parts:
             text = " ".join(html_lib.unescape("".join(parts)).split())
-            if text and not here.boiler:
+            if text:
                 in_links = len(" ".join("".join(linked).split())) if linked else 0
                 out.append((here, text, in_links))
             parts.clear()
@@ -159,7 +221,7 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
         here = _element(tag, attrs, here, order)
         link = 0
     close()
-    return out
+    return _without_parts(out)
 
 
 def best_container(found: list[tuple[_Element, str, int]]) -> tuple[_Element | None, float]:

@@ -233,6 +233,30 @@ def test_host_paths_extract_the_article(spark):
     assert got[10] == ("No host", 7) and got[11] == got[12] == ("", 0) and got[13][0] == "Other page"
 
 
+WRAPPED = ['<div class="layout has-sidebar">%s</div>', '<div id="page-with-header">%s</div>', '<form id="f">%s</form>',
+           '<div class="content-sidebar-wrap">%s</div>', '<div class="layout has-sidebar"><form>%s</form></div>']
+
+
+@pytest.mark.parametrize("wrap", WRAPPED + ['<div class="content no-comments">%s</div>'])
+def test_host_paths_look_into_wrappers(wrap):
+    body = "<h1>Title</h1><p>" + "Some words of the article. " * 20 + "</p>"
+    want = "Title\n" + ("Some words of the article. " * 20).strip()
+    around = "<nav><a href=x>Menu</a></nav><form>Send this</form><div class='comment-list'><p>" + "Long comment. " * 90 + "</p></div>"
+    for inner in (f"<article>{body}</article>", f"<main class=x>{body}</main>", f"<div class=post>{body}</div>"):
+        page = "<html><body><header>Top</header>" + wrap % (inner + "<div class=sidebar>Side</div>") + "<footer>us</footer></body></html>"
+        best, score = host_paths.best_container(host_paths.blocks(page))
+        assert best is not None and score > 0 and host_paths.extract(page, None) == want
+        if "post" not in inner:
+            assert host_paths.extract("<body>" + wrap % inner + around, None) == want
+    assert host_paths.extract("<html><body>" + wrap % body + "<aside>Side</aside></body></html>", None) == want
+
+
+def test_host_paths_do_not_take_comments_for_the_article():
+    post = "<div class=post><p>" + "A short post. " * 10 + "</p></div>"
+    comments = "<div class=comments><article class=comment><p>" + "Long comment. " * 60 + "</p></article></div>"
+    assert host_paths.extract(f"<body>{post}{comments}</body>", None) == ("A short post. " * 10).strip()
+
+
 def test_host_paths_on_the_pages(spark):
     for r in Q.queries()["op1_host_paths"](spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet"), "page_id").collect():
         inner = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
