@@ -5,9 +5,8 @@ distance <= r = sqrt(2 - 2 t), which bounds what must be read:
 
 * Probes: x lies in the cell of its nearest centre c, so it is on c's side of the plane
   between c and q's own centre c0; q need search cell c only if it is near that plane,
-  |q - c|^2 - |q - c0|^2 <= 2 s |c - c0|. s = r would never miss; a step of length r in d
-  dimensions has r / sqrt(d) along one direction, so s = min(1, PROBE_SIGMAS / sqrt(d)) r
-  (recall is measured against brute force in the tests).
+  |q - c|^2 - |q - c0|^2 <= 2 r |c - c0|. No vector within r is missed, whatever the
+  directions of the vectors.
 * Codes: x is stored as its cell and one byte per subspace of its residual, with the error
   e of that approximation. A looked-up distance from q above r + e rules x out.
 
@@ -37,7 +36,6 @@ THRESHOLD = 0.98
 SAMPLE = 20_000
 PER_LIST = 2_000  # vectors for one coarse centre
 MAX_LISTS = 1_024
-PROBE_SIGMAS = 4
 SUBSPACES = 8
 CODES = 64
 BLOCK = 1_024
@@ -87,7 +85,6 @@ class Codebook:
         d = _squared(x, self.centres)
         own = d.argmin(1)
         apart = np.sqrt(_squared(self.centres, self.centres))
-        radius *= min(1.0, PROBE_SIGMAS / np.sqrt(x.shape[1]))
         ok = d - d[np.arange(len(x)), own][:, None] <= 2 * radius * apart[own] + 1e-9
         return [np.flatnonzero(row) for row in ok]
 

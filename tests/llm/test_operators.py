@@ -216,6 +216,22 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values() if r["vec_id"] is not None)
 
 
+@pytest.mark.parametrize("d", [64, 256])
+def test_probes_miss_no_link_of_low_rank_vectors(d):
+    rng = np.random.default_rng(7)
+    basis = rng.normal(size=(4, d))
+    x = rng.normal(size=(1500, 4))
+    x = np.concatenate([x, x + rng.normal(size=x.shape) * 0.08]) @ basis
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    book = product_quantiser.Codebook(x, 60)
+    cell, probes = book.encode(x)[0], book.probes(x, np.sqrt(2 - 2 * product_quantiser.THRESHOLD))
+    i, j = np.nonzero(x @ x.T >= product_quantiser.THRESHOLD)
+    asked = np.zeros((len(x), 60), dtype=bool)
+    for row, p in zip(asked, probes):
+        row[p] = True
+    assert len(i) > len(x) and asked[i, cell[j]].all()
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class=x><header>Top</header>
 <nav><ul><li><a href="/a">Menu</a></ul></nav><div class="cookie-notice">We use cookies</div><article class="post-12">
 <h1>Title &amp; more</h1><p>First <b>bold</b>   text<br><p>Second &lt;b&gt; text</p><script>var a="</p>";</script>
