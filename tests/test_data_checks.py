@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from data_dirs import SF01
 from plaintscope.operators import quality as Q
 from plaintscope.plans.cleaning import clean_table
 from plaintscope.schema import SCHEMA_CHECK_COLUMNS

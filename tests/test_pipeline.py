@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from data_dirs import SF001
 from plaintscope import pipeline
 from plaintscope.plans.cleaning import clean_table
 from plaintscope.sources.adapters import raw_extract

@@ -1,6 +1,6 @@
 """Plan-shape checks for the properties the design relies on at scale."""
 
-from conftest import SF001
+from data_dirs import SF001
 from plaintscope.operators import signals as S
 from plaintscope.operators import themes as TH
 from plaintscope.plans.cleaning import clean_table

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from data_dirs import SF001
 from plaintscope.operators import signals as S
 from plaintscope.plans.cleaning import ORDER, clean_table
 from plaintscope.sources.adapters import event_complaints, raw_extract
