@@ -4,7 +4,8 @@ The tokenizer library encodes; texts are cut only where its own pre-tokenizer al
 cuts (before a single space between two non-blank characters), so the ids are those of
 the whole text. Pieces repeat a lot, so each worker process keeps a bounded table of
 the first words it met (mostly the frequent ones) and hands the library only the others,
-each once per group of texts.
+each once per group of texts. Ids are those of ``encode(text, add_special_tokens=False)`` with
+the file's own settings: the literal of an added token in a text becomes that token's id.
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ class PieceEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # Literals the library cuts out of a text before anything else (fixed by the file).
+        self.literals = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.opens = np.zeros(self.vocab_size, dtype=bool)  # ids that begin with a space
         self.opens[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()
@@ -121,6 +123,16 @@ class PieceEncoder:
         return _BLANK_BESIDE_SPACE.search(text) is None
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as the plain library call gives them. A text that holds the
+        literal of an added token goes to the library whole."""
+        held = [any(x in t for x in self.literals) for t in texts]
+        if not any(held):
+            return self._by_words(texts)
+        plain = iter(self._by_words([t for t, h in zip(texts, held) if not h]))
+        direct = iter(self._direct([t for t, h in zip(texts, held) if h]))
+        return [next(direct if h else plain) for h in held]
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         first: list[str] = []
         later: list[list[str]] = []
         for t in texts:

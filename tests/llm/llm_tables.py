@@ -1,3 +1,5 @@
+"""Fixtures of the training-data tests; imported by the test modules."""
+
 import pytest
 
 ODD_ROWS = [
@@ -5,6 +7,7 @@ ODD_ROWS = [
     (5, "one two", "en", "b", 7), (6, "Same words here again and again in this text of more than ten words.", "en", "a", 60),
     (7, "Same words here again and again in this text of more than ten words.", "en", "a", 60),
     (8, "x" * 250, "en", "a", 250), (9, ("long text " * 3000) + "x" * 250, "de", "a", None), (10, "é" * 120 + " 日本", "fr", "c", 1),
+    (11, "before<|endoftext|>after <|endoftext|><|endoftext|> end", "en", "a", 52),
 ]
 
 

@@ -14,6 +14,7 @@ import corpus_pipeline
 from plaintscope.llm import encoding, host_paths, line_rules, ngram_join, packing, product_quantiser
 from plaintscope.llm import queries as Q
 from plaintscope.llm import suffix_family, token_files, toxicity, url_intervals, viterbi_pieces
+from llm_tables import odd_docs, small_docs  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,7 +25,6 @@ def texts(df):
 
 def ids_of(rows):
     t = Tokenizer.from_file(encoding.default_path())
-    t.encode_special_tokens = True
     return {d: np.array(t.encode(x or "", add_special_tokens=False).ids, dtype="<u4") for d, x in rows}
 
 
@@ -32,6 +32,8 @@ def test_piece_encoder_equals_the_library():
     e = encoding.PieceEncoder(encoding.default_path())
     cases = ["", "a", " a", "a  b", "don't say 'it's'", "x\n\n y\t z ", "½ a½ b² <|endoftext|> q", "日本語 テキスト",
              "\x1c a\x1cb \x85 c", "a  b 　c", "a\0b c\0 d", "2abc 3.4,5 --x", "w" * 5000, "tail, tail. tail!?",
+             "<|endoftext|>", "<|endoftext|>a b", "a b<|endoftext|>", "a<|endoftext|>b c", "a <|endoftext|> b  c",
+             "x <|endoftext|><|endoftext|> y", " <|endoftext|>\n", "a <|endoftext| b", "<|ENDOFTEXT|>",
              "1\n2 b-c\n", "q\u3000z \x85 v-1 2.5", "Ġ ĠĠ Ġa Ġ1", "x-1 y_2 z/3 $$$ a\n\nb", "x-1  y_2"]
     want = ids_of(enumerate(cases))
     assert [np.frombuffer(x, "<u4").tolist() for x in e.encode_many(cases)] == [want[i].tolist() for i in range(len(cases))]
