@@ -107,3 +107,9 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     from .viterbi_pieces import piece_digest
     return piece_digest(table(spark, sf_dir, "documents"))
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf_dir):
+    from .periodic_runs import periodic_runs, run_digest, with_planted_run
+    return run_digest(periodic_runs(with_planted_run(table(spark, sf_dir, "documents"))))
