@@ -113,3 +113,9 @@ def op6(spark, sf_dir):
 def op13(spark, sf_dir):
     from .periodic_runs import periodic_runs, run_digest, with_planted_run
     return run_digest(periodic_runs(with_planted_run(table(spark, sf_dir, "documents"))))
+
+
+@register("op12_scaled_sketch")
+def op12(spark, sf_dir):
+    from .scaled_sketch import compare_with_next
+    return compare_with_next(table(spark, sf_dir, "documents"))
