@@ -9,6 +9,7 @@ from ..session import apply_required, ensure_checkpoint_dir
 from .common import prepare, table
 from .url_intervals import URL_SQL, active_entries, captures_of, entries_of
 from .line_rules import QUALITY_SQL, quality_rules
+from .divergence import DIVERGENCE_SQL, divergence
 
 _QUERIES: dict = {}
 _ORACLES: dict = {}
@@ -119,3 +120,8 @@ def op13(spark, sf_dir):
 def op12(spark, sf_dir):
     from .scaled_sketch import compare_with_next
     return compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@register("op11_source_divergence", oracle=DIVERGENCE_SQL)
+def op11(spark, sf_dir):
+    return divergence(table(spark, sf_dir, "documents"))
