@@ -8,9 +8,9 @@ language keeps the terms that ``MIN_DOCS`` of its documents hold.
   When ``BLOCK_POSTINGS`` are held, the block is spilled as a term-sorted run: its entries, dealt
   to hash shards of (lang, term), leave as chunks of ascending keys. The texts are read once.
 * Merge: a shard gets its chunks ordered by first key and merges the runs with a heap. A chunk is
-  opened when its first key is due, so a task holds one open chunk per run that overlaps, whatever
-  the shard holds. Entries of too few documents are dropped there; the rest, with the counts by
-  source, is the frequency table, written once and read by all that follows.
+  opened when its first key is due, so a task holds two open chunks or fewer per run that overlaps,
+  whatever the shard holds. Entries of too few documents are dropped there; the rest, with the
+  counts by source, is the frequency table, written once and read by all that follows.
 * Pair sums need all kept terms, those found in neither source too. A pair starts from all terms
   at their smoothed zero, (number of terms) x f(zero, zero). One-sided corrections (as if the other
   source lacked the term) come from each source's histogram of probabilities, two-sided ones are
@@ -23,10 +23,13 @@ of sources is the result itself. The table of groups is broadcast behind its mea
 
 from __future__ import annotations
 
+import bisect
+import functools
 import heapq
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +49,39 @@ PAIR_BLOCK = 1_000_000
 _LETTER = [c >= 128 or chr(c).isascii() and chr(c).isalpha() for c in range(256)]
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if _LETTER[c] else 32 for c in range(256))
 _END = b"\xff"  # never in UTF-8: ends the language in a key
-_RUN = ("shard int, first binary, keys array<binary>, ends array<int>, names array<string>, "
-        "at array<int>, n array<long>, n_docs array<long>")
+_APART = b"\xfe"  # never in UTF-8 either: between keys and between names of a chunk
+_RUN = "shard int, first binary, last binary, keys binary, ends binary, names binary, at binary, n binary, n_docs binary"
 _FREQUENCY = "lang string, term string, sources array<string>, counts array<long>"
 
 
+class Chunk(NamedTuple):
+    """Entries in ascending order of key: entry i has the postings up to ``ends[i]``, by source
+    (``names[at]``), each with its occurrences and documents."""
+
+    keys: list[bytes]
+    ends: np.ndarray
+    names: list[bytes]
+    at: np.ndarray
+    n: np.ndarray
+    docs: np.ndarray
+
+    def part(self, i: int, j: int) -> Chunk:
+        a = int(self.ends[i - 1]) if i else 0
+        b = int(self.ends[j - 1])
+        return Chunk(self.keys[i:j], self.ends[i:j] - a, self.names, self.at[a:b], self.n[a:b], self.docs[a:b])
+
+    def packed(self) -> tuple:
+        used, at = np.unique(self.at, return_inverse=True)
+        return (self.keys[0], self.keys[-1], _APART.join(self.keys), self.ends.astype("<i4").tobytes(),
+                _APART.join([self.names[i] for i in used.tolist()]), at.astype("<i4").tobytes(),
+                self.n.astype("<i8").tobytes(), self.docs.astype("<i8").tobytes())
+
+    @classmethod
+    def unpacked(cls, keys: bytes, ends: bytes, names: bytes, at: bytes, n: bytes, docs: bytes) -> Chunk:
+        return cls(keys.split(_APART), np.frombuffer(ends, "<i4").astype(np.int64), names.split(_APART),
+                   np.frombuffer(at, "<i4"), np.frombuffer(n, "<i8"), np.frombuffer(docs, "<i8"))
+
+
 def terms(text: bytes) -> list[bytes]:
     """The terms of a text's UTF-8 bytes, in order."""
     return text.translate(_FOLD).split()
@@ -71,90 +102,103 @@ class _Block:
         self.size += len(n) - before
 
     def run(self, shards: int) -> Iterator[pa.RecordBatch]:
-        """The block as a term-sorted run per shard, in chunks. The empty term marks each group."""
-        of_shard: dict[int, list[tuple[bytes, bytes, int, int]]] = {}
-        for (lang, source), (n, docs) in self.groups.items():
-            head = lang + _END
-            of_shard.setdefault(zlib.crc32(head) % shards, []).append((head, source, 0, 0))
-            for t, c in n.items():
-                key = head + t
-                of_shard.setdefault(zlib.crc32(key) % shards, []).append((key, source, c, docs[t]))
+        """The block as a term-sorted run per shard, in chunks; the block is empty afterwards.
+        The empty term marks each group."""
+        names = sorted({source for _, source in self.groups})
+        number = {x: i for i, x in enumerate(names)}
+        by_lang: dict[bytes, list] = {}
+        for (lang, source), held in self.groups.items():
+            by_lang.setdefault(lang, []).append((number[source], *held))
         self.__init__()
+        keys: list[bytes] = []
+        columns: list[list[np.ndarray]] = [[], [], [], []]
+        for lang in sorted(by_lang, key=lambda x: x + _END):
+            head = lang + _END
+            found = sorted(set().union(*(n for _, n, _ in by_lang[lang])))
+            place = dict(zip(found, range(len(keys) + 1, len(keys) + 1 + len(found))))
+            mark = len(keys)
+            keys.append(head)
+            keys += [head + t for t in found]
+            for source, n, docs in by_lang[lang]:
+                at = np.fromiter(map(place.__getitem__, n), np.int64, len(n))
+                for col, x in zip(columns, (at, np.full(len(n), source), np.fromiter(n.values(), np.int64, len(n)),
+                                            np.fromiter(map(docs.__getitem__, n), np.int64, len(n)))):
+                    col.append(x)
+                for col, x in zip(columns, (mark, source, 0, 0)):
+                    col.append(np.array([x], np.int64))
+        if not keys:
+            return
+        place, source, n, docs = (np.concatenate(c) for c in columns)
+        shard = np.fromiter((zlib.crc32(k) % shards for k in keys), np.int64, len(keys))
+        order = np.lexsort((source, place, shard[place]))
+        place, source, n, docs = place[order], source[order], n[order], docs[order]
+        # Keys by shard, ascending in each, and where their postings end.
+        by_shard = np.argsort(shard, kind="stable")
+        count = np.bincount(place, minlength=len(keys))
+        ends = np.cumsum(count[by_shard])
+        bounds = np.searchsorted(shard[by_shard], np.arange(shards + 1))
         rows: list[tuple] = []
-        for shard, entries in of_shard.items():
-            entries.sort()
-            keys, ends, names, at, n, docs = [], [], {}, [], [], []
-            for key, source, c, d in entries:
-                if not keys or key != keys[-1]:
-                    if len(keys) >= CHUNK_KEYS or len(n) >= CHUNK_POSTINGS:
-                        rows.append((shard, keys[0], keys, [*ends[1:], len(n)], list(names), at, n, docs))
-                        keys, ends, names, at, n, docs = [], [], {}, [], [], []
-                    keys.append(key)
-                    ends.append(len(n))
-                at.append(names.setdefault(source, len(names)))
-                n.append(c)
-                docs.append(d)
-            rows.append((shard, keys[0], keys, [*ends[1:], len(n)], list(names), at, n, docs))
-            entries.clear()
-            if len(rows) >= 256:
-                yield _run_batch(rows)
-                rows = []
+        for s in range(shards):
+            i, stop = int(bounds[s]), int(bounds[s + 1])
+            while i < stop:
+                a = int(ends[i - 1]) if i else 0
+                j = int(np.searchsorted(ends, a + CHUNK_POSTINGS, side="left")) + 1
+                j = min(stop, i + CHUNK_KEYS, j)
+                b = int(ends[j - 1])
+                chunk = Chunk([keys[k] for k in by_shard[i:j].tolist()], ends[i:j] - a, names, source[a:b], n[a:b], docs[a:b])
+                rows.append((s, *chunk.packed()))
+                i = j
+                if len(rows) >= 256:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUN_SCHEMA)], schema=_RUN_SCHEMA)
+                    rows = []
         if rows:
-            yield _run_batch(rows)
-
-
-_RUN_SCHEMA = pa.schema([("shard", pa.int32()), ("first", pa.binary()), ("keys", pa.list_(pa.binary())),
-                         ("ends", pa.list_(pa.int32())), ("names", pa.list_(pa.string())),
-                         ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int64())), ("n_docs", pa.list_(pa.int64()))])
-
-
-def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = [list(c) for c in zip(*rows)]
-    cols[4] = [[x.decode() for x in names] for names in cols[4]]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _RUN_SCHEMA)], schema=_RUN_SCHEMA)
-
-
-class _Chunk:
-    """An open chunk: its entries in ascending order of key."""
-
-    def __init__(self, row: dict):
-        self.keys, self.ends, self.names = row["keys"], row["ends"], row["names"]
-        self.at, self.n, self.docs = row["at"], row["n"], row["n_docs"]
-        self.entry = 0
-
-    def pour(self, into: dict[str, list[int]]) -> bytes | None:
-        """Add this entry's postings; the key of the next one."""
-        i = self.entry
-        for j in range(self.ends[i - 1] if i else 0, self.ends[i]):
-            held = into.setdefault(self.names[self.at[j]], [0, 0])
-            held[0] += self.n[j]
-            held[1] += self.docs[j]
-        self.entry += 1
-        return self.keys[self.entry] if self.entry < len(self.keys) else None
-
-
-def merged(rows: Iterator[dict]) -> Iterator[tuple[bytes, dict[str, list[int]]]]:
-    """Heap merge of the chunks of any number of runs, given by ascending ``first``: each key once,
-    ascending, with its (occurrences, documents) by source."""
-    heap: list[tuple[bytes, int, _Chunk]] = []
-    waiting, opened = next(rows, None), 0
-    key, held = None, {}
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUN_SCHEMA)], schema=_RUN_SCHEMA)
+
+
+_RUN_SCHEMA = pa.schema([("shard", pa.int32()), *((c.split()[0], pa.binary()) for c in _RUN.split(", ")[1:])])
+
+
+def _join(parts: list[Chunk]) -> Chunk:
+    """One chunk of the parts' keys, equal postings added up; sources of a key ascend."""
+    keys = sorted(set().union(*(p.keys for p in parts)))
+    names = sorted(set().union(*(p.names for p in parts)))
+    key_no, name_no = ({x: i for i, x in enumerate(xs)} for xs in (keys, names))
+    rank = np.concatenate([np.repeat(np.fromiter(map(key_no.__getitem__, p.keys), np.int64, len(p.keys)),
+                                     np.diff(p.ends, prepend=0)) for p in parts])
+    code = np.concatenate([np.array([name_no[x] for x in p.names])[p.at] for p in parts])
+    value = rank * len(names) + code
+    order = np.argsort(value, kind="stable")
+    value = value[order]
+    first = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+    n, docs = (np.add.reduceat(np.concatenate(x)[order], first) for x in ([p.n for p in parts], [p.docs for p in parts]))
+    rank, code = np.divmod(value[first], len(names))
+    return Chunk(keys, np.searchsorted(rank, np.arange(len(keys)), side="right"), names, code, n, docs)
+
+
+def merged(chunks: Iterator[tuple[bytes, bytes, Callable[[], Chunk]]]) -> Iterator[Chunk]:
+    """Heap merge of the chunks (first key, last key, opener) of any number of runs, given by
+    ascending first key: chunks of distinct, ascending keys. The heap holds the open chunks by last
+    key; the half that ends first is used up at a time, together with what the others hold up to
+    there and the chunks that start before."""
+    heap: list[tuple[bytes, int, Chunk]] = []
+    waiting, opened = next(chunks, None), 0
     while heap or waiting:
-        while waiting and (not heap or waiting["first"] <= heap[0][0]):
-            heapq.heappush(heap, (waiting["first"], opened, _Chunk(waiting)))
-            waiting, opened = next(rows, None), opened + 1
-        top, serial, chunk = heap[0]
-        if top != key:
-            if key is not None:
-                yield key, held
-            key, held = top, {}
-        after = chunk.pour(held)
-        if after is None:
-            heapq.heappop(heap)
-        else:
-            heapq.heapreplace(heap, (after, serial, chunk))
-    if key is not None:
-        yield key, held
+        if not heap:
+            heap, waiting = [(waiting[1], opened, waiting[2]())], next(chunks, None)
+            opened += 1
+        limit = heapq.nsmallest((len(heap) + 1) // 2, heap)[-1][0]
+        while waiting and waiting[0] <= limit:
+            heapq.heappush(heap, (waiting[1], opened, waiting[2]()))
+            waiting, opened = next(chunks, None), opened + 1
+        parts = []
+        while heap and heap[0][0] <= limit:
+            parts.append(heapq.heappop(heap)[2])
+        for i, (last, serial, chunk) in enumerate(heap):
+            cut = bisect.bisect_right(chunk.keys, limit)
+            if cut:
+                parts.append(chunk.part(0, cut))
+                heap[i] = (last, serial, chunk.part(cut, len(chunk.keys)))
+        yield _join(parts)
 
 
 def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -174,19 +218,21 @@ def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         release_memory()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in _rows(b))
-        out: list[tuple] = []
-        for key, held in merged(rows):
-            lang, term = key.split(_END)
-            if term and sum(d for _, d in held.values()) < min_docs:
+        for chunk in merged(_chunks(batches)):
+            start = np.append(0, chunk.ends[:-1])
+            marks = np.fromiter((k.endswith(_END) for k in chunk.keys), bool, len(chunk.keys))
+            keep = np.flatnonzero((np.add.reduceat(chunk.docs, start) >= min_docs) | marks)
+            if not len(keep):
                 continue
-            sources = sorted(held)
-            out.append((lang.decode(), term.decode(), sources, [held[s][0] for s in sources]))
-            if len(out) >= 2_000:
-                yield _frequency_batch(out)
-                out = []
-        if out:
-            yield _frequency_batch(out)
+            size = (chunk.ends - start)[keep]
+            at = np.repeat(start[keep] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            offsets = pa.array(np.append(0, np.cumsum(size)).astype(np.int32))
+            lang, term = zip(*(chunk.keys[i].split(_END) for i in keep.tolist()))
+            names = pa.array(chunk.names, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x, pa.binary()).cast(pa.string()) for x in (lang, term)),
+                 pa.ListArray.from_arrays(offsets, names.take(pa.array(chunk.at[at]))),
+                 pa.ListArray.from_arrays(offsets, pa.array(chunk.n[at]))], names=["lang", "term", "sources", "counts"])
         release_memory()
 
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
@@ -195,15 +241,11 @@ def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return written(ordered.mapInArrow(merge, _FREQUENCY), "term-frequencies")
 
 
-def _rows(b: pa.RecordBatch) -> Iterator[dict]:
-    for i in range(b.num_rows):
-        yield b.slice(i, 1).to_pylist()[0]
-
-
-def _frequency_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)],
-                                      names=["lang", "term", "sources", "counts"])
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes, Callable[[], Chunk]]]:
+    for b in batches:
+        for i in range(b.num_rows):
+            first, last, *packed = (b.column(c)[i].as_py() for c in range(1, b.num_columns))
+            yield first, last, functools.partial(Chunk.unpacked, *packed)
 
 
 def _probability(count: Column, total: Column, kept: Column) -> Column:

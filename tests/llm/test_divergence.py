@@ -103,14 +103,15 @@ def test_heap_merge_of_runs():
                 total[bytes(lang) + b"\xff" + w, source.decode()][0] += 1
             for w in set(words):
                 total[bytes(lang) + b"\xff" + w, source.decode()][1] += 1
-        for batch in block.run(4):
-            chunks += list(D._rows(batch))
+        chunks += list(D._chunks(block.run(4)))
         assert not block.size
-    chunks.sort(key=lambda r: r["first"])
+    chunks.sort(key=lambda c: c[:2])
     keys, found = [], {}
-    for key, held in D.merged(iter(chunks)):
-        keys.append(key)
-        found.update({(key, s): v for s, v in held.items() if v[0]})
+    for c in D.merged(iter(chunks)):
+        for i, key in enumerate(c.keys):
+            keys.append(key)
+            a, b = c.ends[i - 1] if i else 0, c.ends[i]
+            found.update({(key, c.names[s].decode()): [n, d] for s, n, d in zip(c.at[a:b], c.n[a:b], c.docs[a:b]) if n})
     assert keys == sorted(set(keys)) and found == dict(total)
 
 
