@@ -80,13 +80,13 @@ def _post_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 owners.append(np.full(len(part), fp, dtype=np.int64))
         yield pa.RecordBatch.from_pydict({
             "token": mix64(docs.astype(np.uint64)).view(np.int64), "fp": pa.array(fps, pa.int64()),
-            "doc": docs, "n": pa.array(ns, pa.int32())})
+            "doc": docs, "n": pa.array(ns, pa.int32()), "h": b.column("h")})
         if tokens:
             token, owner = np.concatenate(tokens).view(np.int64), np.concatenate(owners)
             for i in range(0, len(token), 500_000):
                 t, o = token[i:i + 500_000], owner[i:i + 500_000]
                 yield pa.RecordBatch.from_pydict({"token": t, "fp": o, "doc": pa.nulls(len(t), pa.int64()),
-                                                  "n": pa.nulls(len(t), pa.int32())})
+                                                  "n": pa.nulls(len(t), pa.int32()), "h": pa.nulls(len(t), pa.int64())})
 
 
 def _shared(token: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +115,7 @@ def _count_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = b.filter(doc)
         if d.num_rows:
             yield pa.RecordBatch.from_pydict({"fp": d.column("fp"), "doc": d.column("doc"), "n": d.column("n"),
-                                              "hits": pa.nulls(d.num_rows, pa.int32())})
+                                              "h": d.column("h"), "hits": pa.nulls(d.num_rows, pa.int32())})
         p = b.filter(pc.invert(doc))
         tokens.append(p.column("token").to_numpy())
         fps.append(p.column("fp").to_numpy())
@@ -123,7 +123,7 @@ def _count_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, fp, _ = _shared(np.concatenate(tokens), np.concatenate(fps))
         fp, hits = np.unique(fp, return_counts=True)
         yield pa.RecordBatch.from_pydict({"fp": fp, "doc": pa.nulls(len(fp), pa.int64()),
-                                          "n": pa.nulls(len(fp), pa.int32()),
+                                          "n": pa.nulls(len(fp), pa.int32()), "h": pa.nulls(len(fp), pa.int64()),
                                           "hits": hits.astype(np.int32)})
 
 
@@ -295,22 +295,30 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield from links()
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc, text, h``: rows are told apart by id and a hash of the text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc"), text.alias("text"), F.xxhash64(text).alias("h"))
+
+
 def shingle_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``texts(doc, text)`` to its documents ``(doc, n, fp)`` and the classes that pass the
-    first filter ``(fp, doc)`` with their smallest document."""
-    first = (texts.mapInArrow(_post_first, "token long, fp long, doc long, n int")
-             .repartition("token").mapInArrow(_count_first, "fp long, doc long, n int, hits int"))
+    """``texts(doc, text, h)`` to its documents ``(doc, n, fp, h)`` and the classes that pass
+    the first filter ``(fp, doc, h)`` with their smallest document."""
+    first = (texts.mapInArrow(_post_first, "token long, fp long, doc long, n int, h long")
+             .repartition("token").mapInArrow(_count_first, "fp long, doc long, n int, h long, hits int"))
     first = written(first, "jaccard-first")
-    docs = first.where("n is not null").select("doc", "n", "fp")
-    classes = docs.where("n > 0").groupBy("fp").agg(F.min("doc").alias("doc"), F.min("n").alias("n"))
+    docs = first.where("n is not null").select("doc", "n", "fp", "h")
+    classes = (docs.where("n > 0").groupBy("fp").agg(F.min(F.struct("doc", "h")).alias("at"), F.min("n").alias("n"))
+               .select("fp", "at.doc", "at.h", "n"))
     hits = first.where("hits is not null").groupBy("fp").agg(F.sum("hits").alias("hits"))
     left = (classes.join(hits, "fp").where(F.expr("hits >= 1 + ((3 * n + 3) div 4) div 16"))
-            .select("fp", "doc"))
+            .select("fp", "doc", "h"))
     return docs, cut_lineage(left)
 
 
 def _texts_of(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    return texts.join(bounded_broadcast(classes), "doc").select("fp", "text")
+    # An id may name several texts; rows of one id and text hold the same set.
+    return texts.join(bounded_broadcast(classes), ["doc", "h"]).select("fp", "text")
 
 
 def class_links(texts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -367,19 +375,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     id cannot name a component: it is sized, not compared, and its component is null. Rows
     with a repeated doc_id are compared each. Empty tables give no rows. Other columns
     are not read."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"),
-                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = _keyed(docs)
     unnamed = texts.where("doc is null").select("text").mapInArrow(_sizes, "doc_id long, n_shingles long, component_id long")
-    texts = texts.where("doc is not null")
+    rows, named = _components(texts.where("doc is not null"))
+    return (rows.join(named.select("fp", F.col("first.doc").alias("component_id")), "fp", "left")
+            .select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"))
+            .unionByName(unnamed))
+
+
+def _components(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents ``(doc, n, fp, h)`` and per class ``fp`` the first row ``(doc, h)`` of its component."""
     rows, classes = shingle_classes(texts)
     links = class_links(texts, classes)
     comps = connected_components(links).select(F.col("id").alias("fp"), F.col("component_id").alias("comp"))
-    first = rows.where("n > 0").groupBy("fp").agg(F.min("doc").alias("first"))
+    first = rows.where("n > 0").groupBy("fp").agg(F.min(F.struct("doc", "h")).alias("first"))
     named = first.join(comps, "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
     named = cut_lineage(named)
-    least = named.groupBy("comp").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "comp").select("fp", "component_id")
-    return (rows.join(named, "fp", "left")
-            .select(F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"))
-            .unionByName(unnamed))
+    least = named.groupBy("comp").agg(F.min("first").alias("first"))
+    return rows, named.select("fp", "comp").join(least, "comp").select("fp", "first")
+
+
+def first_of_groups(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs(doc_id, text, ...)`` without near duplicates, with all their columns: of
+    each component one row stays, that of the smallest id (of one id: of the smallest text hash; of
+    identical rows any one). Rows without an id or without shingles stay. Rows of one id are judged
+    by their own texts. Empty tables stay empty."""
+    rows, named = _components(_keyed(docs).where("doc is not null"))
+    placed = cut_lineage(rows.where("n > 0").join(named, "fp").select(
+        F.col("doc").alias("dup__id"), F.col("h").alias("dup__h"),
+        ((F.col("doc") == F.col("first.doc")) & (F.col("h") == F.col("first.h"))).alias("stays")))
+    key = (F.col("doc_id").cast("long") == F.col("dup__id")) & (
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("dup__h"))
+    gone = cut_lineage(placed.where("not stays").select("dup__id", "dup__h").distinct())
+    left = docs.join(bounded_broadcast(gone), key, "left_anti")
+    twice = cut_lineage(placed.where("stays").groupBy("dup__id", "dup__h").count().where("count > 1").drop("count"))
+    if not twice.limit(1).count():
+        return left
+    again = left.join(bounded_broadcast(twice), key).dropDuplicates(["dup__id", "dup__h"]).select(*docs.columns)
+    return left.join(bounded_broadcast(twice), key, "left_anti").unionByName(again)

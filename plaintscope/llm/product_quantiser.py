@@ -97,6 +97,17 @@ class Codebook:
         return np.sqrt(np.maximum(total, 0))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows by a power of two, their largest component between 1/2 and 1: exact, and neither a
+    tiny nor a huge vector leaves the range of its squares."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = _scaled(x)
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
@@ -136,7 +147,8 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ``vectors(vec_id, embedding, label)``.
 
     A null label or vector, a zero or empty vector, or null or non-finite components: no
-    links, a component of its own. Vectors of different lengths are not compared. A row
+    links, a component of its own. Vectors of any length above zero are compared (components of 1e-300
+    or 1e300 too). Vectors of different lengths are not compared. A row
     without vec_id takes part in no link (null component, not kept). Rows with one vec_id
     are each compared; they share that id's component. Empty tables give no rows."""
     radius = float(np.sqrt(2 - 2 * threshold))
@@ -158,7 +170,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         for size, part in _by_length(batch):
             x = _matrix(part.column("embedding"))
             lists = max(1, min(MAX_LISTS, per_length[size] // PER_LIST, len(x)))
-            books[size] = Codebook(x / np.linalg.norm(x, axis=1)[:, None], lists)
+            books[size] = Codebook(_unit(x), lists)
     for size in per_length:
         if size not in books:  # a length too rare for the sample: one list around zero
             books[size] = Codebook(np.zeros((1, size)), 1)
@@ -171,8 +183,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 book = shared.value[size]
                 for lo in range(0, part.num_rows, 2048):
                     piece = part.slice(lo, 2048)
-                    x = _matrix(piece.column("embedding"))
-                    x = x / np.linalg.norm(x, axis=1)[:, None]
+                    x = _unit(_matrix(piece.column("embedding")))
                     cell, codes, err = book.encode(x)
                     probes = book.probes(x, radius)
                     yield pa.RecordBatch.from_arrays(
@@ -208,7 +219,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             book = shared.value[t.column("d")[0].as_py()]
             cell = t.column("cell")[0].as_py()
             ids, qids = e.column("id").to_numpy(), q.column("id").to_numpy()
-            x, y = (_matrix(v.column("embedding").combine_chunks()) for v in (e, q))
+            x, y = (_scaled(_matrix(v.column("embedding").combine_chunks())) for v in (e, q))
             copies, err = e.column("copies").to_numpy(), e.column("err").to_numpy()
             codes = np.frombuffer(b"".join(e.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1)
             x_norm, y_norm = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)

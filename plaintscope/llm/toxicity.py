@@ -31,7 +31,6 @@ from ..session import bounded_broadcast, cut_lineage
 from .common import release_memory, slices
 
 MAX_LABELLED = 16_000
-MAX_LEXICON = 4_000
 MIN_EVIDENCE = 9.0  # bits of surprise a lexicon entry needs under the base rate
 STEMS = (4, 5, 6)
 NEAR = 40  # characters on either side of a lexicon hit
@@ -43,7 +42,8 @@ SECOND_PERSON = ("you your yours yourself u ur tu te toi ton ta tes vous votre v
 _SECOND = re.compile(" (?:" + "|".join(SECOND_PERSON.split()) + ") ")
 # Signs written for letters.
 _LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
-_MASKED = re.compile(r"[^\W\d_]+[0134 57@$!*][^\W\d_]".replace(" ", ""))
+# The sign and its two neighbours: letters before them need no second look, so it is linear.
+_MASKED = re.compile(r"[^\W\d_][013457@$!*][^\W\d_]")
 _STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
@@ -82,7 +82,8 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def learn_lexicon(train: DataFrame) -> list[tuple[str, float]]:
-    """At most ``MAX_LEXICON`` entries with their log-odds, the most surprising first."""
+    """All entries that pass the two limits with their log-odds, the most surprising first. Their
+    number is bounded by the labelled rows, of which there are ``MAX_LABELLED`` at most."""
     n = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     toxic, clean = n.get(1.0, 0), n.get(0.0, 0)
     if not toxic or not clean:
@@ -98,7 +99,7 @@ def learn_lexicon(train: DataFrame) -> list[tuple[str, float]]:
     found = (counts.withColumn("bits", F.col("a") * F.log2(share / p) + other)
              .withColumn("odds", odds)
              .where((F.col("odds") > 1.0) & (F.col("bits") >= MIN_EVIDENCE))
-             .orderBy(F.desc("bits"), "token").limit(MAX_LEXICON).select("token", "odds").collect())
+             .orderBy(F.desc("bits"), "token").select("token", "odds").collect())
     return [(r["token"], float(r["odds"])) for r in found]
 
 
@@ -164,11 +165,29 @@ def held_out() -> F.Column:
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row of ``docs(doc_id, text)``, after the
-    columns of ``docs`` named in ``keep``.
+    columns of ``docs`` named in ``keep``; one named like a result (but for ``doc_id``) is returned
+    as ``kept_<name>``.
 
     ``labels(doc_id, toxic)``: rows with null id, null label or held-out id teach nothing;
     a repeated id counts as toxic if any row says so. Without both classes among the
-    training rows every score is the base rate (0 without labels). Null text is empty."""
+    training rows every score is the base rate (0 without labels). Null text is empty; whole texts
+    of any length are read, in linear time. Repeated ids and rows are scored each, equal texts alike.
+    Empty tables give no rows."""
+    keep = tuple(c for c in keep if c != "doc_id")
+    taken = {"doc_id", "held_out", "score", "predicted"}
+    names = [f"kept_{c}" if c.lower() in taken else c for c in keep]
+    return _scored(docs, labels, keep).select(
+        *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(names)], "doc_id", "held_out", "score", "predicted")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` not predicted toxic, with all their columns as they are."""
+    return _scored(docs, labels, tuple(docs.columns)).where("predicted = 0").select(
+        *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def _scored(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """``doc_id, held_out, kept_0 .., score, predicted``: results under reserved names."""
     own = ["doc_id", "held_out", *[f"kept_{i}" for i in range(len(keep))]]
     rows = docs.select("doc_id", "text", *[F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)])
     lab = (labels.where("doc_id is not null and toxic is not null").where(~held_out())
@@ -200,6 +219,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = (
         # A little of the uncalibrated margin keeps the order within a level of the fit.
         out = iso.transform(out).withColumn(
             "score", 0.98 * F.col("prediction") + 0.02 / (1 + F.exp(-2 * F.col("margin"))))
-    named = [F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep) if c != "doc_id"]
-    return out.select(*named, "doc_id", "held_out", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "score")).alias("score")
+    kept = own[2:]
+    return out.select(*kept, "doc_id", "held_out", F.least(F.lit(1.0), F.greatest(F.lit(0.0), "score")).alias("score")
                       ).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import html
 import re
+import time
 import zlib
 
 import numpy as np
@@ -204,20 +205,36 @@ def test_vectors_equal_brute_force(spark, monkeypatch):
            (9006, [None] * 16, 0), (9007, [1.0, 2.0], 1), (None, x[0].tolist(), 0)]
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int")
     got = {r["vec_id"]: r for r in product_quantiser.near_vectors(df).collect()}
-    n, found = collections.Counter(), 0
+    n, up = collections.Counter(), list(range(len(x)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
     for i in range(len(x)):
         for j in range(len(x)):
             a, b = x[i].astype(float), x[j].astype(float)
             if i != j and i % 2 == j % 2 and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= 0.98:
                 n[i] += 1
-    found = sum(got[i]["n_links"] for i in range(len(x)))
-    assert all(got[i]["n_links"] <= n[i] for i in range(len(x)))
-    assert found >= 0.99 * sum(n.values()) > 0
+                up[max(root(i), root(j))] = min(root(i), root(j))
+    assert max(n.values()) > 20
+    assert {i: (got[i]["n_links"], got[i]["component_id"]) for i in range(len(x))} == {i: (n[i], root(i)) for i in range(len(x))}
     assert all(got[i]["n_links"] == 0 for i in range(9001, 9008))
     assert got[None]["component_id"] is None and not got[None]["kept"]
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values() if r["vec_id"] is not None)
 
 
+def test_tiny_and_huge_vectors_link_by_direction(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=8)
+    rows = [(i, (x + rng.normal(size=8) * 0.01).tolist(), 1) for i in range(20)]
+    rows += [(20, (x * 1e-200).tolist(), 1), (21, (x * 1e200).tolist(), 1), (22, (x * 1e-310).tolist(), 1), (23, (-x * 1e-200).tolist(), 1)]
+    docs = spark.createDataFrame([(*r, "a", 1) for r in rows] * 2, "vec_id long, embedding array<double>, label int, id string, copies int")
+    got = {r["vec_id"]: r for r in product_quantiser.near_vectors(docs).collect()}
+    assert all(got[i]["n_links"] == 45 and got[i]["component_id"] == 0 for i in range(23)) and got[23]["n_links"] == 1
+
+
 @pytest.mark.parametrize("d", [64, 256])
 def test_probes_miss_no_link_of_low_rank_vectors(d):
     rng = np.random.default_rng(7)
@@ -403,7 +420,94 @@ def test_toxicity_without_labels(spark, odd_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {(r["score"], r["predicted"]) for r in toxicity.score_toxicity(odd_docs, none).collect()} == {(0.0, 0)}
     kept = toxicity.score_toxicity(odd_docs, none, keep=tuple(odd_docs.columns))
-    assert set(odd_docs.columns) <= set(kept.columns) and kept.count() == odd_docs.count()
+    assert {c for c in odd_docs.columns} <= set(kept.columns) and kept.count() == odd_docs.count()
+
+
+def by_definition(text, lexicon):
+    """The features of a text, counted by hand."""
+    low = text.lower()
+    signs = "013457@$!*"
+    letter = lambda c: c.isalpha()
+    places, i = [], 1
+    while i < len(low) - 1:
+        if low[i] in signs and letter(low[i - 1]) and letter(low[i + 1]):
+            places.append(i)
+            i += 2
+        i += 1
+    chars = list(low)
+    for i in places:
+        chars[i] = dict(zip("013457@$!", "oieastasi")).get(low[i], "")
+    words = "".join(c if not c or letter(c) else " " for c in chars).split()
+    clean = " " + " ".join(words) + " "
+    hits = [(k, v) for k, v in lexicon for at in range(len(clean)) if clean.startswith(k, at)]
+    n = max(1, len(words))
+    return {"word_density": sum(k.endswith(" ") for k, _ in hits) / n, "stem_density": sum(not k.endswith(" ") for k, _ in hits) / n,
+            "strong_density": sum(v > 3 for _, v in hits) / n, "any_hits": float(bool(hits)), "distinct_hits": float(len({k for k, _ in hits})),
+            "exclaim_rate": text.count("!") / n, "masked_rate": len(places) / n, "log_words": float(np.log1p(n)),
+            "capital_rate": sum("A" <= c <= "Z" for c in text) / max(1, sum("a" <= c <= "z" or "A" <= c <= "Z" for c in text)),
+            "digit_rate": sum(c in "0123456789" for c in text) / max(1, len(text.encode()))}
+
+
+def test_toxicity_features_equal_their_definition(small_docs):
+    lexicon = [(" word ", 4.0), (" the", 1.5), (" idio", 2.0), (" idiot ", 5.0)]
+    make = toxicity._Features(lexicon)
+    cases = ["", "You idi0t! a1b1c w*rd W0RD", "the then 1a2 x@y@z $$$ h3ll0", "THE É word's été5a"]
+    cases += [t or "" for _, t in texts(small_docs)[:40]]
+    for t in cases:
+        got = dict(zip(toxicity.NAMES, make(t)))
+        want = by_definition(t, lexicon)
+        assert {k: got[k] for k in want} == pytest.approx(want), t[:80]
+
+
+def test_toxicity_reads_long_words_in_linear_time():
+    start = time.perf_counter()
+    toxicity._Features([(" ab", 2.0)])("a" * 1_000_000 + " " + "a1" * 100_000)
+    assert time.perf_counter() - start < 5
+
+
+def test_toxicity_with_clashing_names(spark):
+    rows = [(i, ("awful zorg fool you " if i % 3 == 0 else "a calm text about trees ") * 3 + str(i), i % 3 == 0) for i in range(240)]
+    labels = spark.createDataFrame([(i, int(y)) for i, _, y in rows], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, t, 0.5, True, 7, "f", "m", [1], 3) for i, t, _ in rows] + [(None, None, None, None, None, None, None, None, None)],
+                                 "doc_id long, text string, score double, Held_Out boolean, predicted int, features string, "
+                                 "margin string, rawPrediction array<int>, word_density int")
+    out = toxicity.score_toxicity(docs, labels, keep=tuple(docs.columns))
+    assert out.count() == 241 and {"kept_score", "kept_Held_Out", "kept_predicted", "features"} <= set(out.columns)
+    kept = corpus_pipeline.keep_clean(docs, labels)
+    assert kept.schema.simpleString() == docs.schema.simpleString()
+    got = {r["doc_id"]: r for r in kept.collect()}
+    assert None in got and all(got[i]["score"] == 0.5 for i, _, y in rows if not y) and not any(i in got for i, _, y in rows if y)
+
+
+def test_near_duplicate_stage_drops_rows_not_ids(spark):
+    long = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
+    rows = [(3, "x"), (5, "x"), (5, "unique"), (7, long), (7, long), (8, long + " phi"), (8, "other text of this id that stays"),
+            (None, long), (9, None), (9, ""), (2, "p q"), (2, "p  q"), (2, "p q")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, doc int").repartition(3)
+    got = corpus_pipeline.near_duplicate(spark, docs, SF)
+    assert got.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str)
+    last = [x for x in got if x[0] == 2]
+    assert len(last) == 1 and last[0][1] in ("p q", "p  q")
+    assert sorted([x for x in got if x[0] != 2], key=str) == sorted(
+        [(3, "x"), (5, "unique"), (7, long), (8, "other text of this id that stays"), (None, long), (9, None), (9, "")], key=str)
+
+
+def test_texts_of_one_id_are_not_mixed_up(spark):
+    rng = np.random.default_rng(8)
+    text = [" ".join(f"w{x}" for x in rng.integers(0, 10_000, 60)) for _ in range(4)]
+    rows = [(1, text[0]), (1, text[1]), (1, text[2][:40]), (5, text[1] + " end"), (6, text[0] + " end"), (7, text[3])]
+    got = sorted((r["doc_id"], r["component_id"], r["n_shingles"]) for r in ngram_join.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert [x[:2] for x in got] == [(1, 1), (1, 1), (1, 1), (5, 1), (6, 1), (7, 7)]
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd_docs):
+    for docs in (odd_docs, odd_docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            assert name == "packing" or out.schema.simpleString() == docs.schema.simpleString()
+            assert out.count() >= (6 if name == "packing" and docs is odd_docs else 0) and (docs is odd_docs or out.count() == 0)
 
 
 def test_empty_tables(spark, odd_docs):
