@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plaintscope.llm.common import prepare, shared_folder, table
 from plaintscope.llm.line_rules import keep_good
-from plaintscope.llm.ngram_join import near_duplicates
+from plaintscope.llm.ngram_join import first_of_groups
 from plaintscope.llm.packing import pack_pieces
 from plaintscope.llm.queries import workers_can_import
 from plaintscope.llm.suffix_family import remove_repeats
-from plaintscope.llm.toxicity import score_toxicity
-from plaintscope.session import apply_required, bounded_broadcast, cut_lineage
+from plaintscope.llm.toxicity import keep_clean
+from plaintscope.session import apply_required
 
 
 # Worker processes go on from stage to stage, so packing keeps a small table of word ids.
@@ -27,16 +27,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic."""
     prepare(spark)
-    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
-    return scored.where("predicted = 0").select(docs.columns)
+    return keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near duplicates."""
+    """The row of the smallest id of each group of near duplicates."""
     prepare(spark)
-    groups = near_duplicates(docs)
-    gone = cut_lineage(groups.where("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(bounded_broadcast(gone), "doc_id", "left_anti").select(docs.columns)
+    return first_of_groups(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
