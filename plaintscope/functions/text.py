@@ -40,13 +40,16 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 NOISE_PATTERN = r"(?i)(^| )x{2,}( |$)|\p{Nd}"
 
 # Redaction in any script: a word character is a letter, mark, number or underscore. An
-# address starts and ends at a word character; a number is nine or more digits, blanks and
+# address starts and ends at a word character. It is looked for once per run of characters that
+# may stand before the sign (at the run's start, or where the last address ended), and no part of
+# the pattern is tried twice on a character, so a word of any length costs linear time. A number is nine or more digits, blanks and
 # number signs between two digits, not joined to a word.
 WORD = r"\p{L}\p{M}\p{N}_"
-EMAIL_PATTERN = rf"[{WORD}][{WORD}.+-]*@[{WORD}-]+\.[{WORD}.-]*[{WORD}]"
+EMAIL_PATTERN = (rf"(?:(?<![{WORD}.+-])|\G)([.+-]*+)[{WORD}][{WORD}.+-]*+"
+                 rf"@[{WORD}-]++\.[{WORD}.-]*[{WORD}]")
 NUMBER_BODY = r"\p{Nd}[\p{Nd}\p{Z}\t\n\x0B\f\r().-]{7,}\p{Nd}"
 NUMBER_PATTERN = rf"(?<![{WORD}]){NUMBER_BODY}(?![{WORD}])"
-EMAIL_MASK = "[EMAIL REMOVED]"
+EMAIL_MASK = "[EMAIL REMOVED]"  # after the signs before the address (group 1)
 NUMBER_MASK = "[NUMBER REMOVED]"
 
 
@@ -116,6 +119,6 @@ def is_noise_term(term) -> Column:
 
 def redact(text, max_chars: int | None = None) -> Column:
     """E-mails, then long numbers, then truncate to max_chars characters."""
-    t = F.regexp_replace(_c(text), EMAIL_PATTERN, EMAIL_MASK)
+    t = F.regexp_replace(_c(text), EMAIL_PATTERN, "$1" + EMAIL_MASK)
     t = F.regexp_replace(t, NUMBER_PATTERN, NUMBER_MASK)
     return F.substring(t, 1, max_chars) if max_chars else t

@@ -159,7 +159,7 @@ def conform(df: DataFrame, schema=COMPLAINT_SCHEMA) -> DataFrame:
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
            seq: str | None = None, batch_ts=None, valid=None,
-           max_broadcast_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           max_broadcast_keys: int = BROADCAST_MAX_ROWS, keys: DataFrame | None = None) -> DataFrame:
     """Keyed upsert. An incoming row replaces every column (NULLs included) but
     ``ingested_at``; within the batch the last row (greatest ``seq``) wins. New keys
     get ``batch_ts`` (default: current timestamp) as ``ingested_at``. ``valid`` (a
@@ -170,7 +170,8 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
     repeated or not, passes through an anti-join untouched, and only the touched rows
     meet the batch in the keyed aggregate. When the batch's distinct keys are measured
     to fit ``max_broadcast_keys`` both joins are map-side (no shuffle of the table);
-    above the bound they are shuffle joins with the same result.
+    above the bound they are shuffle joins with the same result. ``keys`` (``_key``, written)
+    spares that step a caller who has it.
 
     The result is a new DataFrame; write it to a new location and switch readers
     over on success (all-or-nothing, the input is never overwritten in place).
@@ -181,7 +182,8 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "complaint_id",
     old = existing.select(*cols, F.col("ingested_at").cast("timestamp_ntz"))
     # The batch's distinct keys are written once (keys only): the size check and the
     # broadcast read them instead of re-evaluating the batch.
-    keys = cut_lineage(incoming.select(F.col(key).alias("_key")).distinct())
+    if keys is None:
+        keys = cut_lineage(incoming.select(F.col(key).alias("_key")).distinct())
     bk = bounded_broadcast(keys, max_broadcast_keys)
     hit = old[key].eqNullSafe(bk["_key"])  # NULL keys group together, as in the aggregate
     untouched = old.join(bk, hit, "left_anti")

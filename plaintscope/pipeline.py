@@ -2,7 +2,7 @@
 
     python -m plaintscope.pipeline --raw 'extracts/*.csv' --out /shared/complaints-run
 
-Steps: scan (A1) -> clean + dedup (B1-B5, F1) -> versioned upsert (A8) -> quality
+Steps: scan (A1) -> clean + dedup (B1-B5, F1) -> bucketed upsert (A8) -> quality
 report (E9) -> signals and alerts (E1, E2, F2-F9) -> themes, evidence and prompts
 -> executive brief (R1). Every output is written by Spark to ``--out``.
 """
@@ -20,8 +20,9 @@ from .operators import clean as C
 from .operators import quality as Q
 from .operators import signals as S
 from .operators import themes as TH
+from .sources.buckets import publish_upsert, read_table
 from .sources.complaints import normalize_nulls, read_complaints
-from .sources.sinks import current_version, publish_upsert, write_table
+from .sources.sinks import write_table
 
 ORDER = ["_file", "_block", "_pos"]
 
@@ -49,9 +50,8 @@ def write_complaint_layout(df: DataFrame, path: str) -> None:
 def run(spark: SparkSession, raw_path: str, out: str, th: Thresholds = DEFAULTS) -> str:
     raw = normalize_nulls(with_input_order(read_complaints(spark, raw_path)))
     cleaned = C.conform(C.clean_complaints(raw, ORDER, sort=False)).drop("ingested_at")
-    table = publish_upsert(spark, f"{out}/complaints", cleaned.withColumn("_seq", F.lit(0)),
-                           seq="_seq")
-    complaints = spark.read.parquet(current_version(spark, f"{out}/complaints") or table)
+    publish_upsert(spark, f"{out}/complaints", cleaned.withColumn("_seq", F.lit(0)), seq="_seq")
+    complaints = read_table(spark, f"{out}/complaints")
     write_complaint_layout(complaints, f"{out}/complaints_by_month")
     write_table(Q.quality_report(complaints), f"{out}/quality_report", fmt="csv")
     alerts = S.risk_alerts(complaints, th)

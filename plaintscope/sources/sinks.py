@@ -1,22 +1,11 @@
-"""Sinks: table writes, versioned upsert publish, incremental results, model files
-(A6, A8 publish, A11, A12).
-
-All writes go to folders the caller names (on a cluster: shared storage). An
-upsert never overwrites its input: it writes a new version folder, and readers take
-the newest folder whose write committed, so they see the old or the new table,
-never a half-written one.
-"""
+"""Sinks: plain table writes and model files (A6, A12). Upserts and appended results
+are in ``buckets``. All writes go to folders the caller names (on a cluster: shared storage)."""
 
 from __future__ import annotations
 
 import os
-import time
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators.clean import dedup_keep_last, upsert
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
@@ -31,61 +20,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     w.save(path)
 
 
-def _fs(spark: SparkSession, root: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path, jvm
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Newest committed version folder (one holding Spark's ``_SUCCESS`` marker).
-
-    Version names sort by creation time, so a half-written or failed version (no
-    marker) is never picked. Works on any Hadoop file system (local, HDFS, S3A).
-    """
-    fs, path, jvm = _fs(spark, root)
-    if not fs.exists(path):
-        return None
-    done = [st.getPath() for st in fs.listStatus(path)
-            if st.isDirectory() and st.getPath().getName().startswith("v")
-            and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))]
-    if not done:
-        return None
-    return str(max(done, key=lambda p: p.getName()))
-
-
-def publish_upsert(spark: SparkSession, root: str, incoming: DataFrame, key: str = "complaint_id",
-                   seq: str | None = None) -> str:
-    """A8 all-or-nothing: merge ``incoming`` into the current version and write the
-    result as a new version folder; it becomes current when its write commits."""
-    cur = current_version(spark, root)
-    if cur is None:
-        existing = incoming.limit(0).select(
-            *[c for c in incoming.columns if c != seq],
-            F.lit(None).cast("timestamp_ntz").alias("ingested_at"))
-    else:
-        existing = spark.read.parquet(cur)
-    merged = upsert(existing, incoming, key=key, seq=seq)
-    name = f"v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
-    target = root.rstrip("/") + "/" + name
-    merged.write.mode("errorifexists").parquet(target)
-    return target
-
-
-def append_results(df: DataFrame, path: str) -> None:
-    """Append a batch of results, stamped so a later batch wins on re-runs."""
-    (df.withColumn("_appended_at", F.current_timestamp())
-     .withColumn("_batch", F.lit(uuid.uuid4().hex))
-     .write.mode("append").parquet(path))
-
-
-def read_results(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
-    """A11 read side: one row per key, the most recently appended."""
-    df = spark.read.parquet(path).withColumn("_k", F.to_json(F.struct(*key)))
-    out = dedup_keep_last(df, "_k", ["_appended_at", "_batch"])
-    return out.drop("_k", "_appended_at", "_batch")
-
-
 def save_classifier(model, vocab: DataFrame, classes: list[str], path: str) -> None:
     """Model coefficients (Spark ML format), vocabulary and class order."""
     model.write().overwrite().save(os.path.join(path, "model"))

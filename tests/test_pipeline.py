@@ -6,7 +6,7 @@ from data_dirs import SF001
 from plaintscope import pipeline
 from plaintscope.plans.cleaning import clean_table
 from plaintscope.sources.adapters import raw_extract
-from plaintscope.sources.sinks import current_version
+from plaintscope.sources.buckets import read_table
 
 
 def test_pipeline_end_to_end(spark, tmp_path):
@@ -19,7 +19,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
      .csv(src))
     out = str(tmp_path / "run")
     pipeline.run(spark, src, out)
-    table = spark.read.parquet(current_version(spark, out + "/complaints")).drop("ingested_at")
+    table = read_table(spark, out + "/complaints").drop("ingested_at")
     want = clean_table(spark, SF001)
     assert table.count() == want.count()
     assert table.select(want.columns).exceptAll(want).count() == 0

@@ -1,9 +1,5 @@
 """Sinks: table write, versioned upsert publish, incremental results, model files."""
 
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from plaintscope.sources import sinks
 
 
@@ -16,31 +12,6 @@ def test_write_table_roundtrip(spark, tmp_path):
     assert sorted(r.t for r in back.collect()) == ["a,b", 'say "hi"']
 
 
-def test_publish_upsert_versions(spark, tmp_path):
-    root = str(tmp_path / "complaints")
-    b1 = spark.createDataFrame([(1, "NY", 1)], "complaint_id bigint, state string, seq int")
-    v1 = sinks.publish_upsert(spark, root, b1, seq="seq")
-    assert sinks.current_version(spark, root).endswith(v1.split("/")[-1])
-    first = spark.read.parquet(v1).first().ingested_at
-    b2 = spark.createDataFrame([(1, None, 1), (2, "A", 2), (2, "B", 3)],
-                               "complaint_id bigint, state string, seq int")
-    v2 = sinks.publish_upsert(spark, root, b2, seq="seq")
-    assert v2 != v1 and sinks.current_version(spark, root).endswith(v2.split("/")[-1])
-    out = {r.complaint_id: r for r in spark.read.parquet(v2).collect()}
-    assert out[1].state is None and out[1].ingested_at == first
-    assert out[2].state == "B"
-    assert spark.read.parquet(v1).first().state == "NY"     # input never overwritten
-
-
-def test_append_results_last_batch_wins(spark, tmp_path):
-    path = str(tmp_path / "results")
-    sinks.append_results(spark.createDataFrame([("p", "t", 1)], "product string, term string, v int"), path)
-    sinks.append_results(spark.createDataFrame([("p", "t", 2), ("p", "u", 3)],
-                                               "product string, term string, v int"), path)
-    got = {(r.product, r.term): r.v for r in sinks.read_results(spark, path, ["product", "term"]).collect()}
-    assert got == {("p", "t"): 2, ("p", "u"): 3}
-
-
 def test_model_persistence(spark, tmp_path):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.linalg import Vectors

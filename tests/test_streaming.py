@@ -7,7 +7,7 @@ from plaintscope.operators import signals as S
 from plaintscope.plans.cleaning import ORDER, clean_table
 from plaintscope.sources.adapters import event_complaints, raw_extract
 from plaintscope.sources.complaints import normalize_nulls
-from plaintscope.sources.sinks import current_version
+from plaintscope.sources.buckets import read_table
 from plaintscope.streaming.daily import start_complaint_upsert, start_daily_counts
 
 
@@ -18,7 +18,7 @@ def test_stream_daily_counts_match_batch(spark, tmp_path):
     stream = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(src)
     q = start_daily_counts(stream, str(tmp_path / "daily"), str(tmp_path / "ckpt"))
     q.awaitTermination(120)
-    got = spark.read.parquet(current_version(spark, str(tmp_path / "daily")))
+    got = read_table(spark, str(tmp_path / "daily"))
     want = S.daily_product_metrics(batch)
     cols = ["complaint_date", "product", "complaint_count"]
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
@@ -32,7 +32,7 @@ def test_stream_upsert_matches_batch_clean(spark, tmp_path):
     stream = spark.readStream.schema(raw.schema).parquet(src)
     q = start_complaint_upsert(stream, ORDER, str(tmp_path / "table"), str(tmp_path / "ckpt"))
     q.awaitTermination(120)
-    got = spark.read.parquet(current_version(spark, str(tmp_path / "table"))).drop("ingested_at")
+    got = read_table(spark, str(tmp_path / "table")).drop("ingested_at")
     want = clean_table(spark, SF001)
     assert got.count() == want.count()
     assert got.select(want.columns).exceptAll(want).count() == 0
