@@ -11,22 +11,98 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import URGENCY_LEVELS
+from ..config import DEFAULTS, URGENCY_LEVELS, Thresholds
 from ..schema import COMPLAINT_ANSWER_SCHEMA, THEME_ANSWER_SCHEMA
 
 
+# Texts taken for a truth value (any case), and the shapes of number texts.
+TRUE_TEXTS = ("true", "t", "yes", "y", "on", "1")
+FALSE_TEXTS = ("false", "f", "no", "n", "off", "0")
+NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+WHOLE_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"
+_NUMBERS = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
+def whole_json(text: Column) -> Column:
+    """The VARIANT of a text that is one JSON value and nothing else, NULL otherwise (and where an
+    object repeats a key). The parser stops after a value, whatever follows, so the text must also
+    close a list and an object around it: only one whole value does both."""
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    keyed = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    one = F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1
+    return F.when(one, F.try_variant_get(keyed, "$.v", "variant"))
+
+
+def _text_of(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "string")
+
+
+def _whole_number(v: Column) -> Column:
+    """A whole number: a number without a fraction, its text, or a truth value; else NULL."""
+    kind, text = F.schema_of_variant(v), _text_of(v)
+    number = F.when(kind.rlike(_NUMBERS) | ((kind == "STRING") & text.rlike(WHOLE_TEXT)),
+                    F.trim(text).try_cast("decimal(38,6)"))
+    return (F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("bigint"))
+            .when(number == F.floor(number), F.floor(number).try_cast("bigint")))
+
+
+def _typed(v: Column, kind: str) -> Column:
+    """A field's value as its type, by the reference model's lax rules: text only from text, numbers
+    also from number text and truth values, truth values also from 0, 1 and the listed texts; NULL
+    if it is none."""
+    own, text = F.schema_of_variant(v), _text_of(v)
+    if kind == "string":
+        return F.when(own == "STRING", text)
+    if kind == "double":
+        return (F.when(own == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double"))
+                .when(own.rlike(_NUMBERS) | ((own == "STRING") & text.rlike(NUMBER_TEXT)), F.trim(text).try_cast("double")))
+    if kind == "boolean":
+        number = F.when(own.rlike(_NUMBERS), text.try_cast("double"))
+        low = F.when(own == "STRING", F.lower(text))
+        return (F.when(own == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+                .when((number == 1) | low.isin(*TRUE_TEXTS), True).when((number == 0) | low.isin(*FALSE_TEXTS), False))
+    if kind == "array<bigint>":
+        return F.transform(F.try_variant_get(v, "$", "array<variant>"), _whole_number)
+    raise ValueError(f"no rule for answers of type {kind}")
+
+
 def parse_answer(json_text, schema=THEME_ANSWER_SCHEMA) -> Column:
-    """JSON text -> typed struct (malformed text gives NULL fields)."""
+    """JSON text -> struct of the schema's fields, each NULL if it is missing or of a wrong type,
+    and ``wrong``, the names of those of a wrong type (a list with a wrong item is one). The whole
+    text must be one JSON object; else all is NULL. Keys beyond the schema are ignored."""
     c = F.col(json_text) if isinstance(json_text, str) else json_text
-    return F.from_json(c, schema, {"mode": "PERMISSIVE"})
+
+    def read(v: Column) -> Column:
+        fields, wrong = [], []
+        for f in schema.fields:
+            kind = f.dataType.simpleString()
+            raw = F.try_variant_get(v, f"$.{f.name}", "variant")
+            there = raw.isNotNull() & ~F.is_variant_null(raw)
+            value = _typed(raw, kind)
+            fields.append(value.alias(f.name))
+            bad = value.isNull()
+            if kind.startswith("array"):
+                items = F.try_variant_get(raw, "$", "array<variant>")
+                bad = bad | F.coalesce(F.exists(items, lambda x: ~F.is_variant_null(x) & _whole_number(x).isNull()), F.lit(False))
+            wrong.append(F.when(there & bad, F.lit(f.name)))
+        return F.struct(*fields, F.filter(F.array(*wrong), lambda x: x.isNotNull()).alias("wrong"))
+
+    return _let(whole_json(c), read)
 
 
 def answer_problems(answer: Column, schema=THEME_ANSWER_SCHEMA) -> Column:
-    """List of problems: missing fields, nulls in lists, urgency outside the enum, confidence outside 0..1."""
-    checks = [F.when(answer.isNull() | answer.getField(f.name).isNull(), F.lit(f"missing {f.name}"))
-              for f in schema.fields]
-    checks += [F.when(F.exists(answer.getField(f.name), lambda x: x.isNull()), F.lit(f"null in {f.name}"))
-               for f in schema.fields if f.dataType.typeName() == "array"]
+    """List of problems: missing fields, fields of a wrong type, nulls in lists, urgency outside
+    the enum, confidence outside 0..1."""
+    wrong = F.coalesce(answer.getField("wrong"), F.array().cast("array<string>"))
+    checks = [F.when(F.array_contains(wrong, f.name), F.lit(f"bad type of {f.name}"))
+              .when(answer.getField(f.name).isNull(), F.lit(f"missing {f.name}")) for f in schema.fields]
+    checks += [F.when(~F.array_contains(wrong, f.name) & F.exists(answer.getField(f.name), lambda x: x.isNull()),
+                      F.lit(f"null in {f.name}")) for f in schema.fields if f.dataType.typeName() == "array"]
     checks.append(F.when(~answer.getField("urgency").isin(*URGENCY_LEVELS), F.lit("bad urgency")))
     checks.append(F.when(~answer.getField("confidence").between(0.0, 1.0), F.lit("bad confidence")))
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
@@ -47,7 +123,9 @@ def validate_theme_answers(df: DataFrame, json_col: str = "answer_json",
     problems; a good one keeps only supplied ids and is forced to human review
     when none remains.
     """
-    allowed = F.transform(F.split(F.col(allowed_col), ";"), lambda x: x.cast("bigint"))
+    # Blank and non-numeric entries supply nothing; a theme without supplied ids goes to review.
+    supplied = F.split(F.coalesce(F.col(allowed_col).cast("string"), F.lit("")), ";")
+    allowed = F.filter(F.transform(supplied, lambda x: F.trim(x).try_cast("bigint")), lambda x: x.isNotNull())
     parsed = (df.withColumn("_a", parse_answer(json_col))
               .withColumn("_problems", answer_problems(F.col("_a"))))
     good = parsed.where(F.size("_problems") == 0)
@@ -77,7 +155,7 @@ def validate_complaint_answer(df: DataFrame, json_col: str = "answer_json") -> D
     a = parse_answer(json_col, COMPLAINT_ANSWER_SCHEMA)
     return (df.withColumn("_a", a)
             .withColumn("problems", F.array_join(answer_problems(F.col("_a"), COMPLAINT_ANSWER_SCHEMA), "; "))
-            .select("*", "_a.*").drop("_a"))
+            .select("*", "_a.*").drop("_a", "wrong"))
 
 
 def evidence_id_count(ids_text) -> Column:
@@ -91,7 +169,7 @@ MANUAL_COLUMNS = ("manual_grounded", "manual_cluster_coherent", "manual_actionab
                   "unsupported_claims", "urgency_appropriate", "reviewer_notes")
 
 
-def answer_evaluation(summaries: DataFrame) -> DataFrame:
+def answer_evaluation(summaries: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
     """B14-B16 + S19: automatic checks per answer plus empty manual-review columns."""
     n = evidence_id_count("evidence_complaint_ids")
     return summaries.select(
@@ -100,7 +178,7 @@ def answer_evaluation(summaries: DataFrame) -> DataFrame:
         "evidence_complaint_ids", "model_name",
         n.alias("evidence_id_count"),
         ((n > 0) & (n <= F.col("supporting_records"))).alias("evidence_ids_valid"),
-        (F.col("supporting_records") >= 3).alias("minimum_evidence_met"),
+        (F.col("supporting_records") >= th.min_supporting_records).alias("minimum_evidence_met"),
         F.coalesce(F.col("confidence").between(0.0, 1.0), F.lit(False)).alias("confidence_valid"),
         *[F.lit("").alias(c) for c in MANUAL_COLUMNS])
 

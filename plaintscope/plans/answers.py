@@ -165,3 +165,79 @@ FROM f""")
 def q_complaint_answer(spark, sf):
     first = TH.first_narrative_prompt(docs(spark, sf))
     return A.validate_complaint_answer(synthetic_complaint_answer(first)).drop("answer_json")
+
+
+# Answer texts as models send them, by id: sound, odd but acceptable, and bad ones. [I] is the id.
+HEAD = '"cluster_summary":"s[I]","customer_need":"n","risk_implication":"r","urgency":'
+TAIL = ',"recommended_action":"a","confidence":'
+LAST = ',"requires_human_review":'
+IDS = ',"evidence_complaint_ids":'
+
+
+def _answer(urgency='"High"', confidence="0.5", review="false", ids="[[I],-1,[I]]", head=HEAD, more=""):
+    return "{" + head + urgency + TAIL + confidence + LAST + review + IDS + ids + more + "}"
+
+
+def _all_missing():
+    return "; ".join("missing " + f for f in (
+        "cluster_summary", "customer_need", "risk_implication", "urgency", "recommended_action",
+        "confidence", "requires_human_review", "evidence_complaint_ids"))
+
+
+# (text, supplied ids, what the oracle expects: problems or (confidence, review, ids))
+HOSTILE = (
+    (_answer(), "[I];7", ("0.5", "false", "[I];[I]")),
+    (_answer() + " as requested", "[I]", _all_missing()),
+    (_answer(confidence='"0.25"', review='"yes"'), "[I]", ("0.25", "true", "[I];[I]")),
+    (_answer(ids='["[I]",3.0,1.0]'), "3;[I]", ("0.5", "false", "[I];3")),
+    (_answer(confidence="true", review="0"), "[I]", ("1.0", "false", "[I];[I]")),
+    (_answer(confidence='"high"'), "[I]", "bad type of confidence"),
+    (_answer(head=HEAD.replace('"s[I]"', "5")), "[I]", "bad type of cluster_summary"),
+    (_answer(more=',"notes":{"urgency":"none"}'), "[I]", ("0.5", "false", "[I];[I]")),
+    (_answer(review="null"), "[I]", "missing requires_human_review"),
+    (_answer(ids="[[I],null]"), "[I]", "null in evidence_complaint_ids"),
+    (_answer(ids="[[I],1.5]"), "[I]", "bad type of evidence_complaint_ids"),
+    (_answer(), "", ("0.5", "true", "")),
+    (_answer(), "x;; [I] ;1.5", ("0.5", "false", "[I];[I]")),
+    (_answer(urgency="5", confidence="1.5"), "[I]", "bad type of urgency; bad confidence"),
+    ("[" + _answer() + "]", "[I]", _all_missing()),
+    (_answer() + _answer(), "[I]", _all_missing()),
+    (_answer() + "],[", "[I]", _all_missing()),
+    (_answer(urgency='"Severe"', review='"perhaps"'), "[I]", "bad type of requires_human_review; bad urgency"),
+)
+
+
+def hostile_answers(docs):
+    """One answer per document, by turns of the texts above."""
+    n = F.col("doc_id").cast("string")
+    fill = lambda texts: F.replace(F.element_at(F.array(*map(F.lit, texts)), (F.col("doc_id") % len(HOSTILE) + 1).cast("int")),
+                                   F.lit("[I]"), n)
+    return docs.select(
+        F.col("lang").alias("product"), n.alias("term"), F.lit(2).alias("recent_mentions"), F.lit(1).alias("baseline_mentions"),
+        F.lit(1.0).alias("growth_rate_percent"), F.lit(1.0).alias("emergence_score"), F.lit(3).alias("supporting_records"),
+        fill([t for t, _, _ in HOSTILE]).alias("answer_json"), fill([i for _, i, _ in HOSTILE]).alias("supplied_ids"))
+
+
+def _intake_sql() -> str:
+    def case(values):
+        rows = "\n".join(f"    WHEN {i} THEN {v}" for i, v in enumerate(values))
+        return f"CASE doc_id % {len(HOSTILE)}\n{rows} END"
+
+    good = [x if isinstance(x, tuple) else None for _, _, x in HOSTILE]
+    text = lambda x: "NULL" if x is None else f"replace('{x}', '[I]', CAST(doc_id AS VARCHAR))"
+    return f"""SELECT lang AS product, CAST(doc_id AS VARCHAR) AS term,
+  {case([text('s[I]' if g else None) for g in good])} AS cluster_summary,
+  CAST({case([g[0] if g else 'NULL' for g in good])} AS DOUBLE) AS confidence,
+  CAST({case([g[1] if g else 'NULL' for g in good])} AS BOOLEAN) AS requires_human_review,
+  {case([text(g[2]) if g else 'NULL' for g in good])} AS evidence_complaint_ids,
+  {case(["''" if g else f"'{x}'" for g, (_, _, x) in zip(good, HOSTILE)])} AS problems
+FROM documents"""
+
+
+@register("answer_intake", _intake_sql())
+def q_answer_intake(spark, sf):
+    """Answers with tails, wrong types, extra keys, nulls and odd ids: each taken or refused with reasons."""
+    good, bad = A.validate_theme_answers(hostile_answers(spark.read.parquet(f"{sf}/documents.parquet")))
+    taken = good.select("product", "term", "cluster_summary", "confidence", "requires_human_review", "evidence_complaint_ids")
+    return (taken.withColumn("problems", F.lit(""))
+            .unionByName(bad.select("product", "term", "problems"), allowMissingColumns=True))
