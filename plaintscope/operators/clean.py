@@ -1,10 +1,10 @@
 """Cleaning, keep-last dedup and keyed upsert.
 
-Scale notes: dedup and upsert are one aggregate on the key with
-``max_by(struct(row), order)``; ``max_by`` aggregates partially on the map side,
-so a key repeated millions of times is collapsed before the shuffle. Spark plans it as
-a sort aggregate (a struct with strings is no mutable buffer), so rows are sorted by key
-before and after the exchange; the whole-row struct travels once per key and task.
+Scale notes: dedup takes two passes. Repeated keys are found on the key column alone; rows of
+other keys pass a map-side anti-join and are never shuffled. Only rows of repeated keys (and an
+upsert's touched rows) meet in an aggregate on the key with ``max_by(struct(row), order)``, which
+combines on the map side, so a key repeated millions of times is collapsed before the shuffle.
+Spark plans it as a sort aggregate (a struct with strings is no mutable buffer).
 """
 
 from __future__ import annotations
@@ -16,20 +16,17 @@ from ..schema import COMPLAINT_SCHEMA, DATE_COLUMNS, LOAD_COLUMNS, REQUIRED_COLU
 from ..functions.scalar import blank_to_null
 from ..session import BROADCAST_MAX_ROWS, bounded_broadcast, cut_lineage
 
-# Timestamp layouts accepted for date text (tried in order).
-TIMESTAMP_PATTERNS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm:ssXXX",
-    "yyyy-MM-dd'T'HH:mm:ss'Z'",
-    "yyyy-MM-dd",
-    "MM/dd/yyyy",
-    # Fractional seconds of up to nine digits, and text without seconds.
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS[XXX]",
-    "yyyy-MM-dd HH:mm:ss.SSSSSSSSS[XXX]",
-    "yyyy-MM-dd'T'HH:mm[XXX]",
-    "yyyy-MM-dd HH:mm[XXX]",
+# The shapes of date text that are read: year first or month first, one or two digits
+# for month, day and hour, then perhaps a time with seconds and up to nine decimals, and an offset
+# (Z, +hh, +hhmm, +hh:mm).
+_TIME = r"([T ]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)? ?(Z|[+-]\d{2}(:?\d{2})?)?)?"
+DATE_SHAPE = rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}}|\d{{4}}/\d{{1,2}}/\d{{1,2}}|\d{{1,2}}/\d{{1,2}}/\d{{4}}){_TIME}$"
+# Rewritten one after the other into the one form that is parsed.
+DATE_FORMS = (
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2"),
+    (r"^(\d{4})/(\d{1,2})/", "$1-$2-"),
+    (r"([T ]\d{1,2}:\d{2})(?= ?(?:$|Z|[+-]))", "$1:00"),
+    (r" (?=Z|[+-])", ""),
 )
 
 
@@ -44,15 +41,18 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def coerce_timestamp(c) -> Column:
-    """B2 + B3: text -> UTC wall-clock TIMESTAMP_NTZ; text that fits no layout -> NULL.
+    """B2 + B3: text -> UTC wall-clock TIMESTAMP_NTZ; text of no known shape, or of no real date
+    and time -> NULL. Parsed once: the text is brought into one form by its shape.
 
     Offsets are honoured (converted to UTC, session zone is UTC) and then dropped.
     """
     c = F.col(c) if isinstance(c, str) else c
     t = F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-    parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(p)) for p in TIMESTAMP_PATTERNS])
+    form = t
+    for shape, to in DATE_FORMS:
+        form = F.regexp_replace(form, shape, to)
     # Session zone is UTC, so the NTZ cast keeps the UTC wall clock.
-    return parsed.cast("timestamp_ntz")
+    return F.when(t.rlike(DATE_SHAPE), form.try_cast("timestamp")).cast("timestamp_ntz")
 
 
 def whole_number(text: Column) -> Column:
@@ -61,6 +61,10 @@ def whole_number(text: Column) -> Column:
     return F.when(exact == F.floor(exact), F.floor(exact).try_cast("bigint"))
 
 
+def clean_id(c: Column) -> Column:
+    return whole_number(F.regexp_replace(c.cast("string"), r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
+
+
 def standardize(df: DataFrame) -> DataFrame:
     """B2-B4 on a name-normalised raw frame: typed id and dates, trimmed text.
 
@@ -70,8 +74,7 @@ def standardize(df: DataFrame) -> DataFrame:
     for name in df.columns:
         c = F.col(name)
         if name == "complaint_id":
-            c = F.regexp_replace(c.cast("string"), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
-            c = whole_number(c)
+            c = clean_id(c)
         elif name in DATE_COLUMNS:
             c = coerce_timestamp(c)
         elif name in TRIMMED_COLUMNS:
@@ -93,8 +96,35 @@ def reject_missing(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     return df.where(~missing_required(required))
 
 
+def repeated_keys(keyed: DataFrame, key: str) -> DataFrame | None:
+    """First pass of a two-pass dedup: the keys (``_key``, NULL too) held by more than one row,
+    found on the key column alone and written. None if there are more than may be broadcast."""
+    found = cut_lineage(keyed.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").select("_key"))
+    return found if found.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS else None
+
+
+def by_repetition(df: DataFrame, key: str, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of keys held once and the others, by map-side joins."""
+    k = F.broadcast(repeated)
+    same = df[f"`{key}`"].eqNullSafe(k["_key"])
+    return df.join(k, same, "left_anti"), df.join(k, same, "left_semi")
+
+
 def dedup_keep_last(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """one row per key, the one with the greatest `order` tuple (= last in input order)."""
+    """one row per key, the one with the greatest `order` tuple (= last in input order).
+
+    Two passes: repeated keys are found on the key alone, and only their rows are shuffled into the
+    keyed aggregate; all others pass as they are. Beyond the broadcast bound all rows go through it."""
+    repeated = repeated_keys(df.select(F.col(f"`{key}`")), key)
+    if repeated is None:
+        return _keep_last(df, key, order)
+    once, more = by_repetition(df, key, repeated)
+    columns = [F.col(f"`{key}`"), *[F.col(f"`{c}`") for c in df.columns if c != key]]
+    return once.select(*columns).unionByName(_keep_last(more, key, order))
+
+
+def _keep_last(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     payload = [c for c in df.columns if c != key]
     ordered = F.struct(*[F.col(f"`{o}`") for o in order])
     row = F.col("_row")
@@ -112,17 +142,43 @@ def clean_complaints(raw: DataFrame, order: list[str], sort: bool = True) -> Dat
     ordering value, which ``max_by`` skips. Folding the test into the aggregate
     (instead of a Filter) keeps Catalyst from pushing a copy of every cleaning
     expression below the shuffle and evaluating it twice.
+
+    Dedup is two-pass (see ``dedup_keep_last``): the first pass reads the id alone; the rows of
+    ids held once never leave their task.
     """
-    std = _standardize_keep(raw, order)
-    ord_cols = [f"__ord{i}" for i in range(len(order))]
-    payload = [c for c in LOAD_COLUMNS if c in std.columns and c != "complaint_id"]
+    id_name = next(c for c in raw.columns if c not in order and normalize_name(c) == "complaint_id")
+    staged = raw.withColumn("__id", clean_id(F.col(f"`{id_name}`")))
+    repeated = repeated_keys(staged.select("__id"), "__id")
+    if repeated is None:
+        out = _last_valid(_standardize_keep(raw, order), len(order))
+    else:
+        once, more = (x.drop("__id") for x in by_repetition(staged, "__id", repeated))
+        out = _valid_rows(_standardize_keep(once, order)).unionByName(
+            _last_valid(_standardize_keep(more, order), len(order)))
+    return out.orderBy("date_received", "complaint_id") if sort else out
+
+
+def _columns(std: DataFrame) -> list[str]:
+    return [c for c in LOAD_COLUMNS if c in std.columns and c != "complaint_id"]
+
+
+def _valid_rows(std: DataFrame) -> DataFrame:
+    """The valid rows. The test refers to a value that is not fixed by the row, so Catalyst leaves
+    the Filter above the projection and cleans each field once."""
+    pinned = std.withColumn("__pin", F.monotonically_increasing_id())
+    return pinned.where((F.col("__pin") >= 0) & ~missing_required()).select("complaint_id", *_columns(std))
+
+
+def _last_valid(std: DataFrame, n_order: int) -> DataFrame:
+    """Per id its last valid row."""
+    ord_cols = [f"__ord{i}" for i in range(n_order)]
+    payload = _columns(std)
     valid_order = F.when(~missing_required(), F.struct(*[F.col(o) for o in ord_cols]))
     row = F.col("_row")
-    out = (std.groupBy("complaint_id")
-           .agg(F.max_by(F.struct(*payload), valid_order).alias("_row"))
-           .where(row.isNotNull())
-           .select("complaint_id", *[row.getField(c).alias(c) for c in payload]))
-    return out.orderBy("date_received", "complaint_id") if sort else out
+    return (std.groupBy("complaint_id")
+            .agg(F.max_by(F.struct(*payload), valid_order).alias("_row"))
+            .where(row.isNotNull())
+            .select("complaint_id", *[row.getField(c).alias(c) for c in payload]))
 
 
 def _standardize_keep(raw: DataFrame, order: list[str]) -> DataFrame:

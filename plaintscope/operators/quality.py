@@ -1,9 +1,9 @@
 """Data-quality report, profile and data checks.
 
 The NULL checks are one wide aggregate turned into report rows with ``inline``.
-Both duplicate checks come from one grouped chain keyed by (id, row digest), with
-partial aggregation first, so hot keys collapse map-side and no whole row is
-shuffled.
+Both duplicate checks come from one grouped chain keyed by (id, row digest) over the rows
+of repeated ids, with partial aggregation first, so hot keys collapse map-side and no whole
+row is shuffled.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import TIMELY_DOMAIN
 from ..schema import SCHEMA_CHECK_COLUMNS
+from .clean import by_repetition, repeated_keys
 
 
 def duplicate_key_count(df: DataFrame, key: str) -> DataFrame:
@@ -65,8 +66,10 @@ def quality_report(complaints: DataFrame) -> DataFrame:
         F.count_if(F.col("company").isNull()).alias("miss_company"),
         F.count_if(F.col("consumer_complaint_narrative").isNull()).alias("miss_narr"),
     )
-    pairs = (complaints.groupBy("complaint_id", row_digest(complaints).alias("_d"))
-             .agg(F.count(F.lit(1)).alias("n")))
+    # Identical rows share their id: only rows of repeated ids are hashed and shuffled.
+    repeated = repeated_keys(complaints.select("complaint_id"), "complaint_id")
+    rows = complaints if repeated is None else by_repetition(complaints, "complaint_id", repeated)[1]
+    pairs = rows.groupBy("complaint_id", row_digest(rows).alias("_d")).agg(F.count(F.lit(1)).alias("n"))
     per_id = pairs.groupBy("complaint_id").agg(F.sum("n").alias("m"),
                                                F.sum(F.col("n") - 1).alias("same_rows"))
     dups = per_id.agg(F.coalesce(F.sum(F.col("m") - 1), F.lit(0)).cast("bigint").alias("i"),

@@ -21,21 +21,9 @@ from .operators import quality as Q
 from .operators import signals as S
 from .operators import themes as TH
 from .sources.buckets import publish_upsert, read_table
-from .sources.complaints import normalize_nulls, read_complaints
+from .sources.complaints import ORDER, normalize_nulls, read_complaints
 from .sources.sinks import write_table
 
-ORDER = ["_file", "_block", "_pos"]
-
-
-def with_input_order(raw: DataFrame) -> DataFrame:
-    """Explicit input order for keep-last: (file path, split offset, position in split).
-
-    File order follows path names (chunk files named in extraction order)."""
-    return raw.select("*", F.col("_metadata.file_path").alias("_file"),
-                      F.col("_metadata.file_block_start").alias("_block"),
-                      F.monotonically_increasing_id().alias("_pos"))
-
-
 def write_complaint_layout(df: DataFrame, path: str) -> None:
     """Storage layout of the clean table: month partitions, rows sorted by received
     time inside each file (min/max statistics then prune date ranges). Range
@@ -48,8 +36,8 @@ def write_complaint_layout(df: DataFrame, path: str) -> None:
 
 
 def run(spark: SparkSession, raw_path: str, out: str, th: Thresholds = DEFAULTS) -> str:
-    raw = normalize_nulls(with_input_order(read_complaints(spark, raw_path)))
-    cleaned = C.conform(C.clean_complaints(raw, ORDER, sort=False)).drop("ingested_at")
+    raw = normalize_nulls(read_complaints(spark, raw_path, keep_order=True))
+    cleaned = C.conform(C.clean_complaints(raw, list(ORDER), sort=False)).drop("ingested_at")
     publish_upsert(spark, f"{out}/complaints", cleaned.withColumn("_seq", F.lit(0)), seq="_seq")
     complaints = read_table(spark, f"{out}/complaints")
     write_complaint_layout(complaints, f"{out}/complaints_by_month")

@@ -1,7 +1,8 @@
 """Raw complaint extracts: delimited scan, null tokens, extraction grid, chunk union.
 
-A1/A2: the CSV reader takes an explicit all-string schema (no inference pass),
-handles quoted multi-line narratives, and runs one task per file. Typed parsing
+A1/A2: the CSV reader reads each file's header, then scans the files of one header together
+with an all-text schema (no inference pass); it handles quoted multi-line narratives, and runs
+one task per file. Typed parsing
 happens in ``operators.clean`` so bad text becomes NULL instead of failing the scan.
 """
 
@@ -24,14 +25,20 @@ def _csv(spark: SparkSession):
             .option("escape", '"').option("mode", "PERMISSIVE"))
 
 
-def read_complaints(spark: SparkSession, path, header=RAW_HEADER, keep_corrupt: bool = False) -> DataFrame:
+ORDER = ("_file", "_block", "_pos")
+
+
+def read_complaints(spark: SparkSession, path, header=RAW_HEADER, keep_corrupt: bool = False,
+                    keep_order: bool = False) -> DataFrame:
     """A1: header CSV with quoted fields and embedded newlines, every column text.
 
     Columns are found by name: each file's own header is read, files of one header are
     scanned together, and the wanted columns are projected in the order of ``header``
     (compared without case and outer blanks). Other columns are dropped; a file that lacks
     a wanted column is an error. ``keep_corrupt`` adds the text of records with too few or
-    too many fields as ``_corrupt_record`` (NULL for sound ones). A quoted newline may stand
+    too many fields as ``_corrupt_record`` (NULL for sound ones). ``keep_order`` adds the input order
+    for keep-last as ``ORDER``: file path (chunk files are named in extraction order), split offset,
+    place in the split; it is taken per header, before the scans are united. A quoted newline may stand
     anywhere, so one file is one task: convert large extracts to Parquet once.
     """
     files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
@@ -41,7 +48,8 @@ def read_complaints(spark: SparkSession, path, header=RAW_HEADER, keep_corrupt:
         if names:
             groups.setdefault(names, []).append(f)
     if not groups:
-        return spark.createDataFrame([], raw_schema(tuple(header) + ((CORRUPT,) if keep_corrupt else ())))
+        none = spark.createDataFrame([], raw_schema(tuple(header) + ((CORRUPT,) if keep_corrupt else ())))
+        return none.select("*", *_place(F.lit(""), F.lit(0))) if keep_order else none
     parts = []
     for names, paths in groups.items():
         at = {n.strip().lower(): i for i, n in reversed(list(enumerate(names)))}
@@ -51,10 +59,15 @@ def read_complaints(spark: SparkSession, path, header=RAW_HEADER, keep_corrupt:
         own = [f"c{i}" for i in range(len(names))]
         df = _csv(spark).schema(raw_schema((*own, CORRUPT))).option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
         cols = [F.col(own[at[h.strip().lower()]]).alias(h) for h in header]
-        parts.append(df.select(*cols, *([CORRUPT] if keep_corrupt else [])))
+        place = _place(F.col("_metadata.file_path"), F.col("_metadata.file_block_start")) if keep_order else []
+        parts.append(df.select(*cols, *([CORRUPT] if keep_corrupt else []), *place))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _place(file, block) -> list:
+    return [file.alias("_file"), block.cast("long").alias("_block"), F.monotonically_increasing_id().alias("_pos")]
+
+
 def normalize_nulls(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:
     """A3: every string field equal to a null token becomes NULL."""
     toks = [F.lit(t) for t in tokens]

@@ -201,3 +201,22 @@ def test_write_brief_orders_lines(spark, tmp_path):
     assert "| Card | 174 | 253.54 | 21.68 | Normal |" in text
     assert "2. proof received (in 3 narratives, share up - %)" in text
     assert text.index("best buy") < text.index("proof received")
+
+
+def test_dates_of_all_shapes(spark):
+    cases = {"2026-08-08T01:02:03+0000": "2026-08-08 01:02:03", "2026-08-08T01:02:03-05": "2026-08-08 06:02:03",
+             "2026-08-08 01:02 +02:00": "2026-08-07 23:02:00", "8/8/2026": "2026-08-08 00:00:00", "12/31/2025 23:59": "2025-12-31 23:59:00",
+             "2026/08/08": "2026-08-08 00:00:00", "2026-8-8 1:02:03": "2026-08-08 01:02:03", "2026-08-08T01:02Z": "2026-08-08 01:02:00",
+             " 2026-08-08T01:02:03.123456789Z\u00a0": "2026-08-08 01:02:03.123456", "2026-02-30": None, "13/1/2026": None, "2026": None,
+             "2026-08": None, "01:02:03": None, "2026-08-08T25:00": None, "2026-08-08 Europe/Paris": None, "now": None, "": None,
+             "2026-08-08T01:02:03+99:00": None, "20260808": None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", C.coerce_timestamp("t").cast("string").alias("o"))
+    assert {r.t: r.o for r in df.collect()} == cases
+
+
+def test_dedup_beyond_the_broadcast_bound_is_the_same(spark, monkeypatch):
+    df = spark.createDataFrame([(i % 7, i, f"t{i}") for i in range(20)] + [(50, 1, "x")], "id int, o int, t string")
+    want = sorted(map(tuple, C.dedup_keep_last(df, "id", ["o"]).collect()))
+    monkeypatch.setattr(C, "BROADCAST_MAX_ROWS", 2)
+    assert C.repeated_keys(df.select("id"), "id") is None
+    assert sorted(map(tuple, C.dedup_keep_last(df, "id", ["o"]).collect())) == want

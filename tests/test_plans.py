@@ -17,11 +17,28 @@ def test_signals_prune_columns_and_aggregate_partially(spark):
     assert "partial_count" in plan
 
 
-def test_dedup_combines_map_side_and_filters_after_shuffle(spark):
+def test_dedup_shuffles_rows_of_repeated_keys_only(spark):
+    """Two passes: the id alone finds repeated ids; rows of other ids pass an anti-join unshuffled."""
+    from plaintscope.operators import clean as C
     plan = _plan(clean_table(spark, SF001))
-    assert "partial_max_by" in plan
-    # the validity test is inside the aggregate, not a Filter pushed below the shuffle
-    assert "try_to_timestamp" not in plan.split("Exchange hashpartitioning(event_id")[-1]
+    once, more = plan.split("SortAggregate", 1)
+    # (the adapter's own spreading of a small file is a REPARTITION_BY_NUM)
+    assert "ENSURE_REQUIREMENTS" not in once and plan.count("ENSURE_REQUIREMENTS") == 1
+    assert "LeftAnti" in plan and "partial_max_by" in more and "LeftSemi" in more
+    raw = spark.createDataFrame([(1, "long narrative")], "id int, narrative string")
+    first = C.repeated_keys(raw.select("id"), "id")
+    assert first.columns == ["_key"]
+
+
+def test_first_pass_of_dedup_reads_the_key_alone(spark, tmp_path):
+    from plaintscope.operators import clean as C
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "c", 1), (None, "d", 0), (3, "e", 1)], "id int, narrative string, o int").write.parquet(path)
+    df = spark.read.parquet(path)
+    counted = df.select("id").groupBy("id").count().where("count > 1")
+    assert "ReadSchema: struct<id:int>" in _plan(counted)
+    got = sorted(map(tuple, C.dedup_keep_last(df, "id", ["o"]).collect()), key=str)
+    assert got == sorted([(1, "b", 2), (None, "c", 1), (3, "e", 1)], key=str)
 
 
 def test_theme_top_k_uses_window_group_limit(spark):
