@@ -16,10 +16,13 @@ hold at most n // 4 tokens that y lacks.
    common tokens) becomes the centre and each other member is compared with it. Members
    that share a list thus share a centre.
 4. A centre all of whose members are linked is finished. Else the members outside the
-   centre's component are compared, in blocks of sets, with the members of other
-   components, but for pairs the triangle inequality of the Jaccard distance rules out.
+   centre's component meet, in blocks of sets, the members of other components. A pair is
+   verified if it passes the filters of both orders: it shares a list of the second order, and l
+   tokens of both prefixes under the first; sizes and the triangle inequality of the Jaccard
+   distance (to the centre) rule out further pairs.
 
-Each comparison is an exact intersection of whole sets. A class whose texts are thousands of
+A verification is an exact intersection of whole sets; members are verified against their centre
+at once, since the distance to it serves as the pivot of step 4. A class whose texts are thousands of
 exact copies posts once per batch of rows.
 """
 
@@ -75,7 +78,7 @@ def _post_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fps.append(fp)
             if n and fp not in seen:
                 seen.add(fp)
-                part = s[:n // 4 + _slack(n)]
+                part = _prefix(s)
                 tokens.append(part)
                 owners.append(np.full(len(part), fp, dtype=np.int64))
         yield pa.RecordBatch.from_pydict({
@@ -235,6 +238,11 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
+def _prefix(s: np.ndarray) -> np.ndarray:
+    """The tokens a set posts under the first order."""
+    return s[:len(s) // 4 + _slack(len(s))]
+
+
 def _compare_with_centre(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (c, salt, member first): the centre's set, then its members'."""
     at, centre = None, None
@@ -266,11 +274,23 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         comp = np.array([r[1] for r in members])
         dist = np.array([r[2] for r in members])
         size = np.diff(bounds)
+        heads = [_prefix(s) for s in sets]
+        head_bounds = np.cumsum([0] + [len(h) for h in heads])
+        every_head = np.concatenate(heads)
         u, v = [], []
         for fp, own, d, raw in outside:
             s = np.frombuffer(raw, dtype=np.uint64)
             maybe = np.flatnonzero((comp != own) & (np.abs(dist - d) <= 0.25 + 1e-9)
                                    & (OF * np.minimum(size, len(s)) >= LINK * np.maximum(size, len(s))))
+            if len(maybe):  # both prefixes under the first order must share enough tokens
+                head = _prefix(s)
+                if len(maybe) * 4 < len(sets):
+                    n = np.array([_common(head, heads[i]) for i in maybe])
+                else:
+                    where = np.searchsorted(head, every_head)
+                    where[where == len(head)] = 0
+                    n = np.add.reduceat((head[where] == every_head).astype(np.int64), head_bounds[:-1])[maybe]
+                maybe = maybe[n >= _slack(np.minimum(size[maybe], len(s)))]
             if not len(maybe):
                 continue
             if len(maybe) * 4 < len(sets):

@@ -1,7 +1,8 @@
 """Temporal list join: which dated list entries were active when a URL was captured.
 
 A list arrives as dated entries ``(key, category, day, action)`` with action ``add`` or
-``remove``; a key is a host, a registered domain (last two labels) or host/first path segment.
+``remove``. A key is a host or any of its parents (``example.org`` covers ``a.b.example.org``),
+a host with a path prefix of whole segments (``example.org/a/b``), or host, path and query.
 Entries become validity intervals ``[since, until)`` by one window over each (key, category):
 the last entry of a day decides that day (``remove`` after ``add``), repeated adds extend the
 interval, the last add stays open. Each capture is joined as of its fetch day to the intervals
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..session import bounded_broadcast, cut_lineage
 
-URL = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?(?:/([^/?#]*))?"
+URL = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?(/[^?#]*)?(\?[^#]*)?"
+LISTED_DEPTH = 3  # path prefixes from which the made-up entries are picked
 FOREVER = "9999-12-31"
 
 
@@ -23,8 +25,24 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), URL, 1))
 
 
-def segment_of(url: Column) -> Column:
-    return F.regexp_extract(F.coalesce(url, F.lit("")), URL, 2)
+def _parts(url: Column) -> tuple[Column, Column, Column]:
+    """Labels of the host, segments of the path, and host with path and query."""
+    text = F.coalesce(url, F.lit(""))
+    path, host = F.regexp_extract(text, URL, 2), host_of(url)
+    return (F.split(host, r"\."), F.filter(F.split(path, "/"), lambda x: x != ""),
+            F.concat(host, path, F.regexp_extract(text, URL, 3)))
+
+
+def keys_of(url: Column, depth: Column | int) -> Column:
+    """The keys a URL is looked up by: its host and all parents, the host with each path prefix of at
+    most ``depth`` segments, and the whole."""
+    labels, segments, whole = _parts(url)
+    host = host_of(url)
+    parents = F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
+    n = F.least(F.size(segments), F.lit(depth) if isinstance(depth, int) else depth)
+    prefixes = F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(
+        host, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(parents, prefixes, F.array(whole)))
 
 
 def to_intervals(entries: DataFrame) -> DataFrame:
@@ -48,18 +66,19 @@ def active_entries(captures: DataFrame, entries: DataFrame) -> DataFrame:
     ``blocked``.
 
     A capture without a url, host or day has no active entry. Repeated rows are judged
-    each. Captures carry at most three keys, so the join is on the key with the day as a
-    further condition: a key has few intervals however many captures it has, and a hot
-    host's captures can be split by the adaptive skew join; the intervals are broadcast
-    when their measured count is small. Other columns are not read."""
-    host, segment = host_of(F.col("url")), segment_of(F.col("url"))
+    each. A capture has a key per label, per path prefix as deep as any entry of the list, and one
+    for the whole, so a URL of very many segments makes no more keys than the list can match. The
+    join is on the key with the day as a further condition: a key has few intervals however many
+    captures it has, and a hot host's captures can be split by the adaptive skew join; the intervals
+    are broadcast when their measured count is small. Empty tables give no rows or no active
+    entries. Other columns are not read, whatever their names."""
     rows = cut_lineage(captures.select(
         F.monotonically_increasing_id().alias("row"), "page_id", F.col("fetch_day").cast("date").alias("fetch_day"),
-        host.alias("host"), segment.alias("segment")))
-    labels = F.split("host", r"\.")
-    domain = F.when(F.size(labels) > 1, F.concat_ws(".", F.slice(labels, -2, 2))).otherwise(F.col("host"))
-    keys = F.array_distinct(F.array("host", domain, F.concat("host", F.lit("/"), "segment")))
-    intervals = bounded_broadcast(cut_lineage(to_intervals(entries)))
+        "url", host_of(F.col("url")).alias("host")))
+    turns = cut_lineage(to_intervals(entries))
+    deepest = turns.agg(F.max(F.size(F.split(F.regexp_replace("key", r"\?.*", ""), "/")) - 1)).first()[0] or 0
+    keys = keys_of(F.col("url"), int(deepest))
+    intervals = bounded_broadcast(turns)
     hits = (rows.where("host <> ''").select("row", "fetch_day", F.explode(keys).alias("key"))
             .join(intervals, "key").where("since <= fetch_day and fetch_day < until")
             .groupBy("row").agg(F.count("*").alias("n_active"),
@@ -81,13 +100,10 @@ def _number(text: Column, seed: str, modulo: int) -> Column:
 
 
 def entries_of(pages: DataFrame) -> DataFrame:
-    """Dated entries for hosts, domains and host/segment keys of the pages: each key picked
-    by its md5 is added on some day, removed later and, for some, added again."""
-    host, segment = host_of(F.col("url")), segment_of(F.col("url"))
-    base = pages.select(host.alias("host"), segment.alias("segment")).where("host <> ''").distinct()
-    labels = F.split("host", r"\.")
-    domain = F.when(F.size(labels) > 1, F.concat_ws(".", F.slice(labels, -2, 2))).otherwise(F.col("host"))
-    keys = base.select(F.explode(F.array("host", domain, F.concat("host", F.lit("/"), "segment"))).alias("key")).distinct()
+    """Dated entries for hosts, their parents, path prefixes and whole URLs of the pages: each key
+    picked by its md5 is added on some day, removed later and, for some, added again."""
+    keys = (pages.where(host_of(F.col("url")) != "").select(F.explode(keys_of(F.col("url"), LISTED_DEPTH)).alias("key"))
+            .distinct())
     k = F.col("key")
     picked = keys.where(_number(k, "pick", 3) == 0)
     category = F.element_at(F.array(*[F.lit(c) for c in ("ads", "adult", "malware")]), _number(k, "cat", 3) + 1)
@@ -103,13 +119,18 @@ def entries_of(pages: DataFrame) -> DataFrame:
 
 URL_SQL = r"""
 WITH u AS (SELECT page_id, DATE '2024-01-01' + (page_id % 365)::INT AS fetch_day,
-  lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?(?:/([^/?#]*))?', 1)) AS host,
-  regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?(?:/([^/?#]*))?', 2) AS segment
-  FROM pages),
-x AS (SELECT *, row_number() OVER () AS rn, CASE WHEN len(string_split(host, '.')) > 1
-  THEN array_to_string(string_split(host, '.')[-2:], '.') ELSE host END AS domain FROM u),
-k AS (SELECT DISTINCT rn, fetch_day, unnest([host, domain, host || '/' || segment]) AS key FROM x WHERE host <> ''),
-keys AS (SELECT DISTINCT key FROM k),
+  regexp_extract(coalesce(url, ''),
+    '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?(/[^?#]*)?(\?[^#]*)?', ['h', 'p', 'q']) AS m FROM pages),
+x AS (SELECT row_number() OVER () AS rn, page_id, fetch_day, lower(m.h) AS host, string_split(lower(m.h), '.') AS labels,
+  list_filter(string_split(m.p, '/'), lambda s: s <> '') AS segments, lower(m.h) || m.p || m.q AS whole FROM u),
+k AS (SELECT DISTINCT rn, fetch_day, unnest(list_concat(
+    list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.')),
+    list_transform(range(1, len(segments) + 1), lambda i: host || '/' || array_to_string(segments[1:i], '/')),
+    [whole])) AS key FROM x WHERE host <> ''),
+keys AS (SELECT DISTINCT unnest(list_concat(
+    list_transform(range(1, len(labels) + 1), lambda i: array_to_string(labels[i:], '.')),
+    list_transform(range(1, least(len(segments), 3) + 1), lambda i: host || '/' || array_to_string(segments[1:i], '/')),
+    [whole])) AS key FROM x WHERE host <> ''),
 n AS (SELECT key, ('0x' || substr(md5('pick' || key), 1, 6))::INT % 3 AS pick, ('0x' || substr(md5('cat' || key), 1, 6))::INT % 3 AS cat,
   ('0x' || substr(md5('day' || key), 1, 6))::INT % 300 AS d0, ('0x' || substr(md5('len' || key), 1, 6))::INT % 60 AS dl,
   ('0x' || substr(md5('again' || key), 1, 6))::INT % 2 AS again FROM keys),

@@ -380,6 +380,32 @@ def test_intervals(spark):
     assert got == {1: True, 2: False, 3: True, 4: False, 5: False, 6: False}
 
 
+def test_entries_match_at_every_level(spark):
+    keys = ["b.example.co.uk", "example.co.uk", "h.org/a/b", "h.org/a/b/c.html?x=1", "org", "h.org/ab", "deep.org/1/2/3/4/5"]
+    entries = spark.createDataFrame([(k, f"c{i}", "2024-01-01", "add", "x", 1) for i, k in enumerate(keys)] * 2,
+                                    "key string, category string, day string, action string, host string, row int")
+    urls = {1: ("http://a.b.example.co.uk/", "c0,c1"), 2: ("http://xb.example.co.uk", "c1"), 3: ("http://h.org/a/b/c.html?x=1#f", "c2,c3,c4"),
+            4: ("http://h.org//a/b", "c2,c4"), 5: ("http://h.org/a/bc", "c4"), 6: ("http://example.com/org", ""), 7: ("http://H.ORG/A/b", "c4"),
+            8: ("http://deep.org/1/2/3/4/5/6/7", "c4,c6"), 9: ("http://co.uk/x", ""), 10: ("x", ""), 11: ("http://h.org/" + "z/" * 20_000, "c4")}
+    caps = spark.createDataFrame([(i, u, "2024-02-01", "clash", "k") for i, (u, _) in urls.items()] * 2,
+                                 "page_id long, url string, fetch_day string, host string, key string")
+    got = url_intervals.active_entries(caps, entries).collect()
+    assert len(got) == 22 and {r["page_id"]: r["categories"] for r in got} == {i: c for i, (_, c) in urls.items()}
+
+
+def test_pairs_need_both_orders(near_copies):
+    """Linked sets share the tokens that the first order asks for."""
+    sets = [np.sort(np.array(list({hash(x) for x in shingle_set(t)}), np.int64).view(np.uint64)) for _, t in texts(near_copies)]
+    linked = 0
+    for i, a in enumerate(sets):
+        for b in sets[:i]:
+            n = ngram_join._common(a, b)
+            if 100 * n >= 75 * (len(a) + len(b) - n) > 0:
+                linked += 1
+                assert ngram_join._common(ngram_join._prefix(a), ngram_join._prefix(b)) >= ngram_join._slack(min(len(a), len(b)))
+    assert linked > 100
+
+
 def whole_search(lat, text):
     s = lat.normalise(text or "")
     if not s:
