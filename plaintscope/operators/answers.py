@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, URGENCY_LEVELS, Thresholds
 from ..schema import COMPLAINT_ANSWER_SCHEMA, THEME_ANSWER_SCHEMA
+from ..session import cut_lineage
 
 
 # Texts taken for a truth value (any case), and the shapes of number texts.
@@ -128,6 +129,8 @@ def validate_theme_answers(df: DataFrame, json_col: str = "answer_json",
     allowed = F.filter(F.transform(supplied, lambda x: F.trim(x).try_cast("bigint")), lambda x: x.isNotNull())
     parsed = (df.withColumn("_a", parse_answer(json_col))
               .withColumn("_problems", answer_problems(F.col("_a"))))
+    # Both results read the judged answers; a filter on them would parse each text again.
+    parsed = cut_lineage(parsed.drop(json_col))
     good = parsed.where(F.size("_problems") == 0)
     a = F.col("_a")
     ids = grounded_ids(a.getField("evidence_complaint_ids"), allowed)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import answers as A
 from ..operators import themes as TH
+from ..session import spread
 from ..sources.adapters import synthetic_theme_answers
 from .registry import register
 from .themes import DOCS_CTE, EVIDENCE_CTE, THEMES_WITH, TOP3_CTE, _evidence, docs
@@ -237,7 +238,8 @@ FROM documents"""
 @register("answer_intake", _intake_sql())
 def q_answer_intake(spark, sf):
     """Answers with tails, wrong types, extra keys, nulls and odd ids: each taken or refused with reasons."""
-    good, bad = A.validate_theme_answers(hostile_answers(spark.read.parquet(f"{sf}/documents.parquet")))
+    good, bad = A.validate_theme_answers(hostile_answers(
+        spread(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")))
     taken = good.select("product", "term", "cluster_summary", "confidence", "requires_human_review", "evidence_complaint_ids")
     return (taken.withColumn("problems", F.lit(""))
             .unionByName(bad.select("product", "term", "problems"), allowMissingColumns=True))
