@@ -6,7 +6,7 @@ One file pair per range of document ids, in ascending order:
   (fixed-size list of ``sequence_length`` unsigned ids, 16 bits wide where the vocabulary
   allows) and ``mask`` (fixed-size list of booleans, false on padding). A sequence is a
   row of a record batch; row r of batch b is found by the file's footer, so a memory map
-  gives it without copying. All batches but the last have ``BATCH_ROWS`` rows.
+  gives its ids without copying (masks are packed bits, which numpy has to unpack). All batches but the last have ``BATCH_ROWS`` rows.
 * ``part-NNNNN.docs.arrow``: ``doc_id``, ``start`` (in this part's id stream), ``n_tokens``.
 
 Within a part the ids of all documents stand end to end, each closed by the end id; only a
