@@ -3,7 +3,7 @@
 Each section is a small aggregate or a projection of an already-reduced table
 (alerts, latest product status, top themes), unioned into one line table with
 explicit sort columns. ``brief_text`` orders it with a distributed sort and
-``write_brief`` writes the single Markdown file; nothing is collected to the driver.
+``write_brief`` writes it as Markdown part files in that order; nothing is collected to the driver.
 """
 
 from __future__ import annotations
