@@ -121,7 +121,13 @@ def emerging_themes(complaints: DataFrame, th: Thresholds = DEFAULTS,
     # One text scan and one aggregate: the marker rows carry the per-period totals
     # (E11). The aggregate is read by the totals and by the exact top-k several
     # times, so it is written once (it is small next to the narratives it reduces).
-    all_counts = cut_lineage(term_document_counts(labelled, with_doc_marker=True))
+    return themes_from_counts(cut_lineage(term_document_counts(labelled, with_doc_marker=True)), ws, th)
+
+
+def themes_from_counts(all_counts: DataFrame, ws: dict[str, Column],
+                       th: Thresholds = DEFAULTS) -> DataFrame:
+    """Themes from the (written) counts per product and term, marker rows included: those of
+    ``term_document_counts`` or the sliding ones of ``operators.sliding``."""
     totals = (all_counts.where(F.col("term") == DOC_MARKER)
               .select("product", F.col("recent_mentions").alias("recent_total"),
                       F.col("baseline_mentions").alias("baseline_total"))

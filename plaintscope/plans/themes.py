@@ -3,13 +3,17 @@ redaction and prompts."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS
 from ..functions import text as X
+from ..operators import sliding as SL
 from ..operators import themes as TH
-from ..session import cut_lineage
+from ..session import checkpoint_path, cut_lineage
 from ..sources.adapters import narrative_complaints
+from ..sources.buckets import drop_table
 from .registry import register
 
 # ---------------------------------------------------------------- DuckDB mirrors
@@ -270,3 +274,16 @@ SELECTED_PRODUCTS = ["en", "de"]
 def q_themes_selected(spark, sf):
     """The fixed product list of a run (the anchor day still uses every narrative)."""
     return TH.emerging_themes(docs(spark, sf), products=SELECTED_PRODUCTS)
+
+
+@register("emerging_themes_sliding", f"{THEMES_WITH}\nSELECT * FROM themes")
+def q_themes_sliding(spark, sf):
+    """E11-E13 from stored daily counts: the history in one load, then three loads of a day, the
+    window moved by each. The tables lie in the shared folder while the themes are made."""
+    root = checkpoint_path(spark, f"sliding-{uuid.uuid4().hex}")
+    d = docs(spark, sf)
+    try:
+        themes = SL.replay(spark, root, d, last_days=3)
+        return themes if themes is not None else TH.emerging_themes(d)
+    finally:
+        drop_table(spark, root)

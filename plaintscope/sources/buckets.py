@@ -153,9 +153,10 @@ def publish_upsert(spark: SparkSession, root: str, incoming: DataFrame, key: str
                                          "schema": json.loads(merged.schema.json())}, keep)["version"]
 
 
-def append_results(df: DataFrame, root: str, batch_id: str | None = None, keep: int = KEEP) -> int:
+def append_results(df: DataFrame, root: str, batch_id: str | None = None, keep: int = KEEP, info=None) -> int:
     """Append a batch of results under its id; a retry of a held id changes nothing. Without
-    an id the batch counts as a new one."""
+    an id the batch counts as a new one. ``info`` (``rows -> dict``) is called with the written rows;
+    what it returns is kept in the manifest for the batch, so a reader can choose batches by it."""
     spark = df.sparkSession
     state = manifest(spark, root) or {"version": 0, "folders": {}, "n_batches": 0}
     batch_id = batch_id if batch_id is not None else uuid.uuid4().hex
@@ -165,9 +166,34 @@ def append_results(df: DataFrame, root: str, batch_id: str | None = None, keep:
     write = f"data/w{state['version'] + 1:012d}-{uuid.uuid4().hex[:8]}"
     df = df.withColumn(_BATCH_NO, F.lit(number).cast("long"))
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{write}")
+    state = state | {"schema": json.loads(df.schema.json())}
+    notes = state.get("info", {})
+    if info is not None:
+        notes = notes | {batch_id: info(_read(spark, root, state, [write]))}
     return _commit(spark, root, state | {
         "version": state["version"] + 1, "folders": state["folders"] | {batch_id: write}, "n_batches": number,
-        "schema": json.loads(df.schema.json())}, keep)["version"]
+        "info": notes}, keep)["version"]
+
+
+def read_batches(spark: SparkSession, root: str, state: dict, batch_ids: list[str]) -> DataFrame:
+    """The rows of some appended batches, as one scan of their folders."""
+    return _read(spark, root, state, [state["folders"][b] for b in batch_ids]).drop(_BATCH_NO)
+
+
+def replace_whole(df: DataFrame, root: str, info: dict, keep: int = KEEP) -> int:
+    """Write ``df`` as the whole table, with ``info`` in the manifest. ``df`` may read the table's
+    last version: a version is new folders, and the last one stays until the next commit."""
+    spark = df.sparkSession
+    version = (manifest(spark, root) or {"version": 0})["version"] + 1
+    write = f"data/w{version:012d}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{write}")
+    return _commit(spark, root, {"version": version, "folders": {"all": write}, "info": info,
+                                 "schema": json.loads(df.schema.json())}, keep)["version"]
+
+
+def drop_table(spark: SparkSession, root: str) -> None:
+    """Remove a table and its versions."""
+    _Folder(spark, root).remove("")
 
 
 def read_results(spark: SparkSession, root: str, key: list[str]) -> DataFrame:
