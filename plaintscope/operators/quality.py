@@ -8,7 +8,7 @@ row is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TIMELY_DOMAIN
@@ -55,17 +55,22 @@ QUALITY_CHECKS = (
 )
 
 
-def quality_report(complaints: DataFrame) -> DataFrame:
-    """Nine checks with failed, checked and pass rate % (half-even, 2 places)."""
-    wide = complaints.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("complaint_id").isNull()).alias("miss_id"),
-        F.count_if(F.col("date_received").isNull()).alias("miss_date"),
-        F.count_if(F.col("product").isNull()).alias("miss_product"),
-        F.count_if(F.col("issue").isNull()).alias("miss_issue"),
-        F.count_if(F.col("company").isNull()).alias("miss_company"),
-        F.count_if(F.col("consumer_complaint_narrative").isNull()).alias("miss_narr"),
-    )
+def null_checks() -> list[Column]:
+    """The report's counts that need no grouping, as aggregates: in a query of their own or observed
+    while the table is written (``DataFrame.observe``)."""
+    return [F.count(F.lit(1)).alias("total")] + [
+        F.count_if(F.col(c).isNull()).alias(m) for m, c in (
+            ("miss_id", "complaint_id"), ("miss_date", "date_received"), ("miss_product", "product"),
+            ("miss_issue", "issue"), ("miss_company", "company"), ("miss_narr", "consumer_complaint_narrative"))]
+
+
+def quality_report(complaints: DataFrame, observed: dict | None = None) -> DataFrame:
+    """Nine checks with failed, checked and pass rate % (half-even, 2 places). With ``observed``
+    (the values of ``null_checks`` over these rows) only the ids are read."""
+    wide = complaints.agg(*null_checks())
+    if observed is not None:
+        wide = complaints.sparkSession.range(1).select(
+            *[F.lit(v).cast("bigint").alias(m) for m, v in observed.items()])
     # Identical rows share their id: only rows of repeated ids are hashed and shuffled.
     repeated = repeated_keys(complaints.select("complaint_id"), "complaint_id")
     rows = complaints if repeated is None else by_repetition(complaints, "complaint_id", repeated)[1]
@@ -89,8 +94,13 @@ def quality_report(complaints: DataFrame) -> DataFrame:
                       rate.alias("pass_rate_percent"))
 
 
-def narrative_coverage(complaints: DataFrame) -> DataFrame:
-    """Share of rows with a narrative, % to 2 places."""
+def narrative_coverage(complaints: DataFrame, observed: dict | None = None) -> DataFrame:
+    """Share of rows with a narrative, % to 2 places; from ``observed`` null checks if given."""
+    if observed is not None:
+        n, k = F.lit(observed["total"]).cast("bigint"), F.lit(observed["total"] - observed["miss_narr"]).cast("bigint")
+        return complaints.sparkSession.range(1).select(
+            n.alias("records"), k.alias("with_narrative"),
+            F.bround(F.try_divide(k.cast("double") * 100.0, n.cast("double")), 2).alias("coverage_percent"))
     return complaints.agg(
         F.count(F.lit(1)).alias("records"),
         F.count("consumer_complaint_narrative").alias("with_narrative"),

@@ -49,6 +49,14 @@ def anchor_day(complaints: DataFrame):
     return row["d"] if row else None
 
 
+# The day E13 looks for the latest of, as the bucketed table's manifest keeps it.
+NARRATIVE_DAY = "narrative_day"
+
+
+def narrative_day() -> Column:
+    return F.when(F.col("consumer_complaint_narrative").isNotNull(), F.to_date("date_received"))
+
+
 def window_bounds(anchor, th: Thresholds = DEFAULTS) -> dict[str, Column]:
     """Recent and baseline window dates from the anchor day (NULL when None)."""
     end = F.lit(anchor).cast("date")
@@ -114,9 +122,10 @@ def score_terms(counts: DataFrame) -> DataFrame:
 
 
 def emerging_themes(complaints: DataFrame, th: Thresholds = DEFAULTS,
-                    products: list[str] | None = None) -> DataFrame:
-    """Recent-vs-baseline bigram themes per product, top `themes_kept` by emergence score."""
-    ws = window_bounds(anchor_day(complaints), th)
+                    products: list[str] | None = None, anchor=None) -> DataFrame:
+    """Recent-vs-baseline bigram themes per product, top `themes_kept` by emergence score. A caller
+    who knows the latest day with a narrative (``buckets.maximum``) spares the pass that finds it."""
+    ws = window_bounds(anchor if anchor is not None else anchor_day(complaints), th)
     labelled = labelled_narratives(complaints, th, products, ws)
     # One text scan and one aggregate: the marker rows carry the per-period totals
     # (E11). The aggregate is read by the totals and by the exact top-k several

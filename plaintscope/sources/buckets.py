@@ -17,15 +17,16 @@ to rename onto an existing file, and is detected by a check elsewhere.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.clean import dedup_keep_last, upsert
-from ..session import cut_lineage
+from ..session import bounded_broadcast, cut_lineage
 
 N_BUCKETS = 64
 KEEP = 2
@@ -117,12 +118,15 @@ def bucket_of(key: str, n: int) -> Column:
 
 def publish_upsert(spark: SparkSession, root: str, incoming: DataFrame, key: str = "complaint_id",
                    seq: str | None = None, batch_id: str | None = None, n_buckets: int = N_BUCKETS,
-                   splits: int = 1, keep: int = KEEP) -> int:
+                   splits: int = 1, keep: int = KEEP, maxima: dict[str, Column] | None = None) -> int:
     """Merge ``incoming`` into the table (``clean.upsert``) and return the version that holds it.
 
     Only buckets that hold a key of the batch are read and written. ``n_buckets`` counts for the
     first batch of a table only. A ``batch_id`` the table already holds changes nothing, nor does a
-    batch without rows on an existing table. The batch's columns must be the table's."""
+    batch without rows on an existing table. The batch's columns must be the table's.
+
+    ``maxima`` names date expressions over the table's columns; the manifest keeps their maximum per
+    bucket, taken from the buckets this batch rewrote (``maximum`` reads them)."""
     state = manifest(spark, root)
     if state and batch_id is not None and batch_id in state["batches"]:
         return state["version"]
@@ -135,24 +139,62 @@ def publish_upsert(spark: SparkSession, root: str, incoming: DataFrame, key: str
         if state["key"] != key:
             raise ValueError(f"{root}: the table's key is {state['key']}")
         keys = cut_lineage(incoming.select(F.col(key).alias("_key")).distinct())
-        touched = [str(r[0]) for r in keys.select(bucket_of("_key", state["n_buckets"])).distinct().collect()]
+        touched = _touched(keys, state)
         if not touched:
             return state["version"]
-        existing = _read(spark, root, state, sorted(state["folders"][b] for b in touched if b in state["folders"]))
+        existing = _read(spark, root, state, [state["folders"][b] for b in touched if b in state["folders"]])
     merged = upsert(existing, incoming, key=key, seq=seq, keys=keys)
     write = f"data/w{state['version'] + 1:012d}-{uuid.uuid4().hex[:8]}"
     rows = merged.withColumn(_BUCKET, bucket_of(key, state["n_buckets"]))
     by = [_BUCKET] if splits == 1 else [_BUCKET, F.pmod(F.xxhash64(F.lit(1), key), F.lit(splits))]
     (rows.repartition(*by).write.mode("errorifexists").partitionBy(_BUCKET).parquet(f"{root.rstrip('/')}/{write}"))
-    folders = dict(state["folders"])
+    folders, written = dict(state["folders"]), {}
     for name in _Folder(spark, root).names(write):
         if name.startswith(f"{_BUCKET}="):
-            folders[name.split("=", 1)[1]] = f"{write}/{name}"
+            written[name.split("=", 1)[1]] = f"{write}/{name}"
+    folders |= written
+    # What an earlier batch noted stays for the buckets this one did not write.
+    known = {m: {b: v for b, v in per.items() if b not in written} for m, per in state.get("maxima", {}).items()}
+    if maxima and written:
+        rewritten = spark.read.schema(StructType([*merged.schema.fields, StructField(_BUCKET, IntegerType())])) \
+            .parquet(f"{root.rstrip('/')}/{write}")
+        for r in (rewritten.groupBy(_BUCKET)
+                  .agg(*[F.max(c).cast("date").cast("string").alias(m) for m, c in maxima.items()]).collect()):
+            for m in maxima:
+                known.setdefault(m, {})[str(r[_BUCKET])] = r[m]
     batches = (state["batches"] + ([batch_id] if batch_id is not None else []))[-BATCH_IDS:]
-    return _commit(spark, root, state | {"version": state["version"] + 1, "folders": folders, "batches": batches,
+    return _commit(spark, root, state | {"version": state["version"] + 1, "folders": folders, "batches": batches, "maxima": known,
                                          "schema": json.loads(merged.schema.json())}, keep)["version"]
 
 
+def _touched(keys: DataFrame, state: dict) -> list[str]:
+    return sorted(str(r[0]) for r in keys.select(bucket_of("_key", state["n_buckets"])).distinct().collect())
+
+
+def rows_of_keys(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame | None:
+    """The stored rows whose key is among ``keys(_key)``, from the buckets these fall into; None
+    before the first version."""
+    state = manifest(spark, root)
+    if state is None:
+        return None
+    rows = _read(spark, root, state, [state["folders"][b] for b in _touched(keys, state) if b in state["folders"]])
+    wanted = bounded_broadcast(keys)
+    return rows.join(wanted, rows[state["key"]].eqNullSafe(wanted["_key"]), "left_semi")
+
+
+def maximum(spark: SparkSession, root: str, name: str, expression: Column) -> dt.date | None:
+    """The maximum of a date expression over the table, from the manifest if every bucket has it there,
+    else from the rows (a table some batch of which was published without ``maxima``)."""
+    state = manifest(spark, root)
+    if state is None:
+        return None
+    per = state.get("maxima", {}).get(name, {})
+    if not set(state["folders"]) <= set(per):
+        return read_table(spark, root).agg(F.max(expression).cast("date")).first()[0]
+    last = max((v for v in per.values() if v is not None), default=None)
+    return dt.date.fromisoformat(last) if last else None
+
+
 def append_results(df: DataFrame, root: str, batch_id: str | None = None, keep: int = KEEP, info=None) -> int:
     """Append a batch of results under its id; a retry of a held id changes nothing. Without
     an id the batch counts as a new one. ``info`` (``rows -> dict``) is called with the written rows;

@@ -1,5 +1,6 @@
 """Bucketed tables: what an upsert touches, retries, versions, failed writes."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -117,3 +118,19 @@ def test_append_results_last_batch_wins_and_retries_are_one_batch(spark, tmp_pat
     got = {(r.product, r.term): r.v for r in B.read_results(spark, root, ["product", "term"]).collect()}
     assert got == {("p", "t"): 2, ("p", "u"): 3, (None, "u"): 4}
     assert B.read_table(spark, root).count() == 4  # every batch once
+
+
+def test_maxima_from_the_manifest_equal_those_of_the_rows(spark, tmp_path):
+    root, rows = str(tmp_path / "t"), "complaint_id long, d date, seq int"
+    day = lambda n: dt.date(2024, 1, n)
+    put = lambda data, **k: B.publish_upsert(spark, root, spark.createDataFrame(data, rows), seq="seq", n_buckets=4, **k)
+    noted = {"d": F.col("d")}
+    assert B.maximum(spark, root, "d", F.col("d")) is None
+    put([(i, day(1 + i), 0) for i in range(9)], maxima=noted)
+    assert B.maximum(spark, root, "d", F.lit(None)) == day(9)  # the rows are not asked
+    put([(8, None, 0)], maxima=noted)  # the greatest one goes
+    assert B.maximum(spark, root, "d", F.lit(None)) == day(8)
+    put([(7, day(2), 0)])  # a batch without: its bucket is unknown, the rows are asked
+    assert B.maximum(spark, root, "d", F.col("d")) == day(7)
+    got = B.rows_of_keys(spark, root, spark.createDataFrame([(7,), (8,), (99,)], "_key long"))
+    assert sorted((r.complaint_id, r.d) for r in got.collect()) == [(7, day(2)), (8, None)]
