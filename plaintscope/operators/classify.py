@@ -20,6 +20,7 @@ from __future__ import annotations
 import uuid
 from typing import NamedTuple
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
@@ -224,11 +225,10 @@ class IssueModel(NamedTuple):
     vocab: DataFrame
     classes: list[str]
 
-
-def _predicted(rows: DataFrame, fitted: IssueModel) -> DataFrame:
-    names = F.array(*[F.lit(c) for c in fitted.classes])
-    return fitted.model.transform(rows).withColumn(
-        "predicted_issue", F.element_at(names, (F.col("prediction") + 1).cast("int")))
+    def pipeline(self) -> PipelineModel:
+        """The classifier as one Spark ML model; it is saved and loaded as one folder."""
+        from .issue_model import issue_pipeline
+        return issue_pipeline(self.vocab, self.model, self.classes)
 
 
 def score(fitted: IssueModel, docs: DataFrame) -> DataFrame:
@@ -236,9 +236,7 @@ def score(fitted: IssueModel, docs: DataFrame) -> DataFrame:
     ``predicted_issue``. ``IssueModel(*load_classifier(spark, path))`` scores as the model
     that was saved; a null or empty narrative has the zero vector."""
     docs = docs.select("complaint_id", "consumer_complaint_narrative")
-    weights = tfidf_weights(docs, fitted.vocab)
-    rows = with_features(docs.select("complaint_id"), weights, fitted.model.numFeatures)
-    return _predicted(rows, fitted).select("complaint_id", "predicted_issue")
+    return fitted.pipeline().transform(docs).select("complaint_id", "predicted_issue")
 
 
 ROWS_PER_FIT_PARTITION = 20000
@@ -254,25 +252,23 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS) -> tuple[Data
     classes = [r[0] for r in class_counts(train).orderBy("issue").collect()]  # k labels, small
     if not classes:
         raise ValueError(f"no class has {th.min_class_size} usable narratives")
-    # Tokenise once: the vocabulary (training rows) and the weights (all rows) both
-    # read these term frequencies.
-    tf = cut_lineage(term_frequencies(split, keep=("is_test",)))
+    # Each text is tokenised once: the training rows' term frequencies feed the vocabulary and
+    # the weights; the held-out rows are scored by the finished model.
+    tf = cut_lineage(term_frequencies(train))
     n_train = train.count()
-    vocab = cut_lineage(tfidf_vocab(train, th, tf=tf.where(~F.col("is_test")))
+    vocab = cut_lineage(tfidf_vocab(train, th, tf=tf)
                         .withColumn("n_train", F.lit(float(n_train))))
     size = max(1, vocab.count())
     label_of = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("issue")) - 1
     cw = class_weights(train).select("issue", "weight")
-    rows = with_features(split.select("complaint_id", "issue", "is_test"),
-                         tfidf_weights(split, vocab, tf=tf), size)
-    rows = (rows.withColumn("label", label_of.cast("double"))
+    rows = with_features(train.select("complaint_id", "issue"), tfidf_weights(train, vocab, tf=tf), size)
+    fit_rows = (rows.withColumn("label", label_of.cast("double"))
             .join(bounded_broadcast(cw), "issue", "left"))
     # tol 1e-4 and at most max_iter L-BFGS steps, as the reference's solver settings.
     lr = LogisticRegression(family="multinomial", maxIter=th.max_iter, tol=1e-4,
                             regParam=1.0 / max(n_train, 1),
                             elasticNetParam=0.0, standardization=False, weightCol="weight",
                             featuresCol="features", labelCol="label")
-    fit_rows = rows.where(~F.col("is_test"))
     # Every L-BFGS step is one pass over the training rows; size their partitions
     # by row count (about ROWS_PER_FIT_PARTITION sparse rows each) so per-task
     # overhead does not dominate small inputs while large inputs keep parallelism.
@@ -281,7 +277,8 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS) -> tuple[Data
         fit_rows = fit_rows.coalesce(want)
     model = lr.fit(fit_rows)
     fitted = IssueModel(model, vocab, classes)
-    out = _predicted(rows.where("is_test"), fitted).select("complaint_id", "issue", "predicted_issue")
+    held_out = split.where("is_test").select("complaint_id", "issue", "consumer_complaint_narrative")
+    out = fitted.pipeline().transform(held_out).select("complaint_id", "issue", "predicted_issue")
     # Reports read the predictions several times: checkpoint them once (reliable
     # checkpoint in the shared folder, so a lost executor does not refit anything).
     return cut_lineage(out), fitted
