@@ -5,9 +5,10 @@ is tokenised once, when its load arrives: the load becomes signed counts per pro
 (``daily_term_counts``) and is appended under its id. The counts of the window are a stored table of
 their own. ``advance`` moves it to another anchor day: it reads the daily counts of the days whose
 place in the window changes (four slices for one day: into the recent part, from there to the
-baseline, out of the baseline, and the anchor day's own late rows), adds them to the stored counts
-in one aggregate and writes the sums as the new version. Work is that of the moved days and of the
-table of sums; neither grows with the days in the window nor with the narratives' length.
+baseline, out of the baseline, and the anchor day's own late rows) and appends them, signed, as a
+layer: a map-only job. The themes add up the layers in one aggregate and write only the terms
+frequent enough to be one. After ``MAX_LAYERS`` moves, a week of days at four slices each, the
+layers are merged into one.
 
 The window ends at midnight of the anchor day, as in the full run: a narrative of a later hour of a
 day counts from the next day on. So a day's counts have two parts, ``late`` false (midnight, or no
@@ -32,10 +33,11 @@ from pyspark.sql import functions as F
 from ..config import DEFAULTS, Thresholds
 from ..functions.text import explode_terms, with_terms
 from ..session import cut_lineage
-from ..sources.buckets import append_results, manifest, read_batches, read_table, replace_whole
-from .themes import DOC_MARKER, themes_from_counts, window_bounds
+from ..sources.buckets import append_results, manifest, publish_layer, read_batches, read_table
+from .themes import DOC_MARKER, frequent_terms, themes_from_counts, window_bounds
 
 TEXT = "consumer_complaint_narrative"
+MAX_LAYERS = 7
 
 
 def daily_term_counts(complaints: DataFrame, sign: int = 1) -> DataFrame:
@@ -113,8 +115,20 @@ def _as_counts(rows: DataFrame, recent: Column, baseline: Column) -> DataFrame:
                        (F.col("mentions") * baseline).alias("baseline_mentions"))
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    return (rows.groupBy("product", "term")
+            .agg(F.sum("recent_mentions").alias("recent_mentions"), F.sum("baseline_mentions").alias("baseline_mentions"))
+            .withColumn("doc_freq", F.col("recent_mentions") + F.col("baseline_mentions"))
+            .where(F.col("doc_freq") > 0))
+
+
+def window_counts(spark: SparkSession, sums_root: str) -> DataFrame:
+    """Recent and baseline mentions per product and term at the stored anchor day."""
+    return _summed(read_table(spark, sums_root))
+
+
 def advance(spark: SparkSession, counts_root: str, sums_root: str, anchor: dt.date,
-            th: Thresholds = DEFAULTS) -> int:
+            th: Thresholds = DEFAULTS, max_layers: int = MAX_LAYERS) -> int:
     """Bring the window's counts to ``anchor`` (a later or an earlier day) and to all loads. Returns
     the version; nothing is written when anchor and loads are those of the last one."""
     loads, sums = manifest(spark, counts_root), manifest(spark, sums_root)
@@ -137,8 +151,9 @@ def advance(spark: SparkSession, counts_root: str, sums_root: str, anchor: dt.da
     first = anchor - dt.timedelta(days=sum(span) - 1)
     fresh = read_batches(spark, counts_root, loads, of(set(loads["folders"]) - held, first, anchor))
     parts = [_as_counts(fresh.where(F.col("day").between(F.lit(first), F.lit(anchor))), as_int(recent), as_int(baseline))]
-    if sums:
-        parts.append(read_table(spark, sums_root).drop("doc_freq"))
+    whole = not sums or len(sums["folders"]) >= max_layers
+    if sums and whole:
+        parts.append(read_table(spark, sums_root))
     moved = _moved_days(old, anchor, th) if sums else []
     if moved:
         was_recent, was_baseline = _parts(old, th)
@@ -147,21 +162,20 @@ def advance(spark: SparkSession, counts_root: str, sums_root: str, anchor: dt.da
     total = parts[0]
     for part in parts[1:]:
         total = total.unionByName(part)
-    total = (total.groupBy("product", "term")
-             .agg(F.sum("recent_mentions").alias("recent_mentions"), F.sum("baseline_mentions").alias("baseline_mentions"))
-             .withColumn("doc_freq", F.col("recent_mentions") + F.col("baseline_mentions"))
-             .where(F.col("doc_freq") > 0))
-    return replace_whole(total, sums_root, {"anchor": str(anchor), "loads": sorted(loads["folders"]), "span": span})
+    total = (_summed(total).drop("doc_freq") if whole
+             else total.where((F.col("recent_mentions") != 0) | (F.col("baseline_mentions") != 0)))
+    info = {"anchor": str(anchor), "loads": sorted(loads["folders"]), "span": span}
+    return publish_layer(total, sums_root, info, whole)
 
 
 def sliding_themes(spark: SparkSession, sums_root: str, th: Thresholds = DEFAULTS,
                    products: list[str] | None = None) -> DataFrame:
     """The themes of ``themes.emerging_themes`` at the anchor day of the stored counts."""
     info = manifest(spark, sums_root)["info"]
-    counts = read_table(spark, sums_root)
+    counts = window_counts(spark, sums_root)
     if products is not None:
         counts = counts.where(F.col("product").isin(*products))
-    return themes_from_counts(counts, window_bounds(info["anchor"], th), th)
+    return themes_from_counts(cut_lineage(frequent_terms(counts, th)), window_bounds(info["anchor"], th), th)
 
 
 def replay(spark: SparkSession, root: str, complaints: DataFrame, last_days: int,

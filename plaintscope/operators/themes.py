@@ -129,8 +129,14 @@ def emerging_themes(complaints: DataFrame, th: Thresholds = DEFAULTS,
     labelled = labelled_narratives(complaints, th, products, ws)
     # One text scan and one aggregate: the marker rows carry the per-period totals
     # (E11). The aggregate is read by the totals and by the exact top-k several
-    # times, so it is written once (it is small next to the narratives it reduces).
-    return themes_from_counts(cut_lineage(term_document_counts(labelled, with_doc_marker=True)), ws, th)
+    # times, so its frequent terms are written once; the many rare ones are not.
+    counts = frequent_terms(term_document_counts(labelled, with_doc_marker=True), th)
+    return themes_from_counts(cut_lineage(counts), ws, th)
+
+
+def frequent_terms(all_counts: DataFrame, th: Thresholds = DEFAULTS) -> DataFrame:
+    """T6, with the marker rows."""
+    return all_counts.where((F.col("term") == DOC_MARKER) | (F.col("doc_freq") >= th.min_doc_freq))
 
 
 def themes_from_counts(all_counts: DataFrame, ws: dict[str, Column],

@@ -222,14 +222,16 @@ def read_batches(spark: SparkSession, root: str, state: dict, batch_ids: list[st
     return _read(spark, root, state, [state["folders"][b] for b in batch_ids]).drop(_BATCH_NO)
 
 
-def replace_whole(df: DataFrame, root: str, info: dict, keep: int = KEEP) -> int:
-    """Write ``df`` as the whole table, with ``info`` in the manifest. ``df`` may read the table's
-    last version: a version is new folders, and the last one stays until the next commit."""
+def publish_layer(df: DataFrame, root: str, info: dict, whole: bool, keep: int = KEEP) -> int:
+    """Write ``df`` as the whole table or as one more layer of its rows, with ``info`` in the manifest.
+    ``df`` may read the table's last version: its folders stay until the next commit."""
     spark = df.sparkSession
-    version = (manifest(spark, root) or {"version": 0})["version"] + 1
+    state = manifest(spark, root) or {"version": 0, "folders": {}}
+    version = state["version"] + 1
     write = f"data/w{version:012d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{write}")
-    return _commit(spark, root, {"version": version, "folders": {"all": write}, "info": info,
+    folders = {} if whole else state["folders"]
+    return _commit(spark, root, {"version": version, "folders": folders | {str(version): write}, "info": info,
                                  "schema": json.loads(df.schema.json())}, keep)["version"]
 
 

@@ -71,7 +71,21 @@ def test_any_move_of_the_window(spark, tmp_path):
     for d in (3, 9, 5, 20):  # ahead by more than a day, back, and beyond every row
         SL.advance(spark, daily, sums, dt.date(2024, 3, d), TH3)
         assert slid(spark, sums) == full(spark, rows, dt.date(2024, 3, d))
-    assert B.read_table(spark, sums).count() == 0
+    assert SL.window_counts(spark, sums).count() == 0
+
+
+def test_layers_are_merged(spark, tmp_path):
+    daily, sums = str(tmp_path / "daily"), str(tmp_path / "sums")
+    SL.load_days(spark, daily, table(spark, history(9)), "all")
+    layers = []
+    for d in range(4, 10):
+        SL.advance(spark, daily, sums, dt.date(2024, 3, d), TH3, max_layers=3)
+        layers.append(len(B.manifest(spark, sums)["folders"]))
+    assert layers == [1, 2, 3, 1, 2, 3]
+    assert slid(spark, sums) == full(spark, history(9), dt.date(2024, 3, 9))
+    merged = B.manifest(spark, sums)["folders"]
+    assert B.read_batches(spark, sums, {"folders": merged, "schema": B.manifest(spark, sums)["schema"]}, ["4"]) \
+        .groupBy("product", "term").count().where("count > 1").count() == 0
 
 
 def test_only_moved_days_are_read():
