@@ -1,15 +1,18 @@
 """Raw complaint extracts: delimited scan, null tokens, extraction grid, chunk union.
 
-A1/A2: the CSV reader reads each file's header, then scans the files of one header together
-with an all-text schema (no inference pass); it handles quoted multi-line narratives, and runs
-one task per file. Typed parsing
-happens in ``operators.clean`` so bad text becomes NULL instead of failing the scan.
+A1/A2: one job takes the header record of every file, then the files of one header are scanned
+together with an all-text schema (no inference pass); the CSV reader handles quoted multi-line
+narratives, and runs one task per file. Typed parsing happens in ``operators.clean`` so bad text becomes NULL instead of
+failing the scan.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from functools import reduce
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +30,46 @@ def _csv(spark: SparkSession):
 
 ORDER = ("_file", "_block", "_pos")
 
+# One file to a partition, whatever its size: a split as large as any file, opened at that cost.
+_WHOLE_FILES = {"spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.openCostInBytes": str(1 << 60),
+                "spark.sql.files.minPartitionNum": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
+
+
+def header_records(spark: SparkSession, path) -> list[tuple[str, str]]:
+    """(file, text of its first record) of every file with a record, found in one job.
+
+    A task opens one file and stops soon after the header's last line (a quoted name may hold line
+    breaks), so little behind it is read. Blank lines before the header are passed over, as the
+    CSV reader does. The settings live in a session of their own; the caller's stay as they are."""
+    probe = spark.newSession()
+    for key, value in _WHOLE_FILES.items():
+        probe.conf.set(key, value)
+
+    def first(batches):
+        record, name = [], None
+        for batch in batches:
+            for name, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if not record and not line.strip():
+                    continue
+                record.append(line)
+                if sum(x.count('"') for x in record) % 2 == 0:
+                    yield pa.RecordBatch.from_pydict({"file": [name], "header": ["\n".join(record)]})
+                    deque(islice(batches, 10), maxlen=0)  # a worker that ends its input is used again
+                    return
+        if record:  # a quote that never closes: the whole file is the record
+            yield pa.RecordBatch.from_pydict({"file": [name], "header": ["\n".join(record)]})
+
+    lines = probe.read.text(path).select("_metadata.file_path", "value")
+    found = lines.mapInArrow(first, "file string, header string").collect()
+    jvm = spark.sparkContext._jvm  # the metadata column names files as URIs
+    return [(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["file"])).toString(), r["header"]) for r in found]
+
 
 def read_complaints(spark: SparkSession, path, header=RAW_HEADER, keep_corrupt: bool = False,
                     keep_order: bool = False) -> DataFrame:
     """A1: header CSV with quoted fields and embedded newlines, every column text.
 
-    Columns are found by name: each file's own header is read, files of one header are
+    Columns are found by name: each file's own header is read (``header_records``), files of one header are
     scanned together, and the wanted columns are projected in the order of ``header``
     (compared without case and outer blanks). Other columns are dropped; a file that lacks
     a wanted column is an error. ``keep_corrupt`` adds the text of records with too few or
@@ -41,12 +78,13 @@ def read_complaints(spark: SparkSession, path, header=RAW_HEADER, keep_corrupt:
     place in the split; it is taken per header, before the scans are united. A quoted newline may stand
     anywhere, so one file is one task: convert large extracts to Parquet once.
     """
-    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    by_text: dict[str, list[str]] = {}
+    for f, text in sorted(header_records(spark, path)):
+        by_text.setdefault(text, []).append(f)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in sorted(files):
-        names = tuple(_csv(spark).csv(f).columns)
-        if names:
-            groups.setdefault(names, []).append(f)
+    for files in by_text.values():  # one small read per distinct header, not per file
+        names = tuple(_csv(spark).csv(files[0]).columns)
+        groups.setdefault(names, []).extend(files)
     if not groups:
         none = spark.createDataFrame([], raw_schema(tuple(header) + ((CORRUPT,) if keep_corrupt else ())))
         return none.select("*", *_place(F.lit(""), F.lit(0))) if keep_order else none
