@@ -49,6 +49,14 @@ def anchor_day(complaints: DataFrame):
     return row["d"] if row else None
 
 
+# Partition column of the month layout the batch run writes (``yyyy-MM``).
+MONTH = "received_month"
+
+
+def month_of(time) -> Column:
+    return F.date_format(time, "yyyy-MM")
+
+
 # The day E13 looks for the latest of, as the bucketed table's manifest keeps it.
 NARRATIVE_DAY = "narrative_day"
 
@@ -75,6 +83,8 @@ def labelled_narratives(complaints: DataFrame, th: Thresholds = DEFAULTS,
     lo = ws["baseline_start"].cast("timestamp_ntz")
     hi = ws["recent_end"].cast("timestamp_ntz")
     df = complaints.where(F.col("consumer_complaint_narrative").isNotNull() & ts.between(lo, hi))
+    if MONTH in complaints.columns:  # the month layout: its folders outside the window are not listed as input
+        df = df.where(F.col(MONTH).between(month_of(lo), month_of(hi)))
     if products is not None:
         df = df.where(F.col("product").isin(*products))
     return df.withColumn(
@@ -181,6 +191,10 @@ def theme_evidence(complaints: DataFrame, selected: DataFrame,
     contains the term (lower-cased). The wanted terms of a product (a few) are broadcast and
     intersected with a narrative's bigrams inside the row, so only hits become rows; the
     first in (date_received, complaint_id) order are kept.
+
+    On the month layout (a column ``received_month``) the wanted terms are keyed by product and
+    month, and the join on the month prunes the scan at run time to the months of the selected
+    windows (dynamic partition pruning), also where these lie far apart.
     """
     # The selection is a few rows per product and is read three times below:
     # checkpoint it once instead of recomputing the theme pipeline each time.
@@ -192,11 +206,20 @@ def theme_evidence(complaints: DataFrame, selected: DataFrame,
     bounds = sel.agg(F.min("recent_start").alias("lo"), F.max("recent_end").alias("hi")).first()
     lo = F.lit(bounds["lo"]).cast("date").cast("timestamp_ntz")
     hi = F.date_add(F.lit(bounds["hi"]).cast("date"), 1).cast("timestamp_ntz")
-    wanted = sel.groupBy("product").agg(F.collect_set("term_key").alias("_wanted"))
+    on = ["product"]
+    terms = sel
+    if MONTH in complaints.columns:
+        on.append(MONTH)
+        # Stepped by days, since steps of a month can pass over the last one; a window is short.
+        days = F.sequence("recent_start", "recent_end")
+        terms = sel.select("product", "term_key", F.explode(F.array_distinct(F.transform(days, month_of))).alias(MONTH))
+        # The months as such tell the optimiser that this side is selective.
+        terms = terms.where((F.col(MONTH) >= month_of(lo)) & (F.col(MONTH) <= month_of(hi)))
+    wanted = terms.groupBy(*on).agg(F.collect_set("term_key").alias("_wanted"))
     cand = (complaints
             .where(F.col("consumer_complaint_narrative").isNotNull()
                    & (F.col("date_received") >= lo) & (F.col("date_received") < hi))
-            .join(bounded_broadcast(wanted), "product"))
+            .join(bounded_broadcast(wanted), on))
     cand = explode_terms(with_terms(cand, "consumer_complaint_narrative", "_bg")
                          .withColumn("_arr", F.array_intersect("_bg", "_wanted")), "_arr", "term_key",
                          ["complaint_id", "product", "issue", "date_received",

@@ -19,6 +19,7 @@ import argparse
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .config import DEFAULTS, Thresholds
 from .operators import brief as B
@@ -27,6 +28,7 @@ from .operators import quality as Q
 from .operators import signals as S
 from .operators import sliding as SL
 from .operators import themes as TH
+from .schema import COMPLAINT_SCHEMA
 from .session import cut_lineage
 from .sources.buckets import manifest, maximum, publish_upsert, read_table, rows_of_keys
 from .sources.complaints import ORDER, normalize_nulls, read_complaints
@@ -42,14 +44,19 @@ def write_complaint_layout(df: DataFrame, path: str) -> dict:
     Returns the values of ``quality.null_checks``. They are observed behind the exchange: before it,
     the pass that samples the ranges would count its rows too."""
     seen = Observation()
-    (df.withColumn("received_month", F.date_format("date_received", "yyyy-MM"))
+    (df.withColumn(TH.MONTH, TH.month_of("date_received"))
      .repartitionByRange("date_received", "complaint_id")
      .observe(seen, *Q.null_checks())
-     .sortWithinPartitions("received_month", "date_received", "complaint_id")
-     .write.mode("overwrite").partitionBy("received_month").parquet(path))
+     .sortWithinPartitions(TH.MONTH, "date_received", "complaint_id")
+     .write.mode("overwrite").partitionBy(TH.MONTH).parquet(path))
     return seen.get
 
 
+def read_complaint_layout(spark: SparkSession, path: str) -> DataFrame:
+    """The month layout with its month as text (the reader would guess a date) and no schema job."""
+    return spark.read.schema(StructType([*COMPLAINT_SCHEMA.fields, StructField(TH.MONTH, StringType())])).parquet(path)
+
+
 def batch_themes(spark: SparkSession, out: str, batch: DataFrame, batch_id: str) -> None:
     """Bring the daily counts to the state after ``batch`` is published. Called before the publish:
     the rows it replaces are still the stored ones. Counts started on a table that exists take it in
@@ -75,6 +82,7 @@ def run(spark: SparkSession, raw_path: str, out: str, th: Thresholds = DEFAULTS,
                    maxima={TH.NARRATIVE_DAY: TH.narrative_day()})
     complaints = read_table(spark, f"{out}/complaints")
     observed = write_complaint_layout(complaints, f"{out}/complaints_by_month")
+    by_month = read_complaint_layout(spark, f"{out}/complaints_by_month")
     write_table(Q.quality_report(complaints, observed), f"{out}/quality_report", fmt="csv")
     write_table(Q.narrative_coverage(complaints, observed), f"{out}/narrative_coverage", fmt="csv")
     alerts = S.risk_alerts(complaints, th)
@@ -86,10 +94,10 @@ def run(spark: SparkSession, raw_path: str, out: str, th: Thresholds = DEFAULTS,
         SL.advance(spark, f"{out}/theme_days", f"{out}/theme_window", anchor, th)
         themes = SL.sliding_themes(spark, f"{out}/theme_window", th)
     else:
-        themes = TH.emerging_themes(complaints, th, anchor=anchor)
+        themes = TH.emerging_themes(by_month, th, anchor=anchor)
     write_table(themes, f"{out}/emerging_themes", fmt="csv")
     selected = TH.top_themes(themes, th.themes_per_product)
-    evidence = TH.theme_evidence(complaints, selected, th)
+    evidence = TH.theme_evidence(by_month, selected, th)
     write_table(TH.theme_prompts(selected, evidence), f"{out}/theme_prompts")
     B.write_brief(B.brief_lines(alerts, status, themes), f"{out}/brief")
     return out
