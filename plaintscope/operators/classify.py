@@ -23,7 +23,7 @@ from typing import NamedTuple
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -242,6 +242,15 @@ def score(fitted: IssueModel, docs: DataFrame) -> DataFrame:
 ROWS_PER_FIT_PARTITION = 20000
 
 
+def without_summary(spark: SparkSession, model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """The model as it is saved, read back. A freshly fitted one carries its training summary, and with
+    two classes that holds the session; scoring would send both to the tasks, which fails once the
+    session has observed metrics (``DataFrame.observe``)."""
+    folder = checkpoint_path(spark, f"model-{uuid.uuid4().hex}")
+    model.write().save(folder)
+    return LogisticRegressionModel.load(folder)
+
+
 def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS) -> tuple[DataFrame, IssueModel]:
     """Fit TF-IDF + multinomial L2 logistic regression on the training rows,
     predict the held-out rows. Raises ValueError when no class is large enough.
@@ -275,7 +284,7 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS) -> tuple[Data
     want = max(1, -(-n_train // ROWS_PER_FIT_PARTITION))
     if want < fit_rows.rdd.getNumPartitions():
         fit_rows = fit_rows.coalesce(want)
-    model = lr.fit(fit_rows)
+    model = without_summary(split.sparkSession, lr.fit(fit_rows))
     fitted = IssueModel(model, vocab, classes)
     held_out = split.where("is_test").select("complaint_id", "issue", "consumer_complaint_narrative")
     out = fitted.pipeline().transform(held_out).select("complaint_id", "issue", "predicted_issue")
