@@ -161,6 +161,24 @@ def validate_complaint_answer(df: DataFrame, json_col: str = "answer_json") -> D
             .select("*", "_a.*").drop("_a", "wrong"))
 
 
+class BadAnswer(ValueError):
+    """A single-complaint answer that must not be stored."""
+
+
+def sound_or_raise(judged: DataFrame) -> DataFrame:
+    """The answers of ``validate_complaint_answer`` without their empty problem column; raises
+    ``BadAnswer`` if one has problems. One row of counts and the first bad answer reach the driver."""
+    judged = cut_lineage(judged)
+    bad = F.col("problems") != ""
+    seen = judged.agg(F.count_if(bad).alias("n"),
+                      F.min_by(F.struct("complaint_id", "problems"), F.when(bad, F.col("complaint_id"))).alias("first")).first()
+    if seen["n"]:
+        first = seen["first"]
+        where = f"complaint {first['complaint_id']}: {first['problems']}" if first else "an answer without a complaint id"
+        raise BadAnswer(f"{seen['n']} bad answer(s), first {where}")
+    return judged.drop("problems")
+
+
 def evidence_id_count(ids_text) -> Column:
     """S14: ';'-separated ids, blanks dropped; NULL -> 0."""
     c = F.col(ids_text) if isinstance(ids_text, str) else ids_text

@@ -5,7 +5,8 @@
 Steps: scan (A1) -> clean + dedup (B1-B5, F1) -> bucketed upsert (A8) -> month layout with
 the null checks observed while it is written (E9, E17) -> signals and alerts (E1, E2, F2-F9)
 -> themes, evidence and prompts -> executive brief (R1). Every output is written by Spark to
-``--out``.
+``--out``. ``followup`` has the steps on these outputs: answers to the prompts, their evaluation, the
+issue classifier.
 
 With ``--batch-id`` the themes come from daily counts kept beside the table (``operators.sliding``):
 only the batch's narratives, and the stored rows they replace, are tokenised. A batch that failed is
@@ -97,8 +98,11 @@ def run(spark: SparkSession, raw_path: str, out: str, th: Thresholds = DEFAULTS,
         themes = TH.emerging_themes(by_month, th, anchor=anchor)
     write_table(themes, f"{out}/emerging_themes", fmt="csv")
     selected = TH.top_themes(themes, th.themes_per_product)
+    write_table(selected, f"{out}/selected_themes")
+    selected = spark.read.parquet(f"{out}/selected_themes")
     evidence = TH.theme_evidence(by_month, selected, th)
     write_table(TH.theme_prompts(selected, evidence), f"{out}/theme_prompts")
+    write_table(TH.first_narrative_prompt(complaints, th), f"{out}/complaint_prompt")
     B.write_brief(B.brief_lines(alerts, status, themes), f"{out}/brief")
     return out
 
