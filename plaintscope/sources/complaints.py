@@ -32,7 +32,7 @@ ORDER = ("_file", "_block", "_pos")
 
 # One file to a partition, whatever its size: a split as large as any file, opened at that cost.
 _WHOLE_FILES = {"spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.openCostInBytes": str(1 << 60),
-                "spark.sql.files.minPartitionNum": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
+                "spark.sql.files.minPartitionNum": "1", "spark.sql.files.maxPartitionNum": str((1 << 31) - 1)}
 
 
 def header_records(spark: SparkSession, path) -> list[tuple[str, str]]:
@@ -40,26 +40,39 @@ def header_records(spark: SparkSession, path) -> list[tuple[str, str]]:
 
     A task opens one file and stops soon after the header's last line (a quoted name may hold line
     breaks), so little behind it is read. Blank lines before the header are passed over, as the
-    CSV reader does. The settings live in a session of their own; the caller's stay as they are."""
+    CSV reader does. The settings for that live in a session of their own; the caller's stay as they
+    are. Where a session refuses them, the result is the same: only a file's first split counts,
+    tasks read their files to the end, and a header that a split cuts off stands for its file alone."""
     probe = spark.newSession()
-    for key, value in _WHOLE_FILES.items():
+    for key, value in {**_WHOLE_FILES, "spark.sql.execution.arrow.maxRecordsPerBatch": "500"}.items():
         probe.conf.set(key, value)
+    one_file_each = all(probe.conf.get(key) == value for key, value in _WHOLE_FILES.items())
+
+    def row(name, record, closed):
+        text = "\n".join(record)
+        return pa.RecordBatch.from_pydict({"file": [name], "header": [text if closed else f"{text}\0{name}"]})
 
     def first(batches):
-        record, name = [], None
+        at, record, done = None, [], False
         for batch in batches:
-            for name, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not record and not line.strip():
+            for name, block, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if name != at:
+                    if record and not done:
+                        yield row(at, record, False)
+                    at, record, done = name, [], False
+                if done or block != 0 or (not record and not line.strip()):
                     continue
                 record.append(line)
                 if sum(x.count('"') for x in record) % 2 == 0:
-                    yield pa.RecordBatch.from_pydict({"file": [name], "header": ["\n".join(record)]})
-                    deque(islice(batches, 10), maxlen=0)  # a worker that ends its input is used again
-                    return
-        if record:  # a quote that never closes: the whole file is the record
-            yield pa.RecordBatch.from_pydict({"file": [name], "header": ["\n".join(record)]})
-
-    lines = probe.read.text(path).select("_metadata.file_path", "value")
+                    yield row(name, record, True)
+                    done = True
+            if done and one_file_each:
+                deque(islice(batches, 10), maxlen=0)  # a worker that ends its input is used again
+                return
+        if record and not done:  # a quote that never closes
+            yield row(at, record, False)
+
+    lines = probe.read.text(path).select("_metadata.file_path", "_metadata.file_block_start", "value")
     found = lines.mapInArrow(first, "file string, header string").collect()
     jvm = spark.sparkContext._jvm  # the metadata column names files as URIs
     return [(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["file"])).toString(), r["header"]) for r in found]

@@ -43,6 +43,31 @@ def test_headers_are_read_in_one_job_from_odd_files(spark, tmp_path):
     assert df.where("`Complaint ID` = 'Complaint ID of 3' and Company = 'Company of 3'").count() == 2
 
 
+def test_headers_are_right_where_the_split_settings_are_pinned(spark, tmp_path, monkeypatch):
+    """A session that keeps small splits: files of many splits and many files in a partition."""
+    head = list(RAW_HEADER)
+    for i in range(30):
+        names = ["a\nb"] + head if i % 2 else head
+        _write(tmp_path / f"{i:02d}.csv", names, [["x\ny"] * len(names)] * (3000 if i < 2 else 1))
+    conf = type(spark.conf)
+    real = conf.set
+    monkeypatch.setattr(conf, "set", lambda self, key, value: None if key.startswith("spark.sql.files.") else real(self, key, value))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    make = type(spark).newSession
+
+    def pinned(self):
+        session = make(self)
+        real(session.conf, "spark.sql.files.maxPartitionBytes", "20k")
+        real(session.conf, "spark.sql.files.openCostInBytes", "1")
+        return session
+
+    monkeypatch.setattr(type(spark), "newSession", pinned)
+    found = header_records(spark, str(tmp_path))
+    assert len(found) == 30 and len({f for f, _ in found}) == 30 and len({h for _, h in found}) == 2
+    assert read_complaints(spark, str(tmp_path)).count() == 2 * 3000 + 28
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == old
+
+
 def test_a_file_without_a_wanted_column_is_named(spark, tmp_path):
     _write(tmp_path / "a.csv", list(RAW_HEADER), [])
     _write(tmp_path / "b.csv", list(RAW_HEADER)[1:], [])
