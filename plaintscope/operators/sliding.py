@@ -47,10 +47,15 @@ def daily_term_counts(complaints: DataFrame, sign: int = 1) -> DataFrame:
             .select("product", day.alias("day"),
                     (F.col("date_received") > F.date_trunc("day", "date_received")).alias("late"), TEXT))
     staged = with_terms(rows, TEXT, "_bg")
-    staged = staged.withColumn("_arr", F.concat(F.array(F.lit(DOC_MARKER)), F.array_distinct("_bg")))
-    return (explode_terms(staged, "_arr", "term", ["product", "day", "late"])
-            .groupBy("product", "day", "late", "term")
-            .agg((F.count(F.lit(1)) * F.lit(sign)).alias("mentions")))
+    keys = ["product", "day", "late"]
+    terms = explode_terms(staged.withColumn("_arr", F.array_distinct("_bg")), "_arr", "term", keys)
+
+    def mentions(r: DataFrame, term) -> DataFrame:
+        return r.groupBy(*keys, term).agg((F.count(F.lit(1)) * F.lit(sign)).alias("mentions"))
+
+    # Dealt by the key before they are counted, as in ``themes.term_document_counts``.
+    return (mentions(terms.repartition(*keys, "term"), "term")
+            .unionByName(mentions(rows, F.lit(DOC_MARKER).alias("term"))))
 
 
 def load_days(spark: SparkSession, counts_root: str, rows: DataFrame, batch_id: str,
@@ -116,7 +121,8 @@ def _as_counts(rows: DataFrame, recent: Column, baseline: Column) -> DataFrame:
 
 
 def _summed(rows: DataFrame) -> DataFrame:
-    return (rows.groupBy("product", "term")
+    # A term's days lie in different files: little to add up before the rows are dealt.
+    return (rows.repartition("product", "term").groupBy("product", "term")
             .agg(F.sum("recent_mentions").alias("recent_mentions"), F.sum("baseline_mentions").alias("baseline_mentions"))
             .withColumn("doc_freq", F.col("recent_mentions") + F.col("baseline_mentions"))
             .where(F.col("doc_freq") > 0))
