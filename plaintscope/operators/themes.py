@@ -104,7 +104,7 @@ def theme_totals(labelled: DataFrame) -> DataFrame:
 
 
 # Marker term counted once per document: no bigram is empty, so the aggregate row
-# for "" is the document count per product and period (totals without a 2nd scan).
+# for "" is the document count per product and period.
 DOC_MARKER = ""
 
 
@@ -122,7 +122,8 @@ def term_document_counts(labelled: DataFrame, with_doc_marker: bool = False) ->
     terms = explode_terms(staged.withColumn("_arr", F.array_distinct("_bg")), "_arr", "term", ["product", "period"])
     counts = _by_term(terms.repartition("product", "term"), "term")
     if with_doc_marker:
-        counts = counts.unionByName(_by_term(labelled, F.lit(DOC_MARKER).alias("term")).select(*counts.columns))
+        told = labelled.where(F.col("consumer_complaint_narrative").isNotNull())
+        counts = counts.unionByName(_by_term(told, F.lit(DOC_MARKER).alias("term")))
     return counts
 
 
@@ -144,8 +145,7 @@ def emerging_themes(complaints: DataFrame, th: Thresholds = DEFAULTS,
     who knows the latest day with a narrative (``buckets.maximum``) spares the pass that finds it."""
     ws = window_bounds(anchor if anchor is not None else anchor_day(complaints), th)
     labelled = labelled_narratives(complaints, th, products, ws)
-    # One text scan and one aggregate: the marker rows carry the per-period totals
-    # (E11). The aggregate is read by the totals and by the exact top-k several
+    # The marker rows carry the per-period totals (E11). The aggregate is read by the totals and by the exact top-k several
     # times, so its frequent terms are written once; the many rare ones are not.
     counts = frequent_terms(term_document_counts(labelled, with_doc_marker=True), th)
     return themes_from_counts(cut_lineage(counts), ws, th)
