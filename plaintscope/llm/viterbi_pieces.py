@@ -22,9 +22,9 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -79,6 +79,17 @@ class Lattice:
         # Score of each piece, None for what only begins one.
         self.prefix: dict[str, int | None] = {p[:k]: None for p in self.ids for k in range(1, len(p))}
         self.prefix.update(self.score)
+        # The same pieces by character: (score or None, id, what may follow).
+        self.tree: dict = {}
+        for p, w in self.score.items():
+            at = self.tree
+            for c in p[:-1]:
+                at = at.setdefault(c, [None, -1, {}])[2]
+            node = at.setdefault(p[-1], [None, -1, {}])
+            node[0], node[1] = w, self.ids[p]
+        # Neighbours inside a piece: every path passes between two characters that are none.
+        self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.decoded_text = np.array(self.decoded, dtype=object)
         # No piece joins a character to a following space mark: words are separate.
         self.by_words = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
         self.words: dict[str, bytes] = {}
@@ -125,9 +136,59 @@ class Lattice:
             at = back[at]
         return [x for p in reversed(out) for x in p], at
 
-    def word(self, s: str) -> tuple[bytes, int]:
-        best, back = self.forward(s, [0], len(s))
-        return np.array(self.trace(s, back, len(s))[0], dtype="<u4").tobytes(), best[-1]
+    def search(self, s: str) -> tuple[bytes, int]:
+        """``forward`` from the first place alone, traced back; every place is reached."""
+        n = len(s)
+        best = [0] + [NEVER] * n
+        back = [0] * (n + 1)
+        piece = [-1] * (n + 1)
+        tree, unknown = self.tree, self.unknown
+        for i in range(n):
+            b = best[i]
+            node = tree.get(s[i])
+            if node is None or node[0] is None:
+                w, x = b + unknown, -1
+            else:
+                w, x = b + node[0], node[1]
+            j = i + 1
+            if w > best[j]:  # an earlier start wins ties
+                best[j], back[j], piece[j] = w, i, x
+            if node is None:
+                continue
+            at = node[2]
+            while at and j < n:
+                node = at.get(s[j])
+                if node is None:  # no piece begins like this
+                    break
+                w, x, at = node
+                j += 1
+                if w is not None and b + w > best[j]:
+                    best[j], back[j], piece[j] = b + w, i, x
+        out, at = [], n
+        while at:
+            i = back[at]
+            if piece[at] >= 0:
+                out.append(piece[at])
+            else:
+                out += [self.byte_id[b] for b in reversed(s[i:at].encode("utf-8", "replace"))]
+            at = i
+        out.reverse()
+        return struct.pack(f"<{len(out)}I", *out), best[n]
+
+    def word(self, s: str, held: dict[str, tuple[bytes, int]]) -> tuple[bytes, int]:
+        """A word is searched in the parts that no piece joins; equal parts once per ``held``."""
+        cuts = [i for i in range(1, len(s)) if s[i - 1:i + 1] not in self.inside]
+        if not cuts:
+            return held.get(s) or self.search(s)
+        found = []
+        for i, j in zip([0, *cuts], [*cuts, len(s)]):
+            part = s[i:j]
+            x = held.get(part)
+            if x is None:
+                x = ((self.words[part], self.word_scores[part]) if part in self.words
+                     else held.setdefault(part, self.search(part)))
+            found.append(x)
+        return b"".join([x for x, _ in found]), sum([w for _, w in found])
 
     def encode_many(self, texts: list[str]) -> list[tuple[bytes, int]]:
         """Ids (little-endian 32-bit) and total score of whole texts. Each word that is not
@@ -148,19 +209,19 @@ class Lattice:
         ids, scores = self.words, self.word_scores
         new: set[str] = set()
         for ws in split:
-            new.update(filterfalse(ids.__contains__, ws))
+            new.update([w for w in ws if w not in ids])
         full = len(ids) >= MAX_CACHED_WORDS
+        parts: dict[str, tuple[bytes, int]] = {}
         for w in new:
-            ids[w], scores[w] = self.word(w)
-        out = [(b"".join(map(ids.__getitem__, ws)), sum(map(scores.__getitem__, ws))) for ws in split]
+            ids[w], scores[w] = self.word(w, parts)
+        out = [(b"".join([ids[w] for w in ws]), sum([scores[w] for w in ws])) for ws in split]
         for w in new:
             if full or len(w) > 64:
                 del ids[w], scores[w]
         return out
 
     def decode(self, ids: bytes) -> str:
-        table = self.decoded
-        raw = b"".join(map(table.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        raw = b"".join(self.decoded_text[np.frombuffer(ids, dtype="<u4")].tolist())
         return raw.decode("utf-8", "replace")[1:]
 
     def transfer(self, s: str, stop: int) -> np.ndarray:

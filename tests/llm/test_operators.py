@@ -427,6 +427,31 @@ def test_pieces_equal_a_sequential_search(request, which):
         assert r["text"] == (rows[r["doc_id"]] or "")
 
 
+def test_word_search_equals_the_lattice_search():
+    lat = viterbi_pieces.lattice(viterbi_pieces.default_path())
+    rng = np.random.default_rng(6)
+    letters = list("aeinrst.,;\n\tAÉß日☃😀\u0301▁")
+    words = ["", *("".join(rng.choice(letters, n)) for n in rng.integers(1, 40, 300)), *list(lat.ids)[:300]]
+    for s in words:
+        assert lat.search(s) == whole_search_of(lat, s) == lat.word(s, {}), s
+
+
+def whole_search_of(lat, s):
+    best, back = lat.forward(s, [0], len(s))
+    return np.array(lat.trace(s, back, len(s))[0], dtype="<u4").tobytes(), best[-1]
+
+
+def test_parts_that_no_piece_joins_are_searched_once(monkeypatch):
+    lat = viterbi_pieces.Lattice(viterbi_pieces.default_path())
+    assert "t\n" not in lat.inside
+    searched = []
+    search = lat.search
+    monkeypatch.setattr(lat, "search", lambda s: searched.append(s) or search(s))
+    texts_ = ["x zebrast", "x zebrast\nOne", "x zebrast\nTwo", "x zebrast\nOne\nTwo"]
+    assert lat.encode_many(texts_) == [whole_search(lat, t) for t in texts_]
+    assert len(searched) == len(set(searched)) and not any("t\n" in s for s in searched)
+
+
 def test_max_plus_product_is_associative():
     rng = np.random.default_rng(1)
     a, b, c = rng.integers(-100, 0, (3, 6, 6))
