@@ -10,9 +10,11 @@ Scale notes:
 * The vocabulary is an exact top-k found from a term-frequency histogram
   (``topk.top_k_by_count``), so no task sorts all terms; its size is bounded by
   ``max_vocab`` - the one side joined by broadcast, behind that bound.
-* Terms are counted inside the row (sorted array, run lengths), so no (document, term)
-  occurrence is shuffled; norm and vector share one partitioning by document. The vector
-  is built as a struct and typed by reading the written table: no Python on the way.
+* Terms are counted inside the row (sorted array, run lengths) and stored as one row per
+  document, so no (document, term) occurrence is shuffled to be counted.
+* A vector needs its own document and the vocabulary alone: terms are looked up in the row by
+  Arrow (``row_features``), nothing is shuffled. A vocabulary beyond the broadcast bound is joined
+  (``tfidf_weights``). The vector is built as a struct and typed by reading the written table.
 """
 
 from __future__ import annotations
@@ -20,17 +22,20 @@ from __future__ import annotations
 import uuid
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from ..config import DEFAULTS, Thresholds
 from ..functions.scalar import utrim
 from ..functions.text import explode_terms, with_terms
-from ..session import bounded_broadcast, checkpoint_path, cut_lineage
+from ..session import BROADCAST_MAX_ROWS, bounded_broadcast, checkpoint_path, cut_lineage
 from .topk import top_k_by_count
 
 
@@ -144,11 +149,12 @@ def class_weights(train: DataFrame) -> DataFrame:
         "issue", "records", (n.cast("double") / (k * F.col("records")).cast("double")).alias("weight"))
 
 
-def term_frequencies(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """T4: raw counts per (document, unigram or bigram), with the columns ``keep`` beside.
+def term_runs(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """T4: per document the list ``runs`` of its (term, tf), unigrams and bigrams, NULL or empty without
+    any; with the columns ``keep`` beside.
 
     Counted inside the row: equal terms are neighbours in the sorted array, and a term's
-    count is the distance between two run starts. ``docs`` holds one row per document."""
+    count is the distance between two run starts."""
     cols = ["complaint_id", *keep]
     staged = with_terms(docs.select(*cols, "consumer_complaint_narrative"),
                         "consumer_complaint_narrative", "_terms", unigrams=True)
@@ -160,8 +166,19 @@ def term_frequencies(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     runs = F.transform("_at", lambda b, j: F.struct(
         F.get(s, b).alias("term"),
         (F.coalesce(F.get(F.col("_at"), j + 1), n) - b).cast("bigint").alias("tf")))
-    return (explode_terms(staged.withColumn("_runs", runs), "_runs", "_run", cols)
-            .select(*cols, "_run.term", "_run.tf"))
+    return staged.select(*cols, runs.alias("runs"))
+
+
+def explode_runs(runs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (document, term) of ``term_runs``."""
+    cols = ["complaint_id", *keep]
+    return explode_terms(runs, "runs", "_run", cols).select(*cols, "_run.term", "_run.tf")
+
+
+def term_frequencies(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """T4: raw counts per (document, unigram or bigram), with the columns ``keep`` beside. ``docs``
+    holds one row per document."""
+    return explode_runs(term_runs(docs, keep), keep)
 
 
 def tfidf_vocab(train: DataFrame, th: Thresholds = DEFAULTS, tf: DataFrame | None = None) -> DataFrame:
@@ -203,20 +220,81 @@ def _vector(size: int, indices, values):
                     indices.cast("array<int>").alias("indices"), values.cast("array<double>").alias("values"))
 
 
-def with_features(docs: DataFrame, weights: DataFrame, size: int) -> DataFrame:
-    """``docs`` with the vector of its weights (all zero without any) as ``features``, written
-    to the shared folder and read back with the vector type."""
-    spark = docs.sparkSession
+def with_features(docs: DataFrame, weights: DataFrame) -> DataFrame:
+    """``docs`` with the ``indices`` and ``values`` of its weights, both empty without any."""
     per = (weights.groupBy("complaint_id")
            .agg(F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("p")))
     p = F.coalesce("p", F.array().cast("array<struct<term_index:int,weight:double>>"))
-    rows = docs.join(per, "complaint_id", "left").select(
-        *docs.columns, _vector(size, F.transform(p, lambda x: x["term_index"]),
-                               F.transform(p, lambda x: x["weight"])).alias("features"))
+    return docs.join(per, "complaint_id", "left").select(
+        *docs.columns, F.transform(p, lambda x: x["term_index"]).alias("indices"),
+        F.transform(p, lambda x: x["weight"]).alias("values"))
+
+
+def _row_weights(runs: pa.Array, terms: pa.Array, index: np.ndarray, idf: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """T9 for a batch of ``runs``: each document's term indices, ascending, and their weights."""
+    n = len(runs)
+    row = pc.list_parent_indices(runs).to_numpy()
+    flat = pc.list_flatten(runs)
+    at = pc.index_in(flat.field("term"), value_set=terms)
+    known = at.is_valid().to_numpy(zero_copy_only=False)
+    row, at = row[known], at.drop_null().to_numpy()
+    w = (1.0 + np.log(flat.field("tf").to_numpy()[known].astype(np.float64))) * idf[at]
+    order = np.lexsort((index[at], row))
+    row, at, w = row[order], at[order], w[order]
+    w /= np.sqrt(np.bincount(row, w * w, n))[row]
+    offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(index[at])), pa.ListArray.from_arrays(offsets, pa.array(w))
+
+
+# Term lists go to the workers some megabytes at a time, unless the session has its own bound.
+ARROW_ROWS = 2_000
+
+
+def row_features(runs: DataFrame, vocab: list) -> DataFrame:
+    """``runs`` (of ``term_runs``) with ``indices`` and ``values`` in place of the list, as ``with_features``
+    has them. ``vocab``: rows of the vocabulary with ``n_train``, bounded by the caller."""
+    terms = pa.array([r["term"] for r in vocab], pa.string())
+    index = np.array([r["term_index"] for r in vocab], np.int32)
+    df, n = (np.array([r[c] for r in vocab], np.float64) for c in ("doc_freq", "n_train"))
+    idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
+
+    def weigh(batches):
+        for b in batches:
+            at = b.schema.get_field_index("runs")
+            lists = _row_weights(b.column(at), terms, index, idf)
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], *lists], names=[*b.schema.names[:at], "indices", "values"])
+
+    conf, key = runs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, str(ARROW_ROWS))
+    keep = [c for c in runs.columns if c != "runs"]
+    schema = StructType([*runs.select(*keep).schema.fields, StructField("indices", ArrayType(IntegerType())),
+                         StructField("values", ArrayType(DoubleType()))])
+    return runs.select(*keep, "runs").mapInArrow(weigh, schema)
+
+
+def tfidf_rows(runs: DataFrame, vocab: DataFrame, size: int, bound: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The columns of ``runs`` (of ``term_runs``) with each row's own ``indices`` and ``values``; a row without
+    id has none. A vocabulary of more than ``bound`` terms (``size``) is joined by the row's number."""
+    runs = runs.withColumn("runs", F.when(F.col("complaint_id").isNotNull(), F.col("runs")))
+    if size <= bound:
+        return row_features(runs, vocab.select("term", "term_index", "doc_freq", "n_train").collect())
+    rows = cut_lineage(runs.withColumn("_row", F.monotonically_increasing_id()))
+    own = rows.select(F.col("_row").alias("complaint_id"), "runs")
+    lists = with_features(own.select("complaint_id"), tfidf_weights(own, vocab, tf=explode_runs(own)))
+    return rows.drop("runs").join(lists.withColumnRenamed("complaint_id", "_row"), "_row").drop("_row")
+
+
+def tfidf_vectors(runs: DataFrame, vocab: DataFrame, size: int) -> DataFrame:
+    """The columns of ``runs`` with the TF-IDF vector ``features`` in place of the list, written to the
+    shared folder and read back with the vector type."""
+    spark = runs.sparkSession
+    rows = tfidf_rows(runs, vocab, size)
+    own = [f for f in rows.schema.fields if f.name not in ("indices", "values")]
     folder = checkpoint_path(spark, f"features-{uuid.uuid4().hex}")
-    rows.write.parquet(folder)
-    schema = StructType([*docs.schema.fields, StructField("features", VectorUDT())])
-    return spark.read.schema(schema).parquet(folder)
+    (rows.select(*[f.name for f in own], _vector(size, F.col("indices"), F.col("values")).alias("features"))
+     .write.parquet(folder))
+    return spark.read.schema(StructType([*own, StructField("features", VectorUDT())])).parquet(folder)
 
 
 class IssueModel(NamedTuple):
@@ -262,15 +340,16 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS) -> tuple[Data
     if not classes:
         raise ValueError(f"no class has {th.min_class_size} usable narratives")
     # Each text is tokenised once: the training rows' term frequencies feed the vocabulary and
-    # the weights; the held-out rows are scored by the finished model.
-    tf = cut_lineage(term_frequencies(train))
+    # the weights; the held-out rows are scored by the finished model. They are written as one row
+    # per document, not per term.
+    runs = cut_lineage(term_runs(train, keep=("issue",)))
     n_train = train.count()
-    vocab = cut_lineage(tfidf_vocab(train, th, tf=tf)
+    vocab = cut_lineage(tfidf_vocab(train, th, tf=explode_runs(runs))
                         .withColumn("n_train", F.lit(float(n_train))))
     size = max(1, vocab.count())
     label_of = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("issue")) - 1
     cw = class_weights(train).select("issue", "weight")
-    rows = with_features(train.select("complaint_id", "issue"), tfidf_weights(train, vocab, tf=tf), size)
+    rows = tfidf_vectors(runs, vocab, size)
     fit_rows = (rows.withColumn("label", label_of.cast("double"))
             .join(bounded_broadcast(cw), "issue", "left"))
     # tol 1e-4 and at most max_iter L-BFGS steps, as the reference's solver settings.

@@ -82,7 +82,7 @@ class NarrativeTfidfModel(Model, _Columns, MLReadable, MLWritable):
         rows = cut_lineage(df.withColumn(_ROW, F.monotonically_increasing_id()))
         docs = rows.select(F.col(_ROW).alias("complaint_id"),
                            F.col(self.getInputCol()).alias("consumer_complaint_narrative"))
-        vectors = K.with_features(docs.select("complaint_id"), K.tfidf_weights(docs, self.vocab), self.size)
+        vectors = K.tfidf_vectors(K.term_runs(docs), self.vocab, self.size)
         vectors = vectors.select(F.col("complaint_id").alias(_ROW), F.col("features").alias(self.getOutputCol()))
         return rows.join(vectors, _ROW).drop(_ROW)
 
