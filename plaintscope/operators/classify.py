@@ -10,8 +10,9 @@ Scale notes:
 * The vocabulary is an exact top-k found from a term-frequency histogram
   (``topk.top_k_by_count``), so no task sorts all terms; its size is bounded by
   ``max_vocab`` - the one side joined by broadcast, behind that bound.
-* Terms are counted inside the row (sorted array, run lengths) and stored as one row per
-  document, so no (document, term) occurrence is shuffled to be counted.
+* The vocabulary's counts come from ``term_counts.count_terms``: blocks of documents are counted
+  in a task and dealt by bucket, not a row per (document, term).
+* A document's own counts are made inside its row (sorted array, run lengths).
 * A vector needs its own document and the vocabulary alone: terms are looked up in the row by
   Arrow (``row_features``), nothing is shuffled. A vocabulary beyond the broadcast bound is joined
   (``tfidf_weights``). The vector is built as a struct and typed by reading the written table.
@@ -34,8 +35,9 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 
 from ..config import DEFAULTS, Thresholds
 from ..functions.scalar import utrim
-from ..functions.text import explode_terms, with_terms
+from ..functions.text import content_tokens, explode_terms, ngrams2
 from ..session import BROADCAST_MAX_ROWS, bounded_broadcast, checkpoint_path, cut_lineage
+from .term_counts import count_terms, small_batches
 from .topk import top_k_by_count
 
 
@@ -149,16 +151,20 @@ def class_weights(train: DataFrame) -> DataFrame:
         "issue", "records", (n.cast("double") / (k * F.col("records")).cast("double")).alias("weight"))
 
 
+def with_words(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """T1 + T2: per document the list ``words`` of its narrative, with the columns ``keep`` beside."""
+    return docs.select("complaint_id", *keep, content_tokens("consumer_complaint_narrative").alias("words"))
+
+
 def term_runs(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """T4: per document the list ``runs`` of its (term, tf), unigrams and bigrams, NULL or empty without
-    any; with the columns ``keep`` beside.
+    any; with the columns ``keep`` beside. ``docs`` hold narratives or their ``words``.
 
     Counted inside the row: equal terms are neighbours in the sorted array, and a term's
     count is the distance between two run starts."""
     cols = ["complaint_id", *keep]
-    staged = with_terms(docs.select(*cols, "consumer_complaint_narrative"),
-                        "consumer_complaint_narrative", "_terms", unigrams=True)
-    staged = staged.select(*cols, F.sort_array("_terms").alias("_s"))
+    staged = docs if "words" in docs.columns else with_words(docs, keep)
+    staged = staged.select(*cols, F.sort_array(F.concat("words", ngrams2("words"))).alias("_s"))
     s, n = F.col("_s"), F.size("_s")
     starts = F.when(n > 0, F.filter(F.sequence(F.lit(0), n - 1),
                                     lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))))
@@ -183,13 +189,16 @@ def term_frequencies(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def tfidf_vocab(train: DataFrame, th: Thresholds = DEFAULTS, tf: DataFrame | None = None) -> DataFrame:
     """T6 + G8: terms in >= min_doc_freq training documents; the `max_vocab` most frequent
-    (total count, ties by term) get indices 0..k-1 in that order. ``tf`` may carry
-    precomputed training term frequencies."""
-    tf = term_frequencies(train) if tf is None else tf
+    (total count, ties by term) get indices 0..k-1 in that order. ``train`` holds narratives
+    or their ``words``; ``tf`` may carry precomputed training term frequencies."""
+    if tf is not None:
+        stats = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("tf").alias("term_freq"))
+                 .where(F.col("doc_freq") >= th.min_doc_freq))
+    else:
+        words = train if "words" in train.columns else with_words(train)
+        stats = count_terms(words, [], unigrams=True, at_least=th.min_doc_freq)
     # Per-term statistics are read several times by the exact top-k: written once.
-    stats = cut_lineage(tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"),
-                                               F.sum("tf").alias("term_freq"))
-                        .where(F.col("doc_freq") >= th.min_doc_freq))
+    stats = cut_lineage(stats)
     top = top_k_by_count(stats, [], "term_freq", "term", th.max_vocab)
     # At most max_vocab rows: a single-partition window is bounded by that cap.
     w = Window.orderBy(F.col("term_freq").desc(), "term")
@@ -246,10 +255,6 @@ def _row_weights(runs: pa.Array, terms: pa.Array, index: np.ndarray, idf: np.nda
     return pa.ListArray.from_arrays(offsets, pa.array(index[at])), pa.ListArray.from_arrays(offsets, pa.array(w))
 
 
-# Term lists go to the workers some megabytes at a time, unless the session has its own bound.
-ARROW_ROWS = 2_000
-
-
 def row_features(runs: DataFrame, vocab: list) -> DataFrame:
     """``runs`` (of ``term_runs``) with ``indices`` and ``values`` in place of the list, as ``with_features``
     has them. ``vocab``: rows of the vocabulary with ``n_train``, bounded by the caller."""
@@ -264,9 +269,7 @@ def row_features(runs: DataFrame, vocab: list) -> DataFrame:
             lists = _row_weights(b.column(at), terms, index, idf)
             yield pa.RecordBatch.from_arrays([*b.columns[:at], *lists], names=[*b.schema.names[:at], "indices", "values"])
 
-    conf, key = runs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if conf.get(key) == "10000":
-        conf.set(key, str(ARROW_ROWS))
+    small_batches(runs.sparkSession)
     keep = [c for c in runs.columns if c != "runs"]
     schema = StructType([*runs.select(*keep).schema.fields, StructField("indices", ArrayType(IntegerType())),
                          StructField("values", ArrayType(DoubleType()))])
@@ -339,12 +342,12 @@ def train_and_predict(split: DataFrame, th: Thresholds = DEFAULTS) -> tuple[Data
     classes = [r[0] for r in class_counts(train).orderBy("issue").collect()]  # k labels, small
     if not classes:
         raise ValueError(f"no class has {th.min_class_size} usable narratives")
-    # Each text is tokenised once: the training rows' term frequencies feed the vocabulary and
-    # the weights; the held-out rows are scored by the finished model. They are written as one row
-    # per document, not per term.
-    runs = cut_lineage(term_runs(train, keep=("issue",)))
+    # Each text is tokenised once: the training rows' words, one row per document, feed the vocabulary
+    # and the weights; the held-out rows are scored by the finished model.
+    words = cut_lineage(with_words(train, keep=("issue",)))
+    runs = term_runs(words, keep=("issue",))
     n_train = train.count()
-    vocab = cut_lineage(tfidf_vocab(train, th, tf=explode_runs(runs))
+    vocab = cut_lineage(tfidf_vocab(words, th)
                         .withColumn("n_train", F.lit(float(n_train))))
     size = max(1, vocab.count())
     label_of = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("issue")) - 1
